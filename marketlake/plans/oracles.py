@@ -132,3 +132,56 @@ FROM ok WHERE kind IN ('b', 'q', 't')""",
     "ts_strict": _TIMES + "SELECT seq, ts, ts IS NOT NULL AS ok FROM t",
     "ts_lenient": _TIMES + "SELECT seq, ts FROM t",
 }
+
+# Market pages: walk = k // 500, page = (k % 500) // 50; the cursor is empty on page 7,
+# page 5 has no data, a null minimum_order_size (k % 31 = 0) makes a market invalid.
+_MARKETS = """
+WITH p AS (
+  SELECT p_partkey AS k, p_partkey // 500 AS walk_id, (p_partkey % 500) // 50 AS page_no, * FROM part),
+walked AS (SELECT DISTINCT walk_id, page_no FROM p WHERE page_no <= 7),
+raw AS (
+  SELECT *, row_number() OVER (PARTITION BY walk_id, page_no ORDER BY k) - 1 AS pos, k % 31 <> 0 AS valid
+  FROM p WHERE page_no <= 7 AND page_no <> 5),
+typed AS (
+  SELECT walk_id, page_no, pos, '0x' || (k % 300) AS condition_id, NULL::VARCHAR AS question_id,
+         NULL::VARCHAR AS market_slug, p_name AS question, NULL::VARCHAR AS description, p_size % 2 = 0 AS active,
+         false AS closed, false AS archived, false AS accepting_orders, false AS enable_order_book,
+         false AS neg_risk,
+         CASE k % 3 WHEN 0 THEN '2024-06-30T00:00:00Z' WHEN 1 THEN '2024-06-30T00:00:00-04:00' ELSE 'soon' END
+           AS end_date_text,
+         CASE k % 3 WHEN 0 THEN TIMESTAMP '2024-06-30 00:00:00' WHEN 1 THEN TIMESTAMP '2024-06-30 04:00:00'
+           ELSE NULL END AS end_date_ts,
+         NULL::VARCHAR AS game_start_time, NULL::VARCHAR AS accepting_order_timestamp,
+         0.0::DOUBLE AS minimum_order_size, p_retailprice AS minimum_tick_size, 0.0::DOUBLE AS maker_base_fee,
+         0.0::DOUBLE AS taker_base_fee, p_size AS seconds_delay, NULL::VARCHAR AS icon, NULL::VARCHAR AS image,
+         NULL::VARCHAR AS fpmm, NULL::VARCHAR AS neg_risk_market_id, NULL::VARCHAR AS neg_risk_request_id,
+         false AS notifications_enabled, false AS is_50_50_outcome,
+         CASE WHEN k % 2 = 0 THEN p_retailprice END AS token0_price, k % 2 <> 0 AS tokens_null,
+         true AS rewards_null, true AS tags_null
+  FROM raw WHERE valid)
+"""
+
+ORACLES.update({
+    "paged_markets": _MARKETS + "SELECT walk_id, page_no, pos, '0x' || (k % 300) AS condition_id FROM raw",
+    "ingest_counters": _MARKETS + """
+SELECT w.walk_id, count(*) AS pages_walked,
+       sum((SELECT count(*) FROM raw r WHERE r.walk_id = w.walk_id AND r.page_no = w.page_no)) AS raw_markets
+FROM walked w GROUP BY w.walk_id""",
+    "markets_typed": _MARKETS + """
+SELECT * EXCLUDE (end_date_text, end_date_ts), end_date_text AS end_date_iso FROM typed""",
+    "market_rejects": _MARKETS + "SELECT walk_id, page_no, pos, 'invalid market' AS reason FROM raw WHERE NOT valid",
+    "market_rows": _MARKETS + """
+SELECT * EXCLUDE (end_date_text, end_date_ts, game_start_time, accepting_order_timestamp),
+       end_date_ts AS end_date_iso, NULL::TIMESTAMP AS game_start_time,
+       NULL::TIMESTAMP AS accepting_order_timestamp, NULL::VARCHAR AS _error FROM typed""",
+    "sink_markets": _MARKETS + """
+SELECT * EXCLUDE (end_date_text, end_date_ts, game_start_time, accepting_order_timestamp, rn),
+       end_date_ts AS end_date_iso, NULL::TIMESTAMP AS game_start_time,
+       NULL::TIMESTAMP AS accepting_order_timestamp FROM (
+  SELECT *, row_number() OVER (PARTITION BY condition_id ORDER BY walk_id DESC, page_no DESC, pos DESC) AS rn
+  FROM typed) WHERE rn = 1""",
+    "upsert": _MARKETS + """
+SELECT condition_id, walk_id, page_no, pos FROM (
+  SELECT *, row_number() OVER (PARTITION BY condition_id ORDER BY walk_id DESC, page_no DESC, pos DESC) AS rn
+  FROM typed) WHERE rn = 1""",
+})
