@@ -185,3 +185,113 @@ SELECT condition_id, walk_id, page_no, pos FROM (
   SELECT *, row_number() OVER (PARTITION BY condition_id ORDER BY walk_id DESC, page_no DESC, pos DESC) AS rn
   FROM typed) WHERE rn = 1""",
 })
+
+# Statements: kind = o_orderkey % 3; the period is not a date when o_orderkey % 17 = 0; the
+# required amount is missing when o_orderkey % 13 = 0; fetches of symbol (custkey % 200) fail
+# when that number % 11 = 10. round(x / 2, 2) is HALF_UP on the decimal text of x / 2.
+_STATEMENTS = """
+WITH s0 AS (
+  SELECT o_orderkey AS seq, o_orderkey % 3 AS kind_no, o_custkey % 200 AS symbol_no,
+         'C' || (o_custkey % 200) AS symbol,
+         CASE o_orderkey % 3 WHEN 0 THEN 'income' WHEN 1 THEN 'balance' ELSE 'cashflow' END AS kind,
+         (o_custkey % 200) % 11 = 10 AS failed,
+         CASE WHEN o_orderkey % 17 = 0 THEN 'quarter' ELSE 'date' END AS period_kind,
+         CASE WHEN o_orderkey % 17 = 0 THEN NULL
+              ELSE last_day(date_trunc('quarter', o_orderdate) + INTERVAL 2 MONTH) END AS period_date,
+         CASE WHEN o_orderkey % 17 = 0 THEN year(o_orderdate) || 'Q' || quarter(o_orderdate) END AS period_label,
+         CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_totalprice END AS amount,
+         ((CAST(round(o_totalprice * 100) AS BIGINT) + 1) // 2) / 100.0 AS amount2,
+         CASE WHEN o_orderkey % 29 = 0 THEN -1 ELSE o_orderkey * 1000 END AS shares_outstanding
+  FROM orders),
+s AS (SELECT *, CASE WHEN period_date IS NULL THEN 'invalid period'
+                     WHEN amount IS NULL THEN 'missing ' || CASE kind WHEN 'income' THEN 'total_revenue'
+                          WHEN 'balance' THEN 'total_assets' ELSE 'operating_cashflow' END END AS err
+      FROM s0 WHERE NOT failed),
+inc AS (SELECT seq, 0 AS pos, symbol, period_date, amount AS total_revenue, amount2 AS gross_profit,
+               NULL::DOUBLE AS operating_income, NULL::DOUBLE AS net_income, err FROM s WHERE kind = 'income'),
+bal AS (SELECT seq, 0 AS pos, symbol, period_date, amount AS total_assets, amount2 AS total_liabilities,
+               NULL::DOUBLE AS total_equity, NULL::DOUBLE AS cash, NULL::DOUBLE AS long_term_debt,
+               shares_outstanding, err FROM s WHERE kind = 'balance'),
+cf AS (SELECT seq, 0 AS pos, symbol, period_date, amount AS operating_cashflow, amount2 AS capital_expenditures,
+              NULL::DOUBLE AS free_cash_flow, NULL::DOUBLE AS net_income, err FROM s WHERE kind = 'cashflow')
+"""
+
+
+def _first(src: str, key: str, order: str) -> str:
+    return (f"SELECT * EXCLUDE (rn, err) FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) "
+            f"AS rn FROM {src} WHERE err IS NULL) WHERE rn = 1")
+
+
+_CALENDAR = """
+WITH c AS (
+  SELECT o_custkey AS seq, 'C' || (o_custkey % 200) AS symbol, o_orderstatus AS st,
+         date_trunc('month', o_orderdate)::TIMESTAMP AS d FROM orders),
+earn AS (SELECT seq, symbol, row_number() OVER (PARTITION BY seq ORDER BY d) - 1 AS ord, 'earnings' AS date_type,
+                d AS date_utc FROM c WHERE st = 'O'),
+ne AS (SELECT seq, count(*) AS n FROM c WHERE st = 'O' GROUP BY seq),
+dv AS (SELECT seq, any_value(symbol) AS symbol, max(d) AS date_utc FROM c WHERE st = 'F' GROUP BY seq),
+ex AS (SELECT seq, any_value(symbol) AS symbol, min(d) AS date_utc FROM c WHERE st = 'P' GROUP BY seq),
+cal AS (
+  SELECT seq, symbol, ord, date_type, date_utc FROM earn
+  UNION ALL
+  SELECT dv.seq, dv.symbol, coalesce(ne.n, 0), 'dividend_payment', dv.date_utc FROM dv LEFT JOIN ne USING (seq)
+  UNION ALL
+  SELECT ex.seq, ex.symbol, coalesce(ne.n, 0) + CASE WHEN dv.seq IS NULL THEN 0 ELSE 1 END, 'ex_dividend',
+         ex.date_utc FROM ex LEFT JOIN ne USING (seq) LEFT JOIN dv USING (seq))
+"""
+
+ORACLES.update({
+    "scan_statements": _STATEMENTS + """
+SELECT seq, kind, symbol, period_kind, period_date AS period_raw_date, amount, amount2 FROM s""",
+    "statement_flatten": _STATEMENTS + """
+SELECT seq, 0 AS pos, symbol, period_kind, period_date AS period_raw_date, period_label, amount AS total_revenue,
+       amount2 AS gross_profit, NULL::DOUBLE AS operating_income, NULL::DOUBLE AS net_income
+FROM s WHERE kind = 'income'""",
+    "income_rows": _STATEMENTS + "SELECT * EXCLUDE (err), err AS _error FROM inc",
+    "balance_rows": _STATEMENTS + "SELECT * EXCLUDE (err), err AS _error FROM bal",
+    "cashflow_rows": _STATEMENTS + "SELECT * EXCLUDE (err), err AS _error FROM cf",
+    "statement_rejects": _STATEMENTS + "SELECT seq, kind, err AS reason FROM s WHERE err IS NOT NULL",
+    "sink_income": _STATEMENTS + _first("inc", "symbol, period_date", "seq, pos"),
+    "sink_balance": _STATEMENTS + _first("bal", "symbol, period_date", "seq, pos"),
+    "sink_cashflow": _STATEMENTS + _first("cf", "symbol, period_date", "seq, pos"),
+    "extract_amount": _STATEMENTS + "SELECT seq, amount FROM s0",
+    "period_date": _STATEMENTS + "SELECT seq, period_date FROM s0",
+    "wrap_bigint": _STATEMENTS + "SELECT seq, shares_outstanding AS shares FROM s0",
+    "sat_bigint": """
+WITH x AS (SELECT event_id AS seq, CASE event_id % 4 WHEN 0 THEN value WHEN 1 THEN -value
+             WHEN 2 THEN value * 1e18 ELSE 'NaN'::DOUBLE END AS x FROM events)
+SELECT seq, CASE WHEN isnan(x) THEN 0 WHEN x >= 9223372036854775808.0 THEN 9223372036854775807
+                 WHEN x < -9223372036854775808.0 THEN -9223372036854775808
+                 ELSE CAST(trunc(x) AS BIGINT) END AS as_bigint FROM x""",
+    "load_symbols": """
+SELECT line_no, 'C' || n_nationkey AS symbol FROM (
+  SELECT n_nationkey, row_number() OVER (ORDER BY n_nationkey) AS line_no FROM nation)
+WHERE n_nationkey % 7 NOT IN (3, 5)""",
+    "symbol_scan": _STATEMENTS + """
+SELECT seq, kind, symbol FROM s0 WHERE symbol IN (SELECT 'C' || n_nationkey FROM nation
+                                                  WHERE n_nationkey % 7 NOT IN (3, 5))""",
+    "fetch_policy_skip": _STATEMENTS + "SELECT seq, kind, symbol FROM s0 WHERE NOT failed",
+    "fetch_errors": _STATEMENTS + """
+SELECT DISTINCT symbol, kind, 'error: fetch failed' AS error FROM s0 WHERE failed""",
+    "fetch_policy_fail": _STATEMENTS + """
+SELECT seq, kind, symbol FROM s0
+WHERE symbol_no * 10 + kind_no < coalesce((SELECT min(symbol_no * 10 + kind_no) FROM s0 WHERE failed), 1e18)""",
+    "calendar_unpivot": _CALENDAR + "SELECT * FROM cal",
+    "sink_calendar": _CALENDAR + """
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY symbol, date_type, date_utc
+                                                         ORDER BY seq, ord) AS rn FROM cal) WHERE rn = 1""",
+    "date_type_code": """
+SELECT o_orderkey AS seq, CASE o_orderkey % 4 WHEN 0 THEN 'earnings' WHEN 1 THEN 'ex_dividend'
+                               WHEN 2 THEN 'dividend_payment' END AS date_type FROM orders""",
+    "constraint_check": """
+WITH f AS (
+  SELECT p_partkey AS seq, CASE WHEN p_partkey % 41 = 0 THEN NULL
+                                ELSE p_name || CASE WHEN p_partkey % 5 = 0 THEN '   ' ELSE '' END END AS symbol,
+         CASE p_partkey % 4 WHEN 0 THEN 'earnings' WHEN 1 THEN 'ex_dividend' WHEN 2 THEN 'dividend_payment'
+                            ELSE 'split' END AS date_type FROM part)
+SELECT seq, CASE WHEN length(symbol) > 10 THEN left(symbol, 10) ELSE symbol END AS symbol, date_type,
+       CASE WHEN symbol IS NULL THEN 'null symbol'
+            WHEN length(rtrim(symbol, ' ')) > 10 THEN 'symbol too long'
+            WHEN date_type NOT IN ('earnings', 'ex_dividend', 'dividend_payment') THEN 'date_type check' END AS _error
+FROM f""",
+})

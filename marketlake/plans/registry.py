@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from marketlake.plans import alpaca, markets
+from marketlake.plans import alpaca, markets, statements
 from marketlake.plans.oracles import ORACLES as _ORACLES
 
 QUERIES = {}
-for _mod in (alpaca, markets):
+for _mod in (alpaca, markets, statements):
     for _name in dir(_mod):
         if _name.startswith("q_"):
             QUERIES[_name[2:]] = getattr(_mod, _name)

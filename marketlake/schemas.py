@@ -102,5 +102,6 @@ def statement_payload(kind: str) -> T.StructType:
     return _struct(("symbol", S), ("rows", T.ArrayType(STATEMENT_ROW[kind])))
 
 
-CALENDAR_PAYLOAD = _struct(("symbol", S), ("earnings_dates", T.ArrayType(TS)),
-                           ("dividend_payment_date", TS), ("ex_dividend_date", TS))
+# Calendar dates are instants (UTC); the table stores them as UTC wall clock.
+CALENDAR_PAYLOAD = _struct(("symbol", S), ("earnings_dates", T.ArrayType(T.TimestampType())),
+                           ("dividend_payment_date", T.TimestampType()), ("ex_dividend_date", T.TimestampType()))
