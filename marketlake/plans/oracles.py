@@ -295,3 +295,35 @@ SELECT seq, CASE WHEN length(symbol) > 10 THEN left(symbol, 10) ELSE symbol END
             WHEN date_type NOT IN ('earnings', 'ex_dividend', 'dividend_payment') THEN 'date_type check' END AS _error
 FROM f""",
 })
+
+_POLICY = """
+WITH r AS (
+  SELECT event_id // 20 AS batch, CASE event_type WHEN 'purchase' THEN 0 WHEN 'view' THEN 1 ELSE 2 END AS type_order,
+         event_id AS seq, 'U' || user_id AS symbol, value,
+         CASE WHEN event_id % 37 = 0 THEN NULL ELSE ts END::TIMESTAMP AS timestamp
+  FROM events WHERE event_type IN ('purchase', 'view', 'click')),
+cut AS (SELECT batch, min(type_order * 1000000000000 + seq) AS c FROM r WHERE timestamp IS NULL GROUP BY batch)
+"""
+
+ORACLES.update({
+    "capture_until_close": """
+WITH f AS (
+  SELECT user_id % 4 AS conn, event_id AS frame_no,
+         CASE WHEN event_type = 'signup' THEN 'ping'
+              WHEN event_type = 'error' AND event_id % 25 = 0 THEN 'close' ELSE 'text' END AS kind,
+         event_type AS body FROM events),
+e AS (SELECT conn, min(frame_no) AS e FROM f WHERE kind IN ('close', 'error') GROUP BY conn)
+SELECT f.conn, f.frame_no, f.body FROM f LEFT JOIN e USING (conn)
+WHERE f.kind = 'text' AND (e.e IS NULL OR f.frame_no < e.e)""",
+    "subscription_filter": _FRAMES + """
+SELECT frame_no, pos, kind FROM ok
+WHERE kind NOT IN ('b', 'q', 't')
+   OR (kind = 'b' AND user_id IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 = 0))
+   OR (kind = 'q' AND user_id IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 = 1))
+   OR (kind = 't' AND user_id IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0))""",
+    "scan_frames": "SELECT event_id // 5 AS frame_no, 'text' AS kind, count(*) AS n_elements FROM events GROUP BY 1",
+    "policy_abort_rest": _POLICY + """
+SELECT r.batch, r.type_order, r.seq, r.symbol, r.value, r.timestamp FROM r LEFT JOIN cut USING (batch)
+WHERE cut.c IS NULL OR r.type_order * 1000000000000 + r.seq < cut.c""",
+    "policy_skip_row": _POLICY + "SELECT * FROM r WHERE timestamp IS NOT NULL",
+})
