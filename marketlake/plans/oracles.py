@@ -327,3 +327,16 @@ SELECT r.batch, r.type_order, r.seq, r.symbol, r.value, r.timestamp FROM r LEFT
 WHERE cut.c IS NULL OR r.type_order * 1000000000000 + r.seq < cut.c""",
     "policy_skip_row": _POLICY + "SELECT * FROM r WHERE timestamp IS NOT NULL",
 })
+
+# Streaming runs must equal the batch results.
+ORACLES.update({
+    "pipeline_run": ORACLES["sink_bars"],
+    "custom_source": ORACLES["sink_bars"],
+    "custom_sink": ORACLES["dispatch_kinds"],
+    "fan_out": _BARS.replace("bars AS (", "bars AS (", 1) + """,
+trades AS (SELECT frame_no, pos, 'U' || user_id AS symbol, event_id % 20 AS trade_id FROM ok WHERE kind = 't'),
+tr AS (SELECT DISTINCT trade_id, symbol FROM trades)
+SELECT 'bars' AS table_name, (SELECT count(*) FROM (SELECT DISTINCT symbol, timestamp FROM bar_rows)) AS n_rows
+UNION ALL SELECT 'quotes', (SELECT count(*) FROM ok WHERE kind = 'q')
+UNION ALL SELECT 'trades', (SELECT count(*) FROM tr)""",
+})

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from marketlake.plans import alpaca, markets, sources, statements
+from marketlake.plans import alpaca, markets, sources, statements, streams
 from marketlake.plans.oracles import ORACLES as _ORACLES
 
 QUERIES = {}
-for _mod in (alpaca, markets, sources, statements):
+for _mod in (alpaca, markets, sources, statements, streams):
     for _name in dir(_mod):
         if _name.startswith("q_"):
             QUERIES[_name[2:]] = getattr(_mod, _name)
