@@ -27,8 +27,8 @@ DATE_TYPES = ("earnings", "ex_dividend", "dividend_payment")
 
 
 def _neg_zero(x: Column) -> Column:
-    """True for -0.0 (atan2 keeps the sign of a zero first argument)."""
-    return (x == 0) & (F.atan2(x, F.lit(-1.0)) < 0)
+    """True for -0.0 (only the text form keeps the sign of a zero)."""
+    return (x == 0) & x.cast("string").startswith("-")
 
 
 def ieee_div(num, den) -> Column:
