@@ -35,60 +35,66 @@ def _nn(c: Column) -> Column:
     return F.coalesce(c, F.lit(False))
 
 
-def is_string(v: Column, key: str) -> Column:
-    return _nn(jtype(v, key) == "STRING")
+# Each predicate evaluates the wire type once (a single ``rlike`` on it): inside
+# a ``forall`` lambda expressions are interpreted, so a repeated subtree would be
+# computed again.
+_NUMBER = r"^(BIGINT|DOUBLE|DECIMAL\(\d+,\d+\))$"
 
 
-def is_bool(v: Column, key: str) -> Column:
-    return _nn(jtype(v, key) == "BOOLEAN")
+def _type_is(v: Column, key: str, pattern: str, missing_ok: bool, null_ok: bool) -> Column:
+    alts = [pattern]
+    if null_ok:
+        alts.append("^VOID$")
+    t = F.coalesce(jtype(v, key), F.lit("MISSING" if missing_ok else "-"))
+    if missing_ok:
+        alts.append("^MISSING$")
+    return t.rlike("|".join(f"({a})" for a in alts))
 
 
-def is_f64(v: Column, key: str) -> Column:
-    """Any JSON number that fits a double (integers included; 1e400 is not)."""
-    t = jtype(v, key)
-    finite = F.abs(get(v, key, "double")) < F.lit(float("inf"))
-    return _nn(((t == "BIGINT") | t.startswith("DECIMAL(") | (t == "DOUBLE")) & finite)
+def is_string(v: Column, key: str, missing_ok: bool = False, null_ok: bool = False) -> Column:
+    return _type_is(v, key, "^STRING$", missing_ok, null_ok)
 
 
-def is_int_in(v: Column, key: str, lo: int, hi: int) -> Column:
-    """An integer token in [lo, hi] (a float token such as 1.0 is not)."""
-    return _nn((jtype(v, key) == "BIGINT") & get(v, key, "bigint").between(lo, hi))
+def is_bool(v: Column, key: str, missing_ok: bool = False, null_ok: bool = False) -> Column:
+    return _type_is(v, key, "^BOOLEAN$", missing_ok, null_ok)
 
 
-def is_u64(v: Column, key: str) -> Column:
-    """A non-negative integer token up to 2^64-1."""
-    t = jtype(v, key)
-    small = (t == "BIGINT") & (get(v, key, "bigint") >= 0)
-    big = (t.isin("DECIMAL(19,0)", "DECIMAL(20,0)")
-           & get(v, key, "decimal(20,0)").between(F.lit(str(_TWO_63)).cast("decimal(20,0)"),
-                                                   F.lit(str(_U64_MAX)).cast("decimal(20,0)")))
-    return _nn(small | big)
+def is_f64(v: Column, key: str, missing_ok: bool = False, null_ok: bool = False) -> Column:
+    """Any JSON number that fits a double (integers included; 1e400 is not)."""
+    finite = F.coalesce(F.abs(get(v, key, "double")) != F.lit(float("inf")), F.lit(True))
+    return _type_is(v, key, _NUMBER, missing_ok, null_ok) & finite
 
 
-def is_string_list(v: Column, key: str) -> Column:
-    """A JSON array whose elements are all strings (``[]`` included)."""
-    t = jtype(v, key)
-    arr = get(v, key, "array<string>")
-    return _nn(t.isin("ARRAY<STRING>", "ARRAY<VOID>") & (F.size(arr) == F.size(F.array_compact(arr))))
+def is_int_in(v: Column, key: str, lo: int, hi: int, missing_ok: bool = False, null_ok: bool = False) -> Column:
+    """An integer token in [lo, hi] (a float token such as 1.0 is not)."""
+    in_range = F.coalesce(get(v, key, "bigint").between(lo, hi), F.lit(True))
+    return _type_is(v, key, "^BIGINT$", missing_ok, null_ok) & in_range
 
 
-def missing(v: Column, key: str) -> Column:
-    return jtype(v, key).isNull()
+def is_u64(v: Column, key: str, missing_ok: bool = False, null_ok: bool = False) -> Column:
+    """A non-negative integer token up to 2^64-1 (BIGINT >= 0, or a 19/20-digit
+    integer decimal in 2^63..2^64-1)."""
+    d = get(v, key, "decimal(20,0)")
+    in_range = F.coalesce(d.between(F.lit("0").cast("decimal(20,0)"), F.lit(str(_U64_MAX)).cast("decimal(20,0)")),
+                          F.lit(True))
+    return _type_is(v, key, r"^(BIGINT|DECIMAL\((19|20),0\))$", missing_ok, null_ok) & in_range
 
 
-def is_null_or_missing(v: Column, key: str) -> Column:
-    t = jtype(v, key)
-    return t.isNull() | (t == "VOID")
+def is_string_list(v: Column, key: str, missing_ok: bool = False, null_ok: bool = False) -> Column:
+    """A JSON array whose elements are all strings (``[]`` included)."""
+    arr = get(v, key, "array<string>")
+    no_nulls = F.coalesce(F.size(arr) == F.size(F.array_compact(arr)), F.lit(True))
+    return _type_is(v, key, r"^ARRAY<(STRING|VOID)>$", missing_ok, null_ok) & no_nulls
 
 
 def optional(v: Column, key: str, check) -> Column:
     """``Option<T>``: missing or JSON null, or a valid T."""
-    return is_null_or_missing(v, key) | check(v, key)
+    return check(v, key, missing_ok=True, null_ok=True)
 
 
 def defaulted(v: Column, key: str, check) -> Column:
     """``#[serde(default)] T``: missing, or a valid T (JSON null is an error)."""
-    return missing(v, key) | check(v, key)
+    return check(v, key, missing_ok=True, null_ok=False)
 
 
 def u64_value(v: Column, key: str) -> Column:

@@ -72,26 +72,41 @@ def element_valid(x: Column) -> Column:
     return F.coalesce(J.is_string(x, "T") & by_tag, F.lit(False))
 
 
+def _once(df: DataFrame, keep: list[str], **cols: Column) -> DataFrame:
+    """Evaluate ``cols`` exactly once per row.
+
+    The columns are produced by a generator (``inline`` of a one-element
+    array): the optimizer neither pushes later filters below a generator nor
+    inlines its output into later projections, so the expensive parse and
+    validation are not repeated for each place that uses their result.
+    """
+    return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
+
+
 def check_frames(frames: DataFrame, body: str = "body") -> DataFrame:
     """Add ``_elements`` (array<variant>, NULL unless accepted) and ``_reason``.
 
     ``try_parse_json`` accepts trailing text (``[1] x``), so the text is parsed
     twice, wrapped as ``[<text>]`` and as ``{"w":<text>}``: each wrapper fails on
     what the other lets through, and together they accept exactly one JSON value.
+    Each frame is parsed and validated once, on the map side (no shuffle).
     """
     b = F.col(body)
-    wrapped = F.try_parse_json(F.concat(F.lit("["), b, F.lit("]")))
-    closed = F.try_parse_json(F.concat(F.lit('{"w":'), b, F.lit("}"))).isNotNull()
-    one_value = F.coalesce(closed & (F.size(F.try_variant_get(wrapped, "$", "array<variant>")) == 1),
+    cols = frames.columns
+    step = _once(frames, cols,
+                 _wrapped=F.try_parse_json(F.concat(F.lit("["), b, F.lit("]"))),
+                 _closed=F.try_parse_json(F.concat(F.lit('{"w":'), b, F.lit("}"))).isNotNull())
+    w = F.col("_wrapped")
+    one_value = F.coalesce(F.col("_closed") & (F.size(F.try_variant_get(w, "$", "array<variant>")) == 1),
                            F.lit(False))
-    arr = F.try_variant_get(wrapped, "$[0]", "array<variant>")
-    all_valid = F.coalesce(F.forall(arr, element_valid), F.lit(False))
-    reason = (F.when(~one_value, F.lit("malformed json"))
-              .when(arr.isNull(), F.lit("not an array"))
-              .when(~all_valid, F.lit("invalid element")))
-    return (frames.withColumn("_arr", arr).withColumn("_reason", reason)
-            .withColumn("_elements", F.when(F.col("_reason").isNull(), F.col("_arr")))
-            .drop("_arr"))
+    arr = F.when(one_value, F.try_variant_get(w, "$[0]", "array<variant>"))
+    step = _once(step, cols, _one=one_value, _arr=arr,
+                 _all=F.coalesce(F.forall(arr, element_valid), F.lit(False)))
+    reason = (F.when(~F.col("_one"), F.lit("malformed json"))
+              .when(F.col("_arr").isNull(), F.lit("not an array"))
+              .when(~F.col("_all"), F.lit("invalid element")))
+    return step.select(*cols, reason.alias("_reason"),
+                       F.when(reason.isNull(), F.col("_arr")).alias("_elements"))
 
 
 def parse_frames(frames: DataFrame, body: str = "body") -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.functions import jsontypes as J
-from marketlake.operators.frames import _all
+from marketlake.operators.frames import _all, _once
 
 # Market fields by wire type. Optional strings (missing or null -> NULL).
 MARKET_OPT_STRINGS = ("question_id", "market_slug", "question", "description", "end_date_iso",
@@ -55,7 +55,7 @@ def walked_pages(pages: DataFrame, walk: str = "walk_id", page: str = "page_no",
     """SRC-4: the pages a cursor walk reads, with ``page`` (VARIANT) and ``raw_markets``."""
     p = F.col("_page")
     cursor_ok = J.is_string(p, "next_cursor") & (J.get(p, "next_cursor", "string") != "")
-    parsed = pages.withColumn("_page", _strict_json(F.col(body)))
+    parsed = _once(pages, pages.columns, _page=_strict_json(F.col(body)))
     # Last page read: an unparsable page stops the walk before itself, a page
     # without a usable cursor stops it after itself.
     stops = (parsed.select(walk, F.when(p.isNull(), F.col(page) - 1)
@@ -75,7 +75,8 @@ def market_valid(m: Column) -> Column:
     checks += [J.optional(m, k, J.is_string) for k in MARKET_OPT_STRINGS]
     checks += [J.defaulted(m, k, J.is_bool) for k in MARKET_BOOLS]
     checks += [J.defaulted(m, k, J.is_f64) for k in MARKET_F64]
-    checks += [J.defaulted(m, k, lambda v, key: J.is_int_in(v, key, -2147483648, 2147483647)) for k in MARKET_I32]
+    checks += [J.defaulted(m, k, lambda v, key, **kw: J.is_int_in(v, key, -2147483648, 2147483647, **kw))
+               for k in MARKET_I32]
     return F.coalesce(_all(checks), F.lit(False))
 
 
@@ -83,8 +84,8 @@ def raw_markets(walked: DataFrame) -> DataFrame:
     """Unnest ``$.data`` of the walked pages: one row per raw element, with ``pos`` and ``valid``."""
     keep = [c for c in walked.columns if c not in ("page", "raw_markets")]
     data = F.try_variant_get(F.col("page"), "$.data", "array<variant>")
-    return (walked.select(*keep, F.posexplode(data).alias("pos", "m"))
-            .withColumn("valid", market_valid(F.col("m"))))
+    elements = walked.select(*keep, F.posexplode(data).alias("pos", "m"))
+    return _once(elements, elements.columns, valid=market_valid(F.col("m")))
 
 
 def typed_markets(raw: DataFrame) -> DataFrame:
