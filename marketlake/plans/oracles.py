@@ -340,3 +340,9 @@ SELECT 'bars' AS table_name, (SELECT count(*) FROM (SELECT DISTINCT symbol, time
 UNION ALL SELECT 'quotes', (SELECT count(*) FROM ok WHERE kind = 'q')
 UNION ALL SELECT 'trades', (SELECT count(*) FROM tr)""",
 })
+
+ORACLES.update({
+    "pipeline_statements": ORACLES["sink_income"],
+    "pipeline_calendar": ORACLES["sink_calendar"],
+    "pipeline_markets": ORACLES["sink_markets"],
+})

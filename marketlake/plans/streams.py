@@ -176,3 +176,81 @@ def q_custom_sink(spark, sf_dir):
     if handle.error:
         raise handle.error
     return spark.read.parquet(path).groupBy("kind").agg(F.sum("n").alias("n"))
+
+
+# ---------------------------------------------------------------- the other two pipelines
+
+UNIT_SCHEMA = "seq bigint, kind string, symbol string, status string, body string"
+PAGE_SCHEMA = "walk_id bigint, page_no bigint, body string"
+
+
+def _land(df, spark, name: str, order: list[str], files: int = 8) -> str:
+    path = scratch_dir(spark, name)
+    df.repartitionByRange(files, *order).sortWithinPartitions(*order).write.mode("overwrite").json(path)
+    local = path[len("file:"):] if path.startswith("file:") else path
+    if os.path.isdir(local):
+        names = sorted(f for f in os.listdir(local) if f.endswith(".json"))
+        base = min(os.path.getmtime(os.path.join(local, f)) for f in names) if names else 0
+        for i, f in enumerate(names):
+            os.utime(os.path.join(local, f), (base + i, base + i))
+    return path
+
+
+def _json_source(path: str, schema: str):
+    def make(spark, capacity):
+        r = spark.readStream.schema(schema)
+        if capacity:
+            r = r.option("maxFilesPerTrigger", int(capacity))
+        return r.json(path)
+    return make
+
+
+def run_statements(spark, sf_dir, capacity=2):
+    from marketlake.plans import statements as PS
+    from marketlake.streaming.pipeline import StatementTableSink
+    require_utc(spark)
+    cal = PS.calendar_units(spark, sf_dir).select(
+        (F.col("seq") + F.lit(1 << 40)).alias("seq"), "kind", F.get_json_object("body", "$.symbol").alias("symbol"),
+        "status", "body")
+    units = PS.statement_units(spark, sf_dir).select("seq", "kind", "symbol", "status", "body").unionByName(cal)
+    landed = _land(units, spark, "landed-units", ["seq"])
+    root = scratch_dir(spark, "tables")
+    h = pipeline(spark, _json_source(landed, UNIT_SCHEMA), StatementTableSink(root)).channel_capacity(capacity)
+    return root, h.start().wait()
+
+
+def q_pipeline_statements(spark, sf_dir):
+    """Statements pipeline as a stream: fetch units -> income table (insert-ignore, skip-row)."""
+    root, h = run_statements(spark, sf_dir)
+    if h.error:
+        raise h.error
+    t = KeyedTable(spark, root, "quarterly_income_statements").read()
+    return t.select(F.col("_seq.seq").alias("seq"), F.col("_seq.pos").alias("pos"), "symbol", "period_date",
+                    "total_revenue", "gross_profit", "operating_income", "net_income")
+
+
+def q_pipeline_calendar(spark, sf_dir):
+    """Calendar dates written by the statements pipeline stream (insert-ignore)."""
+    root, h = run_statements(spark, sf_dir)
+    if h.error:
+        raise h.error
+    t = KeyedTable(spark, root, "calendar_dates").read()
+    return t.select((F.col("_seq.seq") - F.lit(1 << 40)).alias("seq"), F.col("_seq.ord").alias("ord"),
+                    "symbol", "date_type", "date_utc")
+
+
+def q_pipeline_markets(spark, sf_dir):
+    """Market pages as a stream: walk cut kept across micro-batches -> upsert table."""
+    from marketlake.plans.markets import _comparable
+    from marketlake.streaming.pipeline import MarketTableSink
+    require_utc(spark)
+    landed = _land(fx.fx_pages(spark, sf_dir), spark, "landed-pages", ["walk_id", "page_no"])
+    root = scratch_dir(spark, "tables")
+    h = (pipeline(spark, _json_source(landed, PAGE_SCHEMA), MarketTableSink(root)).channel_capacity(2)
+         .start().wait())
+    if h.error:
+        raise h.error
+    t = KeyedTable(spark, root, "polymarket_markets").read()
+    cols = [c for c in t.columns if c not in ("id", "received_at", "_batch_id", "_seq")]
+    return _comparable(t.select(F.col("_seq.walk_id").alias("walk_id"), F.col("_seq.page_no").alias("page_no"),
+                                F.col("_seq.pos").alias("pos"), *cols))

@@ -51,16 +51,26 @@ def _strict_json(body: Column) -> Column:
     return F.when(one, F.try_variant_get(wrapped, "$[0]", "variant"))
 
 
+def _stops(parsed: DataFrame, walk: str, page: str) -> DataFrame:
+    """Last page read per walk: an unparsable page stops the walk before itself, a
+    page without a usable cursor stops it after itself. One row per walk."""
+    p = F.col("_page")
+    cursor_ok = J.is_string(p, "next_cursor") & (J.get(p, "next_cursor", "string") != "")
+    return (parsed.select(walk, F.when(p.isNull(), F.col(page) - 1)
+                          .when(~cursor_ok, F.col(page)).alias("_last"))
+            .groupBy(walk).agg(F.min("_last").alias("_last")))
+
+
+def walk_stops(pages: DataFrame, walk: str = "walk_id", page: str = "page_no", body: str = "body") -> DataFrame:
+    """``(walk, _last)``: the last page each walk reads (NULL: not stopped yet)."""
+    return _stops(_once(pages, pages.columns, _page=_strict_json(F.col(body))), walk, page)
+
+
 def walked_pages(pages: DataFrame, walk: str = "walk_id", page: str = "page_no", body: str = "body") -> DataFrame:
     """SRC-4: the pages a cursor walk reads, with ``page`` (VARIANT) and ``raw_markets``."""
     p = F.col("_page")
-    cursor_ok = J.is_string(p, "next_cursor") & (J.get(p, "next_cursor", "string") != "")
     parsed = _once(pages, pages.columns, _page=_strict_json(F.col(body)))
-    # Last page read: an unparsable page stops the walk before itself, a page
-    # without a usable cursor stops it after itself.
-    stops = (parsed.select(walk, F.when(p.isNull(), F.col(page) - 1)
-                           .when(~cursor_ok, F.col(page)).alias("_last"))
-             .groupBy(walk).agg(F.min("_last").alias("_last")))
+    stops = _stops(parsed, walk, page)
     data = F.try_variant_get(p, "$.data", "array<variant>")
     return (parsed.join(stops, on=walk, how="left")
             .filter(F.col("_last").isNull() | (F.col(page) <= F.col("_last")))

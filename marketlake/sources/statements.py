@@ -31,7 +31,7 @@ def scan_statements(units: DataFrame, kind: str, body: str = "body") -> DataFram
     Output: the unit's other columns, ``pos`` (row index in the payload),
     ``symbol`` and the row's fields flattened (``period``, money structs...).
     """
-    keep = [c for c in units.columns if c != body]
+    keep = [c for c in units.columns if c not in (body, "symbol")]  # the payload's symbol is used
     parsed = (units.filter(F.col("kind") == kind)
               .select(*keep, F.from_json(F.col(body), statement_payload(kind)).alias("_p")))
     return (parsed.select(*keep, F.col("_p.symbol").alias("symbol"),
@@ -41,7 +41,7 @@ def scan_statements(units: DataFrame, kind: str, body: str = "body") -> DataFram
 
 def scan_calendar(units: DataFrame, body: str = "body") -> DataFrame:
     """Calendar payloads as columns (``symbol``, ``earnings_dates``, two optional dates)."""
-    keep = [c for c in units.columns if c != body]
+    keep = [c for c in units.columns if c not in (body, "symbol")]
     return (units.filter(F.col("kind") == "calendar")
             .select(*keep, F.from_json(F.col(body), CALENDAR_PAYLOAD).alias("_p"))
             .select(*keep, "_p.*"))

@@ -191,3 +191,84 @@ class PipelineBuilder:
 
 def pipeline(spark: SparkSession, source: Source, sink: Sink) -> PipelineBuilder:
     return PipelineBuilder(spark, source, sink)
+
+
+def _write_log(df: DataFrame, path: str, batch_id: int) -> None:
+    """Append one batch to a batch-partitioned log, replacing it on replay."""
+    (df.withColumn("_batch_id", F.lit(int(batch_id)).cast("bigint"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch_id").parquet(path))
+
+
+class StatementTableSink:
+    """Fetch units ``(seq, kind, status, body)`` -> the three statement tables and
+    ``calendar_dates`` (insert-ignore), with the skip-row policy of the reference
+    (bad rows are reported in ``statement_rejects``), and failed fetches in
+    ``fetch_errors``. One cached pass per micro-batch."""
+
+    name = "statement-tables"
+
+    def __init__(self, root: str):
+        self.root = root
+
+    def handle_batch(self, df: DataFrame, batch_id: int) -> None:
+        from marketlake.sources import statements as ST
+
+        spark = df.sparkSession
+        require_utc(spark)
+        units = df.persist()
+        try:
+            _write_log(ST.fetch_errors(units), f"{self.root}/fetch_errors", batch_id)
+            ok = ST.fetch_ok(units)
+            rejects = None
+            for kind in ST.STATEMENT_KINDS:
+                rows = R.statement_rows(ST.scan_statements(ok, kind), kind)
+                table = R.STATEMENT_TABLES[kind][0]
+                KeyedTable(spark, self.root, table).write_batch(R.valid(rows), batch_id, ["seq", "pos"])
+                bad = R.invalid(rows).select("seq", "pos", F.lit(kind).alias("kind"), F.col("_error").alias("reason"))
+                rejects = bad if rejects is None else rejects.unionByName(bad)
+            _write_log(rejects, f"{self.root}/statement_rejects", batch_id)
+            cal = ST.calendar_unpivot(ST.scan_calendar(ok).drop("kind", "status"))
+            cal = R.apply_constraints("calendar_dates", cal)
+            KeyedTable(spark, self.root, "calendar_dates").write_batch(R.valid(cal), batch_id, ["seq", "ord"])
+        finally:
+            units.unpersist()
+
+
+class MarketTableSink:
+    """Landed pages ``(walk_id, page_no, body)`` -> ``polymarket_markets`` (upsert,
+    last arrival wins) and ``market_rejects``.
+
+    A walk ends at its first page without a usable cursor. The stop page of each
+    walk is kept in a small ``walk_stops`` table (one row per walk); later pages
+    of a stopped walk are dropped in every later micro-batch."""
+
+    name = "market-tables"
+
+    def __init__(self, root: str):
+        self.root = root
+
+    def handle_batch(self, df: DataFrame, batch_id: int) -> None:
+        from marketlake.sources import pages as P
+
+        spark = df.sparkSession
+        require_utc(spark)
+        stops_path = f"{self.root}/walk_stops"
+        pages = df
+        try:
+            earlier = spark.read.parquet(stops_path).groupBy("walk_id").agg(F.min("_last").alias("_prev"))
+            pages = (pages.join(earlier, on="walk_id", how="left")
+                     .filter(F.col("_prev").isNull() | (F.col("page_no") <= F.col("_prev"))).drop("_prev"))
+        except Exception:  # noqa: BLE001 — no stop recorded yet
+            pass
+        pages = pages.persist()
+        try:
+            walked = P.walked_pages(pages)
+            stops = P.walk_stops(pages).filter(F.col("_last").isNotNull())
+            raw = P.raw_markets(walked)
+            markets = R.market_rows(P.typed_markets(raw))
+            KeyedTable(spark, self.root, "polymarket_markets").write_batch(
+                R.valid(markets), batch_id, ["walk_id", "page_no", "pos"])
+            _write_log(P.market_rejects(raw), f"{self.root}/market_rejects", batch_id)
+            _write_log(stops, stops_path, batch_id)
+        finally:
+            pages.unpersist()
