@@ -21,7 +21,7 @@ def batch_split_counts(frames: DataFrame, body: str = "body") -> DataFrame:
     keep = [c for c in frames.columns if c != body]
 
     def n(tag):
-        return F.size(F.filter("_elements", lambda x: J.get(x, "T", "string") == tag))
+        return F.size(F.filter("_elements", lambda x: J.get(x, "T", "string") == tag)).cast("bigint")
     return checked.select(*keep, n(FR.TAG_BAR).alias("n_bars"), n(FR.TAG_QUOTE).alias("n_quotes"),
                           n(FR.TAG_TRADE).alias("n_trades"))
 
@@ -37,10 +37,10 @@ def arrival_order(frames: DataFrame, body: str = "body") -> DataFrame:
         tag = J.get(x, "T", "string")
         rank = F.when(tag == FR.TAG_BAR, type_order[FR.TAG_BAR]).when(
             tag == FR.TAG_QUOTE, type_order[FR.TAG_QUOTE]).when(tag == FR.TAG_TRADE, type_order[FR.TAG_TRADE])
-        return F.struct(rank.alias("type_order"), i.alias("pos"), tag.alias("kind"))
+        return F.struct(rank.alias("type_order"), i.cast("bigint").alias("pos"), tag.alias("kind"))
     data = F.filter(F.transform("_elements", tagged), lambda s: s["type_order"].isNotNull())
     return (checked.select(*keep, F.posexplode(F.array_sort(data)).alias("i", "m"))
-            .select(*keep, "m.pos", "m.kind", (F.col("i") + 1).alias("write_rank")))
+            .select(*keep, "m.pos", "m.kind", (F.col("i") + 1).cast("bigint").alias("write_rank")))
 
 
 def ingest_counters(pages: DataFrame) -> DataFrame:

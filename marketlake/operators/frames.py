@@ -119,6 +119,7 @@ def parse_frames(frames: DataFrame, body: str = "body") -> DataFrame:
     keep = [c for c in frames.columns if c != body]
     return (checked.filter(F.col("_reason").isNull())
             .select(*keep, F.posexplode("_elements").alias("pos", "msg"))
+            .withColumn("pos", F.col("pos").cast("bigint"))
             .withColumn("kind", J.get(F.col("msg"), "T", "string")))
 
 

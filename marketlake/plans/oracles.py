@@ -165,7 +165,8 @@ ORACLES.update({
     "paged_markets": _MARKETS + "SELECT walk_id, page_no, pos, '0x' || (k % 300) AS condition_id FROM raw",
     "ingest_counters": _MARKETS + """
 SELECT w.walk_id, count(*) AS pages_walked,
-       sum((SELECT count(*) FROM raw r WHERE r.walk_id = w.walk_id AND r.page_no = w.page_no)) AS raw_markets
+       CAST(sum((SELECT count(*) FROM raw r WHERE r.walk_id = w.walk_id AND r.page_no = w.page_no)) AS BIGINT)
+         AS raw_markets
 FROM walked w GROUP BY w.walk_id""",
     "markets_typed": _MARKETS + """
 SELECT * EXCLUDE (end_date_text, end_date_ts), end_date_text AS end_date_iso FROM typed""",
@@ -207,12 +208,12 @@ s AS (SELECT *, CASE WHEN period_date IS NULL THEN 'invalid period'
                      WHEN amount IS NULL THEN 'missing ' || CASE kind WHEN 'income' THEN 'total_revenue'
                           WHEN 'balance' THEN 'total_assets' ELSE 'operating_cashflow' END END AS err
       FROM s0 WHERE NOT failed),
-inc AS (SELECT seq, 0 AS pos, symbol, period_date, amount AS total_revenue, amount2 AS gross_profit,
+inc AS (SELECT seq, 0::BIGINT AS pos, symbol, period_date, amount AS total_revenue, amount2 AS gross_profit,
                NULL::DOUBLE AS operating_income, NULL::DOUBLE AS net_income, err FROM s WHERE kind = 'income'),
-bal AS (SELECT seq, 0 AS pos, symbol, period_date, amount AS total_assets, amount2 AS total_liabilities,
+bal AS (SELECT seq, 0::BIGINT AS pos, symbol, period_date, amount AS total_assets, amount2 AS total_liabilities,
                NULL::DOUBLE AS total_equity, NULL::DOUBLE AS cash, NULL::DOUBLE AS long_term_debt,
                shares_outstanding, err FROM s WHERE kind = 'balance'),
-cf AS (SELECT seq, 0 AS pos, symbol, period_date, amount AS operating_cashflow, amount2 AS capital_expenditures,
+cf AS (SELECT seq, 0::BIGINT AS pos, symbol, period_date, amount AS operating_cashflow, amount2 AS capital_expenditures,
               NULL::DOUBLE AS free_cash_flow, NULL::DOUBLE AS net_income, err FROM s WHERE kind = 'cashflow')
 """
 
@@ -244,7 +245,7 @@ ORACLES.update({
     "scan_statements": _STATEMENTS + """
 SELECT seq, kind, symbol, period_kind, period_date AS period_raw_date, amount, amount2 FROM s""",
     "statement_flatten": _STATEMENTS + """
-SELECT seq, 0 AS pos, symbol, period_kind, period_date AS period_raw_date, period_label, amount AS total_revenue,
+SELECT seq, 0::BIGINT AS pos, symbol, period_kind, period_date AS period_raw_date, period_label, amount AS total_revenue,
        amount2 AS gross_profit, NULL::DOUBLE AS operating_income, NULL::DOUBLE AS net_income
 FROM s WHERE kind = 'income'""",
     "income_rows": _STATEMENTS + "SELECT * EXCLUDE (err), err AS _error FROM inc",

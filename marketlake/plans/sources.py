@@ -47,7 +47,7 @@ def land_frames(spark, sf_dir, files: int = 8) -> str:
 def q_scan_frames(spark, sf_dir):
     """SRC-1: landed frames read back with a declared schema: one row per frame."""
     f = SF.read_frames(spark, land_frames(spark, sf_dir))
-    return f.select("frame_no", "kind", F.json_array_length("body").alias("n_elements"))
+    return f.select("frame_no", "kind", F.json_array_length("body").cast("bigint").alias("n_elements"))
 
 
 def policy_rows(spark, sf_dir):

@@ -94,7 +94,8 @@ def raw_markets(walked: DataFrame) -> DataFrame:
     """Unnest ``$.data`` of the walked pages: one row per raw element, with ``pos`` and ``valid``."""
     keep = [c for c in walked.columns if c not in ("page", "raw_markets")]
     data = F.try_variant_get(F.col("page"), "$.data", "array<variant>")
-    elements = walked.select(*keep, F.posexplode(data).alias("pos", "m"))
+    elements = (walked.select(*keep, F.posexplode(data).alias("pos", "m"))
+                .withColumn("pos", F.col("pos").cast("bigint")))
     return _once(elements, elements.columns, valid=market_valid(F.col("m")))
 
 

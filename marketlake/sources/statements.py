@@ -36,7 +36,7 @@ def scan_statements(units: DataFrame, kind: str, body: str = "body") -> DataFram
               .select(*keep, F.from_json(F.col(body), statement_payload(kind)).alias("_p")))
     return (parsed.select(*keep, F.col("_p.symbol").alias("symbol"),
                           F.posexplode("_p.rows").alias("pos", "_row"))
-            .select(*keep, "pos", "symbol", "_row.*"))
+            .select(*keep, F.col("pos").cast("bigint").alias("pos"), "symbol", "_row.*"))
 
 
 def scan_calendar(units: DataFrame, body: str = "body") -> DataFrame:
@@ -62,7 +62,7 @@ def calendar_unpivot(cal: DataFrame) -> DataFrame:
     rows = F.array_compact(F.concat(earn, F.array(entry("dividend_payment", F.col("dividend_payment_date"))),
                                     F.array(entry("ex_dividend", F.col("ex_dividend_date")))))
     return (cal.select(*keep, "symbol", F.posexplode(rows).alias("ord", "_e"))
-            .select(*keep, "symbol", "ord", "_e.date_type", "_e.date_utc"))
+            .select(*keep, "symbol", F.col("ord").cast("bigint").alias("ord"), "_e.date_type", "_e.date_utc"))
 
 
 def load_symbols(text: DataFrame, value: str = "value") -> DataFrame:

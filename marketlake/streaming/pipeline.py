@@ -67,6 +67,7 @@ class AlpacaTableSink:
              .partitionBy("_batch_id").parquet(f"{self.root}/frame_rejects"))
             msgs = (checked.filter(F.col("_reason").isNull())
                     .select(*keep, F.posexplode("_elements").alias("pos", "msg"))
+                    .withColumn("pos", F.col("pos").cast("bigint"))
                     .withColumn("kind", F.try_variant_get("msg", "$.T", "string"))
                     .filter(F.col("kind").isin(*FR.DATA_TAGS)))
             parts = {"bars": (R.bars_rows(FR.bars(msgs)), 0), "quotes": (R.quotes_rows(FR.quotes(msgs)), 1),
