@@ -14,7 +14,8 @@ writes are idempotent. Reading resolves the log per key:
 Arrival order is ``(_batch_id, _seq)``; it is data, so the result does not
 depend on partitioning or on task order. The writer reduces each batch to one
 row per key before writing, so the log grows with distinct keys per batch, not
-with duplicates; ``compact()`` rewrites the resolved rows as a new snapshot.
+with duplicates; ``compact()`` folds the log into a versioned snapshot, after
+which reads resolve only the newer batches.
 """
 
 from __future__ import annotations
@@ -78,20 +79,64 @@ class KeyedTable:
             return self._empty()
         return self.spark.read.parquet(self.path)
 
-    def read(self) -> DataFrame:
-        """The table as the reference's database would hold it."""
-        log = self.log()
+    # ---------------------------------------------------------------- snapshots
+    @property
+    def snapshot_root(self) -> str:
+        return self.path + "__snapshots"
+
+    def _fs_list(self, path: str) -> list[str]:
+        """Child names of a folder through the Hadoop file system (any shared store)."""
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(p):
+            return []
+        return [st.getPath().getName() for st in fs.listStatus(p)]
+
+    def latest_snapshot(self) -> int | None:
+        """Highest batch id folded into a snapshot (``v=<batch>`` folders with a _SUCCESS)."""
+        versions = []
+        for name in self._fs_list(self.snapshot_root):
+            if name.startswith("v=") and "_SUCCESS" in self._fs_list(f"{self.snapshot_root}/{name}"):
+                versions.append(int(name[2:]))
+        return max(versions) if versions else None
+
+    def _resolve(self, rows: DataFrame) -> DataFrame:
         order = ["_batch_id", "_seq"]
         if self.mode == "append":
-            return log
-        if self.mode == "insert_ignore":
-            return keyed.top_per_key(log, self.key, order, last=False)
-        # upsert: values of the last arrival, id of the first (it is stable per key anyway).
-        return keyed.top_per_key(log, self.key, order, last=True)
+            return rows
+        return keyed.top_per_key(rows, self.key, order, last=(self.mode == "upsert"))
 
-    def compact(self, target: str) -> None:
-        """Write the resolved rows as one snapshot (new folder; the log is kept)."""
-        self.read().write.mode("overwrite").parquet(target)
+    def read(self) -> DataFrame:
+        """The table as the reference's database would hold it.
+
+        Without a snapshot the whole log is resolved (one shuffle on the key).
+        With one, only log batches newer than it are resolved (the ``_batch_id``
+        filter prunes partitions) and merged with the snapshot through an anti
+        join on the key columns, so the snapshot's rows are not re-sorted.
+        """
+        v = self.latest_snapshot()
+        if v is None:
+            return self._resolve(self.log())
+        snap = self.spark.read.parquet(f"{self.snapshot_root}/v={v}")
+        newer = self._resolve(self.log().filter(F.col("_batch_id") > F.lit(v)))
+        if self.mode == "append":
+            return snap.unionByName(newer)
+        if self.mode == "insert_ignore":
+            fresh = newer.join(snap.select(*self.key), on=self.key, how="left_anti")
+            return snap.unionByName(fresh)
+        kept = snap.join(newer.select(*self.key), on=self.key, how="left_anti")
+        return kept.unionByName(newer)
+
+    def compact(self) -> int | None:
+        """Fold every written batch into a new snapshot ``v=<last batch id>`` (the log
+        is kept; a read then resolves only batches after it). Idempotent."""
+        last = self.log().agg(F.max("_batch_id")).first()[0]
+        if last is None or last == self.latest_snapshot():
+            return self.latest_snapshot()
+        self.read().filter(F.col("_batch_id") <= F.lit(last)).write.mode("overwrite").parquet(
+            f"{self.snapshot_root}/v={int(last)}")
+        return int(last)
 
 
 def init_schema(spark: SparkSession, root: str, names: Sequence[str] | None = None) -> list[str]:

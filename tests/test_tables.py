@@ -74,3 +74,19 @@ def test_market_reject_accounting(spark):
     rejected = P.market_rejects(raw).count()
     walked = markets.walked(spark, SF_SMALL).agg(F.sum("raw_markets")).collect()[0][0]
     assert typed + rejected == raw.count() == walked
+
+
+def test_snapshot_then_newer_batches(spark):
+    root = scratch_dir(spark, "t")
+    for mode, expect in (("insert_ignore", {"a": "q1", "b": "q3", "c": "q5"}),
+                         ("upsert", {"a": "q4", "b": "q3", "c": "q5"})):
+        t = KeyedTable(spark, root, f"snap_{mode}", key=["condition_id"], mode=mode)
+        t.write_batch(_rows(spark, [("a", "q1", 0, 0), ("b", "q3", 0, 1)]), 0, ["frame_no", "pos"])
+        t.write_batch(_rows(spark, [("a", "q2", 1, 0)]), 1, ["frame_no", "pos"])
+        before = sorted((r.condition_id, r.question) for r in t.read().collect())
+        assert t.compact() == 1 and t.latest_snapshot() == 1
+        assert sorted((r.condition_id, r.question) for r in t.read().collect()) == before
+        t.write_batch(_rows(spark, [("a", "q4", 2, 0), ("c", "q5", 2, 1)]), 2, ["frame_no", "pos"])
+        assert {r.condition_id: r.question for r in t.read().collect()} == expect
+        assert t.compact() == 2
+        assert {r.condition_id: r.question for r in t.read().collect()} == expect
