@@ -7,8 +7,6 @@ The error policies (``policies.py``) decide what an error does to the batch.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -159,7 +157,3 @@ def valid(df: DataFrame) -> DataFrame:
 
 def invalid(df: DataFrame) -> DataFrame:
     return df.filter(F.col("_error").isNotNull())
-
-
-def all_true(cs) -> Column:
-    return reduce(lambda a, b: a & b, cs)

@@ -8,7 +8,7 @@ from marketlake.functions import scalars as SC
 from marketlake.operators import policies, rows
 from marketlake.plans import alpaca
 from marketlake.plans import fixtures as fx
-from marketlake.session import require_utc, scratch_dir
+from marketlake.session import require_utc
 from marketlake.sources import frames as SF
 
 
@@ -34,18 +34,9 @@ def q_subscription_filter(spark, sf_dir):
         "frame_no", "pos", "kind")
 
 
-def land_frames(spark, sf_dir, files: int = 8) -> str:
-    """Write fx_frames as a collector would (JSON lines with conn/frame_no/kind/body)
-    into a fresh folder under the shared checkpoint directory; return its path."""
-    path = scratch_dir(spark, "landed-frames")
-    (fx.fx_frames(spark, sf_dir)
-     .select(F.lit("c0").alias("conn"), "frame_no", F.lit(SF.TEXT_KIND).alias("kind"), "body")
-     .repartitionByRange(files, "frame_no").write.mode("overwrite").json(path))
-    return path
-
-
 def q_scan_frames(spark, sf_dir):
     """SRC-1: landed frames read back with a declared schema: one row per frame."""
+    from marketlake.plans.streams import land_frames
     f = SF.read_frames(spark, land_frames(spark, sf_dir))
     return f.select("frame_no", "kind", F.json_array_length("body").cast("bigint").alias("n_elements"))
 

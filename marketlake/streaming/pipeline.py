@@ -256,7 +256,8 @@ class MarketTableSink:
         stops_path = f"{self.root}/walk_stops"
         pages = df
         try:
-            earlier = spark.read.parquet(stops_path).groupBy("walk_id").agg(F.min("_last").alias("_prev"))
+            earlier = (spark.read.parquet(stops_path).filter(F.col("_batch_id") < F.lit(int(batch_id)))
+                       .groupBy("walk_id").agg(F.min("_last").alias("_prev")))
             pages = (pages.join(earlier, on="walk_id", how="left")
                      .filter(F.col("_prev").isNull() | (F.col("page_no") <= F.col("_prev"))).drop("_prev"))
         except Exception:  # noqa: BLE001 — no stop recorded yet

@@ -108,3 +108,13 @@ def test_statement_stream_equals_batch(spark):
     stream = streams.q_pipeline_statements(spark, SF_SMALL)
     batch = statements.q_sink_income(spark, SF_SMALL).select(*stream.columns)
     assert sorted(map(tuple, stream.collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_raw_text_capture_keeps_line_order(spark):
+    path = scratch_dir(spark, "raw")
+    local = path[len("file:"):] if path.startswith("file:") else path
+    with open(os.path.join(local, "capture.txt"), "w") as fh:
+        fh.write('[{"T":"success","msg":"a"}]\n[{"T":"success","msg":"b"}]\n[{"T":"success","msg":"c"}]\n')
+    df = SF.read_frame_lines(spark, path)
+    assert [r.body for r in df.orderBy("frame_no").collect()] == [
+        '[{"T":"success","msg":"a"}]', '[{"T":"success","msg":"b"}]', '[{"T":"success","msg":"c"}]']

@@ -90,3 +90,60 @@ def test_snapshot_then_newer_batches(spark):
         assert {r.condition_id: r.question for r in t.read().collect()} == expect
         assert t.compact() == 2
         assert {r.condition_id: r.question for r in t.read().collect()} == expect
+
+
+def _table_rows(spark, root, name):
+    from pyspark.sql.types import VariantType
+
+    df = KeyedTable(spark, root, name).read().drop("received_at")
+    df = df.select(*[F.to_json(f.name).alias(f.name) if isinstance(f.dataType, VariantType) else F.col(f.name)
+                     for f in df.schema.fields])
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_every_sink_replays_to_equal_tables(spark):
+    """SURVEY §5 (c): running a sink twice on the same batch leaves equal tables."""
+    from marketlake.plans import statements as PS
+    from marketlake.plans import streams
+    from marketlake.streaming.pipeline import AlpacaTableSink, MarketTableSink, StatementTableSink
+
+    frames = fx.fx_frames(spark, SF_SMALL).withColumn("conn", F.lit("c")).withColumn("kind", F.lit("text"))
+    units = PS.statement_units(spark, SF_SMALL)
+    pages = fx.fx_pages(spark, SF_SMALL)
+    cases = [(AlpacaTableSink, frames, ["bars", "quotes", "trades"]),
+             (StatementTableSink, units, ["quarterly_income_statements", "quarterly_balance_sheets"]),
+             (MarketTableSink, pages, ["polymarket_markets"])]
+    for sink_cls, df, tables in cases:
+        root = scratch_dir(spark, "replay")
+        sink = sink_cls(root)
+        sink.handle_batch(df, 0)
+        once = {n: _table_rows(spark, root, n) for n in tables}
+        sink.handle_batch(df, 0)
+        assert {n: _table_rows(spark, root, n) for n in tables} == once
+        assert all(len(v) > 0 for v in once.values())
+    assert streams  # imported for the landed-schema constants used by the sinks
+
+
+def test_statement_reject_accounting(spark):
+    from marketlake.operators import rows as R
+    from marketlake.plans import statements as PS
+
+    for kind in ("income", "balance", "cashflow"):
+        scanned = PS.scanned(spark, SF_SMALL, kind)
+        rows = R.statement_rows(scanned, kind)
+        assert R.valid(rows).count() + R.invalid(rows).count() == scanned.count()
+
+
+def test_upsert_and_policy_partition_invariance(spark):
+    from marketlake.operators import policies
+    from marketlake.operators import rows as R
+    from marketlake.plans import sources
+
+    m = R.valid(markets.market_rows(spark, SF_SMALL)).drop("tokens", "rewards", "tags")
+    a = keyed.upsert(m.repartition(1), ["condition_id"], ["walk_id", "page_no", "pos"])
+    b = keyed.upsert(m.repartition(64), ["condition_id"], ["walk_id", "page_no", "pos"])
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    p = sources.policy_rows(spark, SF_SMALL)
+    a = policies.abort_rest(p.repartition(1), ["batch"], ["type_order", "seq"])
+    b = policies.abort_rest(p.repartition(64), ["batch"], ["type_order", "seq"])
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
