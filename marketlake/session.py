@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -45,6 +46,27 @@ def require_utc(spark: SparkSession) -> None:
         raise RuntimeError(f"marketlake needs spark.sql.session.timeZone=UTC, found {tz!r}")
 
 
+@contextmanager
+def utc_session(spark: SparkSession):
+    """Build plans with the session time zone set to UTC, then restore the caller's.
+
+    Spark resolves the time zone of every time-zone-aware expression (casts,
+    ``date_format``, ``from_json``...) when a DataFrame is analyzed, which
+    PySpark does eagerly; a DataFrame built inside this block therefore keeps
+    UTC semantics wherever it is executed later.
+    """
+    key = "spark.sql.session.timeZone"
+    before = spark.conf.get(key)
+    if before in ("UTC", "Etc/UTC"):
+        yield
+        return
+    spark.conf.set(key, "UTC")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def scratch_dir(spark: SparkSession, name: str = "run") -> str:
     """A fresh folder under the shared checkpoint directory of the cluster.
 
