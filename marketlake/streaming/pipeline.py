@@ -11,6 +11,7 @@ exactly once even when executors are lost.
 from __future__ import annotations
 
 import threading
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable
 from typing import Protocol
 
@@ -23,6 +24,24 @@ from marketlake.operators import rows as R
 from marketlake.session import require_utc, scratch_dir
 from marketlake.streaming.tables import KeyedTable
 
+def run_concurrently(*writes: Callable[[], None]) -> None:
+    """Submit independent writes of one micro-batch as concurrent Spark jobs.
+
+    They read the same cached batch, so overlapping them fills the executors
+    instead of running small jobs one after the other. The first failure is
+    raised after all have finished (each write is idempotent per batch id).
+    """
+    if len(writes) == 1:
+        writes[0]()
+        return
+    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+        futures = [pool.submit(w) for w in writes]
+        errors = [f.exception() for f in futures]
+    for e in errors:
+        if e is not None:
+            raise e
+
+
 # A source builds the streaming DataFrame given the admission limit (files or
 # units per micro-batch; None = unlimited).
 Source = Callable[[SparkSession, "int | None"], DataFrame]
@@ -36,6 +55,12 @@ class Sink(Protocol):
     def handle_batch(self, df: DataFrame, batch_id: int) -> None: ...
 
 
+def _write_log(df: DataFrame, path: str, batch_id: int) -> None:
+    """Append one batch to a batch-partitioned log, replacing it on replay."""
+    (df.withColumn("_batch_id", F.lit(int(batch_id)).cast("bigint"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch_id").parquet(path))
+
+
 class AlpacaTableSink:
     """SNK-11: one micro-batch of frames -> ``bars``, ``quotes``, ``trades`` (and
     ``frame_rejects``) in one pass: the batch is persisted once, each table is a
@@ -62,9 +87,7 @@ class AlpacaTableSink:
             keep = [c for c in df.columns if c != "body"]
             rejects = checked.filter(F.col("_reason").isNotNull()).select("frame_no", "body",
                                                                           F.col("_reason").alias("reason"))
-            (rejects.withColumn("_batch_id", F.lit(int(batch_id)).cast("bigint"))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("_batch_id").parquet(f"{self.root}/frame_rejects"))
+            writes = [lambda: _write_log(rejects, f"{self.root}/frame_rejects", batch_id)]
             msgs = (checked.filter(F.col("_reason").isNull())
                     .select(*keep, F.posexplode("_elements").alias("pos", "msg"))
                     .withColumn("pos", F.col("pos").cast("bigint"))
@@ -89,7 +112,9 @@ class AlpacaTableSink:
                     kept = kept.filter(F.col("_error").isNull())
                 else:
                     kept = R.valid(rows)
-                KeyedTable(spark, self.root, name).write_batch(kept.drop("_error"), batch_id, ["frame_no", "pos"])
+                writes.append(lambda t=KeyedTable(spark, self.root, name), d=kept.drop("_error"):
+                              t.write_batch(d, batch_id, ["frame_no", "pos"]))
+            run_concurrently(*writes)
             if cuts is not None:
                 cuts.unpersist()
         finally:
@@ -194,12 +219,6 @@ def pipeline(spark: SparkSession, source: Source, sink: Sink) -> PipelineBuilder
     return PipelineBuilder(spark, source, sink)
 
 
-def _write_log(df: DataFrame, path: str, batch_id: int) -> None:
-    """Append one batch to a batch-partitioned log, replacing it on replay."""
-    (df.withColumn("_batch_id", F.lit(int(batch_id)).cast("bigint"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch_id").parquet(path))
-
-
 class StatementTableSink:
     """Fetch units ``(seq, kind, status, body)`` -> the three statement tables and
     ``calendar_dates`` (insert-ignore), with the skip-row policy of the reference
@@ -218,19 +237,21 @@ class StatementTableSink:
         require_utc(spark)
         units = df.persist()
         try:
-            _write_log(ST.fetch_errors(units), f"{self.root}/fetch_errors", batch_id)
+            writes = [lambda: _write_log(ST.fetch_errors(units), f"{self.root}/fetch_errors", batch_id)]
             ok = ST.fetch_ok(units)
             rejects = None
             for kind in ST.STATEMENT_KINDS:
                 rows = R.statement_rows(ST.scan_statements(ok, kind), kind)
-                table = R.STATEMENT_TABLES[kind][0]
-                KeyedTable(spark, self.root, table).write_batch(R.valid(rows), batch_id, ["seq", "pos"])
+                table = KeyedTable(spark, self.root, R.STATEMENT_TABLES[kind][0])
+                writes.append(lambda t=table, d=R.valid(rows): t.write_batch(d, batch_id, ["seq", "pos"]))
                 bad = R.invalid(rows).select("seq", "pos", F.lit(kind).alias("kind"), F.col("_error").alias("reason"))
                 rejects = bad if rejects is None else rejects.unionByName(bad)
-            _write_log(rejects, f"{self.root}/statement_rejects", batch_id)
+            writes.append(lambda: _write_log(rejects, f"{self.root}/statement_rejects", batch_id))
             cal = ST.calendar_unpivot(ST.scan_calendar(ok).drop("kind", "status"))
             cal = R.apply_constraints("calendar_dates", cal)
-            KeyedTable(spark, self.root, "calendar_dates").write_batch(R.valid(cal), batch_id, ["seq", "ord"])
+            table = KeyedTable(spark, self.root, "calendar_dates")
+            writes.append(lambda: table.write_batch(R.valid(cal), batch_id, ["seq", "ord"]))
+            run_concurrently(*writes)
         finally:
             units.unpersist()
 
@@ -268,9 +289,10 @@ class MarketTableSink:
             stops = P.walk_stops(pages).filter(F.col("_last").isNotNull())
             raw = P.raw_markets(walked)
             markets = R.market_rows(P.typed_markets(raw))
-            KeyedTable(spark, self.root, "polymarket_markets").write_batch(
-                R.valid(markets), batch_id, ["walk_id", "page_no", "pos"])
-            _write_log(P.market_rejects(raw), f"{self.root}/market_rejects", batch_id)
-            _write_log(stops, stops_path, batch_id)
+            table = KeyedTable(spark, self.root, "polymarket_markets")
+            run_concurrently(
+                lambda: table.write_batch(R.valid(markets), batch_id, ["walk_id", "page_no", "pos"]),
+                lambda: _write_log(P.market_rejects(raw), f"{self.root}/market_rejects", batch_id),
+                lambda: _write_log(stops, stops_path, batch_id))
         finally:
             pages.unpersist()
