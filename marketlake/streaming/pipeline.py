@@ -61,7 +61,20 @@ def _write_log(df: DataFrame, path: str, batch_id: int) -> None:
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch_id").parquet(path))
 
 
-class AlpacaTableSink:
+class _Compacting:
+    """Optional periodic compaction: after every ``compact_every`` batches the
+    sink folds its tables' logs into snapshots, so reads stay incremental."""
+
+    tables: tuple = ()
+    compact_every: int | None = None
+
+    def _maybe_compact(self, spark: SparkSession, batch_id: int) -> None:
+        n = self.compact_every
+        if n and (int(batch_id) + 1) % n == 0:
+            run_concurrently(*[lambda t=KeyedTable(spark, self.root, name): t.compact() for name in self.tables])
+
+
+class AlpacaTableSink(_Compacting):
     """SNK-11: one micro-batch of frames -> ``bars``, ``quotes``, ``trades`` (and
     ``frame_rejects``) in one pass: the batch is persisted once, each table is a
     filtered write of it, then it is released.
@@ -71,9 +84,10 @@ class AlpacaTableSink:
     """
 
     name = "alpaca-tables"
+    tables = ("bars", "quotes", "trades")
 
-    def __init__(self, root: str, policy: str = "abort_rest"):
-        self.root, self.policy = root, policy
+    def __init__(self, root: str, policy: str = "abort_rest", compact_every: int | None = None):
+        self.root, self.policy, self.compact_every = root, policy, compact_every
 
     def handle_batch(self, df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
@@ -117,6 +131,7 @@ class AlpacaTableSink:
             run_concurrently(*writes)
             if cuts is not None:
                 cuts.unpersist()
+            self._maybe_compact(spark, batch_id)
         finally:
             checked.unpersist()
 
@@ -219,16 +234,18 @@ def pipeline(spark: SparkSession, source: Source, sink: Sink) -> PipelineBuilder
     return PipelineBuilder(spark, source, sink)
 
 
-class StatementTableSink:
+class StatementTableSink(_Compacting):
     """Fetch units ``(seq, kind, status, body)`` -> the three statement tables and
     ``calendar_dates`` (insert-ignore), with the skip-row policy of the reference
     (bad rows are reported in ``statement_rejects``), and failed fetches in
     ``fetch_errors``. One cached pass per micro-batch."""
 
     name = "statement-tables"
+    tables = ("quarterly_income_statements", "quarterly_balance_sheets", "quarterly_cashflow_statements",
+              "calendar_dates")
 
-    def __init__(self, root: str):
-        self.root = root
+    def __init__(self, root: str, compact_every: int | None = None):
+        self.root, self.compact_every = root, compact_every
 
     def handle_batch(self, df: DataFrame, batch_id: int) -> None:
         from marketlake.sources import statements as ST
@@ -252,11 +269,12 @@ class StatementTableSink:
             table = KeyedTable(spark, self.root, "calendar_dates")
             writes.append(lambda: table.write_batch(R.valid(cal), batch_id, ["seq", "ord"]))
             run_concurrently(*writes)
+            self._maybe_compact(spark, batch_id)
         finally:
             units.unpersist()
 
 
-class MarketTableSink:
+class MarketTableSink(_Compacting):
     """Landed pages ``(walk_id, page_no, body)`` -> ``polymarket_markets`` (upsert,
     last arrival wins) and ``market_rejects``.
 
@@ -265,9 +283,10 @@ class MarketTableSink:
     of a stopped walk are dropped in every later micro-batch."""
 
     name = "market-tables"
+    tables = ("polymarket_markets",)
 
-    def __init__(self, root: str):
-        self.root = root
+    def __init__(self, root: str, compact_every: int | None = None):
+        self.root, self.compact_every = root, compact_every
 
     def handle_batch(self, df: DataFrame, batch_id: int) -> None:
         from marketlake.sources import pages as P
@@ -294,5 +313,6 @@ class MarketTableSink:
                 lambda: table.write_batch(R.valid(markets), batch_id, ["walk_id", "page_no", "pos"]),
                 lambda: _write_log(P.market_rejects(raw), f"{self.root}/market_rejects", batch_id),
                 lambda: _write_log(stops, stops_path, batch_id))
+            self._maybe_compact(spark, batch_id)
         finally:
             pages.unpersist()
