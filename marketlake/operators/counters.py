@@ -51,3 +51,11 @@ def ingest_counters(pages: DataFrame) -> DataFrame:
     return (pages.groupBy("walk_id")
             .agg(F.count(F.lit(1)).alias("pages_walked"),
                  F.sum(F.coalesce("raw_markets", F.lit(0))).cast("bigint").alias("raw_markets")))
+
+
+def page_counters(raw: DataFrame) -> DataFrame:
+    """AGG-1 per page: raw and valid markets of each walked page that has a data
+    array (one partial-aggregated groupBy on (walk, page))."""
+    return (raw.groupBy("walk_id", "page_no")
+            .agg(F.count(F.lit(1)).alias("raw_markets"),
+                 F.count_if(F.col("valid")).alias("valid_markets")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketlake.operators import keyed, rows
-from marketlake.operators.counters import ingest_counters
+from marketlake.operators.counters import ingest_counters, page_counters
 from marketlake.plans import fixtures as fx
 from marketlake.session import require_utc
 from marketlake.sources import pages as P
@@ -40,6 +40,11 @@ def q_ingest_counters(spark, sf_dir):
     return ingest_counters(walked(spark, sf_dir))
 
 
+def q_page_counters(spark, sf_dir):
+    """AGG-1: raw and valid markets per walked page."""
+    return page_counters(raw(spark, sf_dir))
+
+
 def q_markets_typed(spark, sf_dir):
     """PRJ-9: typed markets with defaults."""
     return _comparable(P.typed_markets(raw(spark, sf_dir)))

@@ -347,3 +347,9 @@ ORACLES.update({
     "pipeline_calendar": ORACLES["sink_calendar"],
     "pipeline_markets": ORACLES["sink_markets"],
 })
+
+ORACLES.update({
+    "page_counters": _MARKETS + """
+SELECT walk_id, page_no, count(*) AS raw_markets, count(*) FILTER (WHERE valid) AS valid_markets
+FROM raw GROUP BY walk_id, page_no""",
+})

@@ -15,7 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable
 from typing import Protocol
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -287,6 +287,7 @@ class MarketTableSink(_Compacting):
 
     def __init__(self, root: str, compact_every: int | None = None):
         self.root, self.compact_every = root, compact_every
+        self.counters: list[dict] = []  # per micro-batch: pages walked, raw markets seen
 
     def handle_batch(self, df: DataFrame, batch_id: int) -> None:
         from marketlake.sources import pages as P
@@ -304,7 +305,11 @@ class MarketTableSink(_Compacting):
             pass
         pages = pages.persist()
         try:
-            walked = P.walked_pages(pages)
+            # AGG-1 in the stream: counted while the batch is written (no extra job).
+            obs = Observation(f"ingest-{int(batch_id)}")
+            walked = P.walked_pages(pages).observe(
+                obs, F.count(F.lit(1)).alias("pages"),
+                F.coalesce(F.sum("raw_markets"), F.lit(0)).cast("bigint").alias("raw_markets"))
             stops = P.walk_stops(pages).filter(F.col("_last").isNotNull())
             raw = P.raw_markets(walked)
             markets = R.market_rows(P.typed_markets(raw))
@@ -313,6 +318,7 @@ class MarketTableSink(_Compacting):
                 lambda: table.write_batch(R.valid(markets), batch_id, ["walk_id", "page_no", "pos"]),
                 lambda: _write_log(P.market_rejects(raw), f"{self.root}/market_rejects", batch_id),
                 lambda: _write_log(stops, stops_path, batch_id))
+            self.counters.append({"batch_id": int(batch_id), **obs.get})
             self._maybe_compact(spark, batch_id)
         finally:
             pages.unpersist()

@@ -135,3 +135,21 @@ def test_compaction_during_stream_keeps_result(spark):
     got = streams.bars_table(spark, root)
     batch = alpaca.q_sink_bars(spark, SF_SMALL).select(*got.columns)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_market_stream_counts_pages_with_observe(spark):
+    from marketlake.operators.counters import ingest_counters
+    from marketlake.plans import markets
+    from marketlake.streaming.pipeline import MarketTableSink
+
+    landed = streams._land(markets.fx.fx_pages(spark, SF_SMALL), spark, "landed-pages", ["walk_id", "page_no"])
+    sink = MarketTableSink(scratch_dir(spark, "tables"))
+    h = pipeline(spark, streams._json_source(landed, streams.PAGE_SCHEMA), sink).channel_capacity(2).start().wait()
+    assert h.error is None and len(sink.counters) >= 2
+    from pyspark.sql import functions as F
+
+    batch = ingest_counters(markets.walked(spark, SF_SMALL)).agg(F.sum("pages_walked").alias("p"),
+                                                                  F.sum("raw_markets").alias("r"))
+    pages, raw = batch.collect()[0]
+    assert sum(c["pages"] for c in sink.counters) == pages
+    assert sum(c["raw_markets"] for c in sink.counters) == raw
