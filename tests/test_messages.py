@@ -155,3 +155,19 @@ def test_varchar_limits(spark):
     out = R.apply_constraints("bars", df.withColumn("open", F.lit(1.0))).orderBy("seq").collect()
     assert [r._error for r in out] == [None, "symbol too long", None, "null symbol"]
     assert out[2].symbol == "ABCDEFGHIJ"
+
+
+def test_load_symbols_rules(spark):
+    from marketlake.sources.statements import load_symbols
+    text = ("SYMBOL,Name\r\n AAPL , Apple\r\n\r\n,empty first cell\r\n MSFT ,x\r\n"
+            "symbol,not a header after line 0\r\n\"BRK,A\",quoted\r\nAAPL,dup\n")
+    got = [(r.line_no, r.symbol) for r in
+           load_symbols(spark.createDataFrame([(text,)], "value string")).orderBy("line_no").collect()]
+    assert got == [(1, "AAPL"), (4, "MSFT"), (5, "symbol"), (6, '"BRK'), (7, "AAPL")]
+
+
+def test_load_symbols_without_header(spark):
+    from marketlake.sources.statements import load_symbols
+    got = [r.symbol for r in load_symbols(spark.createDataFrame([("IBM\nORCL",)], "value string"))
+           .orderBy("line_no").collect()]
+    assert got == ["IBM", "ORCL"]
