@@ -26,22 +26,35 @@ BAR_COLS = ["symbol", "open", "high", "low", "close", "volume", "timestamp", "tr
 
 def land_frames(spark, sf_dir, files: int = 8) -> str:
     """Write fx_frames as a collector would: JSON lines ``(conn, frame_no, kind,
-    body)``, ``files`` files in arrival order. On a local folder the file times
-    are set in that order too (a collector writes them one after the other)."""
+    body)`` in ``files`` consecutive ranges of arrival, one file per
+    ``bucket=<i>`` folder (bucket = frame_no * files // frames, so which frames
+    share a file is known exactly). On a local folder the file times are set in
+    arrival order too (a collector writes them one after the other)."""
     path = scratch_dir(spark, "landed")
-    (fx.fx_frames(spark, sf_dir)
-     .select(F.lit("c0").alias("conn"), "frame_no", F.lit(SF.TEXT_KIND).alias("kind"), "body")
-     .repartitionByRange(files, "frame_no").sortWithinPartitions("frame_no")
-     .write.mode("overwrite").json(path))
-    local = path[len("file:"):] if path.startswith("file:") else path
-    if os.path.isdir(local):
-        names = sorted(f for f in os.listdir(local) if f.endswith(".json"))
-        base = min(os.path.getmtime(os.path.join(local, f)) for f in names) if names else 0
-        for i, f in enumerate(names):
-            os.utime(os.path.join(local, f), (base + i, base + i))
+    f = fx.fx_frames(spark, sf_dir)
+    n = f.select(F.max("frame_no") + 1).scalar()
+    (f.select(F.lit("c0").alias("conn"), "frame_no", F.lit(SF.TEXT_KIND).alias("kind"), "body",
+              (F.col("frame_no") * files / n).cast("int").alias("bucket"))
+     .repartition("bucket").sortWithinPartitions("frame_no")
+     .write.mode("overwrite").partitionBy("bucket").json(path))
+    _order_file_times(path)
     return path
 
 
+def _order_file_times(path: str) -> None:
+    """Local folders only: file times in path order (= arrival order)."""
+    local = path[len("file:"):] if path.startswith("file:") else path
+    if not os.path.isdir(local):
+        return
+    names = sorted(os.path.relpath(os.path.join(d, f), local) for d, _, fs in os.walk(local)
+                   for f in fs if f.endswith(".json"))
+    if not names:
+        return
+    base = min(os.path.getmtime(os.path.join(local, f)) for f in names)
+    for i, f in enumerate(names):
+        os.utime(os.path.join(local, f), (base + i, base + i))
+
+
 def file_source(path: str):
     return lambda spark, capacity: SF.read_frames_stream(spark, path, max_files_per_trigger=capacity)
 
@@ -187,12 +200,7 @@ PAGE_SCHEMA = "walk_id bigint, page_no bigint, body string"
 def _land(df, spark, name: str, order: list[str], files: int = 8) -> str:
     path = scratch_dir(spark, name)
     df.repartitionByRange(files, *order).sortWithinPartitions(*order).write.mode("overwrite").json(path)
-    local = path[len("file:"):] if path.startswith("file:") else path
-    if os.path.isdir(local):
-        names = sorted(f for f in os.listdir(local) if f.endswith(".json"))
-        base = min(os.path.getmtime(os.path.join(local, f)) for f in names) if names else 0
-        for i, f in enumerate(names):
-            os.utime(os.path.join(local, f), (base + i, base + i))
+    _order_file_times(path)
     return path
 
 

@@ -31,8 +31,9 @@ def _local(path: str) -> str:
 
 
 def _list(path: str) -> list[str]:
+    """Landed files under ``path`` (sub-folders included), in path order."""
     p = _local(path)
-    return sorted(os.path.join(p, f) for f in os.listdir(p) if f.endswith(".json"))
+    return sorted(os.path.join(d, f) for d, _, fs in os.walk(p) for f in fs if f.endswith(".json"))
 
 
 def _read(part: _FilePartition, fail_at: int | None):
