@@ -84,22 +84,18 @@ class KeyedTable:
     def snapshot_root(self) -> str:
         return self.path + "__snapshots"
 
-    def _fs_list(self, path: str) -> list[str]:
-        """Child names of a folder through the Hadoop file system (any shared store)."""
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(p):
-            return []
-        return [st.getPath().getName() for st in fs.listStatus(p)]
+    @property
+    def manifest(self) -> str:
+        return self.snapshot_root + "/_manifest"
 
     def latest_snapshot(self) -> int | None:
-        """Highest batch id folded into a snapshot (``v=<batch>`` folders with a _SUCCESS)."""
-        versions = []
-        for name in self._fs_list(self.snapshot_root):
-            if name.startswith("v=") and "_SUCCESS" in self._fs_list(f"{self.snapshot_root}/{name}"):
-                versions.append(int(name[2:]))
-        return max(versions) if versions else None
+        """Highest batch id folded into a complete snapshot. A version is listed in
+        the manifest only after its snapshot was written, so a compaction that
+        died half-way is never read."""
+        try:
+            return self.spark.read.parquet(self.manifest).agg(F.max("version")).first()[0]
+        except Exception:  # noqa: BLE001 — no manifest yet
+            return None
 
     def _resolve(self, rows: DataFrame) -> DataFrame:
         order = ["_batch_id", "_seq"]
@@ -136,6 +132,8 @@ class KeyedTable:
             return self.latest_snapshot()
         self.read().filter(F.col("_batch_id") <= F.lit(last)).write.mode("overwrite").parquet(
             f"{self.snapshot_root}/v={int(last)}")
+        (self.spark.createDataFrame([(int(last),)], "version bigint")
+         .write.mode("append").parquet(self.manifest))
         return int(last)
 
 
