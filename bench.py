@@ -33,7 +33,9 @@ HEADLINE = [
     "sink_calendar",       # SRC-6 + SNK-8
     "capture_until_close",  # SRC-2
     "subscription_filter",  # SRC-3
-    "pipeline_run",        # STR-1..6: streaming run to completion (micro-batch latency included)
+    "pipeline_run",        # STR-1..6: frames stream run to completion (micro-batch latency included)
+    "pipeline_statements",  # statements + calendar stream -> four tables
+    "pipeline_markets",    # market pages stream, walk stop kept across micro-batches -> upsert
 ]
 
 

@@ -31,10 +31,6 @@ def jtype(v: Column, key: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(v, path(key), "variant"))
 
 
-def _nn(c: Column) -> Column:
-    return F.coalesce(c, F.lit(False))
-
-
 # Each predicate evaluates the wire type once (a single ``rlike`` on it): inside
 # a ``forall`` lambda expressions are interpreted, so a repeated subtree would be
 # computed again.
@@ -97,9 +93,6 @@ def defaulted(v: Column, key: str, check) -> Column:
     return check(v, key, missing_ok=True, null_ok=False)
 
 
-def u64_value(v: Column, key: str) -> Column:
-    """The u64 as an exact DECIMAL(20,0)."""
-    return get(v, key, "decimal(20,0)")
 
 
 def string_list(v: Column, key: str, default_empty: bool) -> Column:

@@ -28,9 +28,6 @@ from pyspark.sql import functions as F
 from marketlake.operators import keyed
 from marketlake.schemas import TABLE_COLUMNS, TABLE_KEYS
 
-BOOKKEEPING = ("id", "received_at", "_batch_id", "_seq")
-
-
 class KeyedTable:
     """One table folder ``<root>/<name>`` (a shared path on a cluster)."""
 
