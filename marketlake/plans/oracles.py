@@ -378,3 +378,5 @@ SELECT CAST(bucket // 2 AS BIGINT) AS batch_id, count(*) AS input_rows FROM (
   SELECT CAST(floor(frame_no * 8 / (SELECT max(frame_no) + 1 FROM f)) AS INTEGER) AS bucket FROM f)
 GROUP BY 1""",
 })
+
+ORACLES.update({"scan_frame_lines": ORACLES["dispatch_kinds"]})

@@ -56,3 +56,16 @@ def q_policy_abort_rest(spark, sf_dir):
 def q_policy_skip_row(spark, sf_dir):
     """SNK-13: every writable row."""
     return policies.skip_row(policy_rows(spark, sf_dir))
+
+
+def q_scan_frame_lines(spark, sf_dir):
+    """SRC-1 for raw text captures: frame bodies landed one per line (no stamp),
+    read back in (file time, file, line) order, parsed, counted per tag."""
+    from marketlake.operators import frames as FR
+    from marketlake.session import scratch_dir
+
+    path = scratch_dir(spark, "raw-capture")
+    (fx.fx_frames(spark, sf_dir).repartitionByRange(4, "frame_no").sortWithinPartitions("frame_no")
+     .select("body").write.mode("overwrite").text(path))
+    msgs = FR.parse_frames(SF.read_frame_lines(spark, path))
+    return msgs.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))

@@ -244,14 +244,17 @@ class StatementTableSink(_Compacting):
     tables = ("quarterly_income_statements", "quarterly_balance_sheets", "quarterly_cashflow_statements",
               "calendar_dates")
 
-    def __init__(self, root: str, compact_every: int | None = None):
-        self.root, self.compact_every = root, compact_every
+    def __init__(self, root: str, compact_every: int | None = None, symbols: DataFrame | None = None):
+        """``symbols`` (a ``load_symbols`` result) keeps only the listed symbols (SRC-8)."""
+        self.root, self.compact_every, self.symbols = root, compact_every, symbols
 
     def handle_batch(self, df: DataFrame, batch_id: int) -> None:
         from marketlake.sources import statements as ST
 
         spark = df.sparkSession
         require_utc(spark)
+        if self.symbols is not None:
+            df = ST.symbol_scan(df, self.symbols)
         units = df.persist()
         try:
             writes = [lambda: _write_log(ST.fetch_errors(units), f"{self.root}/fetch_errors", batch_id)]

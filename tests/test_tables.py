@@ -147,3 +147,15 @@ def test_upsert_and_policy_partition_invariance(spark):
     a = policies.abort_rest(p.repartition(1), ["batch"], ["type_order", "seq"])
     b = policies.abort_rest(p.repartition(64), ["batch"], ["type_order", "seq"])
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_statement_sink_keeps_listed_symbols_only(spark):
+    from marketlake.plans import statements as PS
+    from marketlake.streaming.pipeline import StatementTableSink
+
+    root = scratch_dir(spark, "t")
+    symbols = PS.symbols(spark, SF_SMALL)
+    StatementTableSink(root, symbols=symbols).handle_batch(PS.statement_units(spark, SF_SMALL), 0)
+    listed = {r.symbol for r in symbols.collect()}
+    got = {r.symbol for r in KeyedTable(spark, root, "quarterly_income_statements").read().collect()}
+    assert got and got <= listed
