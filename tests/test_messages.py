@@ -120,6 +120,9 @@ def test_u64_wraps_in_table(frames):
     ("2024-13-01T10:00:00Z", None),
     ("2024-01-01T10:00:00 UTC", None),
     ("2024-01-01T10:00:00Zjunk", None),
+    ("2016-12-31T23:59:60Z", None),
+    ("2024-01-01 10:00:00Z", "2024-01-01 10:00:00"),
+    ("2024-02-30T10:00:00Z", None),
 ])
 def test_timestamps(spark, text, expected):
     from marketlake.functions import scalars as S
