@@ -89,7 +89,7 @@ def optional(v: Column, key: str, check) -> Column:
 
 
 def defaulted(v: Column, key: str, check) -> Column:
-    """``#[serde(default)] T``: missing, or a valid T (JSON null is an error)."""
+    """A field with a default: missing, or a valid T (JSON null is an error)."""
     return check(v, key, missing_ok=True, null_ok=False)
 
 
