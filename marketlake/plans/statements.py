@@ -34,9 +34,9 @@ def statement_units(spark, sf_dir) -> DataFrame:
             .otherwise(payload(F.struct("period", F.col("amount").alias("operating_cashflow"),
                                         F.col("amount2").alias("capital_expenditures")))))
     failed = F.expr(_FAILED)
-    return s.select("seq", kinds.alias("kind"), "symbol",
-                    F.when(failed, F.lit("error: fetch failed")).otherwise(F.lit("ok")).alias("status"),
-                    F.when(~failed, body).alias("body"))
+    return ST.check_units(s.select("seq", kinds.alias("kind"), "symbol",
+                                   F.when(failed, F.lit("error: fetch failed")).otherwise(F.lit("ok")).alias("status"),
+                                   F.when(~failed, body).alias("body")))
 
 
 def _units(spark, sf_dir):

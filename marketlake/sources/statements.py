@@ -94,6 +94,14 @@ def symbol_scan(units: DataFrame, symbols: DataFrame, symbol_col: str = "symbol"
                       how="left_semi")
 
 
+def check_units(units: DataFrame, body: str = "body") -> DataFrame:
+    """A landed unit whose fetch reported success but whose payload is not valid
+    JSON counts as a failed fetch (status ``error: malformed payload``), so the
+    fetch policies see it instead of it vanishing in a lenient parse."""
+    bad = (F.col("status") == "ok") & F.col(body).isNotNull() & F.try_parse_json(F.col(body)).isNull()
+    return units.withColumn("status", F.when(bad, F.lit("error: malformed payload")).otherwise(F.col("status")))
+
+
 def fetch_ok(units: DataFrame) -> DataFrame:
     """SRC-9 ``skip``: units whose fetch succeeded; the others go on."""
     return units.filter(F.col("status") == "ok")

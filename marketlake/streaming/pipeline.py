@@ -89,11 +89,30 @@ class AlpacaTableSink(_Compacting):
     def __init__(self, root: str, policy: str = "abort_rest", compact_every: int | None = None):
         self.root, self.policy, self.compact_every = root, policy, compact_every
 
+    def _capture(self, spark: SparkSession, df: DataFrame, batch_id: int) -> DataFrame:
+        """SRC-2 in the stream: a close or error frame ends its connection, in this
+        micro-batch and in every later one. Ends are kept in a small
+        ``conn_ends`` table (one row per ended connection and batch)."""
+        from marketlake.sources import frames as SF
+
+        ends_path = f"{self.root}/conn_ends"
+        ends = (df.filter(F.col("kind").isin(*SF.END_KINDS)).groupBy("conn")
+                .agg(F.min("frame_no").alias("_end")))
+        _write_log(ends, ends_path, batch_id)
+        try:
+            earlier = (spark.read.parquet(ends_path).filter(F.col("_batch_id") < F.lit(int(batch_id)))
+                       .groupBy("conn").agg(F.min("_end").alias("_prev")))
+            df = (df.join(earlier, on="conn", how="left")
+                  .filter(F.col("_prev").isNull() | (F.col("frame_no") < F.col("_prev"))).drop("_prev"))
+        except Exception:  # noqa: BLE001 — no end recorded yet
+            pass
+        return SF.capture_until_close(df)
+
     def handle_batch(self, df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
         require_utc(spark)
-        if "kind" in df.columns:  # landed captures also hold ping/pong/close frames
-            df = df.filter(F.col("kind") == "text")
+        if "kind" in df.columns and "conn" in df.columns:
+            df = self._capture(spark, df, batch_id)
         # Parse once per micro-batch: the checked frames (validity + elements) are
         # cached and every table, the rejects and the error cut read from the cache.
         checked = FR.check_frames(df).persist()
@@ -255,7 +274,7 @@ class StatementTableSink(_Compacting):
         require_utc(spark)
         if self.symbols is not None:
             df = ST.symbol_scan(df, self.symbols)
-        units = df.persist()
+        units = ST.check_units(df).persist()
         try:
             writes = [lambda: _write_log(ST.fetch_errors(units), f"{self.root}/fetch_errors", batch_id)]
             ok = ST.fetch_ok(units)

@@ -153,3 +153,41 @@ def test_market_stream_counts_pages_with_observe(spark):
     pages, raw = batch.collect()[0]
     assert sum(c["pages"] for c in sink.counters) == pages
     assert sum(c["raw_markets"] for c in sink.counters) == raw
+
+
+def _bar(sym):
+    return '[{"T":"b","S":"%s","o":1,"h":1,"l":1,"c":1,"v":1,"t":"2024-01-01T00:00:00Z"}]' % sym
+
+
+def test_connection_end_kept_across_batches(spark):
+    from marketlake.streaming.pipeline import AlpacaTableSink
+    from marketlake.streaming.tables import KeyedTable, init_schema
+
+    path = scratch_dir(spark, "landed")
+    local = path[len("file:"):] if path.startswith("file:") else path
+    files = [[("A", 0, "text", _bar("A0")), ("A", 1, "close", ""), ("B", 2, "ping", "")],
+             [("A", 3, "text", _bar("A3")), ("B", 4, "text", _bar("B4"))]]
+    for i, frames in enumerate(files):
+        f = os.path.join(local, f"part-{i:05d}.json")
+        with open(f, "w") as fh:
+            for conn, n, kind, body in frames:
+                fh.write(json.dumps({"conn": conn, "frame_no": n, "kind": kind, "body": body}) + "\n")
+        os.utime(f, (1_700_000_000 + i, 1_700_000_000 + i))
+    root = scratch_dir(spark, "tables")
+    init_schema(spark, root, ["bars", "quotes", "trades"])
+    h = pipeline(spark, streams.file_source(path), AlpacaTableSink(root)).channel_capacity(1).start().wait()
+    assert h.error is None
+    assert sorted(r.symbol for r in KeyedTable(spark, root, "bars").read().collect()) == ["A0", "B4"]
+
+
+def test_malformed_payload_counts_as_failed_fetch(spark):
+    from marketlake.sources import statements as ST
+
+    units = spark.createDataFrame(
+        [(1, "income", "AAA", "ok", '{"symbol":"AAA","rows":[]}'), (2, "income", "BBB", "ok", '{"symbol": BROKEN'),
+         (3, "income", "CCC", "error: timeout", None)],
+        "seq bigint, kind string, symbol string, status string, body string")
+    checked = ST.check_units(units)
+    assert [r.symbol for r in ST.fetch_ok(checked).collect()] == ["AAA"]
+    errs = {r.symbol: r.error for r in ST.fetch_errors(checked).collect()}
+    assert errs == {"BBB": "error: malformed payload", "CCC": "error: timeout"}
