@@ -257,15 +257,39 @@ class StatementTableSink(_Compacting):
     """Fetch units ``(seq, kind, status, body)`` -> the three statement tables and
     ``calendar_dates`` (insert-ignore), with the skip-row policy of the reference
     (bad rows are reported in ``statement_rejects``), and failed fetches in
-    ``fetch_errors``. One cached pass per micro-batch."""
+    ``fetch_errors``. One cached pass per micro-batch.
+
+    ``fetch_policy`` (SRC-9): ``skip`` (a failed unit is recorded, the rest go on)
+    or ``fail`` (the first failed unit in ``seq`` order ends the source: it and
+    every later unit, in this micro-batch and all later ones, are not loaded; the
+    cut is kept in a small ``fetch_cut`` table)."""
 
     name = "statement-tables"
     tables = ("quarterly_income_statements", "quarterly_balance_sheets", "quarterly_cashflow_statements",
               "calendar_dates")
 
-    def __init__(self, root: str, compact_every: int | None = None, symbols: DataFrame | None = None):
+    def __init__(self, root: str, compact_every: int | None = None, symbols: DataFrame | None = None,
+                 fetch_policy: str = "skip"):
         """``symbols`` (a ``load_symbols`` result) keeps only the listed symbols (SRC-8)."""
+        if fetch_policy not in ("skip", "fail"):
+            raise ValueError(fetch_policy)
         self.root, self.compact_every, self.symbols = root, compact_every, symbols
+        self.fetch_policy = fetch_policy
+
+    def _cut(self, spark: SparkSession, units: DataFrame, batch_id: int) -> DataFrame:
+        """``fail``: drop units at or after the first failed one (earlier batches included)."""
+        from marketlake.sources import statements as ST
+
+        path = f"{self.root}/fetch_cut"
+        first = units.filter(F.col("status") != "ok").agg(F.min("seq").alias("_cut")).filter("_cut IS NOT NULL")
+        _write_log(first, path, batch_id)
+        try:
+            earlier = (spark.read.parquet(path).filter(F.col("_batch_id") < F.lit(int(batch_id)))
+                       .agg(F.min("_cut")).scalar())
+            units = units.filter(earlier.isNull() | (F.col("seq") < earlier))
+        except Exception:  # noqa: BLE001 — no cut recorded yet
+            pass
+        return ST.cut_at_first_failure(units, ["seq"])
 
     def handle_batch(self, df: DataFrame, batch_id: int) -> None:
         from marketlake.sources import statements as ST
@@ -274,7 +298,10 @@ class StatementTableSink(_Compacting):
         require_utc(spark)
         if self.symbols is not None:
             df = ST.symbol_scan(df, self.symbols)
-        units = ST.check_units(df).persist()
+        units = ST.check_units(df)
+        if self.fetch_policy == "fail":
+            units = self._cut(spark, units, batch_id)
+        units = units.persist()
         try:
             writes = [lambda: _write_log(ST.fetch_errors(units), f"{self.root}/fetch_errors", batch_id)]
             ok = ST.fetch_ok(units)

@@ -191,3 +191,30 @@ def test_malformed_payload_counts_as_failed_fetch(spark):
     assert [r.symbol for r in ST.fetch_ok(checked).collect()] == ["AAA"]
     errs = {r.symbol: r.error for r in ST.fetch_errors(checked).collect()}
     assert errs == {"BBB": "error: malformed payload", "CCC": "error: timeout"}
+
+
+def test_statement_stream_fail_policy_cuts_across_batches(spark):
+    from marketlake.streaming.pipeline import StatementTableSink
+    from marketlake.streaming.tables import KeyedTable
+
+    def unit(seq, sym, status="ok"):
+        body = None if status != "ok" else json.dumps(
+            {"symbol": sym, "rows": [{"period": {"kind": "date", "date": "2024-03-31"},
+                                      "total_revenue": {"amount": 1.5, "currency": "USD"}}]})
+        return {"seq": seq, "kind": "income", "symbol": sym, "status": status, "body": body}
+    files = [[unit(1, "A"), unit(2, "B")], [unit(3, "C"), unit(4, "D", "error: timeout"), unit(5, "E")],
+             [unit(6, "F")]]
+    path = scratch_dir(spark, "units")
+    local = path[len("file:"):] if path.startswith("file:") else path
+    for i, units in enumerate(files):
+        f = os.path.join(local, f"part-{i:05d}.json")
+        with open(f, "w") as fh:
+            fh.writelines(json.dumps(u) + "\n" for u in units)
+        os.utime(f, (1_700_000_000 + i, 1_700_000_000 + i))
+    for policy, expect in (("fail", ["A", "B", "C"]), ("skip", ["A", "B", "C", "E", "F"])):
+        root = scratch_dir(spark, "tables")
+        h = (pipeline(spark, streams._json_source(path, streams.UNIT_SCHEMA),
+                      StatementTableSink(root, fetch_policy=policy)).channel_capacity(1).start().wait())
+        assert h.error is None
+        got = sorted(r.symbol for r in KeyedTable(spark, root, "quarterly_income_statements").read().collect())
+        assert got == expect, policy
