@@ -64,7 +64,8 @@ def bars_table(spark, root: str) -> DataFrame:
     return t.select(F.col("_seq.frame_no").alias("frame_no"), F.col("_seq.pos").alias("pos"), *BAR_COLS)
 
 
-def run_alpaca(spark, sf_dir, capacity=2, sink=None, on_error="fail", source=None, root=None):
+def run_alpaca(spark, sf_dir, capacity=2, sink=None, on_error="fail", source=None, root=None,
+               failure_log=None):
     """Run the Alpaca pipeline over landed fx_frames. Built-in file sources drain
     with ``availableNow``; a user source is triggered continuously and drained."""
     require_utc(spark)
@@ -73,6 +74,8 @@ def run_alpaca(spark, sf_dir, capacity=2, sink=None, on_error="fail", source=Non
     sink = sink or AlpacaTableSink(root)
     if source is None:
         b = pipeline(spark, file_source(land_frames(spark, sf_dir)), sink)
+        if failure_log:
+            b = b.failure_log(failure_log)
         return root, b.channel_capacity(capacity).on_sink_error(on_error).start().wait()
     b = pipeline(spark, source, sink).trigger(processingTime="0 seconds")
     return root, b.channel_capacity(capacity).on_sink_error(on_error).start().drain()
@@ -130,7 +133,8 @@ class FlakySink:
 def q_sink_failure_continue(spark, sf_dir):
     """STR-4: the failed batch is recorded and skipped (no retry); later batches land."""
     root = scratch_dir(spark, "tables")
-    _, handle = run_alpaca(spark, sf_dir, sink=FlakySink(AlpacaTableSink(root)), on_error="continue", root=root)
+    _, handle = run_alpaca(spark, sf_dir, sink=FlakySink(AlpacaTableSink(root)), on_error="continue", root=root,
+                           failure_log=f"{root}/failed_batches")
     if handle.error:
         raise handle.error
     return bars_table(spark, root)

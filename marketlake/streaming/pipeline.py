@@ -198,6 +198,7 @@ class PipelineBuilder:
         self._trigger: dict = {"availableNow": True}
         self._checkpoint: str | None = None
         self._name: str | None = None
+        self._failure_log: str | None = None
 
     def channel_capacity(self, n: int | None) -> PipelineBuilder:
         """STR-2: at most ``n`` admission units (files) per micro-batch; Spark pulls,
@@ -219,6 +220,12 @@ class PipelineBuilder:
         self._trigger = kw
         return self
 
+    def failure_log(self, path: str) -> PipelineBuilder:
+        """With ``on_sink_error("continue")``: also append each failed batch as a row
+        ``(batch_id, sink, error)`` to the Parquet table at ``path``."""
+        self._failure_log = path
+        return self
+
     def checkpoint(self, path: str) -> PipelineBuilder:
         self._checkpoint = path
         return self
@@ -231,7 +238,7 @@ class PipelineBuilder:
         stream = self.source(self.spark, self._capacity)
         failed: list = []
         lock = threading.Lock()
-        sink, on_error = self.sink, self._on_error
+        sink, on_error, log_path = self.sink, self._on_error, self._failure_log
 
         def run(df: DataFrame, batch_id: int) -> None:
             try:
@@ -239,8 +246,12 @@ class PipelineBuilder:
             except Exception as e:  # noqa: BLE001
                 if on_error == "fail":
                     raise
+                record = (int(batch_id), sink.name, (str(e).splitlines() or [""])[0][:500])
                 with lock:
-                    failed.append((int(batch_id), sink.name, str(e).splitlines()[0][:500]))
+                    failed.append(record)
+                if log_path:
+                    (df.sparkSession.createDataFrame([record], "batch_id bigint, sink string, error string")
+                     .write.mode("append").parquet(log_path))
 
         ckpt = self._checkpoint or scratch_dir(self.spark, "checkpoint")
         w = stream.writeStream.foreachBatch(run).option("checkpointLocation", ckpt).trigger(**self._trigger)

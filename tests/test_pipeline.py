@@ -57,6 +57,16 @@ def test_continue_after_sink_error(spark):
     assert [b for b, _, _ in h.failed_batches] == [0]
 
 
+def test_failed_batches_are_logged(spark):
+    path = _land(spark, [["first"], ["second"]])
+    log = scratch_dir(spark, "failed")
+    h = (pipeline(spark, streams.file_source(path), Recorder(fail_first=True)).channel_capacity(1)
+         .on_sink_error("continue").failure_log(log).start().wait())
+    assert h.error is None
+    rows = spark.read.parquet(log).collect()
+    assert [(r.batch_id, r.sink, r.error) for r in rows] == [(0, "recorder", "sink down")]
+
+
 def test_source_failure_keeps_earlier_batches(spark):
     path = _land(spark, [["only"], ["never sent"]])
     rec = Recorder()
