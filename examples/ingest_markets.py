@@ -11,15 +11,16 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from marketlake.plans.streams import PAGE_SCHEMA, _json_source  # noqa: E402
 from marketlake.session import get_session  # noqa: E402
+from marketlake.sources.pages import read_pages_stream  # noqa: E402
 from marketlake.streaming.pipeline import MarketTableSink, pipeline  # noqa: E402
 from marketlake.streaming.tables import KeyedTable  # noqa: E402
 
 
 def main(landed: str, root: str) -> None:
     spark = get_session()
-    handle = pipeline(spark, _json_source(landed, PAGE_SCHEMA), MarketTableSink(root)).start().wait()
+    handle = pipeline(spark, lambda s, cap: read_pages_stream(s, landed, max_files_per_trigger=cap),
+                      MarketTableSink(root)).start().wait()
     if handle.error:
         raise SystemExit(f"pipeline failed: {handle.error}")
     print("polymarket_markets", KeyedTable(spark, root, "polymarket_markets").read().count())

@@ -12,8 +12,8 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from marketlake.plans.streams import UNIT_SCHEMA, _json_source  # noqa: E402
 from marketlake.session import get_session  # noqa: E402
+from marketlake.sources.statements import read_units_stream  # noqa: E402
 from marketlake.streaming.pipeline import StatementTableSink, pipeline  # noqa: E402
 from marketlake.streaming.tables import KeyedTable  # noqa: E402
 
@@ -23,7 +23,8 @@ TABLES = ("quarterly_income_statements", "quarterly_balance_sheets", "quarterly_
 
 def main(landed: str, root: str) -> None:
     spark = get_session()
-    handle = pipeline(spark, _json_source(landed, UNIT_SCHEMA), StatementTableSink(root)).start().wait()
+    handle = pipeline(spark, lambda s, cap: read_units_stream(s, landed, max_files_per_trigger=cap),
+                      StatementTableSink(root)).start().wait()
     if handle.error:
         raise SystemExit(f"pipeline failed: {handle.error}")
     for name in TABLES:

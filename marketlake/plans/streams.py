@@ -18,6 +18,8 @@ from marketlake.plans import fixtures as fx
 from marketlake.session import require_utc, scratch_dir
 from marketlake.sources import custom
 from marketlake.sources import frames as SF
+from marketlake.sources.pages import PAGE_SCHEMA, read_pages_stream  # noqa: F401 (PAGE_SCHEMA re-exported)
+from marketlake.sources.statements import UNIT_SCHEMA, read_units_stream
 from marketlake.streaming.pipeline import AlpacaTableSink, pipeline
 from marketlake.streaming.tables import KeyedTable, init_schema
 
@@ -197,8 +199,6 @@ def q_custom_sink(spark, sf_dir):
 
 # ---------------------------------------------------------------- the other two pipelines
 
-UNIT_SCHEMA = "seq bigint, kind string, symbol string, status string, body string"
-PAGE_SCHEMA = "walk_id bigint, page_no bigint, body string"
 
 
 def _land(df, spark, name: str, order: list[str], files: int = 8) -> str:
@@ -209,12 +209,8 @@ def _land(df, spark, name: str, order: list[str], files: int = 8) -> str:
 
 
 def _json_source(path: str, schema: str):
-    def make(spark, capacity):
-        r = spark.readStream.schema(schema)
-        if capacity:
-            r = r.option("maxFilesPerTrigger", int(capacity))
-        return r.json(path)
-    return make
+    reader = read_units_stream if schema == UNIT_SCHEMA else read_pages_stream
+    return lambda spark, capacity: reader(spark, path, max_files_per_trigger=capacity)
 
 
 def run_statements(spark, sf_dir, capacity=2):

@@ -14,7 +14,7 @@ a large share of the pages (skew join) otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.functions import jsontypes as J
@@ -43,6 +43,24 @@ MARKET_COLUMNS = ("condition_id", "question_id", "market_slug", "question", "des
                   "is_50_50_outcome")
 
 
+# Landed page (JSON lines or Parquet).
+PAGE_SCHEMA = "walk_id bigint, page_no bigint, body string"
+
+
+def read_pages(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+    """Landed pages (batch), declared schema."""
+    return spark.read.schema(PAGE_SCHEMA).format(fmt).load(path)
+
+
+def read_pages_stream(spark: SparkSession, path: str, fmt: str = "json",
+                      max_files_per_trigger: int | None = None) -> DataFrame:
+    """Landed pages as a stream; one file is one admission unit."""
+    r = spark.readStream.schema(PAGE_SCHEMA)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    return r.format(fmt).load(path)
+
+
 def _strict_json(body: Column) -> Column:
     """The body as VARIANT when it is exactly one JSON value, else NULL."""
     wrapped = F.try_parse_json(F.concat(F.lit("["), body, F.lit("]")))

@@ -14,17 +14,38 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.functions import scalars as SC
 from marketlake.schemas import CALENDAR_PAYLOAD, statement_payload
 
+# Landed fetch unit (JSON lines or Parquet).
+UNIT_SCHEMA = "seq bigint, kind string, symbol string, status string, body string"
+
 STATEMENT_KINDS = ("income", "balance", "cashflow")
 # Fetch order of the data kinds of one symbol.
 FETCH_ORDER = ("income", "balance", "cashflow", "calendar")
 
 
+def _reader(spark: SparkSession, schema: str, stream: bool, max_files_per_trigger: int | None):
+    r = (spark.readStream if stream else spark.read).schema(schema)
+    if stream and max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    return r
+
+
+def read_units(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+    """Landed fetch units (batch), declared schema."""
+    return _reader(spark, UNIT_SCHEMA, False, None).format(fmt).load(path)
+
+
+def read_units_stream(spark: SparkSession, path: str, fmt: str = "json",
+                      max_files_per_trigger: int | None = None) -> DataFrame:
+    """Landed fetch units as a stream; one file is one admission unit."""
+    return _reader(spark, UNIT_SCHEMA, True, max_files_per_trigger).format(fmt).load(path)
+
+
 def scan_statements(units: DataFrame, kind: str, body: str = "body") -> DataFrame:
     """SRC-5 / PRJ-10: one row per statement period of ``kind``, tagged with the symbol.
 
