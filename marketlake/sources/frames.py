@@ -83,14 +83,14 @@ def subscription_filter(messages: DataFrame, subs) -> DataFrame:
     control messages get a key that matches nothing and still spreads over the
     partitions (not one NULL key in one task).
     """
-    if isinstance(subs, dict):
-        spark = messages.sparkSession
+    known_size = isinstance(subs, dict)
+    if known_size:
         data = [(ch, s) for ch, syms in subs.items() for s in syms]
-        subs_df = F.broadcast(spark.createDataFrame(data, "channel string, symbol string"))
-    else:
-        subs_df = subs
-    keys = (subs_df.select(F.col("channel").alias("_ch"), F.col("symbol").alias("_sym"))
+        subs = messages.sparkSession.createDataFrame(data, "channel string, symbol string")
+    keys = (subs.select(F.col("channel").alias("_ch"), F.col("symbol").alias("_sym"))
             .distinct().withColumn("_hit", F.lit(True)))
+    if known_size:  # the hint sits directly under the join, where Spark applies it
+        keys = F.broadcast(keys)
     chan = None
     for tag, ch in CHANNEL_OF_TAG:
         chan = (F.when(F.col("kind") == tag, F.lit(ch)) if chan is None

@@ -174,3 +174,16 @@ def test_load_symbols_without_header(spark):
     got = [r.symbol for r in load_symbols(spark.createDataFrame([("IBM\nORCL",)], "value string"))
            .orderBy("line_no").collect()]
     assert got == ["IBM", "ORCL"]
+
+
+def test_subscription_filter_from_dict(frames):
+    from marketlake.sources.frames import subscription_filter
+    body = ('[{"T":"success","msg":"a"},'
+            '{"T":"b","S":"AAPL","o":1,"h":1,"l":1,"c":1,"v":1,"t":"2024-01-01T00:00:00Z"},'
+            '{"T":"b","S":"MSFT","o":1,"h":1,"l":1,"c":1,"v":1,"t":"2024-01-01T00:00:00Z"},'
+            '{"T":"q","S":"AAPL","bp":1,"bs":1,"ap":1,"as":1,"t":"2024-01-01T00:00:00Z"},'
+            '{"T":"t","S":"AAPL","i":1,"p":1,"s":1,"t":"2024-01-01T00:00:00Z"}]')
+    msgs = FR.parse_frames(frames(body))
+    out = subscription_filter(msgs, {"bars": ["AAPL"], "quotes": [], "trades": ["AAPL"]})
+    assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.pos, r.kind) for r in out.collect()) == [(0, "success"), (1, "b"), (4, "t")]
