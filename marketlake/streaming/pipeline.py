@@ -112,8 +112,12 @@ class AlpacaTableSink(_Compacting):
     def handle_batch(self, df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
         require_utc(spark)
+        # The landed batch is read once: the connection cut reads it twice.
+        raw = df.persist()
         if "kind" in df.columns and "conn" in df.columns:
-            df = self._capture(spark, df, batch_id)
+            df = self._capture(spark, raw, batch_id)
+        else:
+            df = raw
         # Parse once per micro-batch: the checked frames (validity + elements) are
         # cached and every table, the rejects and the error cut read from the cache.
         checked = FR.check_frames(df).persist()
@@ -154,6 +158,7 @@ class AlpacaTableSink(_Compacting):
             self._maybe_compact(spark, batch_id)
         finally:
             checked.unpersist()
+            raw.unpersist()
 
 
 class PipelineHandle:
@@ -310,10 +315,8 @@ class StatementTableSink(_Compacting):
         require_utc(spark)
         if self.symbols is not None:
             df = ST.symbol_scan(df, self.symbols)
-        units = ST.check_units(df)
-        if self.fetch_policy == "fail":
-            units = self._cut(spark, units, batch_id)
-        units = units.persist()
+        base = ST.check_units(df).persist()  # read once; the fail cut reads it again
+        units = self._cut(spark, base, batch_id) if self.fetch_policy == "fail" else base
         try:
             writes = [lambda: _write_log(ST.fetch_errors(units), f"{self.root}/fetch_errors", batch_id)]
             ok = ST.fetch_ok(units)
@@ -332,7 +335,7 @@ class StatementTableSink(_Compacting):
             run_concurrently(*writes)
             self._maybe_compact(spark, batch_id)
         finally:
-            units.unpersist()
+            base.unpersist()
 
 
 class MarketTableSink(_Compacting):
