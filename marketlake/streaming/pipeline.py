@@ -90,16 +90,18 @@ class AlpacaTableSink(_Compacting):
     def __init__(self, root: str, policy: str = "abort_rest", compact_every: int | None = None):
         self.root, self.policy, self.compact_every = root, policy, compact_every
 
-    def _capture(self, spark: SparkSession, df: DataFrame, batch_id: int) -> DataFrame:
+    def _capture(self, spark: SparkSession, df: DataFrame, batch_id: int):
         """SRC-2 in the stream: a close or error frame ends its connection, in this
         micro-batch and in every later one. Ends are kept in a small
-        ``conn_ends`` table (one row per ended connection and batch)."""
+        ``conn_ends`` table (one row per ended connection and batch); reads take
+        only earlier batches, so this batch's ends are written with the tables.
+        Returns the cut frames and the write of this batch's ends."""
         from marketlake.sources import frames as SF
 
         ends_path = f"{self.root}/conn_ends"
         ends = (df.filter(F.col("kind").isin(*SF.END_KINDS)).groupBy("conn")
                 .agg(F.min("frame_no").alias("_end")))
-        _write_log(ends, ends_path, batch_id)
+        write_ends = lambda: _write_log(ends, ends_path, batch_id)
         try:
             earlier = (spark.read.parquet(ends_path).filter(F.col("_batch_id") < F.lit(int(batch_id)))
                        .groupBy("conn").agg(F.min("_end").alias("_prev")))
@@ -107,15 +109,17 @@ class AlpacaTableSink(_Compacting):
                   .filter(F.col("_prev").isNull() | (F.col("frame_no") < F.col("_prev"))).drop("_prev"))
         except Exception:  # noqa: BLE001 — no end recorded yet
             pass
-        return SF.capture_until_close(df)
+        return SF.capture_until_close(df), write_ends
 
     def handle_batch(self, df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
         require_utc(spark)
         # The landed batch is read once: the connection cut reads it twice.
         raw = df.persist()
+        extra = []
         if "kind" in df.columns and "conn" in df.columns:
-            df = self._capture(spark, raw, batch_id)
+            df, write_ends = self._capture(spark, raw, batch_id)
+            extra.append(write_ends)
         else:
             df = raw
         # Parse once per micro-batch: the checked frames (validity + elements) are
@@ -125,7 +129,7 @@ class AlpacaTableSink(_Compacting):
             keep = [c for c in df.columns if c != "body"]
             rejects = checked.filter(F.col("_reason").isNotNull()).select("frame_no", "body",
                                                                           F.col("_reason").alias("reason"))
-            writes = [lambda: _write_log(rejects, f"{self.root}/frame_rejects", batch_id)]
+            writes = [lambda: _write_log(rejects, f"{self.root}/frame_rejects", batch_id), *extra]
             msgs = (checked.filter(F.col("_reason").isNull())
                     .select(*keep, F.posexplode("_elements").alias("pos", "msg"))
                     .withColumn("pos", F.col("pos").cast("bigint"))
