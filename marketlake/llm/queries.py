@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketlake.llm import bpe, rules
+from marketlake.llm import bpe, rules, sharding
 from marketlake.llm.common import documents
 from marketlake.llm.oracles import ORACLES as _ORACLES
 
@@ -16,17 +16,25 @@ def tokenizer_path() -> str:
 
 
 def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = bpe.encode_decode(documents(spark, sf_dir).select("doc_id", "text"), tokenizer_path())
+    out = bpe.encode_decode(documents(spark, sf_dir), tokenizer_path(), carry=["doc_id"])
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    led = rules.ledger(documents(spark, sf_dir).select("doc_id", "text"))
+    led = rules.ledger(documents(spark, sf_dir), carry=["doc_id"])
     base_ok = rules.passes("base")
     return led.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       (~base_ok).alias("base_failed"), (base_ok & rules.passes("v1")).alias("kept"), "failed")
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    out = sharding.shard(docs.withColumn("text_crc32", F.crc32(F.encode(text, "UTF-8"))), 40)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES = {name: fn for name, fn in globals().items() if name[:2] == "op" and name[2].isdigit()}
 ORACLES = {k: v for k, v in _ORACLES.items() if k in QUERIES}
