@@ -17,7 +17,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every remaining text, packed, and the text they decode to."""
-    return bpe.encode_decode(docs, tokenizer_path()).select("doc_id", "lang", "source", "n_tokens", "ids", "decoded")
+    return bpe.encode_decode(docs, tokenizer_path(), carry=["doc_id", "lang", "source"])
 
 
 STAGES = [("quality rules", quality_rules), ("tokens", tokens)]

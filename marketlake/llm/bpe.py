@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from marketlake.llm.common import add_columns, slices
 
 #: Words one Python worker remembers; beyond it the memory starts anew.
-MEMORY_WORDS = 300_000
+MEMORY_WORDS = 60_000
 
 ENCODED = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()),
                         T.StructField("decoded", T.StringType())])
@@ -185,16 +185,17 @@ def load(path: str) -> WordBpe:
     return _LOADED[path]
 
 
-def encode_decode(docs: DataFrame, tokenizer: str, text_col: str = "text") -> DataFrame:
+def encode_decode(docs: DataFrame, tokenizer: str, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Adds ``n_tokens``, ``ids`` (little-endian unsigned 32-bit integers) and
     ``decoded`` (the text of those ids) to every row. A narrow map: no shuffle.
-    ``tokenizer`` is a path that every executor can open."""
+    ``tokenizer`` is a path that every executor can open; ``carry`` names the input
+    columns to return (all of them by default)."""
 
     def run(texts):
         import pyarrow as pa
 
         bpe = load(tokenizer)
-        for some in slices(texts):
+        for some in slices(texts, 1_000_000):
             ids, counts = bpe.encode([t or "" for t in some])
             wire, at, raw, decoded = ids.astype("<u4").tobytes(), 0, [], []
             for n in counts.tolist():
@@ -204,7 +205,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, text_col: str = "text") -> Da
             yield len(some), {"n_tokens": pa.array(counts, pa.int64()), "ids": pa.array(raw, pa.binary()),
                               "decoded": pa.array(decoded, pa.string())}
 
-    return add_columns(docs, run, ENCODED, text_col)
+    return add_columns(docs, run, ENCODED, text_col, carry)
 
 
 def decode_ids(df: DataFrame, tokenizer: str, ids_col: str = "ids") -> DataFrame:

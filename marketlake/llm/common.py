@@ -34,6 +34,14 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{sc.getCheckpointDir().rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a table in the shared folder and read again: a cut of the
+    lineage that later joins can deal out anew (and split where a key is hot)."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def text_of(col: str = "text") -> Column:
     """The text, NULL as the empty text."""
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
@@ -52,10 +60,13 @@ def unpacked(df: DataFrame, *extra: str) -> DataFrame:
     return df.select(*[F.col(f"_row.`{f}`").alias(f) for f in fields], *extra)
 
 
-def add_columns(docs: DataFrame, fn, schema: T.StructType, text_col: str) -> DataFrame:
-    """One narrow Arrow pass: ``fn(list of texts)`` yields, for consecutive runs of
-    them, ``(count, {column: Arrow array})``; the input row is carried untouched."""
+def add_columns(docs: DataFrame, fn, schema: T.StructType, text_col: str, carry: list[str] | None = None) -> DataFrame:
+    """One narrow Arrow pass: ``fn(Arrow texts)`` yields, for consecutive runs of
+    them, ``(count, {column: Arrow array})``; the input row is carried untouched
+    (``carry``: only these columns of it; the text need not travel twice)."""
     rows = packed(docs, _text=text_of(text_col))
+    if carry is not None:
+        rows = rows.withColumn("_row", F.struct(*[F.col(f"_row.`{c}`").alias(c) for c in carry]))
     out = T.StructType([rows.schema["_row"], *schema.fields])
     names = ["_row", *schema.names]
 

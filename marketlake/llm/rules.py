@@ -65,7 +65,7 @@ def measure_text(text: str) -> tuple[int, ...]:
             less(LETTERS), less(CAPITALS), less(b"!"))
 
 
-def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def measure(docs: DataFrame, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Adds the measurements to every row (a narrow Arrow map)."""
 
     def run(texts):
@@ -75,7 +75,7 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
             rows = [measure_text(t or "") for t in some]
             yield len(some), {m: pa.array([r[i] for r in rows], pa.int64()) for i, m in enumerate(MEASURES)}
 
-    return add_columns(docs, run, _SCHEMA, text_col)
+    return add_columns(docs, run, _SCHEMA, text_col, carry)
 
 
 @dataclass(frozen=True)
@@ -111,13 +111,13 @@ def mask(policy: str) -> int:
     return sum(1 << bits[name] for name in POLICIES[policy])
 
 
-def ledger(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with their measurements and the failure bits of all rules."""
+def ledger(docs: DataFrame, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """The rows of ``docs`` (or their columns ``carry``) with their measurements and the failure bits of all rules."""
     bits = [F.when(r.fails(), F.lit(1 << r.bit).cast("long")).otherwise(F.lit(0).cast("long")) for r in RULES]
     failed = bits[0]
     for b in bits[1:]:
         failed = failed.bitwiseOR(b)
-    return measure(docs, text_col).withColumn("failed", failed)
+    return measure(docs, text_col, carry).withColumn("failed", failed)
 
 
 def passes(policy: str) -> Column:
@@ -144,4 +144,4 @@ def ablations(led: DataFrame, policy: str) -> DataFrame:
 def keep(docs: DataFrame, policy: str = "v1", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass ``policy``, with their own columns only."""
     rows = docs.select(F.struct("*").alias("doc"), F.col(text_col).alias("body"))
-    return ledger(rows, "body").filter(passes(policy)).select("doc.*")
+    return ledger(rows, "body", ["doc"]).filter(passes(policy)).select("doc.*")
