@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketlake.llm import bpe, rules, sharding
+from marketlake.llm import bpe, rules, secret_scan, sharding
 from marketlake.llm.common import documents
 from marketlake.llm.oracles import ORACLES as _ORACLES
+from marketlake.llm.spans import joined
 
 
 def tokenizer_path() -> str:
@@ -28,6 +29,32 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (~base_ok).alias("base_failed"), (base_ok & rules.passes("v1")).alias("kept"), "failed")
 
 
+def _per_document(docs: DataFrame, spans: DataFrame, kinds: list[str], n_base: int, extra=()) -> DataFrame:
+    """One row for each document: counts of the base kinds and the digests of its
+    spans. ``spans`` has ``_doc``, ``kind``, ``start``, ``end``."""
+    one = F.struct("start", "kind", "end")
+    grouped = spans.groupBy("_doc").agg(
+        *[F.count_if(F.col("kind") == k).alias(f"n_{kinds[k]}") for k in range(n_base)], *extra,
+        F.collect_list(F.when(F.col("kind") < n_base, one)).alias("base"), F.collect_set(one).alias("every"))
+    out = docs.join(grouped, "_doc", "left")
+    none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
+    count = [c for c in grouped.columns if c.startswith("n_")]
+    return out.select(F.col("_id").alias("doc_id"), *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in count],
+                      F.sha2(joined(F.coalesce("base", none), kinds), 256).alias("base_sha256"),
+                      joined(F.coalesce("every", none), kinds).alias("spans"))
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).withColumn("_repo_", F.concat_ws("/", "source", "lang"))
+    rows, found = secret_scan.scan(docs, repo_col="_repo_")
+    base = found.filter("kind < 3").select("_doc", "kind", "start", "end", "live")
+    live = found.filter("live").select("_doc", F.lit(4).alias("kind"), F.col("from").alias("start"), "end", "live")
+    spans = base.unionAll(live.distinct())
+    return _per_document(rows, spans, secret_scan.KINDS, 3, [
+        F.count_if((F.col("kind") < 3) & F.col("live")).alias("n_owner_specific"),
+        F.count_if((F.col("kind") < 3) & ~F.col("live")).alias("n_copied")])
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     docs = documents(spark, sf_dir).select("doc_id", "text")
