@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketlake.llm import bpe, rules, secret_scan, sharding
+from marketlake.llm import bpe, pii, rules, secret_scan, sharding
 from marketlake.llm.common import documents
 from marketlake.llm.oracles import ORACLES as _ORACLES
 from marketlake.llm.spans import joined
@@ -63,5 +63,14 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    rows, entities = pii.find(docs)
+    words = pii.disclosing(docs, entities)
+    spans = entities.select("_doc", "kind", "start", "end").unionAll(words.select("_doc", "kind", "start", "end"))
+    return _per_document(rows, spans, pii.KINDS, 4, [
+        F.count_if(F.col("kind") >= 4).alias("n_words_hidden")])
+
+
 QUERIES = {name: fn for name, fn in globals().items() if name[:2] == "op" and name[2].isdigit()}
 ORACLES = {k: v for k, v in _ORACLES.items() if k in QUERIES}
