@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketlake.llm import bpe, pii, rules, secret_scan, sharding
+from marketlake.llm import bpe, pii, quality_qda, rules, secret_scan, sharding
 from marketlake.llm.common import documents
 from marketlake.llm.oracles import ORACLES as _ORACLES
 from marketlake.llm.spans import joined
@@ -22,6 +22,14 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = lambda c: F.crc32(F.encode(F.col(c).cast("string"), "UTF-8")) % 5
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    out = quality_qda.score(documents(spark, sf_dir), labels, fold("_id") != 0)
+    return out.select(F.col("_id").alias("doc_id"), F.coalesce(fold("_id") == 0, F.lit(False)).alias("held_out"), "score",
+                      (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     led = rules.ledger(documents(spark, sf_dir), carry=["doc_id"])
     base_ok = rules.passes("base")
