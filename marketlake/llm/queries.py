@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketlake.llm import bpe, pii, quality_qda, rules, secret_scan, sharding
+from marketlake.llm import bpe, decontam, pii, quality_qda, rules, secret_scan, sharding
 from marketlake.llm.common import documents
 from marketlake.llm.oracles import ORACLES as _ORACLES
 from marketlake.llm.spans import joined
@@ -16,6 +16,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document and benchmark item found in it; clean documents have none."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontam.contaminated(documents(spark, sf_dir), benchmark, carry=["doc_id"])
+
+
 def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe.encode_decode(documents(spark, sf_dir), tokenizer_path(), carry=["doc_id"])
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
