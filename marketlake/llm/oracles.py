@@ -31,4 +31,21 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
   failed = 0 AS kept, failed FROM b
 """
 
-ORACLES = {"op5_quality_rules": OP5}
+OP4 = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+s AS (SELECT rid, doc_id, string_split(t, chr(10)) AS ls FROM d),
+raw AS (SELECT rid, doc_id, unnest(ls) AS l, generate_subscripts(ls, 1) AS i FROM s),
+ln AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY i) AS p FROM raw WHERE regexp_matches(l, '{_WORD}')),
+w AS (SELECT *, lead(l) OVER (PARTITION BY rid ORDER BY p) AS l2 FROM ln),
+f AS (SELECT *, row_number() OVER (PARTITION BY l ORDER BY doc_id, p) AS k1,
+  row_number() OVER (PARTITION BY l, l2 ORDER BY doc_id, p) AS k2 FROM w),
+g AS (SELECT rid, i, p, (k1 > 1 AND len(regexp_extract_all(l, '{_WORD}')) >= 10) OR (l2 IS NOT NULL AND k2 > 1) AS here,
+  l2 IS NOT NULL AND k2 > 1 AS two FROM f),
+x AS (SELECT rid, i, here OR coalesce(lag(two) OVER (PARTITION BY rid ORDER BY p), false) AS dead FROM g),
+a AS (SELECT raw.rid, raw.doc_id, count(x.i) AS n_lines, coalesce(sum(CAST(x.dead AS INT)), 0) AS n_removed,
+  coalesce(string_agg(CASE WHEN coalesce(x.dead, false) THEN NULL ELSE l END, chr(10) ORDER BY raw.i), '') AS kept
+  FROM raw LEFT JOIN x USING (rid, i) GROUP BY raw.rid, raw.doc_id)
+SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_removed AS BIGINT) AS n_removed, sha256(kept) AS kept_sha256 FROM a
+"""
+
+ORACLES = {"op4_line_dedup": OP4, "op5_quality_rules": OP5}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketlake.llm import bpe, decontam, pii, quality_qda, rules, secret_scan, sharding
+from marketlake.llm import bpe, decontam, line_dedup, pii, quality_qda, rules, secret_scan, sharding
 from marketlake.llm.common import documents
 from marketlake.llm.oracles import ORACLES as _ORACLES
 from marketlake.llm.spans import joined
@@ -36,6 +36,11 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.without_copies(documents(spark, sf_dir), carry=["doc_id"])
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     led = rules.ledger(documents(spark, sf_dir), carry=["doc_id"])
     base_ok = rules.passes("base")
