@@ -48,4 +48,21 @@ a AS (SELECT raw.rid, raw.doc_id, count(x.i) AS n_lines, coalesce(sum(CAST(x.dea
 SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_removed AS BIGINT) AS n_removed, sha256(kept) AS kept_sha256 FROM a
 """
 
-ORACLES = {"op4_line_dedup": OP4, "op5_quality_rules": OP5}
+OP6 = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS ws FROM documents),
+g AS (SELECT rid, doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ') || chr(1)]
+  ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS s FROM d),
+sh AS (SELECT rid, len(s) AS n, unnest(s) AS x FROM g),
+k AS (SELECT x FROM sh GROUP BY x HAVING count(*) > 1),
+j AS (SELECT sh.* FROM sh JOIN k USING (x)),
+p AS (SELECT a.rid AS a, b.rid AS b FROM j a JOIN j b ON a.x = b.x AND a.rid <> b.rid GROUP BY a.rid, b.rid, a.n, b.n
+  HAVING 5 * count(*) >= 4 * (a.n + b.n - count(*))),
+r(node, root) AS (SELECT rid, rid FROM d UNION SELECT p.b, r.root FROM r JOIN p ON p.a = r.node),
+c AS (SELECT r.node, min(t.doc_id) AS class_id FROM r JOIN d t ON t.rid = r.root GROUP BY r.node),
+l AS (SELECT a, count(*) AS n_links, count(DISTINCT list_sort(g.s)) AS texts FROM p JOIN g ON g.rid = p.b GROUP BY a),
+o AS (SELECT p.a, count(*) AS same FROM p JOIN g x ON x.rid = p.a JOIN g y ON y.rid = p.b WHERE list_sort(x.s) = list_sort(y.s) GROUP BY p.a)
+SELECT d.doc_id, c.class_id, coalesce(n_links, 0) AS n_links, coalesce(texts, 0) - CASE WHEN o.same > 0 THEN 1 ELSE 0 END AS n_linked_texts
+FROM d JOIN c ON c.node = d.rid LEFT JOIN l ON l.a = d.rid LEFT JOIN o ON o.a = d.rid
+"""
+
+ORACLES = {"op6_ngram_join": OP6, "op4_line_dedup": OP4, "op5_quality_rules": OP5}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketlake.llm import bpe, decontam, line_dedup, pii, quality_qda, rules, secret_scan, sharding
+from marketlake.llm import bpe, decontam, line_dedup, ngram_join, pii, quality_qda, rules, secret_scan, sharding
 from marketlake.llm.common import documents
 from marketlake.llm.oracles import ORACLES as _ORACLES
 from marketlake.llm.spans import joined
@@ -63,6 +63,12 @@ def _per_document(docs: DataFrame, spans: DataFrame, kinds: list[str], n_base: i
                       joined(F.coalesce("every", none), kinds).alias("spans"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    least = F.lit(ngram_join.LEAST)
+    out = ngram_join.join(documents(spark, sf_dir))
+    return out.select(F.nullif("_d", least).alias("doc_id"), F.nullif("class_id", least).alias("class_id"), "n_links", "n_linked_texts")
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).withColumn("_repo_", F.concat_ws("/", "source", "lang"))
     rows, found = secret_scan.scan(docs, repo_col="_repo_")
