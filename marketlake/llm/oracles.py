@@ -65,4 +65,17 @@ SELECT d.doc_id, c.class_id, coalesce(n_links, 0) AS n_links, coalesce(texts, 0)
 FROM d JOIN c ON c.node = d.rid LEFT JOIN l ON l.a = d.rid LEFT JOIN o ON o.a = d.rid
 """
 
-ORACLES = {"op6_ngram_join": OP6, "op4_line_dedup": OP4, "op5_quality_rules": OP5}
+OP7 = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws FROM documents),
+wd AS (SELECT rid, doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM d),
+win AS (SELECT rid, doc_id, p, string_agg(w, ' ') OVER q AS x, count(*) OVER q AS n FROM wd
+  WINDOW q AS (PARTITION BY rid ORDER BY p ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
+f AS (SELECT rid, p, rank() OVER (PARTITION BY x ORDER BY doc_id, p) AS k FROM win WHERE n = 20),
+c AS (SELECT DISTINCT rid, p + o AS p FROM f, (SELECT unnest(range(20)) AS o) WHERE k > 1),
+a AS (SELECT wd.rid, count(c.p) AS gone, string_agg(CASE WHEN c.p IS NULL THEN w END, ' ' ORDER BY wd.p) AS kept
+  FROM wd LEFT JOIN c USING (rid, p) GROUP BY wd.rid)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN a USING (rid)
+"""
+
+ORACLES = {"op7_substring_dedup": OP7, "op6_ngram_join": OP6, "op4_line_dedup": OP4, "op5_quality_rules": OP5}

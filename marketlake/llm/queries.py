@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketlake.llm import bpe, decontam, line_dedup, ngram_join, pii, quality_qda, rules, secret_scan, sharding
+from marketlake.llm import bpe, decontam, line_dedup, ngram_join, pii, quality_qda, rlz, rules, secret_scan, sharding
 from marketlake.llm.common import documents
 from marketlake.llm.oracles import ORACLES as _ORACLES
 from marketlake.llm.spans import joined
@@ -48,6 +48,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (~base_ok).alias("base_failed"), (base_ok & rules.passes("v1")).alias("kept"), "failed")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = rlz.parse(documents(spark, sf_dir))
+    return out.select(F.nullif("_d", F.lit(rlz.LEAST)).alias("doc_id"), "n_words", "n_removed",
+                      F.coalesce(F.sha2("kept", 256), "whole").alias("kept_sha256"))
+
+
 def _per_document(docs: DataFrame, spans: DataFrame, kinds: list[str], n_base: int, extra=()) -> DataFrame:
     """One row for each document: counts of the base kinds and the digests of its
     spans. ``spans`` has ``_doc``, ``kind``, ``start``, ``end``."""
