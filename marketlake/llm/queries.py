@@ -50,8 +50,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = rlz.parse(documents(spark, sf_dir))
-    return out.select(F.nullif("_d", F.lit(rlz.LEAST)).alias("doc_id"), "n_words", "n_removed",
-                      F.coalesce(F.sha2("kept", 256), "whole").alias("kept_sha256"))
+    return out.select(F.nullif("_d", F.lit(rlz.LEAST)).alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
 def _per_document(docs: DataFrame, spans: DataFrame, kinds: list[str], n_base: int, extra=()) -> DataFrame:

@@ -115,12 +115,12 @@ def scanned(keyed: DataFrame) -> DataFrame:
 
 
 _WINDOWS = T.StructType([T.StructField("row", T.LongType()), T.StructField("_d", T.LongType()), T.StructField("text", T.StringType()),
-                         T.StructField("at", T.BinaryType()), T.StructField("hashes", T.ArrayType(T.LongType()))])
+                         T.StructField("hashes", T.ArrayType(T.LongType()))])
 
 
 def candidates(rows: DataFrame) -> DataFrame:
-    """Of each row (``row``, ``_d``, text, its repeated ``grams``): the starts of the windows whose
-    gram is repeated (packed) and the hash of each, first occurrences in the text only."""
+    """Of the rows (``row``, ``_d``, text, its repeated ``grams``) that have a window whose gram
+    is repeated: the different hashes of those windows."""
 
     def run(batches):
         import numpy as np
@@ -129,42 +129,35 @@ def candidates(rows: DataFrame) -> DataFrame:
         for batch in batches:
             i = 0
             for some in slices(batch.column(2), 4_000_000):
-                at, sizes, hashes = [], [], []
+                hashes = []
                 for k, text in enumerate(some, i):
                     h = word_hashes(text.encode().split())
-                    least, _ = winnowed(h)
                     repeated = np.array(batch.column(3)[k].as_py(), np.int64).astype(np.uint64)
-                    starts = np.flatnonzero(np.isin(least, repeated))
-                    mine = _mixed(h, WINDOW)[starts]
-                    at.append(np.stack([starts.astype(np.uint64), mine]).tobytes())
-                    hashes.append(np.unique(mine).astype(np.int64))
-                    sizes.append(len(hashes[-1]))
-                n, offsets = len(some), pa.array(np.r_[0, np.cumsum(sizes)], pa.int32())
+                    hashes.append(np.unique(_mixed(h, WINDOW)[np.isin(winnowed(h)[0], repeated)]).astype(np.int64))
+                n = len(some)
+                found = pa.array([len(x) > 0 for x in hashes], pa.bool_())
+                offsets = pa.array(np.r_[0, np.cumsum([len(x) for x in hashes])], pa.int32())
                 yield pa.RecordBatch.from_arrays([
-                    *(batch.column(c).slice(i, n) for c in range(3)), pa.array(at, pa.binary()),
-                    pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(hashes), pa.int64()))], names=_WINDOWS.names)
+                    *(batch.column(c).slice(i, n) for c in range(3)),
+                    pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(hashes), pa.int64()))], names=_WINDOWS.names).filter(found)
                 i += n
 
     return rows.select("row", "_d", "text", "grams").mapInArrow(run, _WINDOWS)
 
 
 _PARSED = T.StructType([T.StructField("row", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType()),
-                        T.StructField("factors", T.ArrayType(T.StructType([
+                        T.StructField("kept_sha256", T.BinaryType()), T.StructField("factors", T.ArrayType(T.StructType([
                             T.StructField("start", T.IntegerType()), T.StructField("n_words", T.IntegerType()),
                             T.StructField("reference", T.LongType())])))])
 
 
 def factors(starts, hashes, own: int, earlier: dict[int, int]) -> list[tuple[int, int, int]]:
-    """The greedy parse of one text: (start, words, reference) of its factors. ``earlier``:
-    for window hashes that a smaller document holds, the least one; a window that
-    came up further left in the same text refers to that text (``own``)."""
+    """The greedy parse of one text: (start, words, reference) of its factors, from the
+    windows whose words start earlier, from the left. ``earlier``: for those that a smaller
+    document holds, the least one; the others came up further left in the same text (``own``)."""
     out: list[tuple[int, int, int]] = []
-    seen: set[int] = set()
     for s, h in zip(starts, hashes):
-        ref = earlier.get(h, own if h in seen else None)
-        seen.add(h)
-        if ref is None:
-            continue
+        ref = earlier.get(h, own)
         if out and out[-1][2] == ref and out[-1][0] + out[-1][1] == s + WINDOW - 1:
             out[-1] = (out[-1][0], out[-1][1] + 1, ref)
         else:
@@ -173,38 +166,46 @@ def factors(starts, hashes, own: int, earlier: dict[int, int]) -> list[tuple[int
 
 
 def parsed(rows: DataFrame) -> DataFrame:
-    """Parses rows (``row``, ``_d``, text, packed windows, and the (hash, least document)
-    pairs of those that start in a smaller document) and cuts the factors out."""
+    """Parses rows (``row``, ``_d``, text, and the (hash, least document) pairs of the windows
+    that other documents hold) and cuts the factors out; rows that lose nothing are left out."""
 
     def run(batches):
+        import hashlib
+
         import numpy as np
         import pyarrow as pa
 
         for batch in batches:
             out = []
             for i in range(batch.num_rows):
-                row, d, text, at, hits = (batch.column(c)[i].as_py() for c in range(5))
-                starts, hashes = np.frombuffer(at, np.uint64).reshape(2, -1)
-                earlier = {h["hash"]: h["least"] for h in hits or ()}
-                found = factors(starts.tolist(), hashes.astype(np.int64).tolist(), d, earlier)
+                row, d, text, hits = (batch.column(c)[i].as_py() for c in range(4))
                 words = text.encode().split()
+                hashes = _mixed(word_hashes(words), WINDOW).astype(np.int64)
+                earlier = {h["hash"]: h["least"] for h in hits or () if h["least"] < d}
+                again = np.ones(len(hashes), bool)
+                again[np.unique(hashes, return_index=True)[1]] = False
+                starts = np.flatnonzero(again | np.isin(hashes, np.fromiter(earlier, np.int64, len(earlier))))
+                if not len(starts):
+                    continue
+                found = factors(starts.tolist(), hashes[starts].tolist(), d, earlier)
                 stays = np.ones(len(words), bool)
                 for s, n, _ in found:
                     stays[s:s + n] = False
-                kept = b" ".join([w for w, keep in zip(words, stays.tolist()) if keep]).decode()
-                out.append((row, int((~stays).sum()), kept, [{"start": s, "n_words": n, "reference": r} for s, n, r in found]))
-            yield pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], t) for c, t in enumerate((
-                pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("n_words", pa.int32()), ("reference", pa.int64())]))))],
-                names=_PARSED.names)
+                kept = b" ".join([w for w, keep in zip(words, stays.tolist()) if keep])
+                out.append((row, int((~stays).sum()), kept.decode(), hashlib.sha256(kept).digest(),
+                            [{"start": s, "n_words": n, "reference": r} for s, n, r in found]))
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.binary(),
+                     pa.list_(pa.struct([("start", pa.int32()), ("n_words", pa.int32()), ("reference", pa.int64())])))
+            yield pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], t) for c, t in enumerate(kinds)], names=_PARSED.names)
 
-    return rows.select("row", "_d", "text", "at", "hits").mapInArrow(run, _PARSED)
+    return rows.select("row", "_d", "text", "hits").mapInArrow(run, _PARSED)
 
 
 def parse(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of ``docs``: ``_d`` (its id, LEAST for NULL), ``_h`` (hash of its
     text), ``n_words``, ``n_removed``, ``kept`` (the words that stay, joined by one
-    space; NULL where all stay), ``whole`` (digest of all words) and ``factors``
-    (a text that repeats a smaller document's whole text is one factor)."""
+    space; NULL where all stay), ``kept_sha256`` (of the words that stay) and
+    ``factors`` (a text that repeats a smaller document's whole text is one factor)."""
     text = text_of(text_col)
     keyed = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST)).alias("_d"), F.xxhash64(text).alias("_h"), text.alias("text"))
     rows = written(scanned(keyed).withColumn("row", F.monotonically_increasing_id()), "rlz-rows")
@@ -215,20 +216,23 @@ def parse(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     twice = written(each.groupBy("gram").agg(F.count("*").alias("k")).filter("k > 1").select("gram"), "rlz-grams")
     lists = written(each.join(twice, "gram").groupBy("row").agg(F.collect_set("gram").alias("grams")), "rlz-lists")
     places = lists.join(rows.select("row", "_d", "_h"), "row")
-    wanted = keyed.join(places, ["_d", "_h"]).select("row", "_d", "text", "grams")
+    # Equal rows are one document; after the join they lie in one partition, so this shuffles nothing more.
+    wanted = keyed.join(places, ["_d", "_h"]).dropDuplicates(["_d", "_h"]).select("row", "_d", "text", "grams")
     found = written(candidates(wanted), "rlz-windows")
     visit = found.select("row", "_d", F.explode("hashes").alias("hash"))
     index = written(visit.groupBy("hash").agg(F.min("_d").alias("least"), F.max("_d").alias("last"))
                     .filter("least < last").select("hash", "least"), "rlz-index")
     hits = written(visit.join(index, "hash").filter("least < _d").groupBy("row")
-                   .agg(F.collect_set(F.struct("hash", "least")).alias("hits")), "rlz-hits")
-    done = written(parsed(found.drop("hashes").join(hits, "row", "left")).dropDuplicates(["row"]), "rlz-parsed")
+                   .agg(F.collect_list(F.struct("hash", "least")).alias("hits")), "rlz-hits")
+    done = written(parsed(found.drop("hashes").join(hits, "row", "left")), "rlz-parsed")
     out = (rows.select("row", "_d", "_h", "whole", "n").join(firsts, "whole")
            .join(done.withColumnRenamed("row", "first_row"), "first_row", "left"))
     same, long = F.col("_d") == F.col("first_d"), F.col("n") >= WINDOW
     whole_factor = F.array(F.struct(F.lit(0).alias("start"), F.col("n").cast("int").alias("n_words"), F.col("first_d").alias("reference")))
     none = F.array().cast(_PARSED["factors"].dataType)
     removed = F.when(same, F.coalesce("n_removed", F.lit(0).cast("long"))).when(long, F.col("n")).otherwise(F.lit(0).cast("long"))
+    all_gone = ~same & long
+    digest = F.when(all_gone, F.sha2(F.lit(""), 256)).otherwise(F.lower(F.hex(F.when(same, F.coalesce("kept_sha256", "whole")).otherwise(F.col("whole")))))
     return out.select("_d", "_h", F.col("n").alias("n_words"), removed.alias("n_removed"),
-                      F.when(removed > 0, F.when(same, F.col("kept")).otherwise(F.lit(""))).alias("kept"), F.lower(F.hex("whole")).alias("whole"),
+                      F.when(all_gone, F.lit("")).when(same, F.col("kept")).alias("kept"), digest.alias("kept_sha256"),
                       F.when(same, F.coalesce("factors", none)).when(long, whole_factor).otherwise(none).alias("factors"))
