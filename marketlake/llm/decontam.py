@@ -171,7 +171,7 @@ class Block:
         """Whether each window holds enough different pairs of its item: an edit changes two at most."""
         import numpy as np
 
-        pair = self._pairs(windows) if windows.shape[1] == 1 else windows[:, :-1] * self.base + windows[:, 1:]
+        pair = windows if windows.shape[1] == 1 else windows[:, :-1] * self.base + windows[:, 1:]
         at = np.minimum(np.searchsorted(self.every, pair), len(self.every) - 1)
         mark = k[:, None] * len(self.every) + at
         place = np.minimum(np.searchsorted(self.held, mark), len(self.held) - 1)
