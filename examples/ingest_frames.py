@@ -21,7 +21,7 @@ def main(landed: str, root: str, capacity: int = 1000) -> None:
     spark = get_session()
     init_schema(spark, root, ["bars", "quotes", "trades"])
     src = lambda s, cap: read_frames_stream(s, landed, max_files_per_trigger=cap)
-    handle = pipeline(spark, src, AlpacaTableSink(root)).channel_capacity(capacity).start().wait()
+    handle = pipeline(spark, src, AlpacaTableSink(root)).channel_capacity(capacity).checkpoint(f"{root}/_checkpoint").start().wait()
     if handle.error:
         raise SystemExit(f"pipeline failed: {handle.error}")
     for name in ("bars", "quotes", "trades"):

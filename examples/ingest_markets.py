@@ -20,7 +20,7 @@ from marketlake.streaming.tables import KeyedTable  # noqa: E402
 def main(landed: str, root: str) -> None:
     spark = get_session()
     handle = pipeline(spark, lambda s, cap: read_pages_stream(s, landed, max_files_per_trigger=cap),
-                      MarketTableSink(root)).start().wait()
+                      MarketTableSink(root)).checkpoint(f"{root}/_checkpoint").start().wait()
     if handle.error:
         raise SystemExit(f"pipeline failed: {handle.error}")
     print("polymarket_markets", KeyedTable(spark, root, "polymarket_markets").read().count())

@@ -24,7 +24,7 @@ TABLES = ("quarterly_income_statements", "quarterly_balance_sheets", "quarterly_
 def main(landed: str, root: str) -> None:
     spark = get_session()
     handle = pipeline(spark, lambda s, cap: read_units_stream(s, landed, max_files_per_trigger=cap),
-                      StatementTableSink(root)).start().wait()
+                      StatementTableSink(root)).checkpoint(f"{root}/_checkpoint").start().wait()
     if handle.error:
         raise SystemExit(f"pipeline failed: {handle.error}")
     for name in TABLES:

@@ -68,12 +68,14 @@ def is_int_in(v: Column, key: str, lo: int, hi: int, missing_ok: bool = False, n
 
 
 def is_u64(v: Column, key: str, missing_ok: bool = False, null_ok: bool = False) -> Column:
-    """A non-negative integer token up to 2^64-1 (BIGINT >= 0, or a 19/20-digit
-    integer decimal in 2^63..2^64-1)."""
+    """A non-negative integer token up to 2^64-1: BIGINT >= 0, or a 19/20-digit
+    decimal in 2^63..2^64-1. Below 2^63 an integer token is a BIGINT, so a decimal
+    there was written as a float."""
+    t = F.coalesce(jtype(v, key), F.lit("MISSING" if missing_ok else "-"))
     d = get(v, key, "decimal(20,0)")
-    in_range = F.coalesce(d.between(F.lit("0").cast("decimal(20,0)"), F.lit(str(_U64_MAX)).cast("decimal(20,0)")),
-                          F.lit(True))
-    return _type_is(v, key, r"^(BIGINT|DECIMAL\((19|20),0\))$", missing_ok, null_ok) & in_range
+    whole = F.lit(str(_TWO_63)).cast("decimal(20,0)"), F.lit(str(_U64_MAX)).cast("decimal(20,0)")
+    ok = F.when(t == "BIGINT", d >= 0).when(t.isin("DECIMAL(19,0)", "DECIMAL(20,0)"), d.between(*whole))
+    return F.coalesce(ok.when(t == "VOID", F.lit(null_ok)).when(t == "MISSING", F.lit(missing_ok)), F.lit(False))
 
 
 def is_string_list(v: Column, key: str, missing_ok: bool = False, null_ok: bool = False) -> Column:

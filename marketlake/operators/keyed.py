@@ -22,10 +22,20 @@ def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
+def any_null(key: Sequence[str]) -> Column:
+    out = F.lit(False)
+    for c in _cols(key):
+        out = out | c.isNull()
+    return out
+
+
 def top_per_key(rows: DataFrame, key: Sequence[str], order, last: bool = False) -> DataFrame:
-    """One row per key: the first (or last) by ``order``. ``order`` must be unique per key."""
+    """One row per key: the first (or last) by ``order``. ``order`` must be unique per key.
+    Rows with a NULL in their key are equal to no other row (a unique index keeps
+    them all): for them the order columns are part of the key."""
     o = [c.desc() if last else c.asc() for c in _cols(order)]
-    w = Window.partitionBy(*_cols(key)).orderBy(*o)
+    alone = F.when(any_null(key), F.struct(*_cols(order)))
+    w = Window.partitionBy(*_cols(key), alone).orderBy(*o)
     return rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 

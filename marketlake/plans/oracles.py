@@ -273,7 +273,7 @@ SELECT seq, kind, symbol FROM s0 WHERE symbol IN (SELECT 'C' || n_nationkey FROM
                                                   WHERE n_nationkey % 7 NOT IN (3, 5))""",
     "fetch_policy_skip": _STATEMENTS + "SELECT seq, kind, symbol FROM s0 WHERE NOT failed",
     "fetch_errors": _STATEMENTS + """
-SELECT DISTINCT symbol, kind, 'error: fetch failed' AS error FROM s0 WHERE failed""",
+SELECT seq, symbol, kind, 'error: fetch failed' AS error FROM s0 WHERE failed""",
     "fetch_policy_fail": _STATEMENTS + """
 SELECT seq, kind, symbol FROM s0
 WHERE symbol_no * 10 + kind_no < coalesce((SELECT min(symbol_no * 10 + kind_no) FROM s0 WHERE failed), 1e18)""",
@@ -342,6 +342,18 @@ UNION ALL SELECT 'quotes', (SELECT count(*) FROM ok WHERE kind = 'q')
 UNION ALL SELECT 'trades', (SELECT count(*) FROM tr)""",
 })
 
+_COUNTS = ORACLES["fan_out"]
+ORACLES.update({
+    "write_metadata": f"SELECT table_name, n_rows, n_rows AS n_ids, n_rows AS n_received FROM ({_COUNTS})",
+    "init_schema": f"""
+SELECT t.table_name, false AS made_again, CAST(coalesce(n_rows, 0) AS BIGINT) AS n_rows FROM (VALUES ('bars'), ('quotes'), ('trades'),
+  ('quarterly_income_statements'), ('quarterly_balance_sheets'), ('quarterly_cashflow_statements'), ('calendar_dates'),
+  ('polymarket_markets')) AS t(table_name) LEFT JOIN ({_COUNTS}) c ON c.table_name = t.table_name""",
+    "two_runs": f"""
+SELECT table_name, k * n_rows AS n_rows, k * n_rows AS n_ids, CAST(k AS BIGINT) AS n_conns
+FROM ({_COUNTS}) JOIN (VALUES ('quotes', 2), ('bars', 1)) AS v(name, k) ON name = table_name""",
+})
+
 ORACLES.update({
     "pipeline_statements": ORACLES["sink_income"],
     "pipeline_calendar": ORACLES["sink_calendar"],

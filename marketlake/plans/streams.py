@@ -75,11 +75,11 @@ def run_alpaca(spark, sf_dir, capacity=2, sink=None, on_error="fail", source=Non
     init_schema(spark, root, ["bars", "quotes", "trades"])
     sink = sink or AlpacaTableSink(root)
     if source is None:
-        b = pipeline(spark, file_source(land_frames(spark, sf_dir)), sink)
+        b = pipeline(spark, file_source(land_frames(spark, sf_dir)), sink).checkpoint(scratch_dir(spark, "checkpoint"))
         if failure_log:
             b = b.failure_log(failure_log)
         return root, b.channel_capacity(capacity).on_sink_error(on_error).start().wait()
-    b = pipeline(spark, source, sink).trigger(processingTime="0 seconds")
+    b = pipeline(spark, source, sink).trigger(processingTime="0 seconds").checkpoint(scratch_dir(spark, "checkpoint"))
     return root, b.channel_capacity(capacity).on_sink_error(on_error).start().drain()
 
 
@@ -103,11 +103,56 @@ def q_fan_out(spark, sf_dir):
 
 
 def q_write_metadata(spark, sf_dir):
-    """SNK-10: stable surrogate id and write time on every row."""
+    """SNK-10: surrogate id and write time on every row: rows, different ids, rows
+    with a write time, per table."""
     root, handle = run_alpaca(spark, sf_dir, capacity=1000)
     if handle.error:
         raise handle.error
-    return KeyedTable(spark, root, "bars").read().select("id", "received_at", "_batch_id", "symbol", "timestamp")
+    out = None
+    for name in ("bars", "quotes", "trades"):
+        one = KeyedTable(spark, root, name).read().agg(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id").alias("n_ids"),
+            F.count("received_at").alias("n_received"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_init_schema(spark, sf_dir):
+    """SNK-9: bootstrap is idempotent and keeps what is there. The event rows as market
+    ids land between two bootstraps of the same root; every table answers."""
+    root = scratch_dir(spark, "tables")
+    first = init_schema(spark, root)
+    _, handle = run_alpaca(spark, sf_dir, capacity=1000, root=root)
+    if handle.error:
+        raise handle.error
+    again = init_schema(spark, root)
+    out = None
+    for name in first:
+        t = KeyedTable(spark, root, name)
+        one = t.read().agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(name).alias("table_name"), F.lit(name in again and t.exists()).alias("made_again"), "n_rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_two_runs(spark, sf_dir):
+    """SNK-1/2, STR-1: two runs with their own checkpoints add to the same root, with a
+    compaction between them; the second brings another connection with the same
+    frame numbers. Rows of the quotes and bars tables."""
+    root = scratch_dir(spark, "tables")
+    landed = land_frames(spark, sf_dir)
+    for conn in ("c0", "c1"):
+        src = lambda s, cap, c=conn: SF.read_frames_stream(s, landed, max_files_per_trigger=cap).withColumn("conn", F.lit(c))
+        h = pipeline(spark, src, AlpacaTableSink(root)).checkpoint(scratch_dir(spark, "checkpoint")).start().wait()
+        if h.error:
+            raise h.error
+        for name in ("bars", "quotes"):
+            KeyedTable(spark, root, name).compact()
+    quotes, bars = KeyedTable(spark, root, "quotes").read(), KeyedTable(spark, root, "bars").read()
+    return quotes.agg(F.lit("quotes").alias("table_name"), F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id").alias("n_ids"),
+                      F.count_distinct("_seq.conn").alias("n_conns")).unionByName(
+        bars.agg(F.lit("bars").alias("table_name"), F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id").alias("n_ids"),
+                 F.count_distinct("_seq.conn").alias("n_conns")))
 
 
 def q_bounded_admission(spark, sf_dir):
@@ -224,7 +269,7 @@ def run_statements(spark, sf_dir, capacity=2):
     landed = _land(units, spark, "landed-units", ["seq"])
     root = scratch_dir(spark, "tables")
     h = pipeline(spark, _json_source(landed, UNIT_SCHEMA), StatementTableSink(root)).channel_capacity(capacity)
-    return root, h.start().wait()
+    return root, h.checkpoint(scratch_dir(spark, "checkpoint")).start().wait()
 
 
 def q_pipeline_statements(spark, sf_dir):
@@ -255,10 +300,10 @@ def q_pipeline_markets(spark, sf_dir):
     landed = _land(fx.fx_pages(spark, sf_dir), spark, "landed-pages", ["walk_id", "page_no"])
     root = scratch_dir(spark, "tables")
     h = (pipeline(spark, _json_source(landed, PAGE_SCHEMA), MarketTableSink(root)).channel_capacity(2)
-         .start().wait())
+         .checkpoint(scratch_dir(spark, "checkpoint")).start().wait())
     if h.error:
         raise h.error
     t = KeyedTable(spark, root, "polymarket_markets").read()
-    cols = [c for c in t.columns if c not in ("id", "received_at", "_batch_id", "_seq")]
+    cols = [c for c in t.columns if c not in ("id", "received_at", "_at", "_run", "_batch_id", "_seq")]
     return _comparable(t.select(F.col("_seq.walk_id").alias("walk_id"), F.col("_seq.page_no").alias("page_no"),
                                 F.col("_seq.pos").alias("pos"), *cols))

@@ -116,11 +116,18 @@ def symbol_scan(units: DataFrame, symbols: DataFrame, symbol_col: str = "symbol"
 
 
 def check_units(units: DataFrame, body: str = "body") -> DataFrame:
-    """A landed unit whose fetch reported success but whose payload is not valid
-    JSON counts as a failed fetch (status ``error: malformed payload``), so the
-    fetch policies see it instead of it vanishing in a lenient parse."""
-    bad = (F.col("status") == "ok") & F.col(body).isNotNull() & F.try_parse_json(F.col(body)).isNull()
-    return units.withColumn("status", F.when(bad, F.lit("error: malformed payload")).otherwise(F.col("status")))
+    """A landed unit whose fetch reported success but whose payload is missing, is not
+    valid JSON, or has not the payload's shape (an object with a text ``symbol``,
+    and for statements an array ``rows``) counts as a failed fetch, so the fetch
+    policies see it instead of it vanishing in a lenient parse. Parsed once."""
+    v = F.try_parse_json(F.col(body))
+    kind_of = lambda key: F.schema_of_variant(F.try_variant_get(F.col("_v"), key, "variant"))
+    rows_ok = (F.col("kind") == "calendar") | F.coalesce(kind_of("$.rows").startswith("ARRAY<"), F.lit(False))
+    shape_ok = F.coalesce(kind_of("$.symbol") == "STRING", F.lit(False)) & rows_ok
+    reason = (F.when(F.col("_v").isNull(), "error: malformed payload").when(~shape_ok, "error: unexpected payload"))
+    return (units.withColumn("_v", v)
+            .withColumn("status", F.when(F.col("status") == "ok", F.coalesce(reason, F.lit("ok"))).otherwise(F.col("status")))
+            .drop("_v"))
 
 
 def fetch_ok(units: DataFrame) -> DataFrame:
@@ -128,10 +135,9 @@ def fetch_ok(units: DataFrame) -> DataFrame:
     return units.filter(F.col("status") == "ok")
 
 
-def fetch_errors(units: DataFrame, unit: Sequence[str] = ("symbol", "kind")) -> DataFrame:
-    """SRC-9: one row per failed unit (symbol, statement type, error)."""
-    return (units.filter(F.col("status") != "ok").groupBy(*unit)
-            .agg(F.min("status").alias("error")))
+def fetch_errors(units: DataFrame, unit: Sequence[str] = ("seq", "symbol", "kind")) -> DataFrame:
+    """SRC-9: one row per failed unit (place, symbol, statement type, error)."""
+    return units.filter(F.col("status") != "ok").select(*unit, F.col("status").alias("error"))
 
 
 def cut_at_first_failure(units: DataFrame, order: Sequence[str]) -> DataFrame:

@@ -15,14 +15,15 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from marketlake.operators import frames as FR
 from marketlake.operators import rows as R
-from marketlake.session import require_utc, scratch_dir
-from marketlake.streaming.tables import KeyedTable
+from marketlake.session import require_utc
+from marketlake.streaming.tables import DIRECT, KeyedTable, read_if_any
 
 
 def run_concurrently(*writes: Callable[[], None]) -> None:
@@ -30,13 +31,15 @@ def run_concurrently(*writes: Callable[[], None]) -> None:
 
     They read the same cached batch, so overlapping them fills the executors
     instead of running small jobs one after the other. The first failure is
-    raised after all have finished (each write is idempotent per batch id).
+    raised after all have finished (each write is idempotent per batch id). The
+    threads inherit the streaming query's job properties, so its stop cancels them.
     """
     if len(writes) == 1:
         writes[0]()
         return
     with ThreadPoolExecutor(max_workers=len(writes)) as pool:
-        futures = [pool.submit(w) for w in writes]
+        inherit = inheritable_thread_target(SparkSession.active())
+        futures = [pool.submit(inherit(w)) for w in writes]
         errors = [f.exception() for f in futures]
     for e in errors:
         if e is not None:
@@ -56,10 +59,18 @@ class Sink(Protocol):
     def handle_batch(self, df: DataFrame, batch_id: int) -> None: ...
 
 
-def _write_log(df: DataFrame, path: str, batch_id: int) -> None:
-    """Append one batch to a batch-partitioned log, replacing it on replay."""
-    (df.withColumn("_batch_id", F.lit(int(batch_id)).cast("bigint"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch_id").parquet(path))
+def _write_log(df: DataFrame, path: str, run: str, batch_id: int) -> None:
+    """Append one batch of a run to a partitioned log, replacing it on replay."""
+    (df.withColumn("_run", F.lit(run)).withColumn("_batch_id", F.lit(int(batch_id)).cast("bigint"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_run", "_batch_id").parquet(path))
+
+
+def _earlier(spark: SparkSession, path: str, run: str, batch_id: int) -> DataFrame | None:
+    """What earlier batches of the same run logged; None where nothing was."""
+    rows = read_if_any(spark, path)
+    if rows is None:
+        return None
+    return rows.filter((F.col("_run").cast("string") == F.lit(run)) & (F.col("_batch_id") < F.lit(int(batch_id))))
 
 
 class _Compacting:
@@ -68,6 +79,8 @@ class _Compacting:
 
     tables: tuple = ()
     compact_every: int | None = None
+    #: Set by the pipeline to its query's id: writes of different runs never meet.
+    run_id: str = DIRECT
 
     def _maybe_compact(self, spark: SparkSession, batch_id: int) -> None:
         n = self.compact_every
@@ -101,14 +114,12 @@ class AlpacaTableSink(_Compacting):
         ends_path = f"{self.root}/conn_ends"
         ends = (df.filter(F.col("kind").isin(*SF.END_KINDS)).groupBy("conn")
                 .agg(F.min("frame_no").alias("_end")))
-        write_ends = lambda: _write_log(ends, ends_path, batch_id)
-        try:
-            earlier = (spark.read.parquet(ends_path).filter(F.col("_batch_id") < F.lit(int(batch_id)))
-                       .groupBy("conn").agg(F.min("_end").alias("_prev")))
+        write_ends = lambda: _write_log(ends, ends_path, self.run_id, batch_id)
+        earlier = _earlier(spark, ends_path, self.run_id, batch_id)
+        if earlier is not None:
+            earlier = earlier.groupBy("conn").agg(F.min("_end").alias("_prev"))
             df = (df.join(earlier, on="conn", how="left")
                   .filter(F.col("_prev").isNull() | (F.col("frame_no") < F.col("_prev"))).drop("_prev"))
-        except Exception:  # noqa: BLE001 — no end recorded yet
-            pass
         return SF.capture_until_close(df), write_ends
 
     def handle_batch(self, df: DataFrame, batch_id: int) -> None:
@@ -122,14 +133,17 @@ class AlpacaTableSink(_Compacting):
             extra.append(write_ends)
         else:
             df = raw
+        if "conn" not in df.columns:
+            df = df.withColumn("conn", F.lit(None).cast("string"))
         # Parse once per micro-batch: the checked frames (validity + elements) are
         # cached and every table, the rejects and the error cut read from the cache.
         checked = FR.check_frames(df).persist()
+        cuts = None
         try:
             keep = [c for c in df.columns if c != "body"]
-            rejects = checked.filter(F.col("_reason").isNotNull()).select("frame_no", "body",
+            rejects = checked.filter(F.col("_reason").isNotNull()).select("conn", "frame_no", "body",
                                                                           F.col("_reason").alias("reason"))
-            writes = [lambda: _write_log(rejects, f"{self.root}/frame_rejects", batch_id), *extra]
+            writes = [lambda: _write_log(rejects, f"{self.root}/frame_rejects", self.run_id, batch_id), *extra]
             msgs = (checked.filter(F.col("_reason").isNull())
                     .select(*keep, F.posexplode("_elements").alias("pos", "msg"))
                     .withColumn("pos", F.col("pos").cast("bigint"))
@@ -137,30 +151,42 @@ class AlpacaTableSink(_Compacting):
                     .filter(F.col("kind").isin(*FR.DATA_TAGS)))
             parts = {"bars": (R.bars_rows(FR.bars(msgs)), 0), "quotes": (R.quotes_rows(FR.quotes(msgs)), 1),
                      "trades": (R.trades_rows(FR.trades(msgs)), 2)}
-            cuts = None
+            bad = None
+            for name, (rows, order) in parts.items():
+                b = rows.filter(F.col("_error").isNotNull()).select(
+                    "conn", "frame_no", "pos", F.lit(name).alias("table"), F.lit(order).alias("t"),
+                    F.col("_error").alias("reason"))
+                bad = b if bad is None else bad.unionByName(b)
+            # A frame is one connection's: frame numbers of different connections overlap.
+            frame = ["conn", "frame_no"]
+            lost = bad.drop("t")
             if self.policy == "abort_rest":
-                bad = None
-                for rows, order in parts.values():
-                    b = rows.filter(F.col("_error").isNotNull()).select(
-                        "frame_no", F.struct(F.lit(order).alias("t"), F.col("pos").alias("p")).alias("r"))
-                    bad = b if bad is None else bad.unionByName(b)
-                # One small row per frame that has an unwritable row; cached for the three writes.
-                cuts = bad.groupBy("frame_no").agg(F.min("r").alias("_cut")).persist()
+                # One small row per frame that has an unwritable row; cached for the writes.
+                cuts = bad.groupBy(*frame).agg(F.min(F.struct("t", F.col("pos").alias("p"))).alias("_cut")).persist()
+                lost = None
             for name, (rows, order) in parts.items():
                 if cuts is not None:
                     rank = F.struct(F.lit(order).alias("t"), F.col("pos").alias("p"))
-                    kept = (rows.join(cuts, on="frame_no", how="left")
-                            .filter(F.col("_cut").isNull() | (rank < F.col("_cut"))).drop("_cut"))
-                    kept = kept.filter(F.col("_error").isNull())
+                    c = cuts.select(F.col("conn").alias("_c"), F.col("frame_no").alias("_f"), "_cut")
+                    marked = (rows.join(c, F.col("conn").eqNullSafe(F.col("_c")) & (F.col("frame_no") == F.col("_f")), "left")
+                              .drop("_c", "_f"))
+                    stays = F.col("_cut").isNull() | (rank < F.col("_cut"))
+                    kept = marked.filter(stays & F.col("_error").isNull()).drop("_cut")
+                    gone = marked.filter(~stays).select(
+                        "conn", "frame_no", "pos", F.lit(name).alias("table"),
+                        F.coalesce("_error", F.lit("after an unwritable row")).alias("reason"))
+                    lost = gone if lost is None else lost.unionByName(gone)
                 else:
-                    kept = R.valid(rows)
+                    kept = rows.filter(F.col("_error").isNull())
                 writes.append(lambda t=KeyedTable(spark, self.root, name), d=kept.drop("_error"):
-                              t.write_batch(d, batch_id, ["frame_no", "pos"]))
+                              t.write_batch(d, batch_id, ["frame_no", "conn", "pos"], self.run_id))
+            # Every row that no table takes is recorded with its reason.
+            writes.append(lambda: _write_log(lost, f"{self.root}/row_rejects", self.run_id, batch_id))
             run_concurrently(*writes)
-            if cuts is not None:
-                cuts.unpersist()
             self._maybe_compact(spark, batch_id)
         finally:
+            if cuts is not None:
+                cuts.unpersist()
             checked.unpersist()
             raw.unpersist()
 
@@ -237,6 +263,7 @@ class PipelineBuilder:
         return self
 
     def checkpoint(self, path: str) -> PipelineBuilder:
+        """Where the stream keeps its progress (a shared folder; required)."""
         self._checkpoint = path
         return self
 
@@ -245,6 +272,8 @@ class PipelineBuilder:
         return self
 
     def start(self) -> PipelineHandle:
+        if not self._checkpoint:
+            raise ValueError("a pipeline needs checkpoint(path): it is what makes a restart go on instead of starting over")
         stream = self.source(self.spark, self._capacity)
         failed: list = []
         lock = threading.Lock()
@@ -256,18 +285,28 @@ class PipelineBuilder:
             except Exception as e:  # noqa: BLE001
                 if on_error == "fail":
                     raise
-                record = (int(batch_id), sink.name, (str(e).splitlines() or [""])[0][:500])
+                record = (int(batch_id), sink.name, str(e))
                 with lock:
                     failed.append(record)
                 if log_path:
                     (df.sparkSession.createDataFrame([record], "batch_id bigint, sink string, error string")
                      .write.mode("append").parquet(log_path))
 
-        ckpt = self._checkpoint or scratch_dir(self.spark, "checkpoint")
-        w = stream.writeStream.foreachBatch(run).option("checkpointLocation", ckpt).trigger(**self._trigger)
+        started = threading.Event()
+        query: list[StreamingQuery] = []
+
+        def named(df: DataFrame, batch_id: int) -> None:
+            started.wait()
+            if hasattr(sink, "run_id"):
+                sink.run_id = str(query[0].id)  # the same after a restart from the checkpoint
+            run(df, batch_id)
+
+        w = stream.writeStream.foreachBatch(named).option("checkpointLocation", self._checkpoint).trigger(**self._trigger)
         if self._name:
             w = w.queryName(self._name)
-        return PipelineHandle(w.start(), failed)
+        query.append(w.start())
+        started.set()
+        return PipelineHandle(query[0], failed)
 
 
 def pipeline(spark: SparkSession, source: Source, sink: Sink) -> PipelineBuilder:
@@ -303,13 +342,11 @@ class StatementTableSink(_Compacting):
 
         path = f"{self.root}/fetch_cut"
         first = units.filter(F.col("status") != "ok").agg(F.min("seq").alias("_cut")).filter("_cut IS NOT NULL")
-        _write_log(first, path, batch_id)
-        try:
-            earlier = (spark.read.parquet(path).filter(F.col("_batch_id") < F.lit(int(batch_id)))
-                       .agg(F.min("_cut")).scalar())
-            units = units.filter(earlier.isNull() | (F.col("seq") < earlier))
-        except Exception:  # noqa: BLE001 — no cut recorded yet
-            pass
+        _write_log(first, path, self.run_id, batch_id)
+        earlier = _earlier(spark, path, self.run_id, batch_id)
+        if earlier is not None:
+            cut = earlier.agg(F.min("_cut")).scalar()
+            units = units.filter(cut.isNull() | (F.col("seq") < cut))
         return ST.cut_at_first_failure(units, ["seq"])
 
     def handle_batch(self, df: DataFrame, batch_id: int) -> None:
@@ -322,20 +359,23 @@ class StatementTableSink(_Compacting):
         base = ST.check_units(df).persist()  # read once; the fail cut reads it again
         units = self._cut(spark, base, batch_id) if self.fetch_policy == "fail" else base
         try:
-            writes = [lambda: _write_log(ST.fetch_errors(units), f"{self.root}/fetch_errors", batch_id)]
+            # Failures are taken before the cut, which removes the failed unit itself.
+            writes = [lambda: _write_log(ST.fetch_errors(base), f"{self.root}/fetch_errors", self.run_id, batch_id)]
             ok = ST.fetch_ok(units)
             rejects = None
             for kind in ST.STATEMENT_KINDS:
                 rows = R.statement_rows(ST.scan_statements(ok, kind), kind)
                 table = KeyedTable(spark, self.root, R.STATEMENT_TABLES[kind][0])
-                writes.append(lambda t=table, d=R.valid(rows): t.write_batch(d, batch_id, ["seq", "pos"]))
+                writes.append(lambda t=table, d=R.valid(rows): t.write_batch(d, batch_id, ["seq", "pos"], self.run_id))
                 bad = R.invalid(rows).select("seq", "pos", F.lit(kind).alias("kind"), F.col("_error").alias("reason"))
                 rejects = bad if rejects is None else rejects.unionByName(bad)
-            writes.append(lambda: _write_log(rejects, f"{self.root}/statement_rejects", batch_id))
             cal = ST.calendar_unpivot(ST.scan_calendar(ok).drop("kind", "status"))
             cal = R.apply_constraints("calendar_dates", cal)
+            rejects = rejects.unionByName(R.invalid(cal).select("seq", F.col("ord").alias("pos"), F.lit("calendar").alias("kind"),
+                                                                F.col("_error").alias("reason")))
+            writes.append(lambda: _write_log(rejects, f"{self.root}/statement_rejects", self.run_id, batch_id))
             table = KeyedTable(spark, self.root, "calendar_dates")
-            writes.append(lambda: table.write_batch(R.valid(cal), batch_id, ["seq", "ord"]))
+            writes.append(lambda: table.write_batch(R.valid(cal), batch_id, ["seq", "ord"], self.run_id))
             run_concurrently(*writes)
             self._maybe_compact(spark, batch_id)
         finally:
@@ -364,13 +404,11 @@ class MarketTableSink(_Compacting):
         require_utc(spark)
         stops_path = f"{self.root}/walk_stops"
         pages = df
-        try:
-            earlier = (spark.read.parquet(stops_path).filter(F.col("_batch_id") < F.lit(int(batch_id)))
-                       .groupBy("walk_id").agg(F.min("_last").alias("_prev")))
+        earlier = _earlier(spark, stops_path, self.run_id, batch_id)
+        if earlier is not None:
+            earlier = earlier.groupBy("walk_id").agg(F.min("_last").alias("_prev"))
             pages = (pages.join(earlier, on="walk_id", how="left")
                      .filter(F.col("_prev").isNull() | (F.col("page_no") <= F.col("_prev"))).drop("_prev"))
-        except Exception:  # noqa: BLE001 — no stop recorded yet
-            pass
         pages = pages.persist()
         try:
             # AGG-1 in the stream: counted while the batch is written (no extra job).
@@ -382,10 +420,14 @@ class MarketTableSink(_Compacting):
             raw = P.raw_markets(walked)
             markets = R.market_rows(P.typed_markets(raw))
             table = KeyedTable(spark, self.root, "polymarket_markets")
+            # Elements that do not parse, and markets that the table's constraints refuse.
+            refused = R.invalid(markets).select("walk_id", "page_no", "pos", F.to_json(F.struct("condition_id")).alias("body"),
+                                                F.col("_error").alias("reason"))
+            rejects = P.market_rejects(raw).select(*refused.columns).unionByName(refused)
             run_concurrently(
-                lambda: table.write_batch(R.valid(markets), batch_id, ["walk_id", "page_no", "pos"]),
-                lambda: _write_log(P.market_rejects(raw), f"{self.root}/market_rejects", batch_id),
-                lambda: _write_log(stops, stops_path, batch_id))
+                lambda: table.write_batch(R.valid(markets), batch_id, ["walk_id", "page_no", "pos"], self.run_id),
+                lambda: _write_log(rejects, f"{self.root}/market_rejects", self.run_id, batch_id),
+                lambda: _write_log(stops, stops_path, self.run_id, batch_id))
             self.counters.append({"batch_id": int(batch_id), **obs.get})
             self._maybe_compact(spark, batch_id)
         finally:

@@ -1,33 +1,53 @@
 """Keyed tables on plain Parquet (SNK-1..3, SNK-9, SNK-10).
 
 Built-in Parquet tables have no ``MERGE``; a table here is an append-only log
-partitioned by ``_batch_id``. Each micro-batch is written with dynamic
-partition overwrite, so a replayed batch (after a restart from the
-checkpoint, or a lost executor) replaces itself instead of adding rows:
-writes are idempotent. Reading resolves the log per key:
+partitioned by ``_run`` (the stable id of the streaming query that wrote it) and
+``_batch_id``. Each micro-batch is written with dynamic partition overwrite, so a
+replayed batch (after a restart from the checkpoint, or a lost executor) replaces
+itself and nothing else: another run, or another pipeline on the same root, adds
+to the table. Reading resolves the log per key:
 
 * ``append``: every row;
 * ``insert_ignore``: the first arrival per key (``ON CONFLICT DO NOTHING``);
 * ``upsert``: the last arrival per key, surrogate ``id`` of the first
   (``ON CONFLICT DO UPDATE``, ``received_at`` refreshed).
 
-Arrival order is ``(_batch_id, _seq)``; it is data, so the result does not
-depend on partitioning or on task order. The writer reduces each batch to one
-row per key before writing, so the log grows with distinct keys per batch, not
-with duplicates; ``compact()`` folds the log into a versioned snapshot, after
-which reads resolve only the newer batches.
+Arrival order is ``(_at, _run, _batch_id, _seq)``, where ``_at`` is the time the batch
+was handed to the table; it is data, so the result does not depend on
+partitioning or on task order. The writer reduces each batch to one row per key
+before writing, so the log grows with distinct keys per batch, not with
+duplicates; ``compact()`` folds the log into a versioned snapshot and notes, for
+each run, the last batch it holds, after which reads resolve only the others.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.operators import keyed
 from marketlake.schemas import TABLE_COLUMNS, TABLE_KEYS
 
+#: The run id of writes that no streaming query makes.
+DIRECT = "direct"
+
+
+def read_if_any(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``; None where there is no folder or no data file yet.
+    Any other failure (an unreadable file, lost storage) is raised, never taken for
+    an empty table."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 class KeyedTable:
     """One table folder ``<root>/<name>`` (a shared path on a cluster)."""
 
@@ -40,41 +60,40 @@ class KeyedTable:
         self.path = f"{root.rstrip('/')}/{name}"
 
     # ---------------------------------------------------------------- write
-    def write_batch(self, rows: DataFrame, batch_id: int, seq: Sequence[str]) -> None:
-        """Write one batch; ``seq`` names the arrival-order columns of ``rows``."""
+    def write_batch(self, rows: DataFrame, batch_id: int, seq: Sequence[str], run: str = DIRECT) -> None:
+        """Write one batch of ``run``; ``seq`` names the arrival-order columns of ``rows``."""
         df = rows.withColumn("_seq", F.struct(*seq))
         if self.mode == "insert_ignore":
             df = keyed.top_per_key(df, self.key, ["_seq"], last=False)
         elif self.mode == "upsert":
             df = keyed.top_per_key(df, self.key, ["_seq"], last=True)
-        ident = F.xxhash64(*self.key) if self.key else F.xxhash64(F.lit(batch_id), F.col("_seq"))
+        place = F.xxhash64(F.lit(run), F.lit(int(batch_id)), F.col("_seq"))
+        ident = F.when(keyed.any_null(self.key), place).otherwise(F.xxhash64(*self.key)) if self.key else place
         cols = [c for c in TABLE_COLUMNS[self.name].fieldNames()] if self.name in TABLE_COLUMNS else \
             [c for c in rows.columns if c not in seq]
         out = df.select(ident.alias("id"), *cols, F.current_timestamp().cast("timestamp_ntz").alias("received_at"),
-                        "_seq", F.lit(int(batch_id)).cast("bigint").alias("_batch_id"))
+                        "_seq", F.lit(time.time_ns() // 1000).alias("_at"), F.lit(run).alias("_run"),
+                        F.lit(int(batch_id)).cast("bigint").alias("_batch_id"))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("_batch_id").parquet(self.path))
+         .partitionBy("_run", "_batch_id").parquet(self.path))
 
     # ---------------------------------------------------------------- read
     def exists(self) -> bool:
-        try:
-            self.spark.read.parquet(self.path).schema  # noqa: B018
-            return True
-        except Exception:  # noqa: BLE001 — missing folder
-            return False
+        """Whether any batch was written."""
+        return read_if_any(self.spark, self.path) is not None
 
     def _empty(self) -> DataFrame:
         schema = TABLE_COLUMNS[self.name]
         return self.spark.createDataFrame([], schema).select(
             F.lit(None).cast("bigint").alias("id"), *schema.fieldNames(),
             F.lit(None).cast("timestamp_ntz").alias("received_at"), F.lit(None).alias("_seq"),
+            F.lit(None).cast("bigint").alias("_at"), F.lit(None).cast("string").alias("_run"),
             F.lit(None).cast("bigint").alias("_batch_id"))
 
     def log(self) -> DataFrame:
-        """Every written row (all batches), or an empty frame of the table's schema."""
-        if not self.exists():
-            return self._empty()
-        return self.spark.read.parquet(self.path)
+        """Every written row (all runs and batches), or an empty frame of the table's schema."""
+        rows = read_if_any(self.spark, self.path)
+        return self._empty() if rows is None else rows.withColumn("_run", F.col("_run").cast("string"))
 
     # ---------------------------------------------------------------- snapshots
     @property
@@ -85,34 +104,45 @@ class KeyedTable:
     def manifest(self) -> str:
         return self.snapshot_root + "/_manifest"
 
+    def _folded(self) -> tuple[int | None, dict[str, int]]:
+        """The last complete snapshot and, for each run, the last batch in it (one row
+        for each run). A version is listed only after its snapshot was written, so
+        a compaction that died half-way is never read."""
+        rows = read_if_any(self.spark, self.manifest)
+        if rows is None:
+            return None, {}
+        version = rows.agg(F.max("version")).first()[0]
+        return version, {r["run"]: r["till"] for r in rows.filter(F.col("version") == version).collect()}
+
     def latest_snapshot(self) -> int | None:
-        """Highest batch id folded into a complete snapshot. A version is listed in
-        the manifest only after its snapshot was written, so a compaction that
-        died half-way is never read."""
-        try:
-            return self.spark.read.parquet(self.manifest).agg(F.max("version")).first()[0]
-        except Exception:  # noqa: BLE001 — no manifest yet
-            return None
+        return self._folded()[0]
 
     def _resolve(self, rows: DataFrame) -> DataFrame:
-        order = ["_batch_id", "_seq"]
+        order = ["_at", "_run", "_batch_id", "_seq"]
         if self.mode == "append":
             return rows
         return keyed.top_per_key(rows, self.key, order, last=(self.mode == "upsert"))
 
+    def _newer(self, folded: dict[str, int]) -> DataFrame:
+        """Log rows of batches that no snapshot holds (a filter on partition columns)."""
+        rows = self.log()
+        for run, till in folded.items():
+            rows = rows.filter((F.col("_run") != F.lit(run)) | (F.col("_batch_id") > F.lit(till)))
+        return rows
+
     def read(self) -> DataFrame:
         """The table as the reference's database would hold it.
 
         Without a snapshot the whole log is resolved (one shuffle on the key).
-        With one, only log batches newer than it are resolved (the ``_batch_id``
-        filter prunes partitions) and merged with the snapshot through an anti
-        join on the key columns, so the snapshot's rows are not re-sorted.
+        With one, only log batches that it does not hold are resolved (the filter
+        prunes partitions) and merged with the snapshot through an anti join on
+        the key columns, so the snapshot's rows are not re-sorted.
         """
-        v = self.latest_snapshot()
-        if v is None:
+        version, folded = self._folded()
+        if version is None:
             return self._resolve(self.log())
-        snap = self.spark.read.parquet(f"{self.snapshot_root}/v={v}")
-        newer = self._resolve(self.log().filter(F.col("_batch_id") > F.lit(v)))
+        snap = self.spark.read.parquet(f"{self.snapshot_root}/v={version}")
+        newer = self._resolve(self._newer(folded))
         if self.mode == "append":
             return snap.unionByName(newer)
         if self.mode == "insert_ignore":
@@ -122,16 +152,20 @@ class KeyedTable:
         return kept.unionByName(newer)
 
     def compact(self) -> int | None:
-        """Fold every written batch into a new snapshot ``v=<last batch id>`` (the log
-        is kept; a read then resolves only batches after it). Idempotent."""
-        last = self.log().agg(F.max("_batch_id")).first()[0]
-        if last is None or last == self.latest_snapshot():
-            return self.latest_snapshot()
-        self.read().filter(F.col("_batch_id") <= F.lit(last)).write.mode("overwrite").parquet(
-            f"{self.snapshot_root}/v={int(last)}")
-        (self.spark.createDataFrame([(int(last),)], "version bigint")
-         .write.mode("append").parquet(self.manifest))
-        return int(last)
+        """Fold every written batch into a new snapshot (the log is kept; a read then
+        resolves only batches written later). Without such batches nothing is done."""
+        version, folded = self._folded()
+        last = {r["_run"]: r["till"] for r in self.log().groupBy("_run").agg(F.max("_batch_id").alias("till")).collect()}
+        if all(folded.get(run, -1) >= till for run, till in last.items()):
+            return version
+        new = (version or 0) + 1
+        held = F.lit(False)
+        for run, till in last.items():  # batches that land meanwhile stay in the log
+            held = held | ((F.col("_run") == F.lit(run)) & (F.col("_batch_id") <= F.lit(till)))
+        self.read().filter(held).write.mode("overwrite").parquet(f"{self.snapshot_root}/v={new}")
+        (self.spark.createDataFrame([(new, run, till) for run, till in last.items()], "version bigint, run string, till bigint")
+         .coalesce(1).write.mode("append").parquet(self.manifest))
+        return new
 
 
 def init_schema(spark: SparkSession, root: str, names: Sequence[str] | None = None) -> list[str]:
@@ -142,8 +176,9 @@ def init_schema(spark: SparkSession, root: str, names: Sequence[str] | None = No
         t = KeyedTable(spark, root, name)
         if t.exists():
             continue
-        # An empty log partitioned like the batches (the folder, no data file);
-        # ``log()`` gives the fixed schema until the first batch lands.
-        (t._empty().drop("_seq").write.mode("overwrite").partitionBy("_batch_id").parquet(t.path))
+        # An empty log partitioned like the batches (the folder, no data file): an
+        # append, which never removes anything. ``log()`` gives the fixed schema
+        # until the first batch lands.
+        (t._empty().drop("_seq").write.mode("append").partitionBy("_run", "_batch_id").parquet(t.path))
         made.append(name)
     return made

@@ -42,7 +42,7 @@ class Recorder:
 def test_order_and_completeness(spark):
     path = _land(spark, [["alpha", "beta"], ["gamma"]])
     rec = Recorder()
-    h = pipeline(spark, streams.file_source(path), rec).channel_capacity(1).start().wait()
+    h = pipeline(spark, streams.file_source(path), rec).channel_capacity(1).checkpoint(scratch_dir(spark, "ckpt")).start().wait()
     assert h.error is None
     assert rec.seen == [(0, ["alpha", "beta"]), (1, ["gamma"])]
 
@@ -51,7 +51,7 @@ def test_continue_after_sink_error(spark):
     path = _land(spark, [["first"], ["second"]])
     rec = Recorder(fail_first=True)
     h = (pipeline(spark, streams.file_source(path), rec).channel_capacity(1).on_sink_error("continue")
-         .start().wait())
+         .checkpoint(scratch_dir(spark, "ckpt")).start().wait())
     assert h.error is None and rec.calls == 2
     assert rec.seen == [(1, ["second"])]
     assert [b for b, _, _ in h.failed_batches] == [0]
@@ -61,7 +61,7 @@ def test_failed_batches_are_logged(spark):
     path = _land(spark, [["first"], ["second"]])
     log = scratch_dir(spark, "failed")
     h = (pipeline(spark, streams.file_source(path), Recorder(fail_first=True)).channel_capacity(1)
-         .on_sink_error("continue").failure_log(log).start().wait())
+         .on_sink_error("continue").failure_log(log).checkpoint(scratch_dir(spark, "ckpt")).start().wait())
     assert h.error is None
     rows = spark.read.parquet(log).collect()
     assert [(r.batch_id, r.sink, r.error) for r in rows] == [(0, "recorder", "sink down")]
@@ -71,7 +71,7 @@ def test_source_failure_keeps_earlier_batches(spark):
     path = _land(spark, [["only"], ["never sent"]])
     rec = Recorder()
     src = streams._custom_source(path, fail_at=1)
-    h = pipeline(spark, src, rec).channel_capacity(1).trigger(processingTime="0 seconds").start().drain()
+    h = pipeline(spark, src, rec).channel_capacity(1).trigger(processingTime="0 seconds").checkpoint(scratch_dir(spark, "ckpt")).start().drain()
     assert h.error is not None
     assert rec.seen == [(0, ["only"])]
 
@@ -106,7 +106,7 @@ def test_market_walk_stop_kept_across_batches(spark):
         os.utime(f, (1_700_000_000 + i, 1_700_000_000 + i))
     root = scratch_dir(spark, "tables")
     h = (pipeline(spark, streams._json_source(path, streams.PAGE_SCHEMA), MarketTableSink(root))
-         .channel_capacity(1).start().wait())
+         .channel_capacity(1).checkpoint(scratch_dir(spark, "ckpt")).start().wait())
     assert h.error is None
     got = {r.condition_id: r.question for r in KeyedTable(spark, root, "polymarket_markets").read().collect()}
     assert got == {"a": "q1"}
@@ -138,7 +138,7 @@ def test_compaction_during_stream_keeps_result(spark):
     init_schema(spark, root, ["bars", "quotes", "trades"])
     landed = streams.land_frames(spark, SF_SMALL)
     h = (pipeline(spark, streams.file_source(landed), AlpacaTableSink(root, compact_every=2))
-         .channel_capacity(2).start().wait())
+         .channel_capacity(2).checkpoint(scratch_dir(spark, "ckpt")).start().wait())
     assert h.error is None
     t = KeyedTable(spark, root, "bars")
     assert t.latest_snapshot() is not None
@@ -154,7 +154,7 @@ def test_market_stream_counts_pages_with_observe(spark):
 
     landed = streams._land(markets.fx.fx_pages(spark, SF_SMALL), spark, "landed-pages", ["walk_id", "page_no"])
     sink = MarketTableSink(scratch_dir(spark, "tables"))
-    h = pipeline(spark, streams._json_source(landed, streams.PAGE_SCHEMA), sink).channel_capacity(2).start().wait()
+    h = pipeline(spark, streams._json_source(landed, streams.PAGE_SCHEMA), sink).channel_capacity(2).checkpoint(scratch_dir(spark, "ckpt")).start().wait()
     assert h.error is None and len(sink.counters) >= 2
     from pyspark.sql import functions as F
 
@@ -185,7 +185,7 @@ def test_connection_end_kept_across_batches(spark):
         os.utime(f, (1_700_000_000 + i, 1_700_000_000 + i))
     root = scratch_dir(spark, "tables")
     init_schema(spark, root, ["bars", "quotes", "trades"])
-    h = pipeline(spark, streams.file_source(path), AlpacaTableSink(root)).channel_capacity(1).start().wait()
+    h = pipeline(spark, streams.file_source(path), AlpacaTableSink(root)).channel_capacity(1).checkpoint(scratch_dir(spark, "ckpt")).start().wait()
     assert h.error is None
     assert sorted(r.symbol for r in KeyedTable(spark, root, "bars").read().collect()) == ["A0", "B4"]
 
@@ -224,7 +224,7 @@ def test_statement_stream_fail_policy_cuts_across_batches(spark):
     for policy, expect in (("fail", ["A", "B", "C"]), ("skip", ["A", "B", "C", "E", "F"])):
         root = scratch_dir(spark, "tables")
         h = (pipeline(spark, streams._json_source(path, streams.UNIT_SCHEMA),
-                      StatementTableSink(root, fetch_policy=policy)).channel_capacity(1).start().wait())
+                      StatementTableSink(root, fetch_policy=policy)).channel_capacity(1).checkpoint(scratch_dir(spark, "ckpt")).start().wait())
         assert h.error is None
         got = sorted(r.symbol for r in KeyedTable(spark, root, "quarterly_income_statements").read().collect())
         assert got == expect, policy

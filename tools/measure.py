@@ -65,7 +65,7 @@ def main(argv):
 
     landed = streams.land_frames(spark, sf_dir)
     h = (pipeline(spark, streams.file_source(landed), AlpacaTableSink(scratch_dir(spark, "tables")))
-         .channel_capacity(2).start().wait())
+         .channel_capacity(2).checkpoint(scratch_dir(spark, "checkpoint")).start().wait())
     durations = [p["durationMs"]["triggerExecution"] for p in h.progress() if p["numInputRows"]]
 
     print(json.dumps({
