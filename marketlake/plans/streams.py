@@ -26,19 +26,26 @@ from marketlake.streaming.tables import KeyedTable, init_schema
 BAR_COLS = ["symbol", "open", "high", "low", "close", "volume", "timestamp", "trade_count", "vwap"]
 
 
-def land_frames(spark, sf_dir, files: int = 8) -> str:
+def land_frames(spark, sf_dir, files: int = 8, broken: int | None = None) -> str:
     """Write fx_frames as a collector would: JSON lines ``(conn, frame_no, kind,
     body)`` in ``files`` consecutive ranges of arrival, one file per
     ``bucket=<i>`` folder (bucket = frame_no * files // frames, so which frames
-    share a file is known exactly). On a local folder the file times are set in
+    share a file is known exactly); the frames of bucket ``broken`` land with a text
+    where their number should be. On a local folder the file times are set in
     arrival order too (a collector writes them one after the other)."""
     path = scratch_dir(spark, "landed")
     f = fx.fx_frames(spark, sf_dir)
     n = f.select(F.max("frame_no") + 1).scalar()
-    (f.select(F.lit("c0").alias("conn"), "frame_no", F.lit(SF.TEXT_KIND).alias("kind"), "body",
-              (F.col("frame_no") * files / n).cast("int").alias("bucket"))
-     .repartition("bucket").sortWithinPartitions("frame_no")
-     .write.mode("overwrite").partitionBy("bucket").json(path))
+    rows = f.select(F.lit("c0").alias("conn"), "frame_no", F.lit(SF.TEXT_KIND).alias("kind"), "body",
+                    (F.col("frame_no") * files / n).cast("int").alias("bucket"))
+
+    def land(some: DataFrame) -> None:
+        (some.repartition("bucket").sortWithinPartitions("frame_no")
+         .write.mode("append").partitionBy("bucket").json(path))
+
+    land(rows if broken is None else rows.filter(F.col("bucket") != broken))
+    if broken is not None:
+        land(rows.filter(F.col("bucket") == broken).withColumn("frame_no", F.lit("broken")))
     _order_file_times(path)
     return path
 
@@ -187,14 +194,13 @@ def q_sink_failure_continue(spark, sf_dir):
     return bars_table(spark, root)
 
 
-def _custom_source(path: str, fail_at: int | None = None):
+def _custom_source(path: str, progress: str | None = None):
     def make(spark, capacity):
         name = custom.register(spark)
         r = spark.readStream.format(name).option("path", path)
         if capacity:
-            r = r.option("maxFilesPerTrigger", capacity)
-        if fail_at is not None:
-            r = r.option("failAtFile", fail_at)
+            r = (r.option("maxFilesPerTrigger", capacity)
+                 .option("progressPath", progress or scratch_dir(spark, "progress")))
         return r.load()
     return make
 
@@ -210,11 +216,11 @@ def q_custom_source(spark, sf_dir):
 
 
 def q_source_failure_drain(spark, sf_dir):
-    """STR-5: the source fails reading its 4th file (one file per micro-batch);
-    the batches already handed over stay written and the failure is kept on the
-    handle instead of being lost."""
-    landed = land_frames(spark, sf_dir)
-    root, handle = run_alpaca(spark, sf_dir, capacity=1, source=_custom_source(landed, fail_at=3))
+    """STR-5: the source fails reading its 4th file, which is not what it should be
+    (one file per micro-batch); the batches already handed over stay written and
+    the failure is kept on the handle instead of being lost."""
+    landed = land_frames(spark, sf_dir, broken=3)
+    root, handle = run_alpaca(spark, sf_dir, capacity=1, source=_custom_source(landed))
     return bars_table(spark, root).withColumn("source_failed", F.lit(handle.error is not None))
 
 

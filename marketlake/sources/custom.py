@@ -1,10 +1,15 @@
 """Pluggable source (SRC-10) with the Python Data Source API.
 
 ``LandedFramesSource`` streams landed frame files (JSON lines with ``conn``,
-``frame_no``, ``kind``, ``body``) one offset per file, in file-name order, and
-reads each file in a task on an executor (the path must be shared storage).
-Options: ``path``; ``maxFilesPerTrigger`` (admission bound, STR-2);
-``failAtFile`` (raise when that file is read — a source failure, STR-5).
+``frame_no``, ``kind``, ``body``) one offset per file, in the order the files
+arrived (modification time, then name), so a file that lands late comes last
+whatever its name, and reads each file in a task on an executor (the path must be
+a mounted shared folder). Options: ``path``; ``maxFilesPerTrigger`` (admission bound,
+STR-2), which needs ``progressPath``, a folder of the stream's own (beside its
+checkpoint). A file that is not what it should be fails the read (STR-5).
+
+Spark does not tell a restarted reader where the stream stands, so a reader with a
+limit notes the last offset it planned there and goes on from it.
 
 It is the extension point a user writes for a feed Spark has no connector
 for; built-in file sources stay the fast path.
@@ -30,18 +35,17 @@ def _local(path: str) -> str:
 
 
 def _list(path: str) -> list[str]:
-    """Landed files under ``path`` (sub-folders included), in path order."""
+    """Landed files under ``path`` (sub-folders included), in order of arrival."""
     p = _local(path)
-    return sorted(os.path.join(d, f) for d, _, fs in os.walk(p) for f in fs if f.endswith(".json"))
+    files = [os.path.join(d, f) for d, _, fs in os.walk(p) for f in fs if f.endswith(".json")]
+    return sorted(files, key=lambda f: (os.stat(f).st_mtime_ns, f))
 
 
-def _read(part: _FilePartition, fail_at: int | None):
+def _read(part: _FilePartition):
     """Read one landed file as Arrow record batches (no per-row Python objects)."""
     import pyarrow as pa
     from pyarrow import json as pj
 
-    if fail_at is not None and part.index == fail_at:
-        raise RuntimeError(f"source failed reading {os.path.basename(part.path)}")
     schema = pa.schema([("conn", pa.string()), ("frame_no", pa.int64()), ("kind", pa.string()),
                         ("body", pa.string())])
     table = pj.read_json(part.path, parse_options=pj.ParseOptions(explicit_schema=schema,
@@ -53,8 +57,17 @@ class _StreamReader(DataSourceStreamReader):
     def __init__(self, options):
         self.path = options["path"]
         self.max_files = int(options.get("maxFilesPerTrigger", 0) or 0)
-        self.fail_at = int(options["failAtFile"]) if "failAtFile" in options else None
-        self._end = 0
+        self.progress = options.get("progressPath")
+        if self.max_files and not self.progress:
+            raise ValueError("maxFilesPerTrigger needs progressPath")
+        self._end = self._noted()
+
+    def _noted(self) -> int:
+        try:
+            with open(os.path.join(_local(self.progress), "end")) as f:
+                return int(f.read())
+        except (TypeError, AttributeError, FileNotFoundError):  # no folder named, or nothing planned yet
+            return 0
 
     def initialOffset(self) -> dict:
         return {"file": 0}
@@ -65,11 +78,18 @@ class _StreamReader(DataSourceStreamReader):
         return {"file": self._end}
 
     def partitions(self, start: dict, end: dict):
+        self._end = max(self._end, end["file"])
+        if self.progress:
+            folder = _local(self.progress)
+            os.makedirs(folder, exist_ok=True)
+            with open(os.path.join(folder, "end.tmp"), "w") as f:
+                f.write(str(end["file"]))
+            os.replace(os.path.join(folder, "end.tmp"), os.path.join(folder, "end"))
         files = _list(self.path)
         return [_FilePartition(i, files[i]) for i in range(start["file"], end["file"])]
 
     def read(self, partition):
-        return _read(partition, self.fail_at)
+        return _read(partition)
 
     def commit(self, end: dict) -> None:
         pass
@@ -83,7 +103,7 @@ class _BatchReader(DataSourceReader):
         return [_FilePartition(i, f) for i, f in enumerate(_list(self.path))]
 
     def read(self, partition):
-        return _read(partition, None)
+        return _read(partition)
 
 
 class LandedFramesSource(DataSource):

@@ -3,8 +3,8 @@
 Landed form: ``(walk_id, page_no, body)``, one row per fetched page, where the
 body is ``{"data": [market...], "next_cursor": "..."}``. A walk reads pages in
 ``page_no`` order and stops after the first page whose cursor is missing, not
-a string or empty; a page that is not valid JSON ends the walk before it. A
-page without a ``data`` array contributes nothing, but the walk goes on.
+a string or empty; a page that is not valid JSON ends the walk before it (see
+``page_rejects``; Spark's VARIANT counts a repeated key as invalid). A page without a ``data`` array contributes nothing, but the walk goes on.
 
 The stop page of each walk is one ``groupBy(walk_id).agg(min)`` (partial
 aggregation on the map side, one row per walk) joined back to the pages; AQE
@@ -61,12 +61,18 @@ def read_pages_stream(spark: SparkSession, path: str, fmt: str = "json",
     return r.format(fmt).load(path)
 
 
-def _strict_json(body: Column) -> Column:
-    """The body as VARIANT when it is exactly one JSON value, else NULL."""
-    wrapped = F.try_parse_json(F.concat(F.lit("["), body, F.lit("]")))
-    closed = F.try_parse_json(F.concat(F.lit('{"w":'), body, F.lit("}"))).isNotNull()
-    one = F.coalesce(closed & (F.size(F.try_variant_get(wrapped, "$", "array<variant>")) == 1), F.lit(False))
-    return F.when(one, F.try_variant_get(wrapped, "$[0]", "variant"))
+def parse_pages(pages: DataFrame, body: str = "body") -> DataFrame:
+    """Adds ``_page`` (pages that have it are left as they are): the body as VARIANT when it is exactly one JSON value, else NULL.
+    Each of the two parses (one would let text after the value pass) runs once. A
+    repeated key makes a text no JSON here."""
+    if "_page" in pages.columns:
+        return pages
+    text = F.col(body)
+    both = _once(pages, pages.columns, _w=F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))),
+                 _closed=F.try_parse_json(F.concat(F.lit('{"w":'), text, F.lit("}"))).isNotNull())
+    values = F.try_variant_get("_w", "$", "array<variant>")
+    one = F.coalesce(F.col("_closed") & (F.size(values) == 1), F.lit(False))
+    return both.select(*pages.columns, F.when(one, F.try_variant_get("_w", "$[0]", "variant")).alias("_page"))
 
 
 def _stops(parsed: DataFrame, walk: str, page: str) -> DataFrame:
@@ -81,18 +87,18 @@ def _stops(parsed: DataFrame, walk: str, page: str) -> DataFrame:
 
 def walk_stops(pages: DataFrame, walk: str = "walk_id", page: str = "page_no", body: str = "body") -> DataFrame:
     """``(walk, _last)``: the last page each walk reads (NULL: not stopped yet)."""
-    return _stops(_once(pages, pages.columns, _page=_strict_json(F.col(body))), walk, page)
+    return _stops(parse_pages(pages, body), walk, page)
 
 
 def walked_pages(pages: DataFrame, walk: str = "walk_id", page: str = "page_no", body: str = "body") -> DataFrame:
     """SRC-4: the pages a cursor walk reads, with ``page`` (VARIANT) and ``raw_markets``."""
     p = F.col("_page")
-    parsed = _once(pages, pages.columns, _page=_strict_json(F.col(body)))
+    parsed = parse_pages(pages, body)
     stops = _stops(parsed, walk, page)
     data = F.try_variant_get(p, "$.data", "array<variant>")
     return (parsed.join(stops, on=walk, how="left")
             .filter(F.col("_last").isNull() | (F.col(page) <= F.col("_last")))
-            .select(*[c for c in pages.columns if c != body], p.alias("page"),
+            .select(*[c for c in pages.columns if c not in (body, "_page")], p.alias("page"),
                     F.size(data).alias("raw_markets"))
             .withColumn("raw_markets", F.when(F.col("raw_markets") >= 0, F.col("raw_markets"))))
 
@@ -130,6 +136,12 @@ def typed_markets(raw: DataFrame) -> DataFrame:
     return raw.filter("valid").select(*keep, *[cols[c].alias(c) for c in MARKET_COLUMNS])
 
 
+def page_rejects(pages: DataFrame, walk: str = "walk_id", page: str = "page_no", body: str = "body") -> DataFrame:
+    """Pages that are not valid JSON, and so end their walk, with their text."""
+    return (parse_pages(pages, body).filter(F.col("_page").isNull())
+            .select(walk, page, F.lit(None).cast("bigint").alias("pos"), body, F.lit("malformed page").alias("reason")))
+
+
 def market_rejects(raw: DataFrame) -> DataFrame:
     """FLT-3: elements skipped, kept for inspection with their JSON text."""
     keep = [c for c in raw.columns if c not in ("m", "valid")]

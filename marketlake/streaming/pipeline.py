@@ -409,7 +409,7 @@ class MarketTableSink(_Compacting):
             earlier = earlier.groupBy("walk_id").agg(F.min("_last").alias("_prev"))
             pages = (pages.join(earlier, on="walk_id", how="left")
                      .filter(F.col("_prev").isNull() | (F.col("page_no") <= F.col("_prev"))).drop("_prev"))
-        pages = pages.persist()
+        pages = P.parse_pages(pages).persist()  # the parsed pages: every write reads them from the cache
         try:
             # AGG-1 in the stream: counted while the batch is written (no extra job).
             obs = Observation(f"ingest-{int(batch_id)}")
@@ -420,10 +420,11 @@ class MarketTableSink(_Compacting):
             raw = P.raw_markets(walked)
             markets = R.market_rows(P.typed_markets(raw))
             table = KeyedTable(spark, self.root, "polymarket_markets")
-            # Elements that do not parse, and markets that the table's constraints refuse.
+            # Pages and elements that do not parse, and markets that the table's constraints refuse.
             refused = R.invalid(markets).select("walk_id", "page_no", "pos", F.to_json(F.struct("condition_id")).alias("body"),
                                                 F.col("_error").alias("reason"))
-            rejects = P.market_rejects(raw).select(*refused.columns).unionByName(refused)
+            rejects = (P.market_rejects(raw).select(*refused.columns).unionByName(refused)
+                       .unionByName(P.page_rejects(pages)))
             run_concurrently(
                 lambda: table.write_batch(R.valid(markets), batch_id, ["walk_id", "page_no", "pos"], self.run_id),
                 lambda: _write_log(rejects, f"{self.root}/market_rejects", self.run_id, batch_id),

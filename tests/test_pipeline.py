@@ -69,13 +69,33 @@ def test_failed_batches_are_logged(spark):
 
 def test_source_failure_keeps_earlier_batches(spark):
     path = _land(spark, [["only"], ["never sent"]])
+    local = path[len("file:"):] if path.startswith("file:") else path
+    with open(os.path.join(local, "part-00001.json"), "w") as fh:
+        fh.write('{"conn": "c", "frame_no": "not a number"}\n')
     rec = Recorder()
-    src = streams._custom_source(path, fail_at=1)
-    h = pipeline(spark, src, rec).channel_capacity(1).trigger(processingTime="0 seconds").checkpoint(scratch_dir(spark, "ckpt")).start().drain()
+    h = (pipeline(spark, streams._custom_source(path), rec).channel_capacity(1).trigger(processingTime="0 seconds")
+         .checkpoint(scratch_dir(spark, "ckpt")).start().drain())
     assert h.error is not None
     assert rec.seen == [(0, ["only"])]
 
 
+def test_custom_source_goes_on_after_a_restart(spark):
+    """With a limit, and with a file that lands late under a name that sorts first."""
+    path, ckpt, rec = _land(spark, [["a"], ["b"], ["c"]]), scratch_dir(spark, "ckpt"), Recorder()
+    progress = scratch_dir(spark, "progress")
+    local = path[len("file:"):] if path.startswith("file:") else path
+
+    def go():
+        h = (pipeline(spark, streams._custom_source(path, progress), rec).channel_capacity(2).trigger(processingTime="0 seconds")
+             .checkpoint(ckpt).start().drain())
+        assert h.error is None
+    go()
+    with open(os.path.join(local, "part-!late.json"), "w") as fh:
+        fh.write(json.dumps({"conn": "c", "frame_no": 9, "kind": "text", "body": "d"}) + "\n")
+    go()
+    assert sorted(b for _, bodies in rec.seen for b in bodies) == ["a", "b", "c", "d"]
+
+
 def test_stream_equals_batch(spark):
     stream = streams.q_pipeline_run(spark, SF_SMALL)
     batch = alpaca.q_sink_bars(spark, SF_SMALL).select(*stream.columns)
@@ -228,3 +248,77 @@ def test_statement_stream_fail_policy_cuts_across_batches(spark):
         assert h.error is None
         got = sorted(r.symbol for r in KeyedTable(spark, root, "quarterly_income_statements").read().collect())
         assert got == expect, policy
+
+
+def test_runs_and_connections_add_to_one_table(spark):
+    """Two runs into one root with a compaction between; a bad row of one connection
+    costs no other connection a row; every refused row is recorded."""
+    from marketlake.streaming.pipeline import AlpacaTableSink
+    from marketlake.streaming.tables import KeyedTable
+
+    root = scratch_dir(spark, "tables")
+    bad = _bar("X").replace("2024-01-01T00:00:00Z", "soon")
+    runs = [[("c1", 1, bad), ("c2", 1, _bar("C"))], [("c1", 1, _bar("D")), ("c2", 1, _bar("E"))]]
+    for rows in runs:
+        path = scratch_dir(spark, "landed")
+        local = path[len("file:"):] if path.startswith("file:") else path
+        with open(os.path.join(local, "part-0.json"), "w") as fh:
+            fh.writelines(json.dumps({"conn": c, "frame_no": n, "kind": "text", "body": b}) + "\n" for c, n, b in rows)
+        h = (pipeline(spark, streams.file_source(path), AlpacaTableSink(root)).checkpoint(scratch_dir(spark, "ckpt"))
+             .start().wait())
+        assert h.error is None
+        KeyedTable(spark, root, "bars").compact()
+    assert sorted(r.symbol for r in KeyedTable(spark, root, "bars").read().collect()) == ["C", "D", "E"]
+    refused = spark.read.parquet(f"{root}/row_rejects").collect()
+    assert [(r.conn, r.frame_no, r.pos, r.table, r.reason) for r in refused] == [("c1", 1, 0, "bars", "bad timestamp")]
+
+
+def test_an_unreadable_table_is_not_an_empty_one(spark):
+    import pytest
+
+    from marketlake.streaming.tables import KeyedTable, init_schema
+
+    root = scratch_dir(spark, "tables")
+    local = root[len("file:"):] if root.startswith("file:") else root
+    KeyedTable(spark, root, "bars").write_batch(
+        spark.createDataFrame([("A", 1.0, 1.0, 1.0, 1.0, 1, None, None, None, 0, 0)],
+                              "symbol string, open double, high double, low double, close double, volume bigint, "
+                              "timestamp timestamp_ntz, trade_count bigint, vwap double, frame_no bigint, pos bigint"), 0,
+        ["frame_no", "pos"])
+    part = next(os.path.join(d, f) for d, _, fs in os.walk(os.path.join(local, "bars")) for f in fs if f.endswith(".parquet"))
+    with open(part, "wb") as fh:
+        fh.write(b"not parquet")
+    with pytest.raises(Exception):  # noqa: B017
+        init_schema(spark, root, ["bars"])
+    assert os.path.exists(part)
+
+
+def test_a_pipeline_needs_a_checkpoint(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        pipeline(spark, streams.file_source("/nowhere"), Recorder()).start()
+
+
+def test_refused_pages_and_markets_are_recorded(spark):
+    from marketlake.streaming.pipeline import MarketTableSink
+    from marketlake.streaming.tables import KeyedTable
+
+    bodies = ['{"data":[{"condition_id":"a"},{"condition_id":5},{"condition_id":"%s"}],"next_cursor":"c1"}' % ("x" * 70), "no json"]
+    pages = spark.createDataFrame([(1, i, b) for i, b in enumerate(bodies)], "walk_id bigint, page_no bigint, body string")
+    root = scratch_dir(spark, "tables")
+    MarketTableSink(root).handle_batch(pages, 0)
+    assert [r.condition_id for r in KeyedTable(spark, root, "polymarket_markets").read().collect()] == ["a"]
+    got = sorted((r.page_no, r.pos, r.reason) for r in spark.read.parquet(f"{root}/market_rejects").fillna({"pos": -1}).collect())
+    assert got == [(0, 1, "invalid market"), (0, 2, "condition_id too long"), (1, -1, "malformed page")]
+
+
+def test_float_and_negative_zero_are_no_unsigned_integers(spark):
+    from pyspark.sql import functions as F
+
+    from marketlake.functions import jsontypes as J
+    cases = {"12": True, "0": True, "-1": False, "12.0": False, "1234567890123456789.0": False, "9223372036854775807": True,
+             "9223372036854775808": True, "18446744073709551615": True, "18446744073709551616": False, "null": False, '"5"': False}
+    df = spark.createDataFrame([(k,) for k in cases], "x string").withColumn("v", F.parse_json(F.concat(F.lit('{"i":'), "x", F.lit("}"))))
+    got = {r.x: r.ok for r in df.select("x", J.is_u64(F.col("v"), "i").alias("ok")).collect()}
+    assert got == cases
