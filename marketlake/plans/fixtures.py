@@ -122,12 +122,13 @@ FROM {part}""", part=table(spark, sf_dir, "part"))
 
 
 def fx_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows that parse but may not be writable (bad time stamp), in batches of 20 events."""
+    """Rows that parse but may not be writable (bad time stamp), in batches of 20 events;
+    control messages (other kinds) among them."""
     return _sql(spark, """
 SELECT event_id div 20 AS batch, CASE event_type WHEN 'purchase' THEN 0 WHEN 'view' THEN 1 ELSE 2 END AS type_order,
-       event_id AS seq, concat('U', user_id) AS symbol, value,
+       event_id AS seq, event_type AS kind, concat('U', user_id) AS symbol, value,
        if(event_id % 37 = 0, 'not a time', date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")) AS timestamp
-FROM {events} WHERE event_type IN ('purchase', 'view', 'click')""", events=table(spark, sf_dir, "events"))
+FROM {events}""", events=table(spark, sf_dir, "events"))
 
 
 def fx_times(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -332,6 +332,10 @@ WHERE cut.c IS NULL OR r.type_order * 1000000000000 + r.seq < cut.c""",
 # Streaming runs must equal the batch results.
 ORACLES.update({
     "pipeline_run": ORACLES["sink_bars"],
+    "paced_polling": ORACLES["sink_bars"],
+    "subscribed_run": f"""
+SELECT * FROM ({ORACLES["sink_bars"]})
+WHERE symbol IN (SELECT 'U' || c_custkey FROM customer WHERE c_custkey % 3 = 0)""",
     "custom_source": ORACLES["sink_bars"],
     "custom_sink": ORACLES["dispatch_kinds"],
     "fan_out": _BARS.replace("bars AS (", "bars AS (", 1) + """,

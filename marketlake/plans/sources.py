@@ -43,7 +43,7 @@ def q_scan_frames(spark, sf_dir):
 
 def policy_rows(spark, sf_dir):
     require_utc(spark)
-    p = fx.fx_policy(spark, sf_dir)
+    p = fx.fx_policy(spark, sf_dir).filter(F.col("kind").isin("purchase", "view", "click"))  # FLT-1
     return p.select("batch", "type_order", "seq", "symbol", "value", SC.ts_strict("timestamp").alias("timestamp"),
                     F.when(~SC.ts_strict_ok("timestamp"), F.lit("bad timestamp")).alias("_error"))
 

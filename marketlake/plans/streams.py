@@ -162,11 +162,50 @@ def q_two_runs(spark, sf_dir):
                  F.count_distinct("_seq.conn").alias("n_conns")))
 
 
+class RowCounter:
+    """A user sink: input rows of each micro-batch into its own table."""
+
+    name = "row-counter"
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def handle_batch(self, df, batch_id):
+        (df.agg(F.count(F.lit(1)).alias("input_rows")).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(self.path))
+
+
 def q_bounded_admission(spark, sf_dir):
-    """STR-2: at most ``capacity`` landed files per micro-batch (8 files, capacity 2)."""
-    root, handle = run_alpaca(spark, sf_dir, capacity=2)
-    prog = [(int(p["batchId"]), int(p["numInputRows"])) for p in handle.progress() if p["numInputRows"]]
-    return spark.createDataFrame(prog, "batch_id bigint, input_rows bigint")
+    """STR-2: at most ``capacity`` landed files per micro-batch (8 files, capacity 2):
+    the rows of each batch as its sink saw them."""
+    path = scratch_dir(spark, "admitted")
+    _, handle = run_alpaca(spark, sf_dir, capacity=2, sink=RowCounter(path))
+    if handle.error:
+        raise handle.error
+    return spark.read.parquet(path).select(F.col("batch_id").cast("bigint").alias("batch_id"), "input_rows")
+
+
+def q_paced_polling(spark, sf_dir):
+    """STR-7: the same feed polled at a fixed pace (a trigger every second, two files
+    each) until it is drained."""
+    root = scratch_dir(spark, "tables")
+    h = (pipeline(spark, file_source(land_frames(spark, sf_dir)), AlpacaTableSink(root)).channel_capacity(2)
+         .trigger(processingTime="1 second").checkpoint(scratch_dir(spark, "checkpoint")).start().drain())
+    if h.error:
+        raise h.error
+    return bars_table(spark, root)
+
+
+def q_subscribed_run(spark, sf_dir):
+    """SRC-3 in the pipeline: only subscribed bars reach the table."""
+    from marketlake.plans.sources import subscriptions
+
+    root = scratch_dir(spark, "tables")
+    _, handle = run_alpaca(spark, sf_dir, capacity=1000, root=root,
+                           sink=AlpacaTableSink(root, subscriptions=subscriptions(spark, sf_dir)))
+    if handle.error:
+        raise handle.error
+    return bars_table(spark, root)
 
 
 class FlakySink:

@@ -77,7 +77,10 @@ def scratch_dir(spark: SparkSession, name: str = "run") -> str:
     sc = spark.sparkContext
     base = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
-        # Unset: local run or test. Only then pick a folder of our own.
+        # Unset: local run or test. Only then pick a folder of our own; the executors
+        # of a cluster would not see it.
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="marketlake-ckpt-"))
         base = sc.getCheckpointDir()
     base = base.rstrip("/")

@@ -100,8 +100,11 @@ class AlpacaTableSink(_Compacting):
     name = "alpaca-tables"
     tables = ("bars", "quotes", "trades")
 
-    def __init__(self, root: str, policy: str = "abort_rest", compact_every: int | None = None):
+    def __init__(self, root: str, policy: str = "abort_rest", compact_every: int | None = None, subscriptions=None):
+        """``subscriptions`` (``{channel: [symbols]}`` or a DataFrame of pairs) keeps only
+        the subscribed messages (SRC-3)."""
         self.root, self.policy, self.compact_every = root, policy, compact_every
+        self.subscriptions = subscriptions
 
     def _capture(self, spark: SparkSession, df: DataFrame, batch_id: int):
         """SRC-2 in the stream: a close or error frame ends its connection, in this
@@ -149,6 +152,9 @@ class AlpacaTableSink(_Compacting):
                     .withColumn("pos", F.col("pos").cast("bigint"))
                     .withColumn("kind", F.try_variant_get("msg", "$.T", "string"))
                     .filter(F.col("kind").isin(*FR.DATA_TAGS)))
+            if self.subscriptions is not None:
+                from marketlake.sources import frames as SF
+                msgs = SF.subscription_filter(msgs, self.subscriptions)
             parts = {"bars": (R.bars_rows(FR.bars(msgs)), 0), "quotes": (R.quotes_rows(FR.quotes(msgs)), 1),
                      "trades": (R.trades_rows(FR.trades(msgs)), 2)}
             bad = None

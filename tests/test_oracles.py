@@ -15,7 +15,8 @@ from conftest import SF_SMALL  # noqa: E402
 
 STREAMING = {"pipeline_run", "fan_out", "custom_source", "custom_sink", "write_metadata", "bounded_admission",
              "sink_failure_continue", "source_failure_drain", "pipeline_statements", "pipeline_calendar",
-             "pipeline_markets", "init_schema", "two_runs"}
+             "pipeline_markets", "init_schema", "two_runs",
+             "paced_polling", "subscribed_run"}
 NAMES = sorted(n for n in E.oracle_sql() if n not in STREAMING)
 
 
