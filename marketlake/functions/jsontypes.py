@@ -31,40 +31,38 @@ def jtype(v: Column, key: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(v, path(key), "variant"))
 
 
-# Each predicate evaluates the wire type once (a single ``rlike`` on it): inside
-# a ``forall`` lambda expressions are interpreted, so a repeated subtree would be
-# computed again.
-_NUMBER = r"^(BIGINT|DOUBLE|DECIMAL\(\d+,\d+\))$"
+# Each predicate evaluates the wire type once (one look-up among names): inside a
+# ``forall`` lambda expressions are interpreted, so a repeated subtree would be
+# computed again, and a pattern would be matched for every field of every element.
+_NUMBER = ("BIGINT", "DOUBLE", "DECIMAL")
 
 
-def _type_is(v: Column, key: str, pattern: str, missing_ok: bool, null_ok: bool) -> Column:
-    alts = [pattern]
-    if null_ok:
-        alts.append("^VOID$")
+def _type_is(v: Column, key: str, names: tuple[str, ...], missing_ok: bool, null_ok: bool, head: bool = False) -> Column:
+    """Whether the wire type is one of ``names`` (``head``: up to its first parenthesis)."""
     t = F.coalesce(jtype(v, key), F.lit("MISSING" if missing_ok else "-"))
-    if missing_ok:
-        alts.append("^MISSING$")
-    return t.rlike("|".join(f"({a})" for a in alts))
+    if head:
+        t = F.substring_index(t, "(", 1)
+    return t.isin(*names, *(["VOID"] if null_ok else []), *(["MISSING"] if missing_ok else []))
 
 
 def is_string(v: Column, key: str, missing_ok: bool = False, null_ok: bool = False) -> Column:
-    return _type_is(v, key, "^STRING$", missing_ok, null_ok)
+    return _type_is(v, key, ("STRING",), missing_ok, null_ok)
 
 
 def is_bool(v: Column, key: str, missing_ok: bool = False, null_ok: bool = False) -> Column:
-    return _type_is(v, key, "^BOOLEAN$", missing_ok, null_ok)
+    return _type_is(v, key, ("BOOLEAN",), missing_ok, null_ok)
 
 
 def is_f64(v: Column, key: str, missing_ok: bool = False, null_ok: bool = False) -> Column:
     """Any JSON number that fits a double (integers included; 1e400 is not)."""
     finite = F.coalesce(F.abs(get(v, key, "double")) != F.lit(float("inf")), F.lit(True))
-    return _type_is(v, key, _NUMBER, missing_ok, null_ok) & finite
+    return _type_is(v, key, _NUMBER, missing_ok, null_ok, head=True) & finite
 
 
 def is_int_in(v: Column, key: str, lo: int, hi: int, missing_ok: bool = False, null_ok: bool = False) -> Column:
     """An integer token in [lo, hi] (a float token such as 1.0 is not)."""
     in_range = F.coalesce(get(v, key, "bigint").between(lo, hi), F.lit(True))
-    return _type_is(v, key, "^BIGINT$", missing_ok, null_ok) & in_range
+    return _type_is(v, key, ("BIGINT",), missing_ok, null_ok) & in_range
 
 
 def is_u64(v: Column, key: str, missing_ok: bool = False, null_ok: bool = False) -> Column:
@@ -82,7 +80,7 @@ def is_string_list(v: Column, key: str, missing_ok: bool = False, null_ok: bool
     """A JSON array whose elements are all strings (``[]`` included)."""
     arr = get(v, key, "array<string>")
     no_nulls = F.coalesce(F.size(arr) == F.size(F.array_compact(arr)), F.lit(True))
-    return _type_is(v, key, r"^ARRAY<(STRING|VOID)>$", missing_ok, null_ok) & no_nulls
+    return _type_is(v, key, ("ARRAY<STRING>", "ARRAY<VOID>"), missing_ok, null_ok) & no_nulls
 
 
 def optional(v: Column, key: str, check) -> Column:

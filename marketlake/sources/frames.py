@@ -72,21 +72,30 @@ def capture_until_close(raw: DataFrame, conn: str = "conn", seq: str = "frame_no
 CHANNEL_OF_TAG = ((FR.TAG_BAR, "bars"), (FR.TAG_QUOTE, "quotes"), (FR.TAG_TRADE, "trades"))
 
 
+#: Subscribed pairs (a few dozen bytes each) up to which a given list is broadcast.
+BROADCAST_PAIRS = 100_000
+
+
 def subscription_filter(messages: DataFrame, subs) -> DataFrame:
     """SRC-3: keep data messages whose (channel, symbol) was subscribed; an empty
     channel list means none of that channel; control messages pass through.
 
-    ``subs`` is a DataFrame ``(channel, symbol)`` or a dict ``channel -> [symbols]``;
-    AQE broadcasts either once it has measured it small.
+    ``subs`` is a DataFrame ``(channel, symbol)`` or a dict ``channel -> [symbols]``.
+    A dict of at most ``BROADCAST_PAIRS`` pairs is broadcast; anything else is left
+    to AQE, which broadcasts it once it has measured it small.
     One left join, not a union of two branches, so frames are parsed once;
     control messages get a key that matches nothing and still spreads over the
     partitions (not one NULL key in one task).
     """
+    small = False
     if isinstance(subs, dict):
         data = [(ch, s) for ch, syms in subs.items() for s in syms]
+        small = len(data) <= BROADCAST_PAIRS
         subs = messages.sparkSession.createDataFrame(data, "channel string, symbol string")
     keys = (subs.select(F.col("channel").alias("_ch"), F.col("symbol").alias("_sym"))
             .distinct().withColumn("_hit", F.lit(True)))
+    if small:  # the hint sits directly under the join, where Spark applies it
+        keys = F.broadcast(keys)
     chan = None
     for tag, ch in CHANNEL_OF_TAG:
         chan = (F.when(F.col("kind") == tag, F.lit(ch)) if chan is None
