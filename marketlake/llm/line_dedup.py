@@ -30,6 +30,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from marketlake.llm.common import WORD, WORD_BREAKS, text_of, unpacked, written
 
 LEAST = -(2 ** 63)
+#: Runs (24 bytes each) up to which the documents that lose some are matched by a broadcast,
+#: so that no text is shuffled; beyond it texts and runs meet by a shuffle.
+BROADCAST_RUNS = 500_000
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -110,7 +113,8 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = _keyed(docs, id_col, text_col)
     if carry is not None:
         rows = rows.withColumn("_row", F.struct(*[F.col(f"_row.`{c}`").alias(c) for c in carry]))
-    rows = rows.join(cuts, ["_d", "_h"], "left").select("_row", "_text", "_cut")
+    few = (cuts.agg(F.sum(F.size("_cut"))).first()[0] or 0) <= BROADCAST_RUNS
+    rows = rows.join(F.broadcast(cuts) if few else cuts, ["_d", "_h"], "left").select("_row", "_text", "_cut")
     out = T.StructType([rows.schema["_row"], T.StructField(text_col, T.StringType()),
                         T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
 

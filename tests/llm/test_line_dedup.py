@@ -71,6 +71,12 @@ def test_edges(spark, docs, none):
     assert line_dedup.without_copies(none).count() == 0
 
 
+def test_without_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BROADCAST_RUNS", -1)
+    rows = [(d, "\n".join(["one line that has more than ten words in it, so it counts", str(d)])) for d in range(6)]
+    check(spark.createDataFrame([(d, t, k) for k, (d, t) in enumerate(rows)], "doc_id long, text string, key long"), rows)
+
+
 def test_runs_are_maximal_and_name_their_source(spark):
     body = [f"line number {k}" for k in range(11)]
     df = spark.createDataFrame([(1, "\n".join(body)), (2, "\n".join(["own", *body[2:9], "end"]))], "doc_id long, text string")
