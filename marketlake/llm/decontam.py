@@ -36,7 +36,7 @@ REPETITIONS = 32
 SAMPLED = 3
 BLOCK_WORDS = 500_000
 #: Bytes of text that a task searches at once.
-SLICE_BYTES = 12_000_000
+SLICE_BYTES = 3_000_000
 _WORDS = r"[^\W_]+"
 MATCH = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("first_word", T.IntegerType()),
                       T.StructField("n_words", T.IntegerType()), T.StructField("distance", T.IntegerType())])
