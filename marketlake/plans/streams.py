@@ -26,9 +26,13 @@ from marketlake.streaming.tables import KeyedTable, init_schema
 BAR_COLS = ["symbol", "open", "high", "low", "close", "volume", "timestamp", "trade_count", "vwap"]
 
 
-def land_frames(spark, sf_dir, files: int = 8, broken: int | None = None) -> str:
+#: Rows of one landed file, once there are more than eight files' worth.
+ROWS_PER_FILE = 20_000
+
+
+def land_frames(spark, sf_dir, files: int | None = None, broken: int | None = None) -> str:
     """Write fx_frames as a collector would: JSON lines ``(conn, frame_no, kind,
-    body)`` in ``files`` consecutive ranges of arrival, one file per
+    body)`` in ``files`` consecutive ranges of arrival (by default as many as the input asks for), one file per
     ``bucket=<i>`` folder (bucket = frame_no * files // frames, so which frames
     share a file is known exactly); the frames of bucket ``broken`` land with a text
     where their number should be. On a local folder the file times are set in
@@ -36,11 +40,14 @@ def land_frames(spark, sf_dir, files: int = 8, broken: int | None = None) -> str
     path = scratch_dir(spark, "landed")
     f = fx.fx_frames(spark, sf_dir)
     n = f.select(F.max("frame_no") + 1).scalar()
+    if files is None:  # follows the input
+        files = max(8, -(-f.count() // ROWS_PER_FILE))
     rows = f.select(F.lit("c0").alias("conn"), "frame_no", F.lit(SF.TEXT_KIND).alias("kind"), "body",
                     (F.col("frame_no") * files / n).cast("int").alias("bucket"))
 
     def land(some: DataFrame) -> None:
-        (some.repartition("bucket").sortWithinPartitions("frame_no")
+        (some.withColumn("bucket", F.lpad(F.col("bucket").cast("string"), 6, "0"))  # names in arrival order
+         .repartition("bucket").sortWithinPartitions("frame_no")
          .write.mode("append").partitionBy("bucket").json(path))
 
     land(rows if broken is None else rows.filter(F.col("bucket") != broken))
@@ -74,7 +81,7 @@ def bars_table(spark, root: str) -> DataFrame:
 
 
 def run_alpaca(spark, sf_dir, capacity=2, sink=None, on_error="fail", source=None, root=None,
-               failure_log=None):
+               failure_log=None, files=None):
     """Run the Alpaca pipeline over landed fx_frames. Built-in file sources drain
     with ``availableNow``; a user source is triggered continuously and drained."""
     require_utc(spark)
@@ -82,7 +89,7 @@ def run_alpaca(spark, sf_dir, capacity=2, sink=None, on_error="fail", source=Non
     init_schema(spark, root, ["bars", "quotes", "trades"])
     sink = sink or AlpacaTableSink(root)
     if source is None:
-        b = pipeline(spark, file_source(land_frames(spark, sf_dir)), sink).checkpoint(scratch_dir(spark, "checkpoint"))
+        b = pipeline(spark, file_source(land_frames(spark, sf_dir, files)), sink).checkpoint(scratch_dir(spark, "checkpoint"))
         if failure_log:
             b = b.failure_log(failure_log)
         return root, b.channel_capacity(capacity).on_sink_error(on_error).start().wait()
@@ -179,7 +186,7 @@ def q_bounded_admission(spark, sf_dir):
     """STR-2: at most ``capacity`` landed files per micro-batch (8 files, capacity 2):
     the rows of each batch as its sink saw them."""
     path = scratch_dir(spark, "admitted")
-    _, handle = run_alpaca(spark, sf_dir, capacity=2, sink=RowCounter(path))
+    _, handle = run_alpaca(spark, sf_dir, capacity=2, sink=RowCounter(path), files=8)
     if handle.error:
         raise handle.error
     return spark.read.parquet(path).select(F.col("batch_id").cast("bigint").alias("batch_id"), "input_rows")
@@ -227,7 +234,7 @@ def q_sink_failure_continue(spark, sf_dir):
     """STR-4: the failed batch is recorded and skipped (no retry); later batches land."""
     root = scratch_dir(spark, "tables")
     _, handle = run_alpaca(spark, sf_dir, sink=FlakySink(AlpacaTableSink(root)), on_error="continue", root=root,
-                           failure_log=f"{root}/failed_batches")
+                           failure_log=f"{root}/failed_batches", files=8)
     if handle.error:
         raise handle.error
     return bars_table(spark, root)
@@ -258,7 +265,7 @@ def q_source_failure_drain(spark, sf_dir):
     """STR-5: the source fails reading its 4th file, which is not what it should be
     (one file per micro-batch); the batches already handed over stay written and
     the failure is kept on the handle instead of being lost."""
-    landed = land_frames(spark, sf_dir, broken=3)
+    landed = land_frames(spark, sf_dir, files=8, broken=3)
     root, handle = run_alpaca(spark, sf_dir, capacity=1, source=_custom_source(landed))
     return bars_table(spark, root).withColumn("source_failed", F.lit(handle.error is not None))
 
@@ -291,8 +298,9 @@ def q_custom_sink(spark, sf_dir):
 
 
 
-def _land(df, spark, name: str, order: list[str], files: int = 8) -> str:
+def _land(df, spark, name: str, order: list[str]) -> str:
     path = scratch_dir(spark, name)
+    files = max(8, -(-df.count() // ROWS_PER_FILE))
     df.repartitionByRange(files, *order).sortWithinPartitions(*order).write.mode("overwrite").json(path)
     _order_file_times(path)
     return path
