@@ -1,9 +1,7 @@
-"""Shared helpers: row identity, checkpoints in the shared folder, Arrow passes."""
+"""Shared helpers: tables in the shared folder, rows carried as structs, Arrow passes."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from marketlake.session import scratch_dir
@@ -17,21 +15,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from the files, so
-    that a lost executor costs a read and not the whole lineage."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        scratch_dir(spark)  # sets the folder only where the session names none
-    return df.checkpoint(eager=True)
-
-
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder, for a written table."""
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        scratch_dir(spark)
-    return f"{sc.getCheckpointDir().rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{scratch_dir(spark, name)}/table"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
