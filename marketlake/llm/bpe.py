@@ -228,8 +228,6 @@ def decode_ids(df: DataFrame, tokenizer: str, ids_col: str = "ids") -> DataFrame
 
 def ids_array(col: str = "ids"):
     """Packed ids as ``array<int>``, by DataFrame functions."""
-    h = F.hex(F.col(col))
-    n = (F.length(h) / 8).cast("int")
-    at = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    byte = lambda i, k: F.substr(h, i * 8 + 1 + 2 * k, F.lit(2))
-    return F.transform(at, lambda i: F.conv(F.concat(*[byte(i, k) for k in (3, 2, 1, 0)]), 16, 10).cast("int"))
+    words = F.regexp_extract_all(F.hex(F.col(col)), F.lit("[0-9A-F]{8}"), F.lit(0))
+    byte = lambda w, k: F.substring(w, 1 + 2 * k, 2)
+    return F.transform(words, lambda w: F.conv(F.concat(*[byte(w, k) for k in (3, 2, 1, 0)]), 16, 10).cast("int"))

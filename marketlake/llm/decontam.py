@@ -302,8 +302,11 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_co
 
             block = Block(items)
             for batch in batches:
-                keep = [not found for some in slices(batch.column(1), SLICE_BYTES) for found in block.search(some)]
-                yield batch.filter(pa.array(keep, pa.bool_()))
+                at = 0
+                for some in slices(batch.column(1), SLICE_BYTES):
+                    keep = pa.array([not found for found in block.search(some)], pa.bool_())
+                    yield batch.slice(at, len(some)).filter(keep)
+                    at += len(some)
         return run
 
     for items in blocks(benchmark, item_col, item_text_col):
