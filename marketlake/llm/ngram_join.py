@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from marketlake.llm.common import slices, text_of, written
 
 WORDS, THRESHOLD, RECALL, ROWS = 5, 0.8, 0.999999, 4
-SMALL, CHUNK = 16, 128
+SMALL, CHUNK = 8, 128
 #: Classes up to which the texts to verify are picked by a broadcast of their keys (16 bytes each).
 BROADCAST_ROWS = 1_000_000
 LEAST = -(2 ** 63)
