@@ -76,6 +76,24 @@ def test_words_that_disclose(spark):
     assert {r.t for r in done} == {f"please write to   at [email] about the order number {k}" for k in range(4)}
 
 
+def hidden(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    ids, entities = pii.find(docs)
+    spans = pii.disclosing(docs, entities).join(ids, "_doc").collect()
+    return {(r["_id"], texts[r["_id"]][r.start:r.end]) for r in spans}
+
+
+def test_words_of_rare_and_hot_entities_and_small_corpora(spark):
+    plain = "please write about the order whatever the weather number may say"
+    one = "please write to zebulon at z.q@example.org about the order"
+    for n in (1, 5, 60):  # an entity of one document, in corpora of any size
+        assert hidden(spark, [one] + [plain] * n) == {(0, "zebulon")}
+    assert hidden(spark, [one, "please write zebulon about the order"] + [plain] * 9) == set()  # the word is elsewhere too
+    for n in (2, 10, 40):  # an entity that a third of all documents hold
+        assert hidden(spark, [one] * n + [plain] * (2 * n)) == {(k, "zebulon") for k in range(n)}
+    assert hidden(spark, [one] * 5) == set()  # all documents hold it: nothing to disclose
+
+
 def test_edges(docs, none):
     for find in (lambda d: secret_scan.scan(d), lambda d: pii.find(d)):
         ids, found = find(docs)
