@@ -1,25 +1,27 @@
 """Benchmark decontamination by edit distance.
 
 Texts and items are sequences of words (lower case, letters and digits only). An
-item of n words is found in a document where some n consecutive words are within
-``n // TOLERANCE`` word edits of it. Candidates come from the CGK embedding: a random
+item of n words is found in a document where some stretch of consecutive words, of
+whatever length, is within ``n // TOLERANCE`` word edits of it. Candidates come from the CGK embedding: a random
 walk reads the window, and after each step the shared random bit of (step, word)
 decides whether the walk moves on, so that sequences at a small edit distance
 yield, with good chance, embeddings at a small Hamming distance. Each of
 ``REPETITIONS`` walks samples ``SAMPLED`` places of the embedding; windows that agree
-with an item there are verified by the exact edit distance. The number of
-repetitions follows from the target recall (``recall`` measures it by brute force).
+with an item there are verified by the exact edit distance of the item to the best
+stretch of the window widened by ``n // TOLERANCE`` words on both sides. The number of
+repetitions follows from the recall, measured by brute force.
 
 Windows are item-sized and start at every word. Most are left out beforehand by a
-count that loses nothing: one word edit changes at most two word pairs, so a
-window within d edits of an n-word item holds at least n - 1 - 2d of the item's pairs.
+count that loses nothing: a changed or dropped word breaks at most two word pairs, an
+added one breaks one and pushes at most one out of the window, so the window at a
+stretch within d edits of an n-word item holds at least n - 1 - 2d of the item's pairs.
 
 Every document is read by one task, whole; the benchmark is a stated query set that
 goes to the tasks in blocks of ``BLOCK_WORDS`` words at most.
 
 Defined results: NULL and empty texts, and items without words, match nothing;
 repeated rows match alike; an empty table gives no rows; a tie between places goes
-to the smaller distance, then the earlier place.
+to the smaller distance, then the earlier place, then the shorter stretch.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ from marketlake.llm.common import packed, slices, text_of, unpacked
 
 TOLERANCE = 5
 REPETITIONS = 32
+#: Walks where stretches of other lengths than the item's are looked for.
+WIDE_REPETITIONS = 128
 SAMPLED = 3
 BLOCK_WORDS = 500_000
 #: Bytes of text that a task searches at once.
@@ -44,14 +48,15 @@ MATCH = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("fir
 
 class Block:
     """Some items, ready to be searched for in many texts at once. Word 0 stands for
-    every word that no item has, -1 for what lies outside a document."""
+    every word that no item has, -1 for what lies outside a document. ``wide``: an item
+    is compared with stretches of any length around a window, else with the window."""
 
-    def __init__(self, items: list[tuple[int, str]], repetitions: int = REPETITIONS, sampled: int = SAMPLED):
+    def __init__(self, items: list[tuple[int, str]], repetitions: int = REPETITIONS, sampled: int = SAMPLED, wide: bool = False):
         import re
 
         import numpy as np
 
-        self.words = re.compile(_WORDS).findall
+        self.words, self.wide = re.compile(_WORDS).findall, wide
         self.number: dict[str, int] = {}
         numbered = [(i, np.array([self.number.setdefault(w, len(self.number) + 1) for w in self.words(t.lower())], np.int64))
                     for i, t in items]
@@ -142,8 +147,8 @@ class Block:
         doc = np.searchsorted(ends, hits, "right")
         some = (self.every[at] == pair) & ((pair < self.base) | (hits + 1 < ends[doc]))
         best = self._verified(seq, ends, *self._windows(ends, hits[some], at[some]))
-        for (d, k), (far, place) in sorted(best.items()):
-            out[d].append((self.items[k][0], place - int(ends[d] - len(parts[d])), len(self.items[k][1]), far))
+        for (d, k), (far, place, n) in sorted(best.items()):
+            out[d].append((self.items[k][0], place - int(ends[d] - len(parts[d])), n, far))
         return out
 
     def _windows(self, ends, hits, at):
@@ -179,11 +184,11 @@ class Block:
         different = (mark[:, 1:] != mark[:, :-1]).sum(axis=1) + (mark[:, 0] >= 0)
         return different >= np.maximum(1, self.kinds[k] - 2 * self.most[k])
 
-    def _verified(self, seq, ends, item, start) -> dict[tuple[int, int], tuple[int, int]]:
-        """(document, item): (distance, place) of the best window that a walk proposes."""
+    def _verified(self, seq, ends, item, start) -> dict[tuple[int, int], tuple[int, int, int]]:
+        """(document, item): (distance, place, words) of the best place that a walk proposes."""
         import numpy as np
 
-        best: dict[tuple[int, int], tuple[int, int]] = {}
+        best: dict[tuple[int, int], tuple[int, int, int]] = {}
         for n in np.unique(self.size[item]).tolist():
             of = np.flatnonzero(self.size[item] == n)
             for part in range(0, len(of), 20_000):
@@ -198,19 +203,29 @@ class Block:
                     hit = np.flatnonzero(self._walk(windows, bits, self._places(draw, n), odd) == keys[k])
                     for w in hit.tolist():
                         at, place = (int(doc[w]), int(k[w])), int(p[w])
-                        d = edits([x for x in windows[w].tolist() if x >= 0], self.items[at[1]][1].tolist(), most)
-                        if d <= most and (d, place) < best.get(at, (most + 1, 0)):
-                            best[at] = (d, place)
+                        match = self._match(seq, ends, *at, place, most)
+                        if match[0] <= most and match < best.get(at, (most + 1, 0, 0)):
+                            best[at] = match
                     # What is verified, or found word for word in its document, needs no more walks.
                     new[:] = True
                     new[hit] = False
                     if len(hit):
-                        new &= np.array([best.get(x, (1, 0))[0] > 0 for x in zip(doc.tolist(), k.tolist())], bool)
+                        new &= np.array([best.get(x, (1,))[0] > 0 for x in zip(doc.tolist(), k.tolist())], bool)
                         k, p, doc, windows, new = k[new], p[new], doc[new], windows[new], new[new]
                     if not len(k):
                         break
         return best
 
+    def _match(self, seq, ends, doc: int, k: int, place: int, most: int) -> tuple[int, int, int]:
+        """(distance, place, words) of an item at the window that starts at ``place``."""
+        item = self.items[k][1].tolist()
+        low, high = int(ends[doc - 1]) if doc else 0, int(ends[doc])
+        if not self.wide:
+            return edits(seq[place:min(place + len(item), high)].tolist(), item, most), place, len(item)
+        low = max(low, place - most)
+        far, first, words = stretch(seq[low:min(place + len(item) + most, high)].tolist(), item, most)
+        return far, low + first, words
+
 
 def _ranges(low, high):
     """The numbers from each low to its high (exclusive), end to end."""
@@ -225,6 +240,30 @@ def edits(a: list[int], b: list[int], most: int) -> int:
     columns of the distance matrix as bits of two integers, one step for each word of ``a``."""
     if abs(len(a) - len(b)) > most:
         return most + 1
+    distance = len(b)
+    for distance in _distances(a, b, 1):
+        pass
+    return min(distance, most + 1)
+
+
+def stretch(a: list[int], b: list[int], most: int) -> tuple[int, int, int]:
+    """(distance, first word, words) of the stretch of ``a`` that is nearest to ``b``,
+    the earliest and then shortest of these (beyond ``most``: ``most + 1``, no place)."""
+    ends = list(_distances(a, b, 0))
+    far = min(ends, default=most + 1)
+    if far > most:
+        return most + 1, 0, 0
+    places = []
+    for end, d in enumerate(ends):
+        if d == far:  # from its end backwards: how long it is
+            back = _distances(a[max(0, end + 1 - len(b) - far):end + 1][::-1], b[::-1], 1)
+            places += [(end + 1 - n, n) for n, x in enumerate(back, 1) if x == far]
+    return far, *min(places)
+
+
+def _distances(a: list[int], b: list[int], start: int) -> Iterator[int]:
+    """After each word of ``a`` the distance of ``b`` to the words so far (``start`` 1)
+    or to the best stretch that ends there (``start`` 0)."""
     where: dict[int, int] = {}
     for j, word in enumerate(b):
         where[word] = where.get(word, 0) | 1 << j
@@ -235,10 +274,10 @@ def edits(a: list[int], b: list[int], most: int) -> int:
         level = (((eq & up) + up) ^ up) | eq | down
         right, left = down | ~(level | up) & full, up & level
         distance += bool(right & last) - bool(left & last)
-        right = right << 1 & full | 1
+        right = right << 1 & full | start
         left = left << 1 & full
         up, down = left | ~(level | right) & full, right & level
-    return min(distance, most + 1)
+        yield distance
 
 
 def blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
@@ -270,7 +309,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
         def run(batches):
             import pyarrow as pa
 
-            block = Block(items)
+            block = Block(items, WIDE_REPETITIONS, wide=True)
             for batch in batches:
                 at, found, n = [], [], 0
                 for some in slices(batch.column(1), SLICE_BYTES):
@@ -300,7 +339,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_co
         def run(batches):
             import pyarrow as pa
 
-            block = Block(items)
+            block = Block(items, WIDE_REPETITIONS, wide=True)
             for batch in batches:
                 at = 0
                 for some in slices(batch.column(1), SLICE_BYTES):

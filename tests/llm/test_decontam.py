@@ -58,6 +58,40 @@ def test_recall_and_no_false_matches():
     assert hit >= 0.95 * total
 
 
+def test_stretch():
+    rng = random.Random(2)
+    for _ in range(400):
+        a, b = ([rng.randrange(4) for _ in range(rng.randrange(1, n))] for n in (14, 8))
+        ways = [(plain(a[p:p + n], b), p, n) for p in range(len(a)) for n in range(1, len(a) - p + 1)]
+        want = min(ways)
+        for most in (0, 2, 20):
+            got = D.stretch(a, b, most)
+            if want[0] >= len(b):
+                assert got[0] == min(len(b), most + 1) or want[0] > most
+            else:
+                assert got == (want if want[0] <= most else (most + 1, 0, 0))
+
+
+def test_recall_of_added_and_dropped_words():
+    rng = random.Random(11)
+    items = [(n, " ".join(words(rng, n))) for n in (10, 20, 40, 60)]
+    block = D.Block(items, D.WIDE_REPETITIONS, wide=True)
+    for kind in ("add", "drop"):
+        hit = total = 0
+        for n, t in items:
+            for k in range(1, n // D.TOLERANCE + 1):
+                texts = []
+                for _ in range(15):
+                    w, at = t.split(), set(rng.sample(range(1, n - 1), k))
+                    w = [y for j, x in enumerate(w) for y in ([] if j in at and kind == "drop" else [*(words(rng, 1) if j in at else []), x])]
+                    texts.append(" ".join(words(rng, 30) + w + words(rng, 30)))
+                for got in block.search(texts):
+                    assert all(i == n and d <= k for i, _, _, d in got)
+                    hit += len(got)
+                    total += 1
+        assert hit >= 0.95 * total, (kind, hit, total)
+
+
 def test_query_finds_what_stands_word_for_word(spark):
     import re
 
