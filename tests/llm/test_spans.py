@@ -94,6 +94,13 @@ def test_words_of_rare_and_hot_entities_and_small_corpora(spark):
     assert hidden(spark, [one] * 5) == set()  # all documents hold it: nothing to disclose
 
 
+def test_words_far_away_and_further_mentions(spark):
+    far = "please write about the order. " * 5
+    text = f"Miller, 12 High Street: 4111 1111 1111 1111. {far}Kim said the number. {far}miller"
+    got = hidden(spark, [text] + [f"high street said {far} the number {k}" for k in range(20)])
+    assert got == {(0, "Miller"), (0, "Kim"), (0, "miller")}
+
+
 def test_edges(docs, none):
     for find in (lambda d: secret_scan.scan(d), lambda d: pii.find(d)):
         ids, found = find(docs)
