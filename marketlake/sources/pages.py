@@ -3,8 +3,9 @@
 Landed form: ``(walk_id, page_no, body)``, one row per fetched page, where the
 body is ``{"data": [market...], "next_cursor": "..."}``. A walk reads pages in
 ``page_no`` order and stops after the first page whose cursor is missing, not
-a string or empty; a page that is not valid JSON ends the walk before it (see
-``page_rejects``; Spark's VARIANT counts a repeated key as invalid). A page without a ``data`` array contributes nothing, but the walk goes on.
+a string or empty; a page that is no JSON ends the walk before it (see
+``page_rejects``). A page with a repeated key, which Spark's VARIANT does not hold, is
+rejected alone: the walk goes on by its last cursor. A page without a ``data`` array contributes nothing, but the walk goes on.
 
 The stop page of each walk is one ``groupBy(walk_id).agg(min)`` (partial
 aggregation on the map side, one row per walk) joined back to the pages; AQE
@@ -75,26 +76,40 @@ def parse_pages(pages: DataFrame, body: str = "body") -> DataFrame:
     return both.select(*pages.columns, F.when(one, F.try_variant_get("_w", "$[0]", "variant")).alias("_page"))
 
 
-def _stops(parsed: DataFrame, walk: str, page: str) -> DataFrame:
-    """Last page read per walk: an unparsable page stops the walk before itself, a
+def _repeated(body: Column) -> tuple[Column, Column]:
+    """Of a text that is no VARIANT: whether it is one JSON object all the same (with a
+    repeated key), and the object that holds its last cursor. The same two parses as in
+    ``parse_pages``, by a reader that keeps the last of repeated keys."""
+    closed = F.from_json(F.concat(F.lit('{"w":'), body, F.lit("}")), "w struct<next_cursor: variant>, _bad string",
+                         {"columnNameOfCorruptRecord": "_bad"})
+    values = F.from_json(F.concat(F.lit("["), body, F.lit("]")), "array<struct<next_cursor: variant>>")
+    one = F.coalesce(closed["_bad"].isNull() & closed["w"].isNotNull() & (F.size(values) == 1), F.lit(False))
+    return one, closed["w"]["next_cursor"]
+
+
+def _stops(parsed: DataFrame, walk: str, page: str, body: str) -> DataFrame:
+    """Last page read per walk: a page that is no JSON stops the walk before itself, a
     page without a usable cursor stops it after itself. One row per walk."""
     p = F.col("_page")
-    cursor_ok = J.is_string(p, "next_cursor") & (J.get(p, "next_cursor", "string") != "")
-    return (parsed.select(walk, F.when(p.isNull(), F.col(page) - 1)
+    usable = J.is_string(p, "next_cursor") & (J.get(p, "next_cursor", "string") != "")
+    json, last = _repeated(F.col(body))
+    text = F.schema_of_variant(last) == "STRING"
+    cursor_ok = F.when(p.isNotNull(), usable).otherwise(F.coalesce(text & (F.try_variant_get(last, "$", "string") != ""), F.lit(False)))
+    return (parsed.select(walk, F.when(p.isNull() & ~json, F.col(page) - 1)
                           .when(~cursor_ok, F.col(page)).alias("_last"))
             .groupBy(walk).agg(F.min("_last").alias("_last")))
 
 
 def walk_stops(pages: DataFrame, walk: str = "walk_id", page: str = "page_no", body: str = "body") -> DataFrame:
     """``(walk, _last)``: the last page each walk reads (NULL: not stopped yet)."""
-    return _stops(parse_pages(pages, body), walk, page)
+    return _stops(parse_pages(pages, body), walk, page, body)
 
 
 def walked_pages(pages: DataFrame, walk: str = "walk_id", page: str = "page_no", body: str = "body") -> DataFrame:
     """SRC-4: the pages a cursor walk reads, with ``page`` (VARIANT) and ``raw_markets``."""
     p = F.col("_page")
     parsed = parse_pages(pages, body)
-    stops = _stops(parsed, walk, page)
+    stops = _stops(parsed, walk, page, body)
     data = F.try_variant_get(p, "$.data", "array<variant>")
     return (parsed.join(stops, on=walk, how="left")
             .filter(F.col("_last").isNull() | (F.col(page) <= F.col("_last")))
@@ -137,7 +152,7 @@ def typed_markets(raw: DataFrame) -> DataFrame:
 
 
 def page_rejects(pages: DataFrame, walk: str = "walk_id", page: str = "page_no", body: str = "body") -> DataFrame:
-    """Pages that are not valid JSON, and so end their walk, with their text."""
+    """Pages that are no JSON, and so end their walk, or repeat a key, with their text."""
     return (parse_pages(pages, body).filter(F.col("_page").isNull())
             .select(walk, page, F.lit(None).cast("bigint").alias("pos"), body, F.lit("malformed page").alias("reason")))
 

@@ -322,3 +322,19 @@ def test_float_and_negative_zero_are_no_unsigned_integers(spark):
     df = spark.createDataFrame([(k,) for k in cases], "x string").withColumn("v", F.parse_json(F.concat(F.lit('{"i":'), "x", F.lit("}"))))
     got = {r.x: r.ok for r in df.select("x", J.is_u64(F.col("v"), "i").alias("ok")).collect()}
     assert got == cases
+
+
+def test_page_with_a_repeated_key_keeps_the_walk_going(spark):
+    from marketlake.sources import pages as P
+    good = '{"data": [{"condition_id": "a"}], "next_cursor": "n"}'
+    odd = ['{"data": [], "next_cursor": "", "next_cursor": "n"}', '{"data": [{"x": 1, "x": 2}], "next_cursor": "n"}',
+           '{"next_cursor": "n", "next_cursor": ""}', '{"next_cursor": "n", "next_cursor": 5}', '{"x": 1, "x": 2}',
+           '{"next_cursor": "n", "x": 1, "x": 2', '{"next_cursor": "n", "x": 1, "x": 2} tail', '{"next_cursor": "n"}, "v": {}', "{no json"]
+    rows = [(k, n, odd[k] if n == 1 else good) for k in range(len(odd)) for n in range(4)]
+    pages = spark.createDataFrame(rows, P.PAGE_SCHEMA)
+    last = {r.walk_id: r._last for r in P.walk_stops(pages).collect()}
+    assert last == {0: None, 1: None, 2: 1, 3: 1, 4: 1, 5: 0, 6: 0, 7: 0, 8: 0}
+    walked = P.walked_pages(pages)
+    assert {r.page_no for r in walked.filter("walk_id < 2 AND page IS NOT NULL").collect()} == {0, 2, 3}
+    assert P.raw_markets(walked.filter("walk_id = 0")).count() == 3
+    assert P.page_rejects(pages).count() == len(odd)
