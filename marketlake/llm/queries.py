@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketlake.llm import bpe, decontam, line_dedup, ngram_join, pii, quality_qda, rlz, rules, secret_scan, sharding
+from marketlake.llm import bpe, decontam, line_dedup, ngram_join, pii, quality_qda, rlz, rules, secret_scan, sharding, toxicity
 from marketlake.llm.common import documents
 from marketlake.llm.oracles import ORACLES as _ORACLES
 from marketlake.llm.spans import joined
@@ -102,5 +102,13 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(F.col("kind") >= 4).alias("n_words_hidden")])
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = lambda c: F.crc32(F.encode(F.col(c).cast("string"), "UTF-8")) % 5
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    out = toxicity.score(documents(spark, sf_dir), labels, fold("_id") != 0)
+    return out.select(F.col("_id").alias("doc_id"), F.coalesce(fold("_id") == 0, F.lit(False)).alias("held_out"), "score",
+                      (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES = {name: fn for name, fn in globals().items() if name[:2] == "op" and name[2].isdigit()}
 ORACLES = {k: v for k, v in _ORACLES.items() if k in QUERIES}
