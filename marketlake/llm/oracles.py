@@ -78,4 +78,78 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(gone, 0) AS BIG
   sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN a USING (rid)
 """
 
-ORACLES = {"op7_substring_dedup": OP7, "op6_ngram_join": OP6, "op4_line_dedup": OP4, "op5_quality_rules": OP5}
+OP11 = r"""
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS s
+  FROM e a JOIN e b ON a.vec_id % 100 = 0 AND b.vec_id <> a.vec_id),
+p AS (SELECT a, b, s FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5),
+n AS (SELECT p.a, p.b AS pos, p.s AS ps, s.b AS neg, s.s AS ns, row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.s DESC, s.b) AS k
+  FROM p JOIN s ON s.a = p.a AND NOT s.same AND 80 * p.s <= 100 * s.s AND 100 * s.s <= 100 * p.s)
+SELECT a AS anchor_id, pos AS positive_id, CAST(k AS INTEGER) AS rank, neg AS negative_id, ps AS positive_score, ns AS negative_score
+FROM n WHERE k <= 5
+"""
+
+
+def _op12() -> str:
+    """A dynamic programme over the turns: for each state of the pattern (0 start, 1 after
+    system, 2 after user, 3 after assistant) the least (cost, audit, lines)."""
+    def add(s, cost, edit, line):
+        lines = f"list_append({s}.x, {line})" if line else f"{s}.x"
+        return f"CASE WHEN {s} IS NOT NULL THEN {{'c': {s}.c + {cost}, 'a': {s}.a || '{edit}', 'x': {lines}}} END"
+
+    def either(when, *options):
+        return [f"CASE WHEN {when} THEN {o} END" for o in options]
+
+    kept, more = "f.r || ':' || f.x", "f.late"
+    free = lambda s, to: add(s, f"2 + {more}", "R", f"'{to}:' || f.x")
+    keep = lambda s: add(s, more, "K", kept)
+    to = [
+        [add("s0", 3, "D", "")],
+        [add("s1", 3, "D", ""), *either("NOT f.gone AND f.i = 's'", keep("s0"))],
+        [add("s2", 3, "D", ""), *either("NOT f.gone AND f.i = 'u'", *map(keep, ("s0", "s1", "s3"))),
+         *either("NOT f.gone", *[free(s, "user") for s in ("s0", "s1", "s3")])],
+        [add("s3", 3, "D", ""), *either("NOT f.gone AND f.i = 'a'", keep("s2")), *either("NOT f.gone", free("s2", "assistant"))]]
+    least = lambda xs: f"least({', '.join(xs)})" if len(xs) > 1 else xs[0]
+    # Inserts behind a turn: a user from every other state, then an assistant.
+    user = least(["t2", *[add(s, 2, "I", "'user:'") for s in ("t0", "t1", "t3")]])
+    return rf"""
+WITH RECURSIVE bits AS (SELECT i, 0 AS k, i AS v FROM range(256) AS t(i) UNION ALL
+  SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8),
+tab AS (SELECT list(v ORDER BY i) AS tb FROM bits WHERE k = 8),
+src AS (SELECT conv_id, turn, coalesce(role, ' ') AS r, coalesce(text, ' ') AS x,
+  coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+h AS (SELECT src.*, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(key, ''), lambda c: CAST(ascii(c) AS BIGINT))),
+  lambda a, b: xor(a >> 8, tb[(xor(a, b) & 255) + 1])), 4294967295) % 20 AS d FROM src, tab),
+dam AS (SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE r END AS r,
+  CASE WHEN d = 1 THEN '' WHEN d = 2 THEN regexp_replace(x, '[.!?]', '', 'g') ELSE x END AS x
+  FROM h, range(2) AS t(n) WHERE d <> 0 AND (d = 3 OR n = 0)),
+q AS (SELECT *, left(r, 1) AS i, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, r, x) AS p FROM dam),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id, r, x ORDER BY p) AS k, NOT regexp_matches(x, '[^\x20\x09-\x0D]') AS blank FROM q),
+f AS (SELECT *, blank OR k > 1 AS gone, NOT blank AND k > 1 AS dup,
+  CASE WHEN NOT blank AND k = 1 AND NOT regexp_matches(x, '[.!?][\x20\x09-\x0D]*$') THEN 1 ELSE 0 END AS late,
+  lag(i) OVER (PARTITION BY conv_id ORDER BY p) AS before FROM o),
+c AS (SELECT DISTINCT conv_id FROM src),
+dp AS (SELECT conv_id, CAST(0 AS BIGINT) AS p, {{'c': CAST(0 AS BIGINT), 'a': '', 'x': CAST([] AS VARCHAR[])}} AS s0,
+    CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, x VARCHAR[])) AS s1, {{'c': CAST(2 AS BIGINT), 'a': 'I', 'x': ['user:']}} AS s2,
+    {{'c': CAST(4 AS BIGINT), 'a': 'II', 'x': ['user:', 'assistant:']}} AS s3 FROM c
+  UNION ALL
+  SELECT conv_id, p, t0 AS s0, t1 AS s1, s2, least(t3, {add("s2", 2, "I", "'assistant:'")}) AS s3 FROM (
+    SELECT conv_id, p, t0, t1, t3, {user} AS s2 FROM (
+      SELECT dp.conv_id, f.p, {least(to[0])} AS t0, {least(to[1])} AS t1, {least(to[2])} AS t2, {least(to[3])} AS t3
+      FROM dp JOIN f ON f.conv_id IS NOT DISTINCT FROM dp.conv_id AND f.p = dp.p + 1))),
+goal AS (SELECT conv_id, least(s0, s3) AS g FROM dp QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY p DESC) = 1),
+n AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+  count(*) FILTER (dup) AS duplicate, sum(late) AS truncated,
+  count(*) FILTER (before IS NOT NULL AND before || i NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id)
+SELECT goal.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+  CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+  CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, g.c AS cost, g.a AS audit, sha256(array_to_string(g.x, chr(10))) AS repaired_sha256
+FROM goal LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM goal.conv_id
+"""
+
+
+ORACLES = {"op7_substring_dedup": OP7, "op6_ngram_join": OP6, "op4_line_dedup": OP4, "op5_quality_rules": OP5,
+           "op11_hard_negatives": OP11, "op12_conversation_repair": _op12()}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketlake.llm import bpe, decontam, line_dedup, ngram_join, pii, quality_qda, rlz, rules, secret_scan, sharding, toxicity
+from marketlake.llm import bpe, conversation_repair, decontam, line_dedup, ngram_join, pii, quality_qda, rlz, rules, secret_scan, sharding, toxicity
 from marketlake.llm.common import documents
 from marketlake.llm.oracles import ORACLES as _ORACLES
 from marketlake.llm.spans import joined
@@ -102,6 +102,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(F.col("kind") >= 4).alias("n_words_hidden")])
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, conversations = conversation_repair.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    found = conversation_repair.blocks(conversation_repair.faults(turns, conversations))
+    return conversation_repair.summaries(found).withColumnRenamed("_c", "conv_id")
+
+
 def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = lambda c: F.crc32(F.encode(F.col(c).cast("string"), "UTF-8")) % 5
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
