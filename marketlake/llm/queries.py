@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketlake.llm import bpe, conversation_repair, decontam, line_dedup, ngram_join, pii, quality_qda, rlz, rules, secret_scan, sharding, toxicity
+from marketlake.llm import (bpe, conversation_repair, decontam, hard_negatives, line_dedup, ngram_join, pii, quality_qda, rlz,
+                            rules, secret_scan, sharding, toxicity)
 from marketlake.llm.common import documents
 from marketlake.llm.oracles import ORACLES as _ORACLES
 from marketlake.llm.spans import joined
@@ -102,6 +103,15 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(F.col("kind") >= 4).alias("n_words_hidden")])
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = hard_negatives.usable(vectors, moved, F.col("embedding"), F.col("vec_id"), F.col("vec_id") % 100 == 0)
+    whole = F.transform("_v", lambda x: F.floor(256 * x).cast("double"))
+    return hard_negatives.mine(rows.withColumn("_v", whole))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns, conversations = conversation_repair.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     found = conversation_repair.blocks(conversation_repair.faults(turns, conversations))
