@@ -64,16 +64,19 @@ FROM {events}""", events=table(spark, sf_dir, "events"))
 
 
 def fx_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Market listing pages ``(walk_id, page_no, body)``: 10 pages of 50 markets per walk."""
+    """Market listing pages ``(walk_id, page_no, body)``: 10 pages of 50 markets per walk.
+    Page 2 repeats its cursor, page 4 its data, markets of page 3 their icon, markets of
+    page 6 a key inside their tokens: the last value counts."""
     return _sql(spark, """
 SELECT walk_id, page_no,
-       concat('{', if(page_no = 5, '', concat('"data":[', array_join(transform(array_sort(collect_list(struct(k, body))), x -> x.body), ','), '],')),
+       concat('{', if(page_no = 2, '"next_cursor":"",', ''), if(page_no = 4, '"data":[{"condition_id":"no"}],', ''), if(page_no = 5, '', concat('"data":[', array_join(transform(array_sort(collect_list(struct(k, body))), x -> x.body), ','), '],')),
               '"next_cursor":"', if(page_no = 7, '', concat('c', page_no + 1)), '"}') AS body
 FROM (SELECT p_partkey div 500 AS walk_id, (p_partkey % 500) div 50 AS page_no, p_partkey AS k,
         concat('{"condition_id":"0x', p_partkey % 300, '","question":"', p_name, '","active":', p_size % 2 = 0,
                ',"seconds_delay":', p_size, ',"minimum_tick_size":', p_retailprice,
                if(p_partkey % 31 = 0, ',"minimum_order_size":null', ''),
-               if(p_partkey % 2 = 0, concat(',"tokens":[{"price":', p_retailprice, '}]'), ''),
+               if(p_partkey % 2 = 0, concat(',"tokens":[{', if((p_partkey % 500) div 50 = 6, '"price":0,', ''), '"price":', p_retailprice, '}]'), ''),
+               if((p_partkey % 500) div 50 = 3 AND p_partkey % 50 = 7, concat(',"icon":"old","icon":"i', p_partkey, '"'), ''),
                ',"end_date_iso":"', CASE p_partkey % 3 WHEN 0 THEN '2024-06-30T00:00:00Z' WHEN 1 THEN '2024-06-30T00:00:00-04:00' ELSE 'soon' END, '"}') AS body
       FROM {part})
 GROUP BY 1, 2""", part=table(spark, sf_dir, "part"))

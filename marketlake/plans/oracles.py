@@ -153,7 +153,8 @@ typed AS (
            ELSE NULL END AS end_date_ts,
          NULL::VARCHAR AS game_start_time, NULL::VARCHAR AS accepting_order_timestamp,
          0.0::DOUBLE AS minimum_order_size, p_retailprice AS minimum_tick_size, 0.0::DOUBLE AS maker_base_fee,
-         0.0::DOUBLE AS taker_base_fee, p_size AS seconds_delay, NULL::VARCHAR AS icon, NULL::VARCHAR AS image,
+         0.0::DOUBLE AS taker_base_fee, p_size AS seconds_delay,
+         CASE WHEN page_no = 3 AND k % 50 = 7 THEN 'i' || k END AS icon, NULL::VARCHAR AS image,
          NULL::VARCHAR AS fpmm, NULL::VARCHAR AS neg_risk_market_id, NULL::VARCHAR AS neg_risk_request_id,
          false AS notifications_enabled, false AS is_50_50_outcome,
          CASE WHEN k % 2 = 0 THEN p_retailprice END AS token0_price, k % 2 <> 0 AS tokens_null,

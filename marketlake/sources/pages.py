@@ -4,8 +4,9 @@ Landed form: ``(walk_id, page_no, body)``, one row per fetched page, where the
 body is ``{"data": [market...], "next_cursor": "..."}``. A walk reads pages in
 ``page_no`` order and stops after the first page whose cursor is missing, not
 a string or empty; a page that is no JSON ends the walk before it (see
-``page_rejects``). A page with a repeated key, which Spark's VARIANT does not hold, is
-rejected alone: the walk goes on by its last cursor. A page without a ``data`` array contributes nothing, but the walk goes on.
+``page_rejects``). Of a key that a page, a market or a JSON column of it repeats, the
+last value counts, as with any reader of generic JSON. A page without a ``data`` array
+contributes nothing, but the walk goes on.
 
 The stop page of each walk is one ``groupBy(walk_id).agg(min)`` (partial
 aggregation on the map side, one row per walk) joined back to the pages; AQE
@@ -62,10 +63,60 @@ def read_pages_stream(spark: SparkSession, path: str, fmt: str = "json",
     return r.format(fmt).load(path)
 
 
+#: from_json reads what JSON allows, no more.
+_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false", "columnNameOfCorruptRecord": "_bad"}
+
+
+def _object(text: Column) -> Column:
+    """A JSON object as VARIANT, the last of repeated keys (not inside its values); NULL
+    for anything else. VARIANT's own reader refuses a repeated key, a map keeps all pairs."""
+    pairs = F.map_entries(F.from_json(text, "map<string,variant>", _STRICT))
+    last = F.filter(pairs, lambda e, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda x: x["key"] == e["key"]))
+    return F.when(text.startswith("{"), F.to_variant_object(F.map_from_entries(last)))
+
+
+def _value(text: Column) -> Column:
+    """Any JSON text (as from_json hands on a value: a string without its quotes) as
+    VARIANT; repeated keys of an object, or of the objects of a list, are resolved."""
+    items = F.from_json(text, "array<string>", _STRICT)
+    plain = lambda e: F.when(~e.rlike(r"^[\[{]"), e.cast("variant"))
+    listed = F.transform(items, lambda e: F.coalesce(F.try_parse_json(e), _object(e), plain(e)))
+    whole = F.when(text.startswith("[") & ~F.exists(listed, lambda e: e.isNull()), F.to_variant_object(listed))
+    return F.coalesce(F.try_parse_json(text), _object(text), whole, plain(text))
+
+
+def _market(text: Column) -> Column:
+    """A list element of a page that repeats keys: an object's own keys first; where a JSON
+    column of it repeats some inside, field by field. An element that repeats keys deeper
+    stays a text, and so no market."""
+    known = [k for k in MARKET_COLUMNS if k not in MARKET_JSON]
+    fields = F.from_json(text, ", ".join([f"`{k}` variant" for k in known] + [f"`{k}` string" for k in MARKET_JSON]), _STRICT)
+    values = [fields[k] for k in known] + [_value(fields[k]) for k in MARKET_JSON]
+    lost = F.lit(False)
+    for k in MARKET_JSON:
+        lost = lost | (fields[k].isNotNull() & _value(fields[k]).isNull())
+    present = F.filter(F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in
+                                 zip(known + list(MARKET_JSON), values)]), lambda e: e["value"].isNotNull())
+    by_field = F.when(text.startswith("{") & fields.isNotNull() & ~lost, F.to_variant_object(F.map_from_entries(present)))
+    return F.coalesce(F.try_parse_json(text), _object(text), by_field, text.cast("variant"))
+
+
+def _repeated(body: Column) -> Column:
+    """A text that VARIANT refuses, if it is one JSON value all the same, as the page that
+    a reader which keeps the last of repeated keys gives. The same two parses as in
+    ``parse_pages`` tell whether it is one."""
+    closed = F.from_json(F.concat(F.lit('{"w":'), body, F.lit("}")), "w string, _bad string", _STRICT)
+    values = F.from_json(F.concat(F.lit("["), body, F.lit("]")), "array<string>", _STRICT)
+    one = closed["_bad"].isNull() & closed["w"].isNotNull() & (F.size(values) == 1)
+    data = F.from_json(body, "data array<string>", _STRICT)["data"]
+    cursor = F.from_json(body, "next_cursor variant", _STRICT)["next_cursor"]
+    return F.when(one, F.to_variant_object(F.struct(F.transform(data, _market).alias("data"), cursor.alias("next_cursor"))))
+
+
 def parse_pages(pages: DataFrame, body: str = "body") -> DataFrame:
     """Adds ``_page`` (pages that have it are left as they are): the body as VARIANT when it is exactly one JSON value, else NULL.
-    Each of the two parses (one would let text after the value pass) runs once. A
-    repeated key makes a text no JSON here."""
+    Each of the two parses (one would let text after the value pass) runs once; only what
+    they refuse is read again, for repeated keys."""
     if "_page" in pages.columns:
         return pages
     text = F.col(body)
@@ -73,43 +124,29 @@ def parse_pages(pages: DataFrame, body: str = "body") -> DataFrame:
                  _closed=F.try_parse_json(F.concat(F.lit('{"w":'), text, F.lit("}"))).isNotNull())
     values = F.try_variant_get("_w", "$", "array<variant>")
     one = F.coalesce(F.col("_closed") & (F.size(values) == 1), F.lit(False))
-    return both.select(*pages.columns, F.when(one, F.try_variant_get("_w", "$[0]", "variant")).alias("_page"))
-
-
-def _repeated(body: Column) -> tuple[Column, Column]:
-    """Of a text that is no VARIANT: whether it is one JSON object all the same (with a
-    repeated key), and the object that holds its last cursor. The same two parses as in
-    ``parse_pages``, by a reader that keeps the last of repeated keys."""
-    closed = F.from_json(F.concat(F.lit('{"w":'), body, F.lit("}")), "w struct<next_cursor: variant>, _bad string",
-                         {"columnNameOfCorruptRecord": "_bad"})
-    values = F.from_json(F.concat(F.lit("["), body, F.lit("]")), "array<struct<next_cursor: variant>>")
-    one = F.coalesce(closed["_bad"].isNull() & closed["w"].isNotNull() & (F.size(values) == 1), F.lit(False))
-    return one, closed["w"]["next_cursor"]
+    page = F.when(one, F.try_variant_get("_w", "$[0]", "variant")).when(F.col("_w").isNull(), _repeated(text))
+    return _once(both.select(*pages.columns, "_w", "_closed"), pages.columns, _page=page)
 
 
-def _stops(parsed: DataFrame, walk: str, page: str, body: str) -> DataFrame:
+def _stops(parsed: DataFrame, walk: str, page: str) -> DataFrame:
     """Last page read per walk: a page that is no JSON stops the walk before itself, a
     page without a usable cursor stops it after itself. One row per walk."""
     p = F.col("_page")
-    usable = J.is_string(p, "next_cursor") & (J.get(p, "next_cursor", "string") != "")
-    json, last = _repeated(F.col(body))
-    text = F.schema_of_variant(last) == "STRING"
-    cursor_ok = F.when(p.isNotNull(), usable).otherwise(F.coalesce(text & (F.try_variant_get(last, "$", "string") != ""), F.lit(False)))
-    return (parsed.select(walk, F.when(p.isNull() & ~json, F.col(page) - 1)
-                          .when(~cursor_ok, F.col(page)).alias("_last"))
+    cursor_ok = J.is_string(p, "next_cursor") & (J.get(p, "next_cursor", "string") != "")
+    return (parsed.select(walk, F.when(p.isNull(), F.col(page) - 1).when(~cursor_ok, F.col(page)).alias("_last"))
             .groupBy(walk).agg(F.min("_last").alias("_last")))
 
 
 def walk_stops(pages: DataFrame, walk: str = "walk_id", page: str = "page_no", body: str = "body") -> DataFrame:
     """``(walk, _last)``: the last page each walk reads (NULL: not stopped yet)."""
-    return _stops(parse_pages(pages, body), walk, page, body)
+    return _stops(parse_pages(pages, body), walk, page)
 
 
 def walked_pages(pages: DataFrame, walk: str = "walk_id", page: str = "page_no", body: str = "body") -> DataFrame:
     """SRC-4: the pages a cursor walk reads, with ``page`` (VARIANT) and ``raw_markets``."""
     p = F.col("_page")
     parsed = parse_pages(pages, body)
-    stops = _stops(parsed, walk, page, body)
+    stops = _stops(parsed, walk, page)
     data = F.try_variant_get(p, "$.data", "array<variant>")
     return (parsed.join(stops, on=walk, how="left")
             .filter(F.col("_last").isNull() | (F.col(page) <= F.col("_last")))
@@ -152,7 +189,7 @@ def typed_markets(raw: DataFrame) -> DataFrame:
 
 
 def page_rejects(pages: DataFrame, walk: str = "walk_id", page: str = "page_no", body: str = "body") -> DataFrame:
-    """Pages that are no JSON, and so end their walk, or repeat a key, with their text."""
+    """Pages that are no JSON, and so end their walk, with their text."""
     return (parse_pages(pages, body).filter(F.col("_page").isNull())
             .select(walk, page, F.lit(None).cast("bigint").alias("pos"), body, F.lit("malformed page").alias("reason")))
 

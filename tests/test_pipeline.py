@@ -335,6 +335,55 @@ def test_page_with_a_repeated_key_keeps_the_walk_going(spark):
     last = {r.walk_id: r._last for r in P.walk_stops(pages).collect()}
     assert last == {0: None, 1: None, 2: 1, 3: 1, 4: 1, 5: 0, 6: 0, 7: 0, 8: 0}
     walked = P.walked_pages(pages)
-    assert {r.page_no for r in walked.filter("walk_id < 2 AND page IS NOT NULL").collect()} == {0, 2, 3}
+    assert {r.page_no for r in walked.filter("walk_id < 2 AND page IS NOT NULL").collect()} == {0, 1, 2, 3}
     assert P.raw_markets(walked.filter("walk_id = 0")).count() == 3
-    assert P.page_rejects(pages).count() == len(odd)
+    assert {(r.walk_id, r.page_no) for r in P.page_rejects(pages).collect()} == {(k, 1) for k in (5, 6, 7, 8)}
+
+
+def test_last_of_repeated_keys_counts_at_page_market_and_column(spark):
+    """Against Python's reader, which keeps the last of repeated keys too."""
+    import json
+
+    from marketlake.sources import pages as P
+    page = lambda *markets, more="": '{"data": [' + ", ".join(markets) + '], "next_cursor": "n"' + more + "}"
+    bodies = [
+        page('{"condition_id": "a"}'), page('{"condition_id": "b", "icon": "old", "icon": "new"}', '{"condition_id": "b2"}'),
+        page('{"condition_id": "x", "condition_id": "c", "active": true, "active": false, "seconds_delay": 7}', '"text"', "5", "null", "[]"),
+        '{"data": [{"condition_id": "no"}], "data": [{"condition_id": "d"}], "next_cursor": "n"}',
+        page('{"condition_id": "e", "tokens": [{"p": 1, "p": 2}, {"p": 3}], "rewards": {"r": [1], "r": [2, {"z": "q"}]}, "tags": ["t", "u"]}'),
+        page('{"condition_id": "f", "tags": null, "tags": ["1a", "b"], "unknown": {"k": 1, "k": {"k": 2}}, "minimum_tick_size": 0.25}'),
+        page('{"condition_id": "g", "icon": null, "icon": "\\u00e9\\"{", "question": "old", "question": null}', more=', "x": [], "x": {}'),
+        page('{"condition_id": "h", "active": null, "icon": "1", "icon": "2"}', '{"condition_id": 5, "icon": "1", "icon": "2"}'),
+        '{"data": {"condition_id": "no"}, "x": 1, "x": 2, "next_cursor": "n"}', '{"data": [{"condition_id": "i"}], "data": null, "next_cursor": "n"}']
+    pages = spark.createDataFrame([(0, n, b) for n, b in enumerate(bodies)], P.PAGE_SCHEMA)
+    raw = P.raw_markets(P.walked_pages(pages)).cache()
+    want, valid = {}, {}
+    for n, b in enumerate(bodies):
+        data = json.loads(b).get("data")
+        for pos, m in enumerate(data if isinstance(data, list) else []):
+            want[n, pos] = m
+            valid[n, pos] = isinstance(m, dict) and isinstance(m.get("condition_id"), str) and m.get("active", False) is not None
+    rows = raw.selectExpr("page_no", "pos", "valid", "to_json(m) AS m").collect()
+    assert {(r.page_no, r.pos): r.valid for r in rows} == valid
+    typed = {(r.page_no, r.pos): r for r in P.typed_markets(raw).selectExpr(
+        "page_no", "pos", "condition_id", "icon", "question", "active", "seconds_delay", "minimum_tick_size",
+        "to_json(tokens) AS tokens", "to_json(rewards) AS rewards", "to_json(tags) AS tags").collect()}
+    for at, ok in valid.items():
+        if ok:
+            m, r = want[at], typed[at]
+            assert (r.condition_id, r.icon, r.question, r.active) == (m["condition_id"], m.get("icon"), m.get("question"), m.get("active", False))
+            assert (r.seconds_delay, r.minimum_tick_size) == (m.get("seconds_delay", 0), m.get("minimum_tick_size", 0.0))
+            assert [json.loads(r[c]) for c in ("tokens", "rewards", "tags")] == [m.get(c) for c in ("tokens", "rewards", "tags")]
+    assert typed.keys() == {at for at, ok in valid.items() if ok}
+    # A key that is repeated two levels inside a column costs that market alone.
+    deep = spark.createDataFrame([(0, 0, page('{"condition_id": "j", "tokens": [{"p": {"q": 1, "q": 2}}]}', '{"condition_id": "k"}'))], P.PAGE_SCHEMA)
+    left = P.raw_markets(P.walked_pages(deep))
+    assert [r.condition_id for r in P.typed_markets(left).collect()] == ["k"] and P.market_rejects(left).count() == 1
+
+
+def test_what_is_no_json_ends_a_walk(spark):
+    from marketlake.sources import pages as P
+    bad = ["{'next_cursor': 'n', 'x': 1, 'x': 2}", '{"next_cursor": "n", "x": NaN, "x": 2}', '{"next_cursor": "n", "x": 1, "x": 2},', ""]
+    rows = [(k, n, bad[k] if n else '{"data": [], "next_cursor": "n"}') for k in range(len(bad)) for n in range(2)]
+    pages = spark.createDataFrame([*rows, (9, 0, None)], P.PAGE_SCHEMA)
+    assert {r.walk_id: r._last for r in P.walk_stops(pages).collect()} == {0: 0, 1: 0, 2: 0, 3: 0, 9: -1}
