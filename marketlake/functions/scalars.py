@@ -17,10 +17,11 @@ _I64_MIN = -9223372036854775808
 _TWO_63 = 9223372036854775808  # 2^63, exactly representable as a double
 _TWO_64 = 18446744073709551616
 
-# Fixed value: strict RFC 3339 date-time with a mandatory offset. Upper- and
-# lower-case T/Z and a space separator are accepted, as the reference's
-# timestamp parser does.
-RFC3339_PATTERN = r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}:\d{2}([.]\d+)?([Zz]|[+-]\d{2}:\d{2})$"
+# Fixed value: strict RFC 3339 date-time with a mandatory offset (below a day either way).
+# Upper- and lower-case T/Z and a space separator are accepted, and second 60, as the
+# reference's timestamp parser does.
+RFC3339_PATTERN = (r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}:([0-5]\d|60)([.]\d+)?"
+                   r"([Zz]|[+-]([01]\d|2[0-3]):[0-5]\d)$")
 
 # The calendar date types, in their enum order.
 DATE_TYPES = ("earnings", "ex_dividend", "dividend_payment")
@@ -63,18 +64,23 @@ def spread_bps(ask="ask_price", bid="bid_price") -> Column:
     return ieee_div(spread(ask, bid), bid) * F.lit(10000.0)
 
 
-def _instant(text: Column) -> Column:
-    """Parse an RFC 3339 text to an instant; NULL when it does not conform."""
-    ok = text.rlike(RFC3339_PATTERN)
-    return F.when(ok, F.upper(text).try_cast("timestamp"))
-
-
 def ts_lenient(text) -> Column:
     """SCL-6: RFC 3339 text -> UTC wall clock (TIMESTAMP_NTZ); bad or missing -> NULL.
 
-    Digits past microseconds are cut. Requires a UTC session (``require_utc``).
+    The wall clock and its offset are read apart and subtracted, so every offset below a
+    day counts; a leap second (second 60) is carried into the next minute. Digits past
+    microseconds are cut. Independent of the session's time zone.
     """
-    return _instant(col_of(text)).cast("timestamp_ntz")
+    t = col_of(text)
+    ok = t.rlike(RFC3339_PATTERN)
+    leap = F.substring(t, 18, 2) == "60"
+    clock = F.concat(F.substring(t, 1, 10), F.lit(" "), F.substring(t, 12, 6), F.when(leap, "59").otherwise(F.substring(t, 18, 2)),
+                     F.substring(F.regexp_extract(t, r"^.{19}([.]\d+)", 1), 1, 7))
+    sign = F.when(F.substring(t, -6, 1) == "-", -1).otherwise(1)
+    zone = F.when(F.upper(F.right(t, F.lit(1))) == "Z", 0).otherwise(
+        sign * (F.substring(t, -5, 2).try_cast("int") * 3600 + F.right(t, F.lit(2)).try_cast("int") * 60))
+    shift = F.when(leap, 1).otherwise(0) - zone
+    return F.when(ok, clock.try_cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), shift.cast("decimal(18,6)")))
 
 
 def ts_strict_ok(text) -> Column:

@@ -107,13 +107,22 @@ FROM {orders} GROUP BY o_custkey""", orders=table(spark, sf_dir, "orders"))
 
 
 def fx_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A symbol CSV text (one row, column ``value``) with CRLF, a header, blank and
-    empty-first-cell lines."""
+    """Lines of symbol lists ``(list, place, line)``, 20,000 customers each: a header,
+    blank lines and lines with an empty first cell among them."""
     return _sql(spark, """
-SELECT concat('Symbol,Name\\r\\n', array_join(transform(array_sort(collect_list(struct(n_nationkey, n_name))),
-       x -> CASE WHEN x.n_nationkey % 7 = 3 THEN '' WHEN x.n_nationkey % 7 = 5 THEN ',no symbol'
-                 ELSE concat(' C', x.n_nationkey, ' , ', x.n_name) END), '\\r\\n')) AS value
-FROM {nation}""", nation=table(spark, sf_dir, "nation"))
+SELECT c_custkey div 20000 AS list, c_custkey AS place,
+       CASE WHEN c_custkey % 7 = 3 THEN '' WHEN c_custkey % 7 = 5 THEN ',no symbol'
+            ELSE concat(' C', c_custkey, ' , ', c_name) END AS line
+FROM {customer} UNION ALL SELECT DISTINCT c_custkey div 20000, -1, 'Symbol,Name' FROM {customer}""",
+                customer=table(spark, sf_dir, "customer"))
+
+
+def fx_raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw captures ``(capture, place, line)``, one frame a line, 5,000 events a file."""
+    return _sql(spark, """
+SELECT event_id div 5000 AS capture, event_id AS place,
+       concat('[{"T":"error","code":400,"msg":"', event_type, ' ', event_id, '"}]') AS line
+FROM {events}""", events=table(spark, sf_dir, "events"))
 
 
 def fx_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,9 +144,12 @@ FROM {events}""", events=table(spark, sf_dir, "events"))
 
 
 def fx_times(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Time stamp texts: Z, +05:30, -04:00, z, no offset, ' UTC', trailing junk, nanoseconds."""
+    """Time stamp texts: Z, +05:30, -04:00, z, no offset, ' UTC', trailing junk, nanoseconds,
+    offsets up to a day and beyond, leap seconds, second 61."""
     return _sql(spark, """
-SELECT event_id AS seq, concat(date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), CASE event_id % 8
+SELECT event_id AS seq, concat(date_format(ts, CASE event_id % 14 WHEN 11 THEN "yyyy-MM-dd'T'HH:mm:'60'.SSSSSS"
+         WHEN 12 THEN "yyyy-MM-dd'T'HH:mm:'60'" WHEN 13 THEN "yyyy-MM-dd'T'HH:mm:'61'" ELSE "yyyy-MM-dd'T'HH:mm:ss.SSSSSS" END), CASE event_id % 14
          WHEN 0 THEN 'Z' WHEN 1 THEN '+05:30' WHEN 2 THEN '-04:00' WHEN 3 THEN 'z' WHEN 4 THEN '' WHEN 5 THEN ' UTC'
-         WHEN 6 THEN 'Zjunk' ELSE '999Z' END) AS value
+         WHEN 6 THEN 'Zjunk' WHEN 7 THEN '999Z' WHEN 8 THEN '+19:00' WHEN 9 THEN '-23:59' WHEN 10 THEN '+24:00'
+         WHEN 12 THEN '-19:00' ELSE 'Z' END) AS value
 FROM {events}""", events=table(spark, sf_dir, "events"))

@@ -64,9 +64,11 @@ trade_rows AS (
 
 _TIMES = """
 WITH t AS (
-  SELECT event_id AS seq, CASE event_id % 8
+  SELECT event_id AS seq, CASE event_id % 14
      WHEN 0 THEN ts WHEN 1 THEN ts - INTERVAL '5 hours 30 minutes' WHEN 2 THEN ts + INTERVAL '4 hours'
-     WHEN 3 THEN ts WHEN 7 THEN ts ELSE NULL END::TIMESTAMP AS ts
+     WHEN 3 THEN ts WHEN 7 THEN ts WHEN 8 THEN ts - INTERVAL '19 hours' WHEN 9 THEN ts + INTERVAL '23 hours 59 minutes'
+     WHEN 11 THEN ts - (date_trunc('second', ts) - date_trunc('minute', ts)) + INTERVAL '1 minute'
+     WHEN 12 THEN date_trunc('minute', ts) + INTERVAL '1 minute' + INTERVAL '19 hours' ELSE NULL END::TIMESTAMP AS ts
   FROM events)
 """
 
@@ -266,12 +268,12 @@ SELECT seq, CASE WHEN isnan(x) THEN 0 WHEN x >= 9223372036854775808.0 THEN 92233
                  WHEN x < -9223372036854775808.0 THEN -9223372036854775808
                  ELSE CAST(trunc(x) AS BIGINT) END AS as_bigint FROM x""",
     "load_symbols": """
-SELECT line_no, 'C' || n_nationkey AS symbol FROM (
-  SELECT n_nationkey, row_number() OVER (ORDER BY n_nationkey) AS line_no FROM nation)
-WHERE n_nationkey % 7 NOT IN (3, 5)""",
+SELECT list, line_no, 'C' || c_custkey AS symbol FROM (
+  SELECT c_custkey, c_custkey // 20000 AS list, row_number() OVER (PARTITION BY c_custkey // 20000 ORDER BY c_custkey) AS line_no FROM customer)
+WHERE c_custkey % 7 NOT IN (3, 5)""",
     "symbol_scan": _STATEMENTS + """
-SELECT seq, kind, symbol FROM s0 WHERE symbol IN (SELECT 'C' || n_nationkey FROM nation
-                                                  WHERE n_nationkey % 7 NOT IN (3, 5))""",
+SELECT seq, kind, symbol FROM s0 WHERE symbol IN (SELECT 'C' || c_custkey FROM customer
+                                                  WHERE c_custkey % 7 NOT IN (3, 5))""",
     "fetch_policy_skip": _STATEMENTS + "SELECT seq, kind, symbol FROM s0 WHERE NOT failed",
     "fetch_errors": _STATEMENTS + """
 SELECT seq, symbol, kind, 'error: fetch failed' AS error FROM s0 WHERE failed""",
@@ -396,4 +398,9 @@ SELECT CAST(bucket // 2 AS BIGINT) AS batch_id, count(*) AS input_rows FROM (
 GROUP BY 1""",
 })
 
-ORACLES.update({"scan_frame_lines": ORACLES["dispatch_kinds"]})
+ORACLES.update({
+    "scan_frame_lines": """
+SELECT capture, row_number() OVER (PARTITION BY capture ORDER BY event_id) - 1 AS line_no,
+       '[{"T":"error","code":400,"msg":"' || event_type || ' ' || event_id || '"}]' AS body, event_type || ' ' || event_id AS msg
+FROM (SELECT *, event_id // 5000 AS capture FROM events)""",
+})

@@ -58,14 +58,24 @@ def q_policy_skip_row(spark, sf_dir):
     return policies.skip_row(policy_rows(spark, sf_dir))
 
 
+def land_lines(lines, folder: str, line_sep: str = "\n") -> str:
+    """Write texts ``(folder, place, line)`` as a collector would: one file a folder, its
+    lines in order; as many files as the input has folders."""
+    from marketlake.session import scratch_dir
+
+    path = scratch_dir(lines.sparkSession, "landed-lines")
+    (lines.repartition(folder).sortWithinPartitions(folder, "place").select(folder, "line")
+     .write.mode("overwrite").partitionBy(folder).option("lineSep", line_sep).text(path))
+    return path
+
+
 def q_scan_frame_lines(spark, sf_dir):
-    """SRC-1 for raw text captures: frame bodies landed one per line (no stamp),
-    read back in (file time, file, line) order, parsed, counted per tag."""
+    """SRC-1 for raw text captures: frames landed one per line (no stamp), read back with
+    their line numbers and parsed."""
     from marketlake.operators import frames as FR
-    from marketlake.session import scratch_dir
 
-    path = scratch_dir(spark, "raw-capture")
-    (fx.fx_frames(spark, sf_dir).repartitionByRange(4, "frame_no").sortWithinPartitions("frame_no")
-     .select("body").write.mode("overwrite").text(path))
-    msgs = FR.parse_frames(SF.read_frame_lines(spark, path))
-    return msgs.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+    lines = SF.read_frame_lines(spark, land_lines(fx.fx_raw_lines(spark, sf_dir), "capture"))
+    bodies = lines.select(F.col("capture").cast("bigint").alias("capture"), F.col("frame_no._line").alias("line_no"),
+                          F.col("body").alias("text"), "body")
+    msgs = FR.errors(FR.parse_frames(bodies))
+    return msgs.select("capture", "line_no", F.col("text").alias("body"), "msg")

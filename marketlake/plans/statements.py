@@ -143,11 +143,14 @@ def q_sat_bigint(spark, sf_dir):
 
 
 def symbols(spark, sf_dir):
-    return ST.load_symbols(fx.fx_symbols(spark, sf_dir))
+    from marketlake.plans.sources import land_lines
+
+    lists = ST.read_symbols(spark, land_lines(fx.fx_symbols(spark, sf_dir), "list", "\r\n"))
+    return lists.select(F.col("list").cast("bigint").alias("list"), "line_no", "symbol")
 
 
 def q_load_symbols(spark, sf_dir):
-    """SRC-7: symbols from a CSV text, with line numbers."""
+    """SRC-7: symbols from CSV files, with line numbers."""
     return symbols(spark, sf_dir)
 
 

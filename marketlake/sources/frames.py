@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from marketlake.functions import jsontypes as J
 from marketlake.operators import frames as FR
+from marketlake.sources.lines import numbered_lines
 
 FRAME_SCHEMA = T.StructType([
     T.StructField("conn", T.StringType()), T.StructField("frame_no", T.LongType()),
@@ -43,13 +44,13 @@ def read_frames_stream(spark: SparkSession, path: str, fmt: str = "json",
 
 
 def read_frame_lines(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-1 for raw text captures (one frame per line, no stamp): ``frame_no``
-    falls back to (file time, file name, line); batch reads only."""
-    df = spark.read.text(path).select(
-        F.col("_metadata.file_modification_time").alias("_mtime"), F.col("_metadata.file_path").alias("_file"),
-        F.monotonically_increasing_id().alias("_line"), F.col("value").alias("body"))
-    return df.select(F.col("_file").alias("conn"), F.struct("_mtime", "_file", "_line").alias("frame_no"),
-                     F.lit(TEXT_KIND).alias("kind"), "body")
+    """SRC-1 for raw text captures (one frame per line, no stamp): ``conn`` is the file,
+    ``frame_no`` falls back to (file time, file, line number); batch reads only."""
+    lines = numbered_lines(spark, path)
+    own = [c for c in lines.columns if c not in ("file", "file_time", "line_no", "line")]
+    number = F.struct(F.col("file_time").alias("_mtime"), F.col("file").alias("_file"), F.col("line_no").alias("_line"))
+    return lines.select(F.col("file").alias("conn"), number.alias("frame_no"), F.lit(TEXT_KIND).alias("kind"),
+                        F.col("line").alias("body"), *own)
 
 
 def capture_until_close(raw: DataFrame, conn: str = "conn", seq: str = "frame_no", kind: str = "kind") -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions import scalars as SC
 from marketlake.schemas import CALENDAR_PAYLOAD, statement_payload
+from marketlake.sources.lines import numbered_lines
 
 # Landed fetch unit (JSON lines or Parquet).
 UNIT_SCHEMA = "seq bigint, kind string, symbol string, status string, body string"
@@ -86,25 +87,33 @@ def calendar_unpivot(cal: DataFrame) -> DataFrame:
             .select(*keep, "symbol", F.col("ord").cast("bigint").alias("ord"), "_e.date_type", "_e.date_utc"))
 
 
-def load_symbols(text: DataFrame, value: str = "value") -> DataFrame:
-    """SRC-7: symbol list from CSV text: first column, trimmed; blank lines skipped;
-    line 0 skipped when it starts with "symbol" (any case); empty cells dropped;
-    no quote handling; duplicates and order kept. Output ``(line_no, symbol)``.
-
-    ``text`` has one row per file (``spark.read.text(path, wholetext=True)``), so
-    line numbers are exact.
-    """
+def _symbols(lines: DataFrame, place: Sequence[str]) -> DataFrame:
+    """The symbol of each line (``line_no``, ``line``) that has one."""
     def trim(c: Column) -> Column:
         return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
-    lines = text.select(F.posexplode(F.split(F.col(value), "\n")).alias("line_no", "line"))
-    t = lines.select("line_no", trim(F.regexp_replace("line", "\r$", "")).alias("line"))
+    t = lines.select(*place, F.col("line_no").cast("bigint").alias("line_no"), trim(F.regexp_replace("line", "\r$", "")).alias("line"))
     header = (F.col("line_no") == 0) & F.lower(F.col("line")).startswith("symbol")
     cell = trim(F.split_part(F.col("line"), F.lit(","), F.lit(1)))
-    return (t.filter((F.col("line") != "") & ~header)
-            .select(F.col("line_no").cast("bigint").alias("line_no"), cell.alias("symbol"))
+    return (t.filter((F.col("line") != "") & ~header).select(*place, "line_no", cell.alias("symbol"))
             .filter(F.col("symbol") != ""))
 
 
+def read_symbols(spark: SparkSession, path: str) -> DataFrame:
+    """SRC-7: the symbol lists at ``path`` (a CSV file, or a folder of them): first column,
+    trimmed; blank lines skipped; line 0 of a file skipped when it starts with "symbol"
+    (any case); empty cells dropped; no quote handling; duplicates and order kept.
+    Output ``(file, line_no, symbol)`` and the folders' columns. A large file is read by
+    many tasks (``sources/lines.py``)."""
+    lines = numbered_lines(spark, path)
+    return _symbols(lines, ["file", *[c for c in lines.columns if c not in ("file", "file_time", "line_no", "line")]])
+
+
+def load_symbols(text: DataFrame, value: str = "value") -> DataFrame:
+    """SRC-7 for lists that are texts already, one a row: ``(line_no, symbol)``, by the
+    rules of ``read_symbols``."""
+    return _symbols(text.select(F.posexplode(F.split(F.col(value), "\n")).alias("line_no", "line")), [])
+
+
 def symbol_scan(units: DataFrame, symbols: DataFrame, symbol_col: str = "symbol") -> DataFrame:
     """SRC-8: keep the payloads of the listed symbols only (left semi join).
 

@@ -7,6 +7,7 @@ import pytest
 from marketlake.operators import frames as FR
 from marketlake.operators import rows as R
 
+# The wire examples of each message kind.
 BAR = '{"T":"b","S":"AAPL","o":150.0,"h":152.5,"l":149.5,"c":151.0,"v":1000000,"t":"2024-01-01T10:00:00Z","n":1500,"vw":150.75}'
 QUOTE = ('{"T":"q","S":"TSLA","bx":"NASDAQ","bp":250.10,"bs":100,"ax":"NASDAQ","ap":250.15,"as":200,"c":[],'
          '"z":"C","t":"2024-01-01T10:00:01Z"}')
@@ -120,7 +121,7 @@ def test_u64_wraps_in_table(frames):
     ("2024-13-01T10:00:00Z", None),
     ("2024-01-01T10:00:00 UTC", None),
     ("2024-01-01T10:00:00Zjunk", None),
-    ("2016-12-31T23:59:60Z", None),
+    ("2016-12-31T23:59:60Z", "2017-01-01 00:00:00"),
     ("2024-01-01 10:00:00Z", "2024-01-01 10:00:00"),
     ("2024-02-30T10:00:00Z", None),
 ])
