@@ -404,3 +404,7 @@ SELECT capture, row_number() OVER (PARTITION BY capture ORDER BY event_id) - 1 A
        '[{"T":"error","code":400,"msg":"' || event_type || ' ' || event_id || '"}]' AS body, event_type || ' ' || event_id AS msg
 FROM (SELECT *, event_id // 5000 AS capture FROM events)""",
 })
+
+ORACLES.update({
+    "stream_counters": _MARKETS + "SELECT (SELECT count(*) FROM walked) AS pages_walked, (SELECT count(*) FROM raw) AS raw_markets",
+})

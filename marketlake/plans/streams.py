@@ -360,3 +360,18 @@ def q_pipeline_markets(spark, sf_dir):
     cols = [c for c in t.columns if c not in ("id", "received_at", "_at", "_run", "_batch_id", "_seq")]
     return _comparable(t.select(F.col("_seq.walk_id").alias("walk_id"), F.col("_seq.page_no").alias("page_no"),
                                 F.col("_seq.pos").alias("pos"), *cols))
+
+
+def q_stream_counters(spark, sf_dir):
+    """AGG-1 in the stream: pages walked and raw markets seen, from the log that the
+    sink writes a row to for each micro-batch."""
+    from marketlake.streaming.pipeline import MarketTableSink
+    require_utc(spark)
+    landed = _land(fx.fx_pages(spark, sf_dir), spark, "landed-pages", ["walk_id", "page_no"])
+    sink = MarketTableSink(scratch_dir(spark, "tables"))
+    h = (pipeline(spark, _json_source(landed, PAGE_SCHEMA), sink).channel_capacity(4)
+         .checkpoint(scratch_dir(spark, "checkpoint")).start().wait())
+    if h.error:
+        raise h.error
+    return sink.counters(spark).agg(F.sum("pages").cast("bigint").alias("pages_walked"),
+                                    F.sum("raw_markets").cast("bigint").alias("raw_markets"))

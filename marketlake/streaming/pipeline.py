@@ -23,6 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 from marketlake.operators import frames as FR
 from marketlake.operators import rows as R
 from marketlake.session import require_utc
+from marketlake.streaming.state import FoldedState
 from marketlake.streaming.tables import DIRECT, KeyedTable, read_if_any
 
 
@@ -65,14 +66,6 @@ def _write_log(df: DataFrame, path: str, run: str, batch_id: int) -> None:
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_run", "_batch_id").parquet(path))
 
 
-def _earlier(spark: SparkSession, path: str, run: str, batch_id: int) -> DataFrame | None:
-    """What earlier batches of the same run logged; None where nothing was."""
-    rows = read_if_any(spark, path)
-    if rows is None:
-        return None
-    return rows.filter((F.col("_run").cast("string") == F.lit(run)) & (F.col("_batch_id") < F.lit(int(batch_id))))
-
-
 class _Compacting:
     """Optional periodic compaction: after every ``compact_every`` batches the
     sink folds its tables' logs into snapshots, so reads stay incremental."""
@@ -108,20 +101,19 @@ class AlpacaTableSink(_Compacting):
 
     def _capture(self, spark: SparkSession, df: DataFrame, batch_id: int):
         """SRC-2 in the stream: a close or error frame ends its connection, in this
-        micro-batch and in every later one. Ends are kept in a small
-        ``conn_ends`` table (one row per ended connection and batch); reads take
-        only earlier batches, so this batch's ends are written with the tables.
+        micro-batch and in every later one. Ends are kept in ``conn_ends`` (one row for
+        each ended connection, folded as it grows); reads take only earlier batches, so
+        this batch's ends are written with the tables.
         Returns the cut frames and the write of this batch's ends."""
         from marketlake.sources import frames as SF
 
-        ends_path = f"{self.root}/conn_ends"
+        state = FoldedState(f"{self.root}/conn_ends", ["conn"], "_end")
         ends = (df.filter(F.col("kind").isin(*SF.END_KINDS)).groupBy("conn")
                 .agg(F.min("frame_no").alias("_end")))
-        write_ends = lambda: _write_log(ends, ends_path, self.run_id, batch_id)
-        earlier = _earlier(spark, ends_path, self.run_id, batch_id)
+        write_ends = lambda: state.write(ends, self.run_id, batch_id)
+        earlier = state.before(spark, ends.schema, self.run_id, int(batch_id))
         if earlier is not None:
-            earlier = earlier.groupBy("conn").agg(F.min("_end").alias("_prev"))
-            df = (df.join(earlier, on="conn", how="left")
+            df = (df.join(earlier.withColumnRenamed("_end", "_prev"), on="conn", how="left")
                   .filter(F.col("_prev").isNull() | (F.col("frame_no") < F.col("_prev"))).drop("_prev"))
         return SF.capture_until_close(df), write_ends
 
@@ -197,15 +189,26 @@ class AlpacaTableSink(_Compacting):
             raw.unpersist()
 
 
+FAILURE = "batch_id bigint, sink string, error string"
+
+
 class PipelineHandle:
     """STR-6: the running feed. ``wait()`` returns when a finite source is drained;
     a source or sink failure is kept on the handle (STR-5), not lost."""
 
-    def __init__(self, query: StreamingQuery, failed_batches: list):
+    def __init__(self, query: StreamingQuery, failure_log: str):
         self.query = query
-        self.failed_batches = failed_batches
+        self.failure_log = failure_log
         self.error: Exception | None = None
 
+    def failed_batches(self) -> DataFrame:
+        """STR-4: ``(batch_id, sink, error)`` of the batches this run passed over, from its log."""
+        spark = SparkSession.active()
+        rows = read_if_any(spark, self.failure_log)
+        if rows is None:
+            return spark.createDataFrame([], FAILURE)
+        return rows.filter(F.col("_run").cast("string") == F.lit(str(self.query.id))).select("batch_id", "sink", "error")
+
     def wait(self, timeout: float | None = None) -> PipelineHandle:
         try:
             self.query.awaitTermination(timeout)
@@ -263,8 +266,8 @@ class PipelineBuilder:
         return self
 
     def failure_log(self, path: str) -> PipelineBuilder:
-        """With ``on_sink_error("continue")``: also append each failed batch as a row
-        ``(batch_id, sink, error)`` to the Parquet table at ``path``."""
+        """With ``on_sink_error("continue")``: where each failed batch is a row
+        ``(batch_id, sink, error)`` (else beside the checkpoint)."""
         self._failure_log = path
         return self
 
@@ -281,9 +284,8 @@ class PipelineBuilder:
         if not self._checkpoint:
             raise ValueError("a pipeline needs checkpoint(path): it is what makes a restart go on instead of starting over")
         stream = self.source(self.spark, self._capacity)
-        failed: list = []
-        lock = threading.Lock()
-        sink, on_error, log_path = self.sink, self._on_error, self._failure_log
+        sink, on_error = self.sink, self._on_error
+        log_path = self._failure_log or self._checkpoint.rstrip("/") + "-failed"
 
         def run(df: DataFrame, batch_id: int) -> None:
             try:
@@ -291,12 +293,8 @@ class PipelineBuilder:
             except Exception as e:  # noqa: BLE001
                 if on_error == "fail":
                     raise
-                record = (int(batch_id), sink.name, str(e))
-                with lock:
-                    failed.append(record)
-                if log_path:
-                    (df.sparkSession.createDataFrame([record], "batch_id bigint, sink string, error string")
-                     .write.mode("append").parquet(log_path))
+                record = df.sparkSession.createDataFrame([(int(batch_id), sink.name, str(e))], FAILURE)
+                _write_log(record.coalesce(1), log_path, str(query[0].id), batch_id)
 
         started = threading.Event()
         query: list[StreamingQuery] = []
@@ -312,7 +310,7 @@ class PipelineBuilder:
             w = w.queryName(self._name)
         query.append(w.start())
         started.set()
-        return PipelineHandle(query[0], failed)
+        return PipelineHandle(query[0], log_path)
 
 
 def pipeline(spark: SparkSession, source: Source, sink: Sink) -> PipelineBuilder:
@@ -346,12 +344,12 @@ class StatementTableSink(_Compacting):
         """``fail``: drop units at or after the first failed one (earlier batches included)."""
         from marketlake.sources import statements as ST
 
-        path = f"{self.root}/fetch_cut"
-        first = units.filter(F.col("status") != "ok").agg(F.min("seq").alias("_cut")).filter("_cut IS NOT NULL")
-        _write_log(first, path, self.run_id, batch_id)
-        earlier = _earlier(spark, path, self.run_id, batch_id)
+        state = FoldedState(f"{self.root}/fetch_cut", [], "_cut")
+        first = units.filter(F.col("status") != "ok").agg(F.min("seq").alias("_cut"))
+        state.write(first, self.run_id, batch_id)
+        earlier = state.before(spark, first.schema, self.run_id, int(batch_id))
         if earlier is not None:
-            cut = earlier.agg(F.min("_cut")).scalar()
+            cut = earlier.scalar()
             units = units.filter(cut.isNull() | (F.col("seq") < cut))
         return ST.cut_at_first_failure(units, ["seq"])
 
@@ -393,27 +391,30 @@ class MarketTableSink(_Compacting):
     last arrival wins) and ``market_rejects``.
 
     A walk ends at its first page without a usable cursor. The stop page of each
-    walk is kept in a small ``walk_stops`` table (one row per walk); later pages
-    of a stopped walk are dropped in every later micro-batch."""
+    walk is kept in ``walk_stops`` (one row per walk, folded as it grows); later pages
+    of a stopped walk are dropped in every later micro-batch. Pages walked and raw markets
+    seen (AGG-1) are rows of the log ``ingest_counters``, one for each micro-batch."""
 
     name = "market-tables"
     tables = ("polymarket_markets",)
 
     def __init__(self, root: str, compact_every: int | None = None):
         self.root, self.compact_every = root, compact_every
-        self.counters: list[dict] = []  # per micro-batch: pages walked, raw markets seen
+
+    def counters(self, spark: SparkSession) -> DataFrame | None:
+        """AGG-1: ``(pages, raw_markets, _run, _batch_id)`` of the batches written so far."""
+        return read_if_any(spark, f"{self.root}/ingest_counters")
 
     def handle_batch(self, df: DataFrame, batch_id: int) -> None:
         from marketlake.sources import pages as P
 
         spark = df.sparkSession
         require_utc(spark)
-        stops_path = f"{self.root}/walk_stops"
+        state = FoldedState(f"{self.root}/walk_stops", ["walk_id"], "_last")
         pages = df
-        earlier = _earlier(spark, stops_path, self.run_id, batch_id)
+        earlier = state.before(spark, "walk_id bigint, _last bigint", self.run_id, int(batch_id))
         if earlier is not None:
-            earlier = earlier.groupBy("walk_id").agg(F.min("_last").alias("_prev"))
-            pages = (pages.join(earlier, on="walk_id", how="left")
+            pages = (pages.join(earlier.withColumnRenamed("_last", "_prev"), on="walk_id", how="left")
                      .filter(F.col("_prev").isNull() | (F.col("page_no") <= F.col("_prev"))).drop("_prev"))
         pages = P.parse_pages(pages).persist()  # the parsed pages: every write reads them from the cache
         try:
@@ -434,8 +435,9 @@ class MarketTableSink(_Compacting):
             run_concurrently(
                 lambda: table.write_batch(R.valid(markets), batch_id, ["walk_id", "page_no", "pos"], self.run_id),
                 lambda: _write_log(rejects, f"{self.root}/market_rejects", self.run_id, batch_id),
-                lambda: _write_log(stops, stops_path, self.run_id, batch_id))
-            self.counters.append({"batch_id": int(batch_id), **obs.get})
+                lambda: state.write(stops, self.run_id, batch_id))
+            seen = spark.createDataFrame([(obs.get["pages"], obs.get["raw_markets"])], "pages bigint, raw_markets bigint")
+            _write_log(seen.coalesce(1), f"{self.root}/ingest_counters", self.run_id, batch_id)
             self._maybe_compact(spark, batch_id)
         finally:
             pages.unpersist()

@@ -12,6 +12,12 @@ to the table. Reading resolves the log per key:
 * ``upsert``: the last arrival per key, surrogate ``id`` of the first
   (``ON CONFLICT DO UPDATE``, ``received_at`` refreshed).
 
+Surrogate ids are unique. Runs are numbered (``_runs``, a claim that is read back before
+it counts), and a run has ``RUN_IDS`` ids for each table. A batch takes ids from the
+greatest one of its run's earlier batches on; inside it a row's id follows from its place
+in arrival order within one of ``ID_GROUPS`` groups, so a replay gives the same ids. Like a
+serial's, the ids have gaps.
+
 Arrival order is ``(_at, _run, _batch_id, _seq)``, where ``_at`` is the time the batch
 was handed to the table; it is data, so the result does not depend on
 partitioning or on task order. The writer reduces each batch to one row per key
@@ -22,32 +28,67 @@ each run, the last batch it holds, after which reads resolve only the others.
 
 from __future__ import annotations
 
+import random
+import threading
 import time
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketlake.operators import keyed
 from marketlake.schemas import TABLE_COLUMNS, TABLE_KEYS
+from marketlake.session import path_exists
 
 #: The run id of writes that no streaming query makes.
 DIRECT = "direct"
+#: Ids that a run has for each table, and groups in which a batch's rows are numbered.
+RUN_IDS = 1 << 40
+ID_GROUPS = 64
+
+_numbers: dict[tuple[str, str], int] = {}  # of runs, by root
+_next: dict[tuple[str, str], tuple[int, int]] = {}  # by table and run: the last batch written, the next id
+_lock = threading.Lock()
 
 
 def read_if_any(spark: SparkSession, path: str) -> DataFrame | None:
     """The Parquet table at ``path``; None where there is no folder or no data file yet.
     Any other failure (an unreadable file, lost storage) is raised, never taken for
     an empty table."""
+    if not path_exists(spark, path):
+        return None
     try:
         return spark.read.parquet(path)
     except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return None
         raise
 
 
+def run_number(spark: SparkSession, root: str, run: str) -> int:
+    """The number of a run among all that write to ``root``. A run claims the next free
+    one and reads the claims again: whoever then sees another run with the same number
+    gives it up for a greater one, so no two keep the same."""
+    with _lock:
+        if (root, run) in _numbers:
+            return _numbers[root, run]
+        path = f"{root}/_runs"
+        while True:
+            rows = read_if_any(spark, path)
+            claims: dict[str, int] = {}
+            for r in [] if rows is None else rows.groupBy("run").agg(F.max("number").alias("number")).collect():  # a row a run
+                claims[r["run"]] = r["number"]
+            mine = claims.pop(run, None)
+            if mine is not None and mine not in claims.values():
+                _numbers[root, run] = mine
+                return mine
+            if mine is not None:
+                time.sleep(random.random())
+            new = max([-1, *claims.values(), *([mine] if mine is not None else [])]) + 1
+            spark.createDataFrame([(run, new)], "run string, number bigint").coalesce(1).write.mode("append").parquet(path)
+
+
 class KeyedTable:
     """One table folder ``<root>/<name>`` (a shared path on a cluster)."""
 
@@ -57,7 +98,8 @@ class KeyedTable:
         self.spark, self.name = spark, name
         self.key = list(key if key is not None else default_key)
         self.mode = mode or default_mode
-        self.path = f"{root.rstrip('/')}/{name}"
+        self.root = root.rstrip("/")
+        self.path = f"{self.root}/{name}"
 
     # ---------------------------------------------------------------- write
     def write_batch(self, rows: DataFrame, batch_id: int, seq: Sequence[str], run: str = DIRECT) -> None:
@@ -67,15 +109,37 @@ class KeyedTable:
             df = keyed.top_per_key(df, self.key, ["_seq"], last=False)
         elif self.mode == "upsert":
             df = keyed.top_per_key(df, self.key, ["_seq"], last=True)
-        place = F.xxhash64(F.lit(run), F.lit(int(batch_id)), F.col("_seq"))
-        ident = F.when(keyed.any_null(self.key), place).otherwise(F.xxhash64(*self.key)) if self.key else place
+        first = self._first_id(run, int(batch_id))
+        group = F.pmod(F.xxhash64("_seq"), F.lit(ID_GROUPS))
+        df = df.withColumn("_g", group).withColumn("_n", F.row_number().over(Window.partitionBy("_g").orderBy("_seq")))
+        ident = F.lit(first) + (F.col("_n") - 1) * F.lit(ID_GROUPS).cast("bigint") + F.col("_g")
         cols = [c for c in TABLE_COLUMNS[self.name].fieldNames()] if self.name in TABLE_COLUMNS else \
             [c for c in rows.columns if c not in seq]
         out = df.select(ident.alias("id"), *cols, F.current_timestamp().cast("timestamp_ntz").alias("received_at"),
                         "_seq", F.lit(time.time_ns() // 1000).alias("_at"), F.lit(run).alias("_run"),
                         F.lit(int(batch_id)).cast("bigint").alias("_batch_id"))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        seen = Observation(f"ids-{self.name}-{int(batch_id)}")
+        (out.observe(seen, F.max("id").alias("last")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("_run", "_batch_id").parquet(self.path))
+        last = seen.get["last"]
+        with _lock:
+            _next[self.path, run] = (int(batch_id), first if last is None else last + 1)
+
+    def _first_id(self, run: str, batch_id: int) -> int:
+        """The id from which a batch's rows are numbered: behind all of its run's earlier
+        batches. Known from the batch before, or read (of the ids alone) after a restart."""
+        with _lock:
+            batch, first = _next.get((self.path, run), (batch_id, 0))
+        start = run_number(self.spark, self.root, run) * RUN_IDS
+        if batch >= batch_id:  # a new process, or a replay
+            last = None
+            if batch_id > 0:
+                mine = self.log().filter((F.col("_run") == F.lit(run)) & (F.col("_batch_id") < F.lit(batch_id)))
+                last = mine.agg(F.max("id")).first()[0]
+            first = start + 1 if last is None else last + 1
+        if first >= start + RUN_IDS:
+            raise RuntimeError(f"run {run} has used up its ids in {self.name}")
+        return first
 
     # ---------------------------------------------------------------- read
     def exists(self) -> bool:
@@ -121,7 +185,13 @@ class KeyedTable:
         order = ["_at", "_run", "_batch_id", "_seq"]
         if self.mode == "append":
             return rows
-        return keyed.top_per_key(rows, self.key, order, last=(self.mode == "upsert"))
+        if self.mode == "insert_ignore":
+            return keyed.top_per_key(rows, self.key, order, last=False)
+        # The last arrival's columns, the first one's id (partially aggregated, so a hot key is one row a task).
+        place, alone = F.struct(*order), F.when(keyed.any_null(self.key), F.struct(*order))
+        last = rows.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(self.key)], alone.alias("_alone")).agg(
+            F.max_by(F.struct(*rows.columns), place).alias("_row"), F.min_by("id", place).alias("_id"))
+        return last.select(*[F.col("_id").alias("id") if c == "id" else F.col(f"_row.`{c}`").alias(c) for c in rows.columns])
 
     def _newer(self, folded: dict[str, int]) -> DataFrame:
         """Log rows of batches that no snapshot holds (a filter on partition columns)."""
@@ -148,6 +218,9 @@ class KeyedTable:
         if self.mode == "insert_ignore":
             fresh = newer.join(snap.select(*self.key), on=self.key, how="left_anti")
             return snap.unionByName(fresh)
+        # A key that the snapshot holds keeps its id.
+        ids = snap.select(*self.key, F.col("id").alias("_held"))
+        newer = newer.join(ids, on=self.key, how="left").withColumn("id", F.coalesce("_held", "id")).select(*newer.columns)
         kept = snap.join(newer.select(*self.key), on=self.key, how="left_anti")
         return kept.unionByName(newer)
 

@@ -32,16 +32,19 @@ def test_insert_ignore_keeps_first_and_upsert_keeps_last(spark):
     root = scratch_dir(spark, "t")
     ii = KeyedTable(spark, root, "ii", key=["condition_id"], mode="insert_ignore")
     up = KeyedTable(spark, root, "up", key=["condition_id"], mode="upsert")
+    before = {}
     for t in (ii, up):
         t.write_batch(_rows(spark, [("a", "q1", 0, 0), ("a", "q2", 0, 1), ("b", "q3", 0, 2)]), 0, ["frame_no", "pos"])
+        before[t.name] = {r.condition_id: r.id for r in t.read().collect()}
         t.write_batch(_rows(spark, [("a", "q4", 1, 0), ("c", None, 1, 1)]), 1, ["frame_no", "pos"])
     got_ii = {r.condition_id: r.question for r in ii.read().collect()}
     got_up = {r.condition_id: r.question for r in up.read().collect()}
     assert got_ii == {"a": "q1", "b": "q3", "c": None}
     assert got_up == {"a": "q4", "b": "q3", "c": None}
-    ids = {r.condition_id: r.id for r in up.read().collect()}
-    first_ids = {r.condition_id: r.id for r in ii.read().collect()}
-    assert ids == first_ids  # the surrogate id is stable per key
+    for t in (ii, up):
+        ids = {r.condition_id: r.id for r in t.read().collect()}
+        assert {k: ids[k] for k in ("a", "b")} == before[t.name]  # a key keeps the id of its first arrival
+        assert len(set(ids.values())) == 3
 
 
 def test_init_schema_is_idempotent(spark):
