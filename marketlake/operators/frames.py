@@ -72,6 +72,50 @@ def element_valid(x: Column) -> Column:
     return F.coalesce(J.is_string(x, "T") & by_tag, F.lit(False))
 
 
+# Wire types as schema_of_variant spells them, where the type alone says that the value is
+# valid. A DOUBLE may be infinite, a DECIMAL no integer: those take the long way.
+_PLAIN = {"str": "STRING", "f64": r"(?:BIGINT|DECIMAL\(\d+,\d+\))", "u64": "BIGINT", "list": "ARRAY<(?:STRING|VOID)>"}
+
+
+def _shape(fields) -> str:
+    """A pattern of the schema of an object of these fields, whose keys come in order:
+    required ones are there, optional ones too or null or missing, others are flat."""
+    known = sorted([*fields, ("T", "T", "str", True)])
+    other = rf"(?:(?!(?:{'|'.join(k for k, *_ in known)}): )\w+: \w+(?:\(\d+,\d+\))?(?:, |>$))*+"
+    out = "^OBJECT<" + other
+    for key, _, kind, required in known:
+        one = rf"{key}: {_PLAIN[kind] if required else f'(?:{_PLAIN[kind]}|VOID)'}(?:, |>$)"
+        out += (one if required else f"(?:{one})?+") + other
+    return out + "$"
+
+
+def _plainly_valid(x: Column, schema: Column, fields) -> Column:
+    """Whether the element's schema settles that it is valid, with a look at the values
+    of unsigned numbers and lists alone."""
+    out = schema.rlike(_shape(fields))
+    for key, _, kind, _ in fields:
+        if kind == "u64":
+            out = out & F.coalesce(J.get(x, key, "bigint") >= 0, F.lit(True))
+        elif kind == "list":
+            texts = J.get(x, key, "array<string>")
+            out = out & F.coalesce(~F.exists(texts, lambda t: t.isNull()), F.lit(True))
+    return out
+
+
+def elements_valid(elements: Column) -> Column:
+    """Whether every element is valid. One look at an element's schema settles bars, quotes
+    and trades of the usual wire types; anything else is checked field by field."""
+    seen = F.transform(elements, lambda x: F.struct(x.alias("x"), F.schema_of_variant(x).alias("s"), J.get(x, "T", "string").alias("t")))
+
+    def valid(e: Column) -> Column:
+        plain = F.lit(False)
+        for tag, fields in ((TAG_BAR, BAR_FIELDS), (TAG_QUOTE, QUOTE_FIELDS), (TAG_TRADE, TRADE_FIELDS)):
+            plain = F.when(e["t"] == tag, _plainly_valid(e["x"], e["s"], fields)).otherwise(plain)
+        return F.when(F.coalesce(plain, F.lit(False)), F.lit(True)).otherwise(element_valid(e["x"]))
+
+    return F.forall(seen, valid)
+
+
 def _once(df: DataFrame, keep: list[str], **cols: Column) -> DataFrame:
     """Evaluate ``cols`` exactly once per row.
 
@@ -100,8 +144,8 @@ def check_frames(frames: DataFrame, body: str = "body") -> DataFrame:
     one_value = F.coalesce(F.col("_closed") & (F.size(F.try_variant_get(w, "$", "array<variant>")) == 1),
                            F.lit(False))
     arr = F.when(one_value, F.try_variant_get(w, "$[0]", "array<variant>"))
-    step = _once(step, cols, _one=one_value, _arr=arr,
-                 _all=F.coalesce(F.forall(arr, element_valid), F.lit(False)))
+    step = _once(step, cols, _one=one_value, _arr=arr)
+    step = _once(step, [*cols, "_one", "_arr"], _all=F.coalesce(elements_valid(F.col("_arr")), F.lit(False)))
     reason = (F.when(~F.col("_one"), F.lit("malformed json"))
               .when(F.col("_arr").isNull(), F.lit("not an array"))
               .when(~F.col("_all"), F.lit("invalid element")))

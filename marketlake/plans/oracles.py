@@ -373,28 +373,27 @@ SELECT walk_id, page_no, count(*) AS raw_markets, count(*) FILTER (WHERE valid)
 FROM raw GROUP BY walk_id, page_no""",
 })
 
-# Landed frames of the streaming queries: bucket = frame_no * 8 // frames, one file
-# per bucket, files taken in bucket order.
-_BUCKETS = """, bk AS (SELECT *, CAST(floor(frame_no * 8 / (SELECT max(frame_no) + 1 FROM ev)) AS INTEGER) AS bucket
+# Landed frames of the streaming queries: arrival = frame_no * 8 // frames, taken in order.
+_ARRIVALS = """, ar AS (SELECT *, CAST(floor(frame_no * 8 / (SELECT max(frame_no) + 1 FROM ev)) AS INTEGER) AS arrival
             FROM bar_rows)"""
 
 
-def _bars_of_buckets(where: str, extra: str = "") -> str:
-    return (_BARS + _BUCKETS + f"""
-SELECT * EXCLUDE (rn, bucket){extra} FROM (
-  SELECT *, row_number() OVER (PARTITION BY symbol, timestamp ORDER BY frame_no, pos) AS rn FROM bk WHERE {where})
+def _bars_of_arrivals(where: str, extra: str = "") -> str:
+    return (_BARS + _ARRIVALS + f"""
+SELECT * EXCLUDE (rn, arrival){extra} FROM (
+  SELECT *, row_number() OVER (PARTITION BY symbol, timestamp ORDER BY frame_no, pos) AS rn FROM ar WHERE {where})
 WHERE rn = 1""")
 
 
 ORACLES.update({
-    # the first micro-batch (buckets 0 and 1) hit the failing sink and was skipped
-    "sink_failure_continue": _bars_of_buckets("bucket >= 2"),
-    # the source failed reading the 4th file: buckets 0..2 were handed over
-    "source_failure_drain": _bars_of_buckets("bucket < 3", ", true AS source_failed"),
+    # arrival 3 names a connection without a table: its micro-batch (arrivals 2 and 3) is passed over
+    "sink_failure_continue": _bars_of_arrivals("arrival NOT IN (2, 3)", ", CAST(1 AS BIGINT) AS n_failed, CAST(1 AS BIGINT) AS failed_batch"),
+    # the source failed reading the 4th arrival: arrivals 0..2 were handed over
+    "source_failure_drain": _bars_of_arrivals("arrival < 3", ", true AS source_failed"),
     "bounded_admission": """
 WITH f AS (SELECT DISTINCT event_id // 5 AS frame_no FROM events)
-SELECT CAST(bucket // 2 AS BIGINT) AS batch_id, count(*) AS input_rows FROM (
-  SELECT CAST(floor(frame_no * 8 / (SELECT max(frame_no) + 1 FROM f)) AS INTEGER) AS bucket FROM f)
+SELECT CAST(arrival // 2 AS BIGINT) AS batch_id, count(*) AS input_rows FROM (
+  SELECT CAST(floor(frame_no * 8 / (SELECT max(frame_no) + 1 FROM f)) AS INTEGER) AS arrival FROM f)
 GROUP BY 1""",
 })
 

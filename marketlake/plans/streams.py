@@ -8,8 +8,6 @@ are the batch ones).
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,57 +16,43 @@ from marketlake.plans import fixtures as fx
 from marketlake.session import require_utc, scratch_dir
 from marketlake.sources import custom
 from marketlake.sources import frames as SF
-from marketlake.sources.pages import PAGE_SCHEMA, read_pages_stream  # noqa: F401 (PAGE_SCHEMA re-exported)
-from marketlake.sources.statements import UNIT_SCHEMA, read_units_stream
+from marketlake.sources.pages import PAGE_SCHEMA
+from marketlake.sources.statements import UNIT_SCHEMA
 from marketlake.streaming.pipeline import AlpacaTableSink, pipeline
 from marketlake.streaming.tables import KeyedTable, init_schema
 
 BAR_COLS = ["symbol", "open", "high", "low", "close", "volume", "timestamp", "trade_count", "vwap"]
 
 
-#: Rows of one landed file, once there are more than eight files' worth.
+#: Rows of one landed file, once there are more than a file an arrival.
 ROWS_PER_FILE = 20_000
+#: Arrivals into which a landed input is cut: the feed's clock. Files in an arrival follow the input.
+ARRIVALS = 8
 
 
-def land_frames(spark, sf_dir, files: int | None = None, broken: int | None = None) -> str:
-    """Write fx_frames as a collector would: JSON lines ``(conn, frame_no, kind,
-    body)`` in ``files`` consecutive ranges of arrival (by default as many as the input asks for), one file per
-    ``bucket=<i>`` folder (bucket = frame_no * files // frames, so which frames
-    share a file is known exactly); the frames of bucket ``broken`` land with a text
-    where their number should be. On a local folder the file times are set in
-    arrival order too (a collector writes them one after the other)."""
-    path = scratch_dir(spark, "landed")
-    f = fx.fx_frames(spark, sf_dir)
-    n = f.select(F.max("frame_no") + 1).scalar()
-    if files is None:  # follows the input
-        files = max(8, -(-f.count() // ROWS_PER_FILE))
-    rows = f.select(F.lit("c0").alias("conn"), "frame_no", F.lit(SF.TEXT_KIND).alias("kind"), "body",
-                    (F.col("frame_no") * files / n).cast("int").alias("bucket"))
-
-    def land(some: DataFrame) -> None:
-        (some.withColumn("bucket", F.lpad(F.col("bucket").cast("string"), 6, "0"))  # names in arrival order
-         .repartition("bucket").sortWithinPartitions("frame_no")
-         .write.mode("append").partitionBy("bucket").json(path))
-
-    land(rows if broken is None else rows.filter(F.col("bucket") != broken))
-    if broken is not None:
-        land(rows.filter(F.col("bucket") == broken).withColumn("frame_no", F.lit("broken")))
-    _order_file_times(path)
+def land(rows: DataFrame, path: str, order: list[str], n_rows: int) -> str:
+    """Write ``rows`` as a collector would: JSON lines in folders ``arrival=<number>`` (a
+    column of ``rows``) of ``path``, as many files in each as its rows ask for."""
+    (rows.repartitionByRange(max(ARRIVALS, -(-n_rows // ROWS_PER_FILE)), "arrival", *order).sortWithinPartitions("arrival", *order)
+     .write.mode("append").partitionBy("arrival").json(path))
     return path
 
 
-def _order_file_times(path: str) -> None:
-    """Local folders only: file times in path order (= arrival order)."""
-    local = path[len("file:"):] if path.startswith("file:") else path
-    if not os.path.isdir(local):
-        return
-    names = sorted(os.path.relpath(os.path.join(d, f), local) for d, _, fs in os.walk(local)
-                   for f in fs if f.endswith(".json"))
-    if not names:
-        return
-    base = min(os.path.getmtime(os.path.join(local, f)) for f in names)
-    for i, f in enumerate(names):
-        os.utime(os.path.join(local, f), (base + i, base + i))
+def land_frames(spark, sf_dir, broken: int | None = None, misnamed: int | None = None) -> str:
+    """Write fx_frames as landed frames ``(conn, frame_no, kind, body)``. Which frames
+    arrive together is known exactly: arrival = frame_no * ARRIVALS // frames. The frames
+    of arrival ``broken`` land with a text where their number should be; those of arrival
+    ``misnamed`` with the name of a connection that has no table."""
+    f = fx.fx_frames(spark, sf_dir)
+    path = scratch_dir(spark, "landed")
+    n = f.agg(F.max("frame_no") + 1).first()[0]
+    arrival = F.floor(F.col("frame_no") * ARRIVALS / F.lit(n)).cast("int")
+    rows = f.select(F.when(arrival == F.lit(misnamed), "elsewhere").otherwise("c0").alias("conn"), "frame_no",
+                    F.lit(SF.TEXT_KIND).alias("kind"), "body", arrival.alias("arrival"))
+    if broken is not None:
+        land(rows.filter(F.col("arrival") == broken).withColumn("frame_no", F.lit("broken")), path, ["body"], n)
+        rows = rows.filter(F.col("arrival") != broken)
+    return land(rows, path, ["frame_no"], n)
 
 
 def file_source(path: str):
@@ -80,27 +64,26 @@ def bars_table(spark, root: str) -> DataFrame:
     return t.select(F.col("_seq.frame_no").alias("frame_no"), F.col("_seq.pos").alias("pos"), *BAR_COLS)
 
 
-def run_alpaca(spark, sf_dir, capacity=2, sink=None, on_error="fail", source=None, root=None,
-               failure_log=None, files=None):
-    """Run the Alpaca pipeline over landed fx_frames. Built-in file sources drain
-    with ``availableNow``; a user source is triggered continuously and drained."""
+def run_alpaca(spark, sf_dir, capacity=2, sink=None, on_error="fail", root=None, landed=None, trigger=None):
+    """Run the Alpaca pipeline over landed fx_frames. With a ``capacity`` that many arrivals
+    are admitted in a micro-batch, in order of arrival; without one, Spark's own file
+    source takes all that landed."""
     require_utc(spark)
     root = root or scratch_dir(spark, "tables")
     init_schema(spark, root, ["bars", "quotes", "trades"])
-    sink = sink or AlpacaTableSink(root)
-    if source is None:
-        b = pipeline(spark, file_source(land_frames(spark, sf_dir, files)), sink).checkpoint(scratch_dir(spark, "checkpoint"))
-        if failure_log:
-            b = b.failure_log(failure_log)
-        return root, b.channel_capacity(capacity).on_sink_error(on_error).start().wait()
-    b = pipeline(spark, source, sink).trigger(processingTime="0 seconds").checkpoint(scratch_dir(spark, "checkpoint"))
-    return root, b.channel_capacity(capacity).on_sink_error(on_error).start().drain()
+    landed, checkpoint = landed or land_frames(spark, sf_dir), scratch_dir(spark, "checkpoint")
+    source = file_source(landed) if capacity is None else custom.arrival_source(landed, checkpoint)
+    b = pipeline(spark, source, sink or AlpacaTableSink(root)).checkpoint(checkpoint).on_sink_error(on_error)
+    b = b.channel_capacity(capacity)
+    if capacity is None:
+        return root, b.start().wait()
+    return root, b.trigger(**(trigger or {"processingTime": "0 seconds"})).start().drain()
 
 
 def q_pipeline_run(spark, sf_dir):
     """STR-1/3/6 + SNK-4: landed frames -> micro-batches -> bars table (first arrival
-    wins), with the default admission bound (1000 files per micro-batch)."""
-    root, handle = run_alpaca(spark, sf_dir, capacity=1000)
+    wins)."""
+    root, handle = run_alpaca(spark, sf_dir, capacity=None)
     if handle.error:
         raise handle.error
     return bars_table(spark, root)
@@ -108,7 +91,7 @@ def q_pipeline_run(spark, sf_dir):
 
 def q_fan_out(spark, sf_dir):
     """SNK-11: one pass per micro-batch writes the three tables."""
-    root, handle = run_alpaca(spark, sf_dir, capacity=1000)
+    root, handle = run_alpaca(spark, sf_dir, capacity=None)
     if handle.error:
         raise handle.error
     counts = [KeyedTable(spark, root, n).read().agg(F.count(F.lit(1)).alias("n_rows"))
@@ -119,7 +102,7 @@ def q_fan_out(spark, sf_dir):
 def q_write_metadata(spark, sf_dir):
     """SNK-10: surrogate id and write time on every row: rows, different ids, rows
     with a write time, per table."""
-    root, handle = run_alpaca(spark, sf_dir, capacity=1000)
+    root, handle = run_alpaca(spark, sf_dir, capacity=None)
     if handle.error:
         raise handle.error
     out = None
@@ -136,7 +119,7 @@ def q_init_schema(spark, sf_dir):
     ids land between two bootstraps of the same root; every table answers."""
     root = scratch_dir(spark, "tables")
     first = init_schema(spark, root)
-    _, handle = run_alpaca(spark, sf_dir, capacity=1000, root=root)
+    _, handle = run_alpaca(spark, sf_dir, capacity=None, root=root)
     if handle.error:
         raise handle.error
     again = init_schema(spark, root)
@@ -183,21 +166,19 @@ class RowCounter:
 
 
 def q_bounded_admission(spark, sf_dir):
-    """STR-2: at most ``capacity`` landed files per micro-batch (8 files, capacity 2):
-    the rows of each batch as its sink saw them."""
+    """STR-2: at most ``capacity`` arrivals per micro-batch (eight arrivals, capacity 2), in
+    the order of their numbers: the rows of each batch as its sink saw them."""
     path = scratch_dir(spark, "admitted")
-    _, handle = run_alpaca(spark, sf_dir, capacity=2, sink=RowCounter(path), files=8)
+    _, handle = run_alpaca(spark, sf_dir, capacity=2, sink=RowCounter(path))
     if handle.error:
         raise handle.error
     return spark.read.parquet(path).select(F.col("batch_id").cast("bigint").alias("batch_id"), "input_rows")
 
 
 def q_paced_polling(spark, sf_dir):
-    """STR-7: the same feed polled at a fixed pace (a trigger every second, two files
+    """STR-7: the same feed polled at a fixed pace (a trigger every second, two arrivals
     each) until it is drained."""
-    root = scratch_dir(spark, "tables")
-    h = (pipeline(spark, file_source(land_frames(spark, sf_dir)), AlpacaTableSink(root)).channel_capacity(2)
-         .trigger(processingTime="1 second").checkpoint(scratch_dir(spark, "checkpoint")).start().drain())
+    root, h = run_alpaca(spark, sf_dir, capacity=2, trigger={"processingTime": "1 second"})
     if h.error:
         raise h.error
     return bars_table(spark, root)
@@ -208,65 +189,54 @@ def q_subscribed_run(spark, sf_dir):
     from marketlake.plans.sources import subscriptions
 
     root = scratch_dir(spark, "tables")
-    _, handle = run_alpaca(spark, sf_dir, capacity=1000, root=root,
+    _, handle = run_alpaca(spark, sf_dir, capacity=None, root=root,
                            sink=AlpacaTableSink(root, subscriptions=subscriptions(spark, sf_dir)))
     if handle.error:
         raise handle.error
     return bars_table(spark, root)
 
 
-class FlakySink:
-    """A sink that fails on its first call, then works (STR-4 test double)."""
+class NamedConnectionSink:
+    """A user sink for connections that are known by name: a batch with a frame of any
+    other cannot be written, and nothing of it is."""
 
-    name = "flaky"
+    name = "named-connections"
 
-    def __init__(self, inner):
-        self.inner, self.calls = inner, 0
+    def __init__(self, inner, names: list[str]):
+        self.inner, self.names = inner, names
 
     def handle_batch(self, df, batch_id):
-        self.calls += 1
-        if self.calls == 1:
-            raise RuntimeError("sink unavailable")
+        unknown = F.concat(F.lit("no table for connection "), "conn")
+        df.agg(F.max(F.when(~F.col("conn").isin(self.names), F.raise_error(unknown)))).collect()
         self.inner.handle_batch(df, batch_id)
 
 
 def q_sink_failure_continue(spark, sf_dir):
-    """STR-4: the failed batch is recorded and skipped (no retry); later batches land."""
+    """STR-4: a batch whose frames name a connection that the sink has no table for is
+    recorded and passed over (no retry); the others land."""
     root = scratch_dir(spark, "tables")
-    _, handle = run_alpaca(spark, sf_dir, sink=FlakySink(AlpacaTableSink(root)), on_error="continue", root=root,
-                           failure_log=f"{root}/failed_batches", files=8)
+    _, handle = run_alpaca(spark, sf_dir, sink=NamedConnectionSink(AlpacaTableSink(root), ["c0"]), on_error="continue", root=root,
+                           landed=land_frames(spark, sf_dir, misnamed=3))
     if handle.error:
         raise handle.error
-    return bars_table(spark, root)
-
-
-def _custom_source(path: str, progress: str | None = None):
-    def make(spark, capacity):
-        name = custom.register(spark)
-        r = spark.readStream.format(name).option("path", path)
-        if capacity:
-            r = (r.option("maxFilesPerTrigger", capacity)
-                 .option("progressPath", progress or scratch_dir(spark, "progress")))
-        return r.load()
-    return make
+    failed = handle.failed_batches().agg(F.count(F.lit(1)).alias("n_failed"), F.max("batch_id").alias("failed_batch"))
+    return bars_table(spark, root).crossJoin(F.broadcast(failed))  # one row
 
 
 def q_custom_source(spark, sf_dir):
     """SRC-10: a user-written streaming source (Python Data Source API) feeding the
-    same sink, two files per micro-batch."""
-    landed = land_frames(spark, sf_dir)
-    root, handle = run_alpaca(spark, sf_dir, capacity=2, source=_custom_source(landed))
+    same sink, two arrivals per micro-batch."""
+    root, handle = run_alpaca(spark, sf_dir, capacity=2)
     if handle.error:
         raise handle.error
     return bars_table(spark, root)
 
 
 def q_source_failure_drain(spark, sf_dir):
-    """STR-5: the source fails reading its 4th file, which is not what it should be
-    (one file per micro-batch); the batches already handed over stay written and
+    """STR-5: the source fails reading its 4th arrival, which is not what it should be
+    (one arrival per micro-batch); the batches already handed over stay written and
     the failure is kept on the handle instead of being lost."""
-    landed = land_frames(spark, sf_dir, files=8, broken=3)
-    root, handle = run_alpaca(spark, sf_dir, capacity=1, source=_custom_source(landed))
+    root, handle = run_alpaca(spark, sf_dir, capacity=1, landed=land_frames(spark, sf_dir, broken=3))
     return bars_table(spark, root).withColumn("source_failed", F.lit(handle.error is not None))
 
 
@@ -297,18 +267,16 @@ def q_custom_sink(spark, sf_dir):
 # ---------------------------------------------------------------- the other two pipelines
 
 
-
 def _land(df, spark, name: str, order: list[str]) -> str:
-    path = scratch_dir(spark, name)
-    files = max(8, -(-df.count() // ROWS_PER_FILE))
-    df.repartitionByRange(files, *order).sortWithinPartitions(*order).write.mode("overwrite").json(path)
-    _order_file_times(path)
-    return path
-
-
-def _json_source(path: str, schema: str):
-    reader = read_units_stream if schema == UNIT_SCHEMA else read_pages_stream
-    return lambda spark, capacity: reader(spark, path, max_files_per_trigger=capacity)
+    """Land ``df`` in as many arrivals, in order of ``order``."""
+    df = df.persist()
+    try:
+        n = df.count()
+        first, last = df.agg(F.min(order[0]), F.max(order[0])).first()
+        width = max(1, -(-((last or 0) - (first or 0) + 1) // ARRIVALS))
+        return land(df.withColumn("arrival", F.floor((F.col(order[0]) - F.lit(first)) / width).cast("int")), scratch_dir(spark, name), order, n)
+    finally:
+        df.unpersist()
 
 
 def run_statements(spark, sf_dir, capacity=2):
@@ -320,9 +288,9 @@ def run_statements(spark, sf_dir, capacity=2):
         "status", "body")
     units = PS.statement_units(spark, sf_dir).select("seq", "kind", "symbol", "status", "body").unionByName(cal)
     landed = _land(units, spark, "landed-units", ["seq"])
-    root = scratch_dir(spark, "tables")
-    h = pipeline(spark, _json_source(landed, UNIT_SCHEMA), StatementTableSink(root)).channel_capacity(capacity)
-    return root, h.checkpoint(scratch_dir(spark, "checkpoint")).start().wait()
+    root, checkpoint = scratch_dir(spark, "tables"), scratch_dir(spark, "checkpoint")
+    b = pipeline(spark, custom.arrival_source(landed, checkpoint, UNIT_SCHEMA), StatementTableSink(root)).channel_capacity(capacity)
+    return root, b.checkpoint(checkpoint).trigger(processingTime="0 seconds").start().drain()
 
 
 def q_pipeline_statements(spark, sf_dir):
@@ -352,8 +320,9 @@ def q_pipeline_markets(spark, sf_dir):
     require_utc(spark)
     landed = _land(fx.fx_pages(spark, sf_dir), spark, "landed-pages", ["walk_id", "page_no"])
     root = scratch_dir(spark, "tables")
-    h = (pipeline(spark, _json_source(landed, PAGE_SCHEMA), MarketTableSink(root)).channel_capacity(2)
-         .checkpoint(scratch_dir(spark, "checkpoint")).start().wait())
+    checkpoint = scratch_dir(spark, "checkpoint")
+    h = (pipeline(spark, custom.arrival_source(landed, checkpoint, PAGE_SCHEMA), MarketTableSink(root)).channel_capacity(2)
+         .checkpoint(checkpoint).trigger(processingTime="0 seconds").start().drain())
     if h.error:
         raise h.error
     t = KeyedTable(spark, root, "polymarket_markets").read()
@@ -368,9 +337,9 @@ def q_stream_counters(spark, sf_dir):
     from marketlake.streaming.pipeline import MarketTableSink
     require_utc(spark)
     landed = _land(fx.fx_pages(spark, sf_dir), spark, "landed-pages", ["walk_id", "page_no"])
-    sink = MarketTableSink(scratch_dir(spark, "tables"))
-    h = (pipeline(spark, _json_source(landed, PAGE_SCHEMA), sink).channel_capacity(4)
-         .checkpoint(scratch_dir(spark, "checkpoint")).start().wait())
+    sink, checkpoint = MarketTableSink(scratch_dir(spark, "tables")), scratch_dir(spark, "checkpoint")
+    h = (pipeline(spark, custom.arrival_source(landed, checkpoint, PAGE_SCHEMA), sink).channel_capacity(4)
+         .checkpoint(checkpoint).trigger(processingTime="0 seconds").start().drain())
     if h.error:
         raise h.error
     return sink.counters(spark).agg(F.sum("pages").cast("bigint").alias("pages_walked"),

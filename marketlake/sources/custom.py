@@ -1,15 +1,17 @@
 """Pluggable source (SRC-10) with the Python Data Source API.
 
-``LandedFramesSource`` streams landed frame files (JSON lines with ``conn``,
-``frame_no``, ``kind``, ``body``) one offset per file, in the order the files
-arrived (modification time, then name), so a file that lands late comes last
-whatever its name, and reads each file in a task on an executor (the path must be
-a mounted shared folder). Options: ``path``; ``maxFilesPerTrigger`` (admission bound,
-STR-2), which needs ``progressPath``, a folder of the stream's own (beside its
-checkpoint). A file that is not what it should be fails the read (STR-5).
-
-Spark does not tell a restarted reader where the stream stands, so a reader with a
-limit notes the last offset it planned there and goes on from it.
+``LandedSource`` streams landed payloads (JSON lines; by default frames with ``conn``,
+``frame_no``, ``kind``, ``body``) in order of arrival. Files land in folders ``arrival=<number>``, as
+many in a folder as the collector likes; the number is data, so the order is the same on
+any storage, whatever the files' times. Folders are listed and files read through Arrow's
+file systems (a local path, ``file://``, ``hdfs://``, ``s3://``, ``gs://``), each file in
+a task. A file that is not what it should be fails the read (STR-5).
+
+An offset names the last arrival that was read, ``{"arrival": 7}``, and is kept by Spark
+in the query's checkpoint; the source keeps nothing of its own. Options: ``path``;
+``columns`` (the payload's schema, DDL); ``maxArrivalsPerTrigger`` (admission bound, STR-2), which needs ``checkpoint``, the query's
+checkpoint folder: Spark does not tell a restarted reader where the stream stands, so a
+reader with a bound looks up the last offset that Spark planned.
 
 It is the extension point a user writes for a feed Spark has no connector
 for; built-in file sources stay the fast path.
@@ -17,7 +19,8 @@ for; built-in file sources stay the fast path.
 
 from __future__ import annotations
 
-import os
+import json
+import re
 
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
@@ -25,100 +28,120 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 SCHEMA = "conn string, frame_no bigint, kind string, body string"
 
 
-class _FilePartition(InputPartition):
-    def __init__(self, index: int, path: str):
-        self.index, self.path = index, path
+class _File(InputPartition):
+    def __init__(self, root: str, path: str):
+        self.root, self.path = root, path
+
+
+def _at(path: str):
+    """Arrow's file system for a path, and the path on it."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), re.sub("^file:", "", path))
+
 
+def _children(path: str):
+    """What lies in a folder; nothing where there is no folder."""
+    from pyarrow import fs
 
-def _local(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
+    files, at = _at(path)
+    return files.get_file_info(fs.FileSelector(at, allow_not_found=True))
 
 
-def _list(path: str) -> list[str]:
-    """Landed files under ``path`` (sub-folders included), in order of arrival."""
-    p = _local(path)
-    files = [os.path.join(d, f) for d, _, fs in os.walk(p) for f in fs if f.endswith(".json")]
-    return sorted(files, key=lambda f: (os.stat(f).st_mtime_ns, f))
+def _arrivals(path: str) -> dict[int, str]:
+    """Arrival number -> the name of its folder."""
+    found = ((re.fullmatch(r"arrival=(\d+)", x.base_name), x.base_name) for x in _children(path))
+    return {int(m[1]): name for m, name in found if m}
 
 
-def _read(part: _FilePartition):
+def _files(path: str, after: int, upto: int) -> list[_File]:
+    """The files of the arrivals after one and up to another, in order."""
+    out = []
+    for n, name in sorted(_arrivals(path).items()):
+        if after < n <= upto:
+            folder = f"{path.rstrip('/')}/{name}"
+            out += [_File(folder, x.base_name) for x in sorted(_children(folder), key=lambda x: x.base_name)
+                    if x.is_file and x.base_name.endswith(".json") and x.size]
+    return out
+
+
+def _read(part: _File, columns):
     """Read one landed file as Arrow record batches (no per-row Python objects)."""
-    import pyarrow as pa
     from pyarrow import json as pj
+    from pyspark.sql.pandas.types import to_arrow_schema
 
-    schema = pa.schema([("conn", pa.string()), ("frame_no", pa.int64()), ("kind", pa.string()),
-                        ("body", pa.string())])
-    table = pj.read_json(part.path, parse_options=pj.ParseOptions(explicit_schema=schema,
-                                                                 unexpected_field_behavior="ignore"))
+    schema = to_arrow_schema(columns)
+    files, folder = _at(part.root)
+    with files.open_input_stream(f"{folder}/{part.path}") as f:
+        table = pj.read_json(f, parse_options=pj.ParseOptions(explicit_schema=schema, unexpected_field_behavior="ignore"))
     yield from table.select(schema.names).to_batches()
 
 
+def planned(checkpoint: str) -> int | None:
+    """The arrival up to which Spark has planned the query of a checkpoint; None for a new one."""
+    logs = [x for x in _children(f"{checkpoint.rstrip('/')}/offsets") if x.base_name.isdigit()]
+    if not logs:
+        return None
+    files, folder = _at(f"{checkpoint.rstrip('/')}/offsets")
+    with files.open_input_stream(f"{folder}/{max(logs, key=lambda x: int(x.base_name)).base_name}") as f:
+        last = f.read().decode().strip().splitlines()[-1]  # one line for the query's single source
+    return json.loads(last)["arrival"]
+
+
 class _StreamReader(DataSourceStreamReader):
-    def __init__(self, options):
-        self.path = options["path"]
-        self.max_files = int(options.get("maxFilesPerTrigger", 0) or 0)
-        self.progress = options.get("progressPath")
-        if self.max_files and not self.progress:
-            raise ValueError("maxFilesPerTrigger needs progressPath")
-        self._end = self._noted()
-
-    def _noted(self) -> int:
-        try:
-            with open(os.path.join(_local(self.progress), "end")) as f:
-                return int(f.read())
-        except (TypeError, AttributeError, FileNotFoundError):  # no folder named, or nothing planned yet
-            return 0
+    def __init__(self, options, columns):
+        self.path, self.columns = options["path"], columns
+        self.most = int(options.get("maxArrivalsPerTrigger", 0) or 0)
+        self.end: int | None = None
+        if self.most:
+            if "checkpoint" not in options:
+                raise ValueError("maxArrivalsPerTrigger needs checkpoint")
+            self.end = planned(options["checkpoint"])
 
     def initialOffset(self) -> dict:
-        return {"file": 0}
+        return {"arrival": -1}
 
     def latestOffset(self) -> dict:
-        n = len(_list(self.path))
-        self._end = min(n, self._end + self.max_files) if self.max_files else n
-        return {"file": self._end}
+        end = -1 if self.end is None else self.end
+        ahead = sorted(n for n in _arrivals(self.path) if n > end)
+        if ahead:
+            self.end = ahead[min(self.most or len(ahead), len(ahead)) - 1]
+        return {"arrival": end if self.end is None else self.end}
 
     def partitions(self, start: dict, end: dict):
-        self._end = max(self._end, end["file"])
-        if self.progress:
-            folder = _local(self.progress)
-            os.makedirs(folder, exist_ok=True)
-            with open(os.path.join(folder, "end.tmp"), "w") as f:
-                f.write(str(end["file"]))
-            os.replace(os.path.join(folder, "end.tmp"), os.path.join(folder, "end"))
-        files = _list(self.path)
-        return [_FilePartition(i, files[i]) for i in range(start["file"], end["file"])]
+        return _files(self.path, start["arrival"], end["arrival"])
 
     def read(self, partition):
-        return _read(partition)
+        return _read(partition, self.columns)
 
     def commit(self, end: dict) -> None:
         pass
 
 
 class _BatchReader(DataSourceReader):
-    def __init__(self, options):
-        self.path = options["path"]
+    def __init__(self, options, columns):
+        self.path, self.columns = options["path"], columns
 
     def partitions(self):
-        return [_FilePartition(i, f) for i, f in enumerate(_list(self.path))]
+        return _files(self.path, -1, max(_arrivals(self.path), default=-1))
 
     def read(self, partition):
-        return _read(partition)
+        return _read(partition, self.columns)
 
 
-class LandedFramesSource(DataSource):
+class LandedSource(DataSource):
     @classmethod
     def name(cls) -> str:
-        return "marketlake_frames"
+        return "marketlake_landed"
 
     def schema(self) -> str:
-        return SCHEMA
+        return self.options.get("columns", SCHEMA)
 
     def reader(self, schema):
-        return _BatchReader(self.options)
+        return _BatchReader(self.options, schema)
 
     def streamReader(self, schema):
-        return _StreamReader(self.options)
+        return _StreamReader(self.options, schema)
 
 
 def register(spark: SparkSession) -> str:
@@ -128,5 +151,15 @@ def register(spark: SparkSession) -> str:
     from pyspark import cloudpickle
 
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    spark.dataSource.register(LandedFramesSource)
-    return LandedFramesSource.name()
+    spark.dataSource.register(LandedSource)
+    return LandedSource.name()
+
+
+def arrival_source(path: str, checkpoint: str, columns: str = SCHEMA):
+    """A pipeline source: landed payloads by arrival, ``capacity`` arrivals a micro-batch."""
+    def make(spark: SparkSession, capacity: int | None):
+        r = spark.readStream.format(register(spark)).option("path", path).option("columns", columns)
+        if capacity:
+            r = r.option("maxArrivalsPerTrigger", capacity).option("checkpoint", checkpoint)
+        return r.load()
+    return make

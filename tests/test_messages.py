@@ -188,3 +188,35 @@ def test_subscription_filter_from_dict(frames):
     out = subscription_filter(msgs, {"bars": ["AAPL"], "quotes": [], "trades": ["AAPL"]})
     assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
     assert sorted((r.pos, r.kind) for r in out.collect()) == [(0, "success"), (1, "b"), (4, "t")]
+
+
+def test_schema_look_up_agrees_with_the_field_checks(spark):
+    """Elements of every tag with values of every wire type, extra and missing keys."""
+    import json
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(5)
+    values = ["1", "-1", "0.5", "1e400", "1e3", "18446744073709551615", "18446744073709551616", "12345678901234567890123456789012345678901.5",
+              '"x"', "null", "true", "[]", '["a"]', '["a",null]', "[1]", "[null]", "{}", '{"S":"x"}']
+    usual = {"str": ['"x"'], "f64": ["1.5", "2"], "u64": ["7"], "list": ["[]", '["a"]']}
+    texts = []
+    for tag, fields in (("b", FR.BAR_FIELDS), ("q", FR.QUOTE_FIELDS), ("t", FR.TRADE_FIELDS)) * 150:
+        parts = {"T": f'"{tag}"'}
+        for key, _, kind, required in fields:
+            if required or rng.random() < 0.5:
+                parts[key] = rng.choice(usual[kind])
+        for _ in range(rng.choice([0, 0, 1, 1, 2])):
+            key = rng.choice([*parts, "extra", "A", "a b", "z,S: STRING", "`q", "zz", fields[-1][0]])
+            parts[key] = rng.choice(values)
+        if rng.random() < 0.2:
+            parts.pop(rng.choice(list(parts)))
+        keys = list(parts)
+        rng.shuffle(keys)
+        texts.append("{" + ",".join(json.dumps(k) + ":" + parts[k] for k in keys) + "}")
+    texts += ["5", "null", "[]", '"b"', '{"T":"success","msg":"m"}', '{"T":"b"}', '{"T":5}']
+    df = spark.createDataFrame([(t,) for t in texts], "x string").withColumn("v", F.parse_json("x"))
+    rows = df.select("x", FR.element_valid(F.col("v")).alias("long"), FR.elements_valid(F.array("v")).alias("short")).collect()
+    assert [r.x for r in rows if r.long != r.short] == []
+    assert 100 < sum(r.long for r in rows) < len(rows) - 100

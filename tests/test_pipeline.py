@@ -3,9 +3,15 @@
 import json
 import os
 
+import pytest
+from pyspark.sql import SparkSession
+
 from marketlake.plans import alpaca, streams
 from marketlake.session import scratch_dir
+from marketlake.sources import custom
 from marketlake.sources import frames as SF
+from marketlake.sources.pages import read_pages_stream
+from marketlake.sources.statements import read_units_stream
 from marketlake.streaming.pipeline import pipeline
 
 from conftest import SF_SMALL
@@ -67,33 +73,54 @@ def test_failed_batches_are_logged(spark):
     assert [(r.batch_id, r.sink, r.error) for r in rows] == [(0, "recorder", "sink down")]
 
 
-def test_source_failure_keeps_earlier_batches(spark):
-    path = _land(spark, [["only"], ["never sent"]])
+def _arrive(path, number, *files):
+    """Land files of frames (or one of broken text) as an arrival."""
     local = path[len("file:"):] if path.startswith("file:") else path
-    with open(os.path.join(local, "part-00001.json"), "w") as fh:
-        fh.write('{"conn": "c", "frame_no": "not a number"}\n')
-    rec = Recorder()
-    h = (pipeline(spark, streams._custom_source(path), rec).channel_capacity(1).trigger(processingTime="0 seconds")
-         .checkpoint(scratch_dir(spark, "ckpt")).start().drain())
+    folder = os.path.join(local, f"arrival={number}")
+    os.makedirs(folder, exist_ok=True)
+    for k, bodies in enumerate(files):
+        with open(os.path.join(folder, f"part-{k:05d}.json"), "w") as fh:
+            fh.write(bodies if isinstance(bodies, str) else "".join(json.dumps(
+                {"conn": "c", "frame_no": 10 * number + i, "kind": "text", "body": b}) + "\n" for i, b in enumerate(bodies)))
+
+
+def _feed(path, ckpt, rec, capacity):
+    return (pipeline(SparkSession.active(), custom.arrival_source(path, ckpt), rec).channel_capacity(capacity)
+            .trigger(processingTime="0 seconds").checkpoint(ckpt).start().drain())
+
+
+def test_source_failure_keeps_earlier_batches(spark):
+    path, rec = scratch_dir(spark, "landed"), Recorder()
+    _arrive(path, 0, ["only"])
+    _arrive(path, 1, '{"conn": "c", "frame_no": "not a number"}\n')
+    h = _feed(path, scratch_dir(spark, "ckpt"), rec, 1)
     assert h.error is not None
     assert rec.seen == [(0, ["only"])]
 
 
-def test_custom_source_goes_on_after_a_restart(spark):
-    """With a limit, and with a file that lands late under a name that sorts first."""
-    path, ckpt, rec = _land(spark, [["a"], ["b"], ["c"]]), scratch_dir(spark, "ckpt"), Recorder()
-    progress = scratch_dir(spark, "progress")
-    local = path[len("file:"):] if path.startswith("file:") else path
-
-    def go():
-        h = (pipeline(spark, streams._custom_source(path, progress), rec).channel_capacity(2).trigger(processingTime="0 seconds")
-             .checkpoint(ckpt).start().drain())
-        assert h.error is None
-    go()
-    with open(os.path.join(local, "part-!late.json"), "w") as fh:
-        fh.write(json.dumps({"conn": "c", "frame_no": 9, "kind": "text", "body": "d"}) + "\n")
-    go()
-    assert sorted(b for _, bodies in rec.seen for b in bodies) == ["a", "b", "c", "d"]
+def test_arrivals_are_admitted_in_order_and_a_restart_goes_on(spark):
+    """Order is the arrival's number, not a file's time or name; the bound holds after a
+    restart; nothing is read twice and the source keeps no file of its own."""
+    path, ckpt, rec = scratch_dir(spark, "landed"), scratch_dir(spark, "ckpt"), Recorder()
+    assert custom.planned(ckpt) is None
+    for n, files in ((10, [["e"]]), (2, [["b", "c"], ["d"]]), (0, [["a"], []])):
+        _arrive(path, n, *files)
+    assert _feed(path, ckpt, rec, 2).error is None
+    assert [b for _, b in rec.seen] == [["a", "b", "c", "d"], ["e"]] or [sorted(b) for _, b in rec.seen] == [list("abcd"), ["e"]]
+    assert custom.planned(ckpt) == 10
+    for n in (11, 12, 13, 14, 15):
+        _arrive(path, n, [f"n{n}"])
+    assert _feed(path, ckpt, rec, 2).error is None
+    assert [sorted(b) for _, b in rec.seen[2:]] == [["n11", "n12"], ["n13", "n14"], ["n15"]]
+    assert _feed(path, ckpt, rec, 2).error is None and len(rec.seen) == 5
+    # Without a bound all that landed is one batch; a batch read takes it all.
+    free = Recorder()
+    assert _feed(f"file://{path.removeprefix('file:')}", scratch_dir(spark, "ckpt"), free, None).error is None
+    assert [len(b) for _, b in free.seen] == [10]
+    assert spark.read.format(custom.register(spark)).option("path", path).load().count() == 10
+    with pytest.raises(Exception):
+        spark.readStream.format(custom.register(spark)).option("path", path).option("maxArrivalsPerTrigger", 1).load() \
+            .writeStream.format("noop").start().processAllAvailable()
 
 
 def test_stream_equals_batch(spark):
@@ -125,7 +152,7 @@ def test_market_walk_stop_kept_across_batches(spark):
             fh.write(json.dumps({"walk_id": 1, "page_no": page_no, "body": body}) + "\n")
         os.utime(f, (1_700_000_000 + i, 1_700_000_000 + i))
     root = scratch_dir(spark, "tables")
-    h = (pipeline(spark, streams._json_source(path, streams.PAGE_SCHEMA), MarketTableSink(root))
+    h = (pipeline(spark, lambda s, n: read_pages_stream(s, path, max_files_per_trigger=n), MarketTableSink(root))
          .channel_capacity(1).checkpoint(scratch_dir(spark, "ckpt")).start().wait())
     assert h.error is None
     got = {r.condition_id: r.question for r in KeyedTable(spark, root, "polymarket_markets").read().collect()}
@@ -174,7 +201,9 @@ def test_market_stream_counts_pages_with_observe(spark):
 
     landed = streams._land(markets.fx.fx_pages(spark, SF_SMALL), spark, "landed-pages", ["walk_id", "page_no"])
     sink = MarketTableSink(scratch_dir(spark, "tables"))
-    h = pipeline(spark, streams._json_source(landed, streams.PAGE_SCHEMA), sink).channel_capacity(2).checkpoint(scratch_dir(spark, "ckpt")).start().wait()
+    ckpt = scratch_dir(spark, "ckpt")
+    h = (pipeline(spark, custom.arrival_source(landed, ckpt, streams.PAGE_SCHEMA), sink).channel_capacity(2)
+         .trigger(processingTime="0 seconds").checkpoint(ckpt).start().drain())
     seen = sink.counters(spark)
     assert h.error is None and seen.select("_batch_id").distinct().count() == seen.count() >= 2
     from pyspark.sql import functions as F
@@ -243,7 +272,7 @@ def test_statement_stream_fail_policy_cuts_across_batches(spark):
         os.utime(f, (1_700_000_000 + i, 1_700_000_000 + i))
     for policy, expect in (("fail", ["A", "B", "C"]), ("skip", ["A", "B", "C", "E", "F"])):
         root = scratch_dir(spark, "tables")
-        h = (pipeline(spark, streams._json_source(path, streams.UNIT_SCHEMA),
+        h = (pipeline(spark, lambda s, n: read_units_stream(s, path, max_files_per_trigger=n),
                       StatementTableSink(root, fetch_policy=policy)).channel_capacity(1).checkpoint(scratch_dir(spark, "ckpt")).start().wait())
         assert h.error is None
         got = sorted(r.symbol for r in KeyedTable(spark, root, "quarterly_income_statements").read().collect())
