@@ -9,15 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def pieces(text: Column, pattern: str, context: int = 0) -> Column:
-    """For one text the array of its matches, leftmost and non-overlapping, each
-    with the length of the gap before it and, with ``context``, that many code
-    points before and after it."""
+def pieces(text: Column, pattern: str) -> Column:
+    """For one text the array of its matches, leftmost and non-overlapping, each with the
+    length of the gap before it. The text is cut once, however many matches there are."""
     gaps, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    around = lambda i: [] if not context else [
-        F.substring(F.get(gaps, i), -context, context).alias("before"),
-        F.substring(F.get(gaps, i + 1), 1, context).alias("after")]
-    return F.transform(hits, lambda h, i: F.struct(F.char_length(F.get(gaps, i)).alias("gap"), h.alias("value"), *around(i)))
+    both = F.zip_with(gaps, hits, lambda g, h: F.struct(F.char_length(g).alias("gap"), h.alias("value")))
+    return F.filter(both, lambda m: m["value"].isNotNull())  # the gap behind the last match
 
 
 def positions(df: DataFrame, key: str, kinds: dict[str, str], carry: list[str]) -> DataFrame:

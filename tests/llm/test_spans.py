@@ -108,3 +108,73 @@ def test_edges(docs, none):
         ids, found = find(none)
         assert ids.count() == 0 and found.count() == 0
     assert pii.disclosing(none, pii.find(none)[1]).count() == 0
+
+
+def brute_hidden(texts, min_share=0.5, min_chance=0.5, sure=0.9):
+    """Every pair of a word and an entity of a document, rated one by one."""
+    import math
+
+    texts = [t or "" for t in texts]
+    spans = [[(a, e, (k, t[a:e])) for a, k, e in personal(t)] for t in texts]
+    words = [[(m.start(), m.end(), m[0].lower()) for m in re.finditer(r"[^\W\d_]{3,}", t)] for t in texts]
+    outside = [[w for w in ws if all(w[1] <= a or w[0] >= e for a, e, _ in ss)] for ws, ss in zip(words, spans)]
+    n, entity, term = len(texts), {}, {}
+    for d, ss in enumerate(spans):
+        for *_, x in ss:
+            entity.setdefault(x, set()).add(d)
+    for d, ws in enumerate(words):
+        for *_, w in ws:
+            term.setdefault(w, set()).add(d)
+    out = set()
+    for d, ws in enumerate(outside):
+        for a, e, w in ws:
+            best = None
+            for x in {x for *_, x in spans[d]}:
+                held = sum(1 for k in entity[x] if any(v == w for *_, v in outside[k]))
+                chance, own = held / len(term[w]), math.log2(n / len(entity[x]))
+                enough = len(term[w]) == 1 if len(entity[x]) == 1 else held >= 2
+                if enough and own > 0 and own + math.log2(chance) >= min_share * own and chance >= min_chance:
+                    best = max(best or 0, chance)
+            if best:
+                out.add((d, a, e, pii.KINDS.index("remove" if best >= sure else "generalise")))
+    return out
+
+
+def test_disclosing_words_against_brute_force(spark):
+    import random
+    rng = random.Random(6)
+    people = [f"p{k}@x{k % 3}.org" for k in range(14)] + ["+49 30 1234567", "4111 1111 1111 1111", "10.1.2.3"]
+    names = ["Zeb", "Quagga", "Müller", "Ωmega", "lantern", "harbour", "Σκια"]
+    plain = "please write about the order whatever weather number may say soon".split()
+    texts = [None, "", "Müller@x1.org étude grüüüßa@x2.orgétude p1@x1.org"]
+    for k in range(120):
+        group = rng.randrange(6)
+        parts = rng.sample(plain, 6) + [names[group]] * rng.randint(0, 2) + [f"word{chr(97 + k % 26)}{chr(97 + k // 26)}"]
+        if names[group] in parts or rng.random() < 0.2:
+            parts += rng.sample(people[3 * group:3 * group + 3], rng.choice([1, 2, 2, 3])) if rng.random() < 0.9 else []
+        rng.shuffle(parts)
+        texts.append(rng.choice([" ", ", "]).join(parts))
+    texts += [texts[-1]] * 4  # copies
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    ids, entities = pii.find(docs)
+    got = {(r["_id"], r.start, r.end, r.kind) for r in pii.disclosing(docs, entities).join(ids, "_doc").collect()}
+    want = brute_hidden(texts)
+    assert got == want and len(want) > 50
+
+
+def test_long_texts_and_many_entities(spark):
+    """Cost grows with the text: 100,000 words about one address; 5,000 addresses in one text."""
+    import time
+
+    words = lambda a, n: " ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676 % 26)}{a}" for k in range(n))
+    texts = [words("x", 100_000) + " only@one.org", words("y", 1_000) + " " + " ".join(f"m{k}@list.org" for k in range(5_000)), "please write"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    began = time.time()
+    ids, entities = pii.find(docs)
+    found = pii.disclosing(docs, entities).join(ids, "_doc").groupBy("_id").count().collect()
+    assert {r["_id"]: r["count"] for r in found} == {0: 100_000, 1: 1_000}
+    assert entities.count() == 5_001
+    token = " ".join(f"token=abcdefghij{k:09d}" for k in range(20_000))
+    _, spans = secret_scan.scan(spark.createDataFrame([(1, token, "s")], "doc_id long, text string, source string"))
+    assert spans.filter("kind = 0").count() == 20_000
+    assert time.time() - began < 120
