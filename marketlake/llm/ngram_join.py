@@ -7,10 +7,13 @@ threshold (``bands``). Classes meet where a band's hash is equal, and every pair
 meets is verified on the full sets.
 
 Buckets of up to ``SMALL`` classes give their pairs as rows. Larger ones (a group of
-thousands of near copies) never do: the classes that large buckets connect are cut
-into chunks of about ``CHUNK``, and one task verifies one pair of chunks by a matrix
-product, giving back a count for each class and a spanning forest of the links.
-So no link is lost, and no row count grows with the square of a group.
+thousands of near copies) never do: the classes that large buckets connect are packed
+into blocks of ``CHUNK`` sets and ``BLOCK_BYTES`` at most, each set as its difference from
+the block's first, and a pair of blocks is verified by matrix products, giving back a
+count for each class and a spanning forest of the links. So no link is lost, and a set
+travels once for each block of its group, as a few n-grams where texts are near copies.
+The comparisons themselves grow with the square of a group of *different* texts, and with
+them the counts, one for each class and block it meets; exact copies cost nothing.
 
 The result has one row for each document: its class (the least id that links lead
 to) and its number of links, copies included.
@@ -30,7 +33,10 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from marketlake.llm.common import slices, text_of, written
 
 WORDS, THRESHOLD, RECALL, ROWS = 5, 0.8, 0.999999, 4
-SMALL, CHUNK = 16, 128
+SMALL, CHUNK = 16, 512
+BLOCK_BYTES = 16_000_000
+#: Sets that one task packs into blocks.
+PACKED_ROWS = 4_096
 #: Classes up to which the texts to verify are picked by a broadcast of their keys (16 bytes each).
 BROADCAST_ROWS = 1_000_000
 LEAST = -(2 ** 63)
@@ -138,20 +144,31 @@ def full_sets(keyed: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
-    """``node`` and ``root`` (the least node that edges ``a``, ``b`` lead to): least
-    labels spread over the edges and jump to their label's label, until none changes."""
-    both = written(edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{name}-edges")
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("root")), f"{name}-0")
-    step = 0
+    """``node`` and ``root`` (the least node that edges ``a``, ``b`` lead to), by contraction:
+    a node's parent is its least smaller neighbour, chains of parents are followed to their
+    ends, edges go to the ends of their nodes, and what is left starts over. Edges that fall
+    together or inside a node vanish, so later rounds have few."""
+    left = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), f"{name}-edges")
+    labels, step = None, 0
     while True:
         step += 1
-        theirs = both.join(labels.withColumnRenamed("node", "b"), "b").select(F.col("a").alias("node"), "root")
-        spread = theirs.unionAll(labels).groupBy("node").agg(F.min("root").alias("root"))
-        jump = labels.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        new = written(spread.join(jump, "root").select("node", F.least("root", "next").alias("root")), f"{name}-{step}")
-        moved = new.join(labels.withColumnRenamed("root", "old"), "node").filter("root <> old").limit(1).count()
-        labels = new
-        if not moved:
+        parents = written(left.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node"), f"{name}-{step}")
+        while True:  # parents are smaller than their nodes: chains end
+            above = parents.select(F.col("node").alias("root"), F.col("root").alias("next"))
+            if parents.join(above, "root", "left_semi").isEmpty():
+                break
+            parents = written(parents.join(above, "root", "left").select("node", F.coalesce("next", "root").alias("root")), f"{name}-{step}-chain")
+        ends = left.select(F.col("b").alias("node")).unionAll(left.select("a")).distinct() if labels is None else labels
+        if labels is None:
+            labels = ends.join(parents, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+        else:
+            up = parents.select(F.col("node").alias("root"), F.col("root").alias("next"))
+            labels = labels.join(up, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
+        labels = written(labels, f"{name}-{step}-labels")
+        a, b = parents.select(F.col("node").alias("a"), F.col("root").alias("ra")), parents.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+        both = left.join(a, "a").select("ra", "b").distinct().join(b, "b", "left").select("ra", F.coalesce("rb", "b").alias("rb"))
+        left = written(both.filter("ra <> rb").select(F.greatest("ra", "rb").alias("a"), F.least("ra", "rb").alias("b")).distinct(), f"{name}-{step}-left")
+        if left.isEmpty():
             return labels
 
 
@@ -159,14 +176,64 @@ _LINKS = T.StructType([T.StructField("set", T.LongType()), T.StructField("root",
                        T.StructField("texts", T.LongType()), T.StructField("docs", T.LongType())])
 
 
-def verified_block(pdf, threshold: float):
-    """The links between two chunks of classes (or within one): for each class with a
-    link the number of linked classes and of their documents, and its root."""
+_BLOCK = T.StructType([T.StructField("group", T.LongType()), T.StructField("block", T.StringType()), T.StructField("sets", T.ArrayType(T.LongType())),
+                       T.StructField("copies", T.ArrayType(T.LongType())), T.StructField("base", T.BinaryType()),
+                       T.StructField("without", T.ArrayType(T.BinaryType())), T.StructField("more", T.ArrayType(T.BinaryType()))])
+
+
+def packed(grams: DataFrame) -> DataFrame:
+    """Sets (``group``, ``part``, ``set``, ``copies``, ``grams``) in blocks of one group: the
+    first set of a block whole, of each the places in it that are missing and the n-grams
+    that are new."""
+    dealt = grams.select("group", "part", "set", "copies", "grams").repartition("group", "part").sortWithinPartitions("group", "part", "set")
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        arrow, part, number = to_arrow_schema(_BLOCK), TaskContext.get().partitionId(), 0
+        held, key, size = [], None, 0
+
+        def block():
+            nonlocal held, number, size
+            base = held[0][2]
+            row = {"group": key[0], "block": f"{part}:{number}", "sets": [r[0] for r in held], "copies": [r[1] for r in held],
+                   "base": base.tobytes(),
+                   "without": [np.flatnonzero(~np.isin(base, g, assume_unique=True)).astype(np.uint32).tobytes() for *_, g in held],
+                   "more": [np.setdiff1d(g, base, assume_unique=True).tobytes() for *_, g in held]}
+            held, number, size = [], number + 1, 0
+            return pa.RecordBatch.from_pydict({k: [v] for k, v in row.items()}, schema=arrow)
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 16):
+                for r in batch.slice(at, 16).to_pylist():
+                    if held and (key != (r["group"], r["part"]) or len(held) == CHUNK or size + len(r["grams"]) > BLOCK_BYTES):
+                        yield block()
+                    key = (r["group"], r["part"])
+                    held.append((r["set"], r["copies"], np.frombuffer(r["grams"], np.uint64)))
+                    size += len(r["grams"])
+        if held:
+            yield block()
+
+    return dealt.mapInArrow(run, _BLOCK)
+
+
+def unpacked_sets(base: bytes, without: list[bytes], more: list[bytes]) -> list:
+    """The sets of a block."""
     import numpy as np
-    import pandas as pd
 
-    ids, copies, sides = (pdf[c].to_numpy() for c in ("set", "copies", "chunk"))
-    grams = [np.frombuffer(g, np.uint64) for g in pdf["grams"]]
+    base = np.frombuffer(base, np.uint64)
+    return [np.concatenate([np.delete(base, np.frombuffer(w, np.uint32)), np.frombuffer(m, np.uint64)]) for w, m in zip(without, more)]
+
+
+def linked(ids, copies, grams, sides, threshold: float) -> dict:
+    """The links among sets (``sides``: between those of two sides alone): for each class
+    with a link the number of linked classes and of their documents, and its root."""
+    import numpy as np
+
+    ids, copies, sides = np.asarray(ids, np.int64), np.asarray(copies, np.float64), np.asarray(sides)
     size = np.array([len(g) for g in grams], np.float64)
     flat, doc = np.concatenate(grams), np.repeat(np.arange(len(grams)), size.astype(np.int64))
     order = np.argsort(flat, kind="stable")
@@ -178,14 +245,14 @@ def verified_block(pdf, threshold: float):
     both = np.zeros((len(grams), len(grams)), np.float64)
     if len(number):
         number = np.unique(number, return_inverse=True)[1]
-        for a in range(0, int(number[-1]) + 1, 8192):  # a few thousand n-grams at a time
-            low, high = np.searchsorted(number, [a, a + 8192])
-            grid = np.zeros((len(grams), 8192), np.float32)
+        for a in range(0, int(number[-1]) + 1, 4096):  # a few thousand n-grams at a time
+            low, high = np.searchsorted(number, [a, a + 4096])
+            grid = np.zeros((len(grams), 4096), np.float32)
             grid[doc[low:high], number[low:high] - a] = 1
             both += grid @ grid.T
     link = both >= threshold * (size[:, None] + size[None, :] - both) - 1e-9
     np.fill_diagonal(link, False)
-    if pdf["lo"].iloc[0] != pdf["hi"].iloc[0]:
+    if sides.any():
         link &= sides[:, None] != sides[None, :]
     root = np.arange(len(ids))
     while True:  # least index that links lead to
@@ -195,8 +262,26 @@ def verified_block(pdf, threshold: float):
             break
         root = new
     some = link.any(axis=1)
-    return pd.DataFrame({"set": ids[some], "root": ids[root[some]], "texts": link.sum(axis=1)[some],
-                         "docs": (link @ copies.astype(np.float64)).astype(np.int64)[some]})
+    return {"set": ids[some], "root": ids[root[some]], "texts": link.sum(axis=1)[some], "docs": (link @ copies).astype(np.int64)[some]}
+
+
+def verified(pairs: DataFrame, threshold: float) -> DataFrame:
+    """The links of each pair of blocks (``l_`` and ``r_`` columns), or within one."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row, = batch.slice(at, 1).to_pylist()
+                sides = ["l"] if row["l_block"] == row["r_block"] else ["l", "r"]
+                sets = [unpacked_sets(row[f"{s}_base"], row[f"{s}_without"], row[f"{s}_more"]) for s in sides]
+                take = lambda c: [x for s in sides for x in row[f"{s}_{c}"]]
+                out = linked(take("sets"), take("copies"), [g for some in sets for g in some],
+                             np.repeat(np.arange(len(sides)), [len(some) for some in sets]), threshold)
+                yield pa.RecordBatch.from_arrays([pa.array(out[c], pa.int64()) for c in _LINKS.names], names=_LINKS.names)
+
+    return pairs.mapInArrow(run, _LINKS)
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -213,11 +298,11 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
                       .filter("size > 1"), "ngram-buckets")
     met = written(member.join(buckets, "bucket"), "ngram-members")
 
-    # Classes that large buckets connect, in chunks.
+    # Classes that large buckets connect.
     large = met.filter((F.col("size") > SMALL) & (F.col("set") != F.col("least")))
     groups = components(large.select(F.col("set").alias("a"), F.col("least").alias("b")), "ngram-groups")
     sizes = groups.groupBy("root").agg(F.count("*").alias("members"))
-    groups = written(groups.join(sizes, "root").select(F.col("node").alias("set"), F.col("root").alias("group"), F.ceil(F.col("members") / CHUNK).cast("int").alias("chunks")),
+    groups = written(groups.join(sizes, "root").select(F.col("node").alias("set"), F.col("root").alias("group"), F.ceil(F.col("members") / PACKED_ROWS).cast("int").alias("parts")),
                      "ngram-groups")
 
     # Pairs of small buckets, but for those that a group verifies.
@@ -236,10 +321,12 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     left = grams.select(F.col("set").alias("a"), F.col("grams").alias("ga"), F.col("copies").alias("ca"))
     right = grams.select(F.col("set").alias("b"), F.col("grams").alias("gb"), F.col("copies").alias("cb"))
     found = written(_similar(pairs.join(left, "a").join(right, "b"), threshold), "ngram-links")
-    blocks = (grams.join(groups, "set").withColumn("chunk", F.pmod(F.xxhash64("set"), F.col("chunks")).cast("int"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-              .select("group", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "set", "copies", "grams"))
-    dense = written(blocks.groupBy("group", "lo", "hi").applyInPandas(lambda pdf: verified_block(pdf, threshold), _LINKS), "ngram-blocks")
+    part = F.pmod(F.xxhash64("set"), F.col("parts")).cast("int")
+    blocks = written(packed(grams.join(groups, "set").withColumn("part", part)), "ngram-blocks")
+    side = lambda p: blocks.select(*[F.col(c).alias(p + c) for c in blocks.columns])
+    meet = blocks.select("group", F.col("block").alias("l_block")).join(blocks.select("group", F.col("block").alias("r_block")), "group")
+    meet = written(meet.filter("l_block <= r_block").drop("group"), "ngram-block-pairs").repartition("l_block", "r_block")
+    dense = written(verified(meet.join(side("l_"), "l_block").join(side("r_"), "r_block"), threshold), "ngram-block-links")
 
     one = lambda s, c: found.select(F.col(s).alias("set"), F.lit(1).cast("long").alias("texts"), F.col(c).alias("docs"))
     counts = (one("a", "cb").unionAll(one("b", "ca")).unionAll(dense.select("set", "texts", "docs"))

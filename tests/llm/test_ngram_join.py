@@ -61,7 +61,7 @@ def rows_with_groups():
 LONG = " ".join(f"long{k}" for k in range(60_000))
 
 
-@pytest.mark.parametrize("small, chunk", [(16, 128), (1000, 128), (2, 7)])
+@pytest.mark.parametrize("small, chunk", [(16, 512), (1000, 512), (2, 7)])
 def test_links_and_classes(spark, monkeypatch, small, chunk):
     monkeypatch.setattr(N, "SMALL", small)
     monkeypatch.setattr(N, "CHUNK", chunk)
@@ -88,3 +88,58 @@ def test_edges(spark, docs, none):
 
 def test_band_count_reaches_the_recall():
     assert 1 - (1 - N.THRESHOLD ** N.ROWS) ** N.bands() >= N.RECALL
+
+
+def test_components_against_union_find(spark):
+    rng = random.Random(8)
+    cases = [[(k, k + 1) for k in range(60)], [(99, k) for k in range(40)], [(k, rng.randrange(300)) for k in range(300)],
+             [(rng.randrange(500), rng.randrange(500)) for _ in range(350)], [(5, 5)], []]
+    for edges in cases:
+        root = {x: x for e in edges if e[0] != e[1] for x in e}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+        for a, b in edges:
+            if a != b:
+                a, b = find(a), find(b)
+                root[max(a, b)] = min(a, b)
+        got = {r.node: r.root for r in N.components(spark.createDataFrame(edges, "a long, b long"), "test").collect()}
+        assert got == {x: find(x) for x in root}
+
+
+def test_rows_grow_with_a_group_not_with_its_square(spark, monkeypatch):
+    """Rows of every table that a join of 500 and of 1,000 near copies writes."""
+    rng = random.Random(9)
+    base = [f"b{k}" for k in range(150)]
+    seen = {}
+    for n in (500, 1000):
+        count = {}
+        original = N.written
+
+        def counting(df, name):
+            out = original(df, name)
+            count[name] = max(count.get(name, 0), out.count())
+            return out
+        monkeypatch.setattr(N, "written", counting)
+        rows = list(enumerate(near_copies(rng, base, n, 1)))
+        out = N.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        monkeypatch.setattr(N, "written", original)
+        assert len({r.class_id for r in out}) == 1 and min(r.n_links for r in out) > 0.9 * n
+        seen[n] = count
+    # A count for each class and block it met (four numbers), a row for each pair of blocks.
+    assert seen[500].pop("ngram-block-links") <= 500 and seen[1000].pop("ngram-block-links") <= 2 * 1000
+    for name in seen[1000]:
+        assert seen[1000][name] <= 3 * seen[500].get(name, 0) + 100, (name, seen[500].get(name), seen[1000][name])
+
+
+def test_blocks_hold_their_sets():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 50, rng.integers(1, 40)).astype(np.uint64)) for _ in range(30)]
+    base = sets[0]
+    without = [np.flatnonzero(~np.isin(base, g)).astype(np.uint32).tobytes() for g in sets]
+    more = [np.setdiff1d(g, base).tobytes() for g in sets]
+    assert [sorted(g) for g in N.unpacked_sets(base.tobytes(), without, more)] == [g.tolist() for g in sets]

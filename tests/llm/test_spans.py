@@ -151,7 +151,7 @@ def test_disclosing_words_against_brute_force(spark):
         group = rng.randrange(6)
         parts = rng.sample(plain, 6) + [names[group]] * rng.randint(0, 2) + [f"word{chr(97 + k % 26)}{chr(97 + k // 26)}"]
         if names[group] in parts or rng.random() < 0.2:
-            parts += rng.sample(people[3 * group:3 * group + 3], rng.choice([1, 2, 2, 3])) if rng.random() < 0.9 else []
+            parts += rng.sample(people[2 * group:2 * group + 3], rng.choice([1, 2, 2, 3])) if rng.random() < 0.9 else []
         rng.shuffle(parts)
         texts.append(rng.choice([" ", ", "]).join(parts))
     texts += [texts[-1]] * 4  # copies
