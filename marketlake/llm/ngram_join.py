@@ -35,8 +35,8 @@ from marketlake.llm.common import slices, text_of, written
 WORDS, THRESHOLD, RECALL, ROWS = 5, 0.8, 0.999999, 4
 SMALL, CHUNK = 16, 512
 BLOCK_BYTES = 16_000_000
-#: Sets that one task packs into blocks.
-PACKED_ROWS = 4_096
+#: Sets of a group that one task packs, about (below CHUNK, so that chance seldom makes two blocks of them).
+PACKED_ROWS = 448
 #: Classes up to which the texts to verify are picked by a broadcast of their keys (16 bytes each).
 BROADCAST_ROWS = 1_000_000
 LEAST = -(2 ** 63)
