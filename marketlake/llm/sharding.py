@@ -3,17 +3,18 @@
 Rows are ordered by (64-bit hash of the text, id). The splitters of that order are
 found without moving a row: each round counts the exact bytes in the cells between
 probe keys, keeps only the cells that a splitter falls into, and probes those more
-finely, until a cell is within tolerance. A text whose copies outweigh the
-tolerance is probed by id, so a hot group is cut too; smaller groups of equal texts
-are never cut. Then one exchange brings each key range together and numbers its rows.
+finely, until a cell is within tolerance (a share of a shard). A text whose copies
+outweigh the tolerance is probed by id, so a hot group is cut too; smaller groups of
+equal texts are never cut. Then one exchange brings the rows of each part of a shard
+together and numbers them: a shard has as many parts, by a hash of the key, as its rows
+ask for, and the parts' counts add up to where each begins.
 
-The driver sees at most ``CELLS`` counts for each open cell; ranges are a few for
-each shard (``rows_per_range``), so neither a hot text nor a large shard meets in
-one task.
+The driver sees at most ``CELLS`` counts for each shard's splitter, whatever the number
+of rows; neither a hot text nor a large shard meets in one task.
 
 Defined results: a NULL text weighs the overhead alone and hashes as the empty
 text; a NULL id sorts first; rows equal in text and id cannot be told apart and
-stay in one range; an empty table gives no rows. Input columns are carried along,
+stay in one part; an empty table gives no rows. Input columns are carried along,
 those named like an output are replaced.
 """
 
@@ -100,17 +101,17 @@ def splitters(keys: DataFrame, n_ranges: int, tolerance: float) -> tuple[list[tu
 
 
 def shard(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str = "text", overhead: int = 16,
-          tolerance: float = 0.002, rows_per_range: int = 200_000) -> DataFrame:
+          tolerance: float = 0.002, rows_per_part: int = 200_000) -> DataFrame:
     """Adds ``size``, ``shard`` (0 to ``n_shards - 1``, near equal in bytes) and
-    ``slot`` (gapless from 0 in each shard, in key order)."""
+    ``slot`` (gapless from 0 in each shard)."""
     text = text_of(text_col)
     rows = packed(docs, _hash=F.xxhash64(text), _id=F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST)),
                   _size=F.octet_length(text).cast("long") + overhead)
     spark = docs.sparkSession
     keys = written(rows.select("_hash", "_id", "_size"), "shard-keys")
-    per_shard = max(4, -(-keys.count() // (n_shards * rows_per_range)))
-    bounds, _ = splitters(keys, n_shards * per_shard, tolerance / per_shard)
-    # Of each first-round cell: the range it starts in, and the splitters inside it.
+    parts = max(1, -(-keys.count() // (n_shards * rows_per_part)))
+    bounds, _ = splitters(keys, n_shards, tolerance)
+    # Of each first-round cell: the shard it starts in, and the splitters inside it.
     cut = [b for b in bounds if b is not None]
     shift = 64 - BITS
     table, at = [], 0
@@ -122,23 +123,18 @@ def shard(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str
             at += 1
         table.append((c, start, mine))
     lookup = spark.createDataFrame(table, "c int, start int, inside array<struct<h: long, i: long>>")
-    ranged = _ranged(rows, lookup)
-    counts = {r["_range"]: r["count"] for r in
-              _ranged(keys, lookup).groupBy("_range").count().collect()}  # n_shards * per_shard rows
-    base, offsets = 0, []
-    for r in range(n_shards * per_shard):
-        base = 0 if r % per_shard == 0 else base
-        offsets.append((r, r // per_shard, base))
-        base += counts.get(r, 0)
-    places = spark.createDataFrame(offsets, "_range int, shard int, _base long")
-    order = Window.partitionBy("_range").orderBy("_hash", "_id", "_size")
-    out = (ranged.withColumn("_n", F.row_number().over(order)).join(F.broadcast(places), "_range")
+    part = F.pmod(F.xxhash64("_hash", "_id"), F.lit(parts)).cast("int")
+    sizes = _ranged(keys, lookup).groupBy("shard", part.alias("_part")).agg(F.count("*").alias("_rows"))
+    before = F.sum("_rows").over(Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    bases = sizes.select("shard", "_part", F.coalesce(before, F.lit(0)).cast("long").alias("_base"))
+    order = Window.partitionBy("shard", "_part").orderBy("_hash", "_id", "_size")
+    out = (_ranged(rows, lookup).withColumn("_part", part).withColumn("_n", F.row_number().over(order)).join(bases, ["shard", "_part"])
            .withColumn("slot", F.col("_base") + F.col("_n") - 1).withColumn("size", F.col("_size")))
     return unpacked(out, "size", "shard", "slot")
 
 
 def _ranged(rows: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Adds the range of every row; the lookup has CELLS rows and one entry for each splitter."""
+    """Adds the shard of every row; the lookup has CELLS rows and one entry for each splitter."""
     key = F.struct(F.col("_hash").alias("h"), F.col("_id").alias("i"))
     return (rows.join(F.broadcast(lookup), _cell(BITS) == F.col("c"))
-            .withColumn("_range", F.col("start") + F.size(F.filter("inside", lambda b: b <= key))))
+            .withColumn("shard", F.col("start") + F.size(F.filter("inside", lambda b: b <= key))))

@@ -47,3 +47,35 @@ def test_ids_over_the_whole_range(spark):
     ids = [-(2 ** 63), 2 ** 63 - 1, 0, -5, 2 ** 62] + [2 ** 63 - 1 - k for k in range(1, 400)]
     df = spark.createDataFrame([(d, "hot") for d in ids], "doc_id long, text string")
     check(sharding.shard(df, 5), 5, len(ids), 3 * 19)
+
+
+def test_small_groups_at_splitters_stay_whole(spark):
+    """Thousands of pairs of copies: none below 0.2 % of a shard is cut, and every splitter
+    lies within that much of its goal in a plain sort."""
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abcdef ") for _ in range(rng.randrange(60, 160))) for _ in range(12_000)]
+    df = spark.createDataFrame([(2 * k + c, t) for k, t in enumerate(texts) for c in (0, 1)], "doc_id long, text string")
+    out = sharding.shard(df, 20, rows_per_part=300).cache()
+    total = out.agg(F.sum("size")).first()[0]
+    most = 0.002 * total / 20
+    check(out, 20, 24_000, most + 2 * 176)
+    largest = out.groupBy("text").agg(F.sum("size").alias("b"), F.count_distinct("shard").alias("n"))
+    assert largest.filter((F.col("n") > 1) & (F.col("b") <= most)).count() == 0
+    bounds, n = sharding.splitters(df.select(F.xxhash64("text").alias("_hash"), F.col("doc_id").alias("_id"),
+                                             (F.octet_length("text").cast("long") + 16).alias("_size")), 20, 0.002)
+    keys = sorted((r[0], r[1], r[2]) for r in df.select(F.xxhash64("text"), "doc_id", (F.octet_length("text") + 16)).collect())
+    for k, b in enumerate(bounds, 1):
+        left = sum(s for h, i, s in keys if (h, i) < b)
+        assert n == total and abs(left - total * k / 20) <= most + 2 * 176
+
+
+def test_driver_rows_do_not_grow_with_the_rows(spark, monkeypatch):
+    seen = {}
+    for n in (2_000, 20_000):
+        got = []
+        original = type(spark.range(1)).collect
+        monkeypatch.setattr(type(spark.range(1)), "collect", lambda self, f=original: (lambda rows: (got.append(len(rows)), rows)[1])(f(self)))
+        sharding.shard(spark.range(n).selectExpr("id AS doc_id", "repeat(CAST(id AS string), 9) AS text"), 4, rows_per_part=100)
+        monkeypatch.undo()
+        seen[n] = max(got)
+    assert max(seen.values()) <= 3 * sharding.CELLS
