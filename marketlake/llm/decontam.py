@@ -19,7 +19,8 @@ stretch within d edits of an n-word item holds at least n - 1 - 2d of the item's
 Every document is read by one task, whole; the benchmark is a stated query set that
 goes to the tasks in blocks of ``BLOCK_WORDS`` words at most.
 
-Defined results: NULL and empty texts, and items without words, match nothing;
+Defined results: NULL and empty texts, and items without words, match nothing; an item
+with a NULL id is searched for like any other and its matches have a NULL ``item_id``;
 repeated rows match alike; an empty table gives no rows; a tie between places goes
 to the smaller distance, then the earlier place, then the shorter stretch.
 """
@@ -51,7 +52,7 @@ class Block:
     every word that no item has, -1 for what lies outside a document. ``wide``: an item
     is compared with stretches of any length around a window, else with the window."""
 
-    def __init__(self, items: list[tuple[int, str]], repetitions: int = REPETITIONS, sampled: int = SAMPLED, wide: bool = False):
+    def __init__(self, items: list[tuple[int | None, str]], repetitions: int = REPETITIONS, sampled: int = SAMPLED, wide: bool = False):
         import re
 
         import numpy as np
@@ -280,15 +281,15 @@ def _distances(a: list[int], b: list[int], start: int) -> Iterator[int]:
         yield distance
 
 
-def blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
+def blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple[int | None, str]]]:
     """The items in blocks of bounded size, one block on the driver at a time."""
-    some: list[tuple[int, str]] = []
-    size = 0
-    for r in benchmark.select(F.col(item_col).alias("i"), text_of(text_col).alias("t")).orderBy("i").toLocalIterator():
-        if r["i"] is None:
-            continue
+    import re
+
+    some: list[tuple[int | None, str]] = []
+    size, words = 0, re.compile(_WORDS)
+    for r in benchmark.select(F.col(item_col).alias("i"), text_of(text_col).alias("t")).orderBy("i", "t").toLocalIterator():
         some.append((r["i"], r["t"]))
-        size += r["t"].count(" ") + 1
+        size += 1 + sum(1 for _ in words.finditer(r["t"]))
         if size >= BLOCK_WORDS:
             yield some
             some, size = [], 0

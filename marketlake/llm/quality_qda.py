@@ -8,9 +8,9 @@ difference of the Mahalanobis log densities, solved with the cached Cholesky fac
 
 Defined results: a NULL or empty text has the statistics of no words and gets a
 score like any other; a NULL label is no label; rows that share an id all take its
-label; several labels of an id count as several rows; without labels of both classes
-there is nothing to learn and fitting raises ``ValueError``; an empty table of texts
-gives no rows. Only the text enters a score.
+label; several labels of an id count as several rows; without labelled texts of both classes
+there is nothing to tell them apart by, and every text scores the smoothed share of
+label 1; an empty table of texts gives no rows. Only the text enters a score.
 """
 
 from __future__ import annotations
@@ -73,13 +73,16 @@ def with_statistics(docs: DataFrame, text_col: str = "text", carry: list[str] |
 
 @dataclass(frozen=True)
 class Qda:
-    """Class means, inverse Cholesky factors (lower, by rows) and constants."""
+    """Class means, inverse Cholesky factors (lower, by rows) and constants; without means
+    the constant is every text's score."""
     means: tuple[tuple[float, ...], ...]
     whiten: tuple[tuple[tuple[float, ...], ...], ...]
     offsets: tuple[float, ...]  # log prior - half the log determinant
 
     def score(self, stats):
         """Column expression: the chance of label 1 for an array column of statistics."""
+        if not self.means:
+            return F.lit(self.offsets[0])
         def density(k: int):
             d = len(self.means[k])
             z = [F.get(stats, i) - self.means[k][i] for i in range(d)]
@@ -106,7 +109,8 @@ def fit(labelled: DataFrame, label_col: str, shrink: float = 0.1, ridge: float =
         F.sum(F.col(f"s{i}") * F.col(f"s{j}")).alias(f"c{i}_{j}") for i in range(d) for j in range(i + 1)]).collect()
     by = {r["y"]: r for r in sums}  # two rows
     if set(by) != {0, 1}:
-        raise ValueError("labels of both classes are needed")
+        count = {y: by[y]["n"] if y in by else 0 for y in (0, 1)}
+        return Qda((), (), ((count[1] + 0.5) / (count[0] + count[1] + 1.0),))
     total = sum(r["n"] for r in sums)
     mean, own = {}, {}
     for y, r in by.items():

@@ -113,8 +113,17 @@ def test_edges(spark, docs, none, monkeypatch):
         out = D.contaminated(docs, bench)
         assert set(out.columns) == {*docs.columns, *D.MATCH.names}
         found = {(r.doc_id, r.item_id) for r in out.collect()}
-        assert found == {(6, 1), (7, 1), (8, 1), (None, 1), (4, 4)}
+        assert found == {(6, 1), (7, 1), (8, 1), (None, 1), (4, 4), (4, None)}
         kept = D.clean(docs, bench)
         assert kept.columns == docs.columns and kept.count() == docs.count() - 6
+    nameless = bench.filter("item_id IS NULL")  # an item is found and cleaned away without an id too
+    assert [(r.doc_id, r.item_id) for r in D.contaminated(docs, nameless).collect()] == [(4, None)]
+    assert D.clean(docs, nameless).count() == docs.count() - 1
     assert D.contaminated(none, bench).count() == 0 and D.clean(docs, bench.limit(0)).count() == docs.count()
     assert D.contaminated(docs, bench.limit(0)).count() == 0
+
+
+def test_block_size_counts_words_however_they_are_separated(spark, monkeypatch):
+    monkeypatch.setattr(D, "BLOCK_WORDS", 10)
+    bench = spark.createDataFrame([(k, "\n".join(["word"] * 6)) for k in range(6)], "item_id long, text string")
+    assert [len(b) for b in D.blocks(bench, "item_id", "text")] == [2, 2, 2]

@@ -1,7 +1,6 @@
 """Quality classifier: held-out accuracy, the fit against numpy, edges."""
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from marketlake.llm import quality_qda as Q
@@ -40,7 +39,7 @@ def test_edges(spark, docs, none):
     labels = spark.createDataFrame([(1, 0, None), (2, 0, 1), (5, 1, 0), (6, 1, 0), (8, None, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
     out = Q.score(docs, labels, F.lit(True)).collect()
     assert len(out) == docs.count() and all(r.score is not None and 0 <= r.score <= 1 for r in out)
-    with pytest.raises(ValueError):
-        Q.score(docs, labels.filter("quality = 1"), F.lit(True))
-    with pytest.raises(ValueError):
-        Q.score(none, labels, F.lit(True))
+    for some, share in ((labels.filter("quality = 1"), 2.5 / 3), (labels.limit(0), 0.5)):  # labelled rows: 5 and 6
+        got = [r.score for r in Q.score(docs, some, F.lit(True)).collect()]
+        assert len(got) == docs.count() and {round(x, 9) for x in got} == {round(share, 9)}
+    assert Q.score(none, labels, F.lit(True)).collect() == []
