@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -85,12 +84,16 @@ def scratch_dir(spark: SparkSession, name: str = "run") -> str:
         base = sc.getCheckpointDir()
     base = base.rstrip("/")
     path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
+    p = _hadoop_path(spark, path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).mkdirs(p)  # wherever a path without a scheme lies
     return path
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether there is a file or folder at ``path``, on whatever file system it lies."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p = _hadoop_path(spark, path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
