@@ -5,6 +5,7 @@ import os
 
 import pytest
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from marketlake.plans import alpaca, streams
 from marketlake.session import scratch_dir
@@ -199,15 +200,14 @@ def test_market_stream_counts_pages_with_observe(spark):
     from marketlake.plans import markets
     from marketlake.streaming.pipeline import MarketTableSink
 
-    landed = streams._land(markets.fx.fx_pages(spark, SF_SMALL), spark, "landed-pages", ["walk_id", "page_no"])
+    pages = markets.fx.fx_pages(spark, SF_SMALL).withColumn("arrival", F.col("page_no"))
+    landed = streams.land(pages, scratch_dir(spark, "landed-pages"), ["walk_id"], 1)
     sink = MarketTableSink(scratch_dir(spark, "tables"))
     ckpt = scratch_dir(spark, "ckpt")
     h = (pipeline(spark, custom.arrival_source(landed, ckpt, streams.PAGE_SCHEMA), sink).channel_capacity(2)
          .trigger(processingTime="0 seconds").checkpoint(ckpt).start().drain())
     seen = sink.counters(spark)
     assert h.error is None and seen.select("_batch_id").distinct().count() == seen.count() >= 2
-    from pyspark.sql import functions as F
-
     batch = ingest_counters(markets.walked(spark, SF_SMALL)).agg(F.sum("pages_walked").alias("p"),
                                                                   F.sum("raw_markets").alias("r"))
     pages, raw = batch.collect()[0]
