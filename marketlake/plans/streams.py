@@ -219,8 +219,9 @@ def q_sink_failure_continue(spark, sf_dir):
                            landed=land_frames(spark, sf_dir, misnamed=3))
     if handle.error:
         raise handle.error
-    failed = handle.failed_batches().agg(F.count(F.lit(1)).alias("n_failed"), F.max("batch_id").alias("failed_batch"))
-    return bars_table(spark, root).crossJoin(F.broadcast(failed))  # one row
+    failed = handle.failed_batches()
+    return bars_table(spark, root).select("*", failed.agg(F.count(F.lit(1))).scalar().alias("n_failed"),
+                                          failed.agg(F.max("batch_id")).scalar().alias("failed_batch"))
 
 
 def q_custom_source(spark, sf_dir):
