@@ -1,13 +1,15 @@
-"""The stream's sink on feeds of one connection: no task holds them whole."""
+"""The stream's sink on feeds of one connection: no task holds them whole, each row is made once."""
 
 import json
 
 from pyspark.sql import functions as F
 
 from marketlake.operators import frames as FR
+from marketlake.operators import rows as R
 from marketlake.session import scratch_dir
 from marketlake.sources import frames as SF
 from marketlake.streaming import pipeline as P
+from marketlake.streaming.tables import KeyedTable
 
 BAR = {"T": "b", "S": "A", "o": 1.0, "h": 2.0, "l": 0.5, "c": 1.5, "v": 10.0, "t": "2024-01-01T00:00:00Z"}
 
@@ -50,3 +52,18 @@ def test_stream_cut_leaves_frames_where_they_are(spark, monkeypatch):
     sink.handle_batch(feed(spark, 4000, ends=[1001]).withColumn("frame_no", F.col("frame_no") + 4000), 1)  # a replay
     assert sum(seen[-1]) == 1300
 
+
+def test_each_table_row_is_made_once_a_batch(spark, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(error):
+        made.add(1)
+        return error
+
+    rows = R.bars_rows
+    monkeypatch.setattr(P.R, "bars_rows", lambda df: rows(df).withColumn("_error", counted("_error")))
+    root = scratch_dir(spark, "tables")
+    P.AlpacaTableSink(root).handle_batch(feed(spark, 200), 0)
+    assert KeyedTable(spark, root, "bars").read().count() == 200
+    assert made.value == 200
