@@ -3,14 +3,16 @@
 Patterns find the protected entities (addresses, numbers). Corpus co-occurrence
 then estimates how strongly a word discloses an entity: with N documents, n(e) and
 n(t) that hold the entity and the word, and n(t, e) that hold both (the word anywhere
-outside the entities, not only beside one), the word discloses
+outside the entities, not only beside one; n(t) counts it inside them too), the word discloses
 
     log2(n(t, e) * N / (n(t) * n(e)))   bits, and names it with chance n(t, e) / n(t).
 
 The bits count as a share of the entity's own information, log2(N / n(e)), so that rare
-and hot entities and small and large corpora are rated alike. An entity of several
-documents needs the word in two of them; an entity of one document is disclosed by
-the words that no other document holds; one that all documents hold by none.
+and hot entities and small and large corpora are rated alike. ``op10_pii`` hides the words
+of all pairs over both thresholds. The operator may ask for more: by default an entity of
+several documents needs the word in two of them, and an entity of one document is disclosed
+by the words that no other document holds. An entity that all documents hold has no
+information, so none discloses it.
 
 A word over both thresholds is removed wherever it stands in a document that holds
 that entity if it names it almost surely, and generalised otherwise. Only built-in functions run on the
@@ -47,8 +49,8 @@ PATTERNS = {
 ANY = r"[A-Za-z0-9._%+-]@[A-Za-z0-9-]++\.[A-Za-z0-9-]|[0-9]\.[0-9]++\.[0-9]++\.[0-9]|[0-9](?:[\x20-]?[0-9]){13}|\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = [*PATTERNS, "generalise", "remove"]
 TERM = r"\p{L}{3,}+"
-#: An address with the letters that touch it: the only entity that has letters at all.
-MASK = r"(?:\G|(?<![\p{L}0-9._%+-]))[\p{L}0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++\p{L}*+"
+#: Thresholds are met up to rounding: bits are sums of logarithms.
+ROUNDING = 1e-12
 
 
 def _digits(value: Column) -> Column:
@@ -78,6 +80,15 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
 
+def _outside(text: Column) -> Column:
+    """The text without its addresses, the only entities that have letters at all, and
+    without the letters that touch one: they are parts of a word that overlaps it."""
+    gaps = F.split(text, PATTERNS["email"], -1)
+    head = lambda g, i: F.when(i > 0, F.regexp_replace(g, r"^\p{L}++", "")).otherwise(g)
+    tail = lambda g, i: F.when(i < F.size(gaps) - 1, F.regexp_replace(g, r"(?<!\p{L})\p{L}++$", "")).otherwise(g)
+    return F.array_join(F.transform(F.transform(gaps, head), tail), " ")
+
+
 def _places(texts: DataFrame, flagged: DataFrame, entities: DataFrame) -> DataFrame:
     """Where the flagged words (``_doc``, ``term``, ...) stand outside the entities."""
     some = texts.join(flagged.select("_doc").distinct(), "_doc", "left_semi").repartition("_doc")
@@ -118,11 +129,12 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
 
 
 def disclosing(docs: DataFrame, entities: DataFrame, text_col: str = "text", min_share: float = 0.5,
-               min_chance: float = 0.5, sure: float = 0.9) -> DataFrame:
+               min_chance: float = 0.5, sure: float = 0.9, min_docs: int = 2) -> DataFrame:
     """The spans of disclosing words: ``_doc``, ``start``, ``end``, ``kind`` (number
-    in ``KINDS``), ``bits``, ``chance``. A word counts from ``min_share`` of the entity's information on."""
+    in ``KINDS``), ``bits``, ``chance``. A word counts from ``min_share`` of the entity's information on.
+    ``min_docs``: how many documents must hold both; with 1 the thresholds alone decide."""
     texts = entities.filter(F.col("_text").isNotNull()).select("_doc", "_text")
-    words = written(texts.select("_doc", F.explode(_terms(F.regexp_replace("_text", MASK, " "))).alias("term")), "pii-words")
+    words = written(texts.select("_doc", F.explode(_terms(_outside(F.col("_text")))).alias("term")), "pii-words")
     each = written(entities.select("_doc", "entity").distinct(), "pii-held")
     # Entities by the documents that hold them: their number and two digests of the set.
     sets = each.groupBy("entity").agg(F.count("*").alias("n_entity"), F.bit_xor(F.xxhash64("_doc")).alias("_x"),
@@ -135,17 +147,19 @@ def disclosing(docs: DataFrame, entities: DataFrame, text_col: str = "text", min
     counted = written(words.join(n_term, "term"), "pii-counted")
     total = float(docs.count())
     own = F.log2(F.lit(total) / F.col("n_entity"))
-    # An entity of one document: the words that no other document holds.
-    alone = counted.filter("n_term = 1").join(groups.filter("n_entity = 1").select("_doc", "n_entity").distinct(), "_doc").select(
-        "_doc", "term", F.lit(1.0).alias("chance"), own.alias("bits"), own.alias("own"))
-    # An entity of several: the words that two of them hold, in few enough others.
-    pairs = written(counted.filter("n_term > 1").join(groups.filter("n_entity > 1"), "_doc")
+    # An entity of one document: the words that few enough others hold, or none.
+    few = F.col("n_term") * F.lit(min_chance) <= 1 if min_docs <= 1 else F.col("n_term") == 1
+    named = 1 / F.col("n_term")
+    alone = counted.filter(few).join(groups.filter("n_entity = 1").select("_doc", "n_entity").distinct(), "_doc").select(
+        "_doc", "term", named.alias("chance"), (own + F.log2(named)).alias("bits"), own.alias("own"))
+    # An entity of several: the words that enough of them hold, in few enough others.
+    pairs = written(counted.filter(F.col("n_term") >= min_docs).join(groups.filter("n_entity > 1"), "_doc")
                     .filter(F.col("n_term") * F.lit(min_chance) <= F.col("n_entity"))
                     .withColumn("pair", F.xxhash64("term", "n_entity", "_x", "_y")), "pii-pairs")
     both = pairs.groupBy("pair").agg(F.count("*").alias("n_both"), F.first("n_term").alias("n_term"), F.first("n_entity").alias("n_entity"))
     chance = F.col("n_both") / F.col("n_term")
-    rated = both.filter("n_both > 1").select("pair", chance.alias("chance"), (own + F.log2(chance)).alias("bits"), own.alias("own"))
-    good = (F.col("own") > 0) & (F.col("bits") >= min_share * F.col("own")) & (F.col("chance") >= min_chance)
+    rated = both.filter(F.col("n_both") >= min_docs).select("pair", chance.alias("chance"), (own + F.log2(chance)).alias("bits"), own.alias("own"))
+    good = (F.col("own") > 0) & (F.col("bits") >= min_share * F.col("own") - ROUNDING) & (F.col("chance") >= min_chance)
     several = pairs.select("_doc", "term", "pair").join(written(rated.filter(good), "pii-rated"), "pair")
     flagged = written(alone.filter(good).unionByName(several.drop("pair")).groupBy("_doc", "term").agg(
         F.max("chance").alias("chance"), F.max("bits").alias("bits")), "pii-flagged")

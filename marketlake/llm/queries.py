@@ -97,7 +97,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     rows, entities = pii.find(docs)
-    words = pii.disclosing(docs, entities)
+    words = pii.disclosing(docs, entities, min_docs=1)
     spans = entities.select("_doc", "kind", "start", "end").unionAll(words.select("_doc", "kind", "start", "end"))
     return _per_document(rows, spans, pii.KINDS, 4, [
         F.count_if(F.col("kind") >= 4).alias("n_words_hidden")])
