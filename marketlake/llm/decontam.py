@@ -31,6 +31,7 @@ from collections.abc import Iterator
 from itertools import repeat
 
 from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.pandas.functions import ArrowUDFType
 
 from marketlake.llm.common import packed, slices, text_of, unpacked
 
@@ -332,23 +333,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
           item_text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, with their own columns."""
-    rows = docs.select(F.struct("*").alias("doc"), text_of(text_col).alias("_text"))
-    schema = T.StructType([rows.schema["doc"], rows.schema["_text"]])
-
+    """The rows of ``docs`` that hold no benchmark item, with their own columns. Texts
+    alone go to Python, and one bit for each comes back; the rows stay where they are."""
     def without(items):
         def run(batches):
             import pyarrow as pa
 
             block = Block(items, WIDE_REPETITIONS, wide=True)
             for batch in batches:
-                at = 0
-                for some in slices(batch.column(1), SLICE_BYTES):
-                    keep = pa.array([not found for found in block.search(some)], pa.bool_())
-                    yield batch.slice(at, len(some)).filter(keep)
-                    at += len(some)
-        return run
+                yield pa.array([not found for some in slices(batch, SLICE_BYTES) for found in block.search(some)], pa.bool_())
+
+        return F.arrow_udf(run, T.BooleanType(), ArrowUDFType.SCALAR_ITER)
 
     for items in blocks(benchmark, item_col, item_text_col):
-        rows = rows.mapInArrow(without(items), schema)
-    return rows.select("doc.*")
+        docs = docs.filter(without(items)(text_of(text_col)))
+    return docs

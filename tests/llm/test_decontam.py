@@ -127,3 +127,19 @@ def test_block_size_counts_words_however_they_are_separated(spark, monkeypatch):
     monkeypatch.setattr(D, "BLOCK_WORDS", 10)
     bench = spark.createDataFrame([(k, "\n".join(["word"] * 6)) for k in range(6)], "item_id long, text string")
     assert [len(b) for b in D.blocks(bench, "item_id", "text")] == [2, 2, 2]
+
+
+def test_clean_sends_each_text_once_and_gets_no_row_back(spark):
+    rng = random.Random(3)
+    rows = [(k, " ".join(words(rng, 400)), "x" * 3000) for k in range(200)]
+    bench = spark.createDataFrame([(1, " ".join(rows[7][1].split()[50:90]))], "item_id long, text string")
+    kept = D.clean(spark.createDataFrame(rows, "doc_id long, text string, other string"), bench)
+    assert sorted(r.doc_id for r in kept.collect()) == [k for k in range(200) if k != 7]
+    data, nodes = {"pythonDataSent": 0, "pythonDataReceived": 0}, [kept._jdf.queryExecution().executedPlan()]
+    while nodes:
+        node = nodes.pop()
+        nodes += [node.children().apply(k) for k in range(node.children().size())]
+        for name in data:
+            data[name] += node.metrics().apply(name).value() if node.metrics().contains(name) else 0
+    size = sum(len(r[1]) for r in rows)
+    assert size <= data["pythonDataSent"] < 1.3 * size and 0 < data["pythonDataReceived"] < 0.1 * size, (data, size)
